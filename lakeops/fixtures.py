@@ -1,0 +1,133 @@
+"""Operations tables derived from the given TPC-H-like tables.
+
+Each statement runs unchanged in Spark; ``for_duckdb`` gives the other spelling
+of the one type name that differs. The conditions assign kinds and states
+(a part is a view or a table, a cluster is alive or gone); every row of the
+source table is used by one of the fixtures that read it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+FIXTURES = {
+    "fx_mapping": """
+        select case when r_regionkey = 4 then '  ' else 'DB' || cast(r_regionkey as string) end as source_database,
+               'migrated_db' || cast(r_regionkey as string) as destination_catalog
+        from region""",
+    "fx_jobs": "select c_custkey as job_id, c_name as job_name from customer",
+    "fx_tasks": """
+        select o_custkey as job_id, l_orderkey, l_linenumber,
+               case when l_linestatus = 'O' then l_suppkey end as existing_cluster_id
+        from lineitem join orders on l_orderkey = o_orderkey""",
+    # Every tenth cluster has been terminated.
+    "fx_clusters": """
+        select cluster_id, cluster_name, node_type_id, driver_node_type_id, autoscale_min, autoscale_max, num_workers,
+               spark_version, cluster_source
+        from (select s_suppkey as cluster_id,
+                     s_suppkey % 10 = 0 as is_terminated,
+                     case when s_suppkey % 17 <> 0 then s_name end as cluster_name,
+                     case when s_nationkey % 7 = 0 then '' else 'node.' || cast(s_nationkey as string) end
+                         as node_type_id,
+                     case when s_nationkey % 3 = 0 then null when s_nationkey % 3 = 1 then ''
+                          else 'driver.' || cast(s_nationkey as string) end as driver_node_type_id,
+                     case when s_suppkey % 4 = 0 then s_nationkey % 5 end as autoscale_min,
+                     case when s_suppkey % 4 = 0 then s_nationkey % 5 + 4 end as autoscale_max,
+                     case when s_suppkey % 4 <> 3 then s_nationkey % 6 end as num_workers,
+                     case when s_nationkey % 4 = 1 then '' when s_nationkey % 4 <> 2
+                          then '1' || cast(s_nationkey % 4 as string) || '.3' end as spark_version,
+                     case s_nationkey % 3 when 0 then 'UI' when 1 then 'API' end as cluster_source
+              from supplier) c
+        where not is_terminated""",
+    "fx_runs": """
+        select o_orderkey as run_id, o_custkey as job_id, o_orderdate as start_time,
+               case o_orderstatus when 'F' then 'FAILED' when 'O' then 'SUCCESS' end as result_state,
+               'TERMINATED' as life_cycle_state
+        from orders""",
+    "fx_usage": """
+        select l_suppkey as cluster_id, l_returnflag as sku_name, l_shipdate as usage_start_time,
+               cast(l_quantity as decimal(18,2)) as usage_quantity
+        from lineitem""",
+    # Returned goods have a price list only from 1997 on.
+    "fx_prices": """
+        select sku_name, price_start_time,
+               lead(price_start_time) over (partition by sku_name order by price_start_time) as price_end_time, price
+        from (select l_returnflag as sku_name,
+                     cast(date_trunc('year', l_shipdate) as timestamp_ntz) as price_start_time,
+                     cast(1 + round(avg(cast(l_discount as decimal(18,4))), 4) as decimal(18,4)) as price
+              from lineitem where not (l_returnflag = 'R' and year(l_shipdate) < 1997) group by 1, 2) p""",
+    "fx_objects": """
+        select 'DB' || cast(p_partkey % 5 as string) as src_db,
+               case when p_partkey % 50 = 49 then 'INFORMATION_SCHEMA' else 'PUB' end as table_schema,
+               case when p_partkey % 3 = 2 then 'T' else 'V' end || cast(p_partkey as string) as table_name,
+               case when p_partkey % 3 <> 2 then 'VIEW' when p_partkey % 2 = 0 then 'BASE TABLE'
+                    else 'EXTERNAL TABLE' end as table_type
+        from part""",
+    # The parts that are views.
+    "fx_views": """
+        select 'DB' || cast(p_partkey % 5 as string) as src_db, 'PUB' as table_schema,
+               'V' || cast(p_partkey as string) as table_name,
+               'CREATE OR REPLACE VIEW DB' || cast(p_partkey % 5 as string) || '.PUB.V' || cast(p_partkey as string)
+               || ' AS SELECT ZEROIFNULL(abs(q)) AS q, REGEXP_REPLACE(n, ' || chr(39) || 'x' || chr(39)
+               || ') AS n FROM DB' || cast(cast(floor(p_partkey / 2) as bigint) % 5 as string) || '.PUB.V'
+               || cast(cast(floor(p_partkey / 2) as bigint) as string) || ' a JOIN "EXT'
+               || cast(p_partkey % 3 as string) || '"."PUB"."T" b ON a.k = b.k' as view_definition
+        from part where case when p_partkey % 3 <> 2 then 'VIEW' else 'TABLE' end = 'VIEW'""",
+    # The parts that are tables, three columns each.
+    "fx_columns": """
+        select 'T' || cast(p_partkey as string) as table_name, s as column_ordinal,
+               'C' || cast(s as string) as column_name,
+               case (p_partkey + s) % 6 when 0 then 'NUMBER' when 1 then 'TIME' when 2 then 'TIMESTAMP_NTZ'
+                    when 3 then 'DECIMAL' when 4 then 'TEXT' else 'timestamp without time zone' end as data_type,
+               case when (p_partkey + s) % 3 = 0 then case when p_partkey % 11 = 0 then null else p_size % 38 + 1 end
+                    end as numeric_precision,
+               case when (p_partkey + s) % 3 = 0 then p_size % 3 end as numeric_scale
+        from part cross join (select 1 as s union all select 2 union all select 3) c
+        where case when p_partkey % 3 <> 2 then 'VIEW' else 'TABLE' end = 'TABLE'""",
+    "fx_procs": """
+        select 'DB' || cast(s_suppkey % 5 as string) as src_db, 'PUB' as procedure_schema,
+               'P' || cast(s_suppkey as string) as procedure_name,
+               case when s_suppkey % 4 = 0 then null when s_suppkey % 4 = 1 then '(X NUMBER)' else 'X NUMBER' end
+                   as argument_signature,
+               case when s_suppkey % 3 = 0 then 'VARCHAR' end as return_type,
+               case s_nationkey % 5 when 0 then 'SQL' when 1 then 'JAVASCRIPT' when 2 then 'PYTHON' when 3 then 'sql'
+                    end as procedure_language,
+               case when s_suppkey % 9 <> 0 then 'EXECUTE AS CALLER BEGIN UPDATE DB' || cast(s_suppkey % 5 as string)
+                    || '.PUB.T SET q = ZEROIFNULL(q); END' end as procedure_definition,
+               case when s_suppkey % 2 = 0 then 'it' || chr(39) || 's ' || s_name end as comment
+        from supplier""",
+}
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+    "conversations"
+).split()
+
+
+def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A derived table, as a plan over the given ones."""
+    text = FIXTURES[name]
+    sources = {t: given(spark, sf_dir, t) for t in TABLES if f" {t}" in text}
+    for table in sources:
+        text = text.replace(f" {table}", f" {{{table}}}")
+    return spark.sql(text, **sources)
+
+
+def for_duckdb(text: str) -> str:
+    return text.replace("timestamp_ntz", "timestamp")
+
+
+def with_fixtures(query: str) -> str:
+    """DuckDB text of ``query`` with the fixtures it names defined in front."""
+    needed = [f"{n} as ({for_duckdb(sql)})" for n, sql in FIXTURES.items() if n in query]
+    body = query.strip()
+    if body.lower().startswith("with recursive"):
+        return "with recursive " + ", ".join(needed) + ", " + body[len("with recursive") :]
+    if body.lower().startswith("with "):
+        return "with " + ", ".join(needed) + ", " + body[len("with") :]
+    return "with " + ", ".join(needed) + " " + body

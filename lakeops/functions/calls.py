@@ -1,0 +1,77 @@
+"""Translation of function calls with nested arguments.
+
+Balanced parentheses are beyond a regular expression, so the texts that hold
+such a call, and only those, pass through an Arrow batch function.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Each function that needs a new spelling, by its argument count
+# (None: any), with the text that replaces the call.
+CALLS = {
+    ("ZEROIFNULL", None): "COALESCE({all}, 0)",
+    ("REGEXP_REPLACE", 2): "REGEXP_REPLACE({0}, {1}, '')",
+    ("IFF", 3): "CASE WHEN {0} THEN {1} ELSE {2} END",
+    ("TO_VARCHAR", 1): "CAST({0} AS STRING)",
+}
+
+_NAMES = "|".join(sorted({name for name, _ in CALLS}))
+_MENTIONED = rf"(?i)\b(?:{_NAMES})\s*\("
+# What the scan stops at. Strings, quoted names and comments are single tokens,
+# so a parenthesis or comma inside them is text.
+_TOKEN = re.compile(
+    rf"""'(?:[^']|'')*' | "[^"]*" | --[^\n]* | /\*.*?\*/
+      | (?<![\w.])(?P<name>{_NAMES})\s*\( | (?P<open>\() | (?P<comma>,) | (?P<close>\))""",
+    re.IGNORECASE | re.DOTALL | re.VERBOSE,
+)
+
+
+def _finished(name: str, opener: str, args: list[list[str]]) -> str:
+    texts = ["".join(pieces) for pieces in args]
+    inner = ",".join(texts)
+    shape = CALLS.get((name, len(texts))) or CALLS.get((name, None))
+    if not shape or not all(t.strip() for t in texts):
+        return f"{opener}{inner})"
+    return shape.format(*[t.strip() for t in texts], all=inner)
+
+
+def translate_text(sql: str) -> str:
+    """Translate every complete call, innermost first, in one scan of the text."""
+    # Each open parenthesis: (function name or "", its text, arguments as pieces).
+    calls: list[tuple[str, str, list[list[str]]]] = [("", "", [[]])]
+    seen = 0
+    for token in _TOKEN.finditer(sql):
+        args = calls[-1][2]
+        args[-1].append(sql[seen : token.start()])
+        seen = token.end()
+        if token["name"] or token["open"]:
+            calls.append(((token["name"] or "").upper(), token[0], [[]]))
+        elif token["comma"] and len(calls) > 1:
+            args.append([])
+        elif token["close"] and len(calls) > 1:
+            done = _finished(*calls.pop())
+            calls[-1][2][-1].append(done)
+        else:
+            args[-1].append(token[0])
+    calls[-1][2][-1].append(sql[seen:])
+    # Parentheses left open: their text stays as written.
+    return "".join(opener + ",".join("".join(pieces) for pieces in args) for _, opener, args in calls)
+
+
+@F.pandas_udf(T.StringType())
+def _translate_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for texts in batches:
+        yield texts.map(translate_text, na_action="ignore")
+
+
+def translate_functions(text: Column) -> Column:
+    """Rewrite the calls listed in ``CALLS``; other text is returned untouched."""
+    return F.coalesce(_translate_batches(F.when(text.rlike(_MENTIONED), text)), text)
