@@ -8,6 +8,8 @@ source table is used by one of the fixtures that read it.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 FIXTURES = {
@@ -104,18 +106,61 @@ TABLES = (
 ).split()
 
 
+def text_of(template: str, **exprs: str) -> str:
+    """SQL expression for ``template`` with each ``{name}`` replaced by the value of its expression."""
+    pieces = []
+    for i, piece in enumerate(re.split(r"\{(\w+)\}", template)):
+        if i % 2:
+            pieces.append(exprs[piece])
+        elif piece:
+            # Written without escapes, so both engines read the same characters.
+            quoted = piece.replace("'", "' || chr(39) || '").replace("\n", "' || chr(10) || '")
+            pieces.append(f"'{quoted}'")
+    return " || ".join(pieces)
+
+
+# Definition texts over all parts: the same template gives the input and, with
+# the rewritten pieces in place, the expected text.
+N = "cast(p_partkey as string)"
+SRC = "'Db' || cast(p_partkey % 5 as string)"
+TICK = "  create\n view `{s}`.PUB.V{n} AS SELECT '{s}.x' AS a FROM {s}.PUB.T{n} JOIN X{o}.PUB.U ON `{o}x`.k = 1"
+TICK_DONE = (
+    "CREATE OR REPLACE VIEW `{s}`.PUB.V{n} AS SELECT '{s}.x' AS a FROM {s}.PUB.T{n} JOIN X{o}.PUB.U ON `{o}x`.k = 1"
+)
+QUOTE = 'SELECT {s}.PUB.z, {u}.PUB.a, "{u}"."PUB"."b" FROM {l}.PUB.T{n} JOIN "{l}".PUB.U ON X{o}.k = "{o}x".k AND {l}x.k = 1'
+BODY = "SELECT ZEROIFNULL(q) AS q FROM {s}.PUB.T{n} WHERE a AS b"
+PREFIXES = (
+    "CREATE VIEW {s}.PUB.V{n} AS ",
+    "  create or replace\nview {s}.PUB.V{n} as\n",
+    "CREATE OR REPLACE SECURE RECURSIVE VIEW \"{s}\".\"PUB\".\"V {n}\" (A, B)\n AS ",
+    "",
+)
+CALLS = (
+    "SELECT ZEROIFNULL(zeroifnull ( a{n} )), REGEXP_REPLACE(f(a, b), 'p),('), REGEXP_REPLACE(a, b, c), "
+    "IFF(x > 1, 'IFF(1,2,3)', TO_VARCHAR(y)), TO_VARCHAR(z, 'f'), my.IFF(1, 2, 3) /* ZEROIFNULL(a */ FROM T{n} "
+    "WHERE f(ZEROIFNULL(b) AND (c"
+)
+CALLS_DONE = (
+    "SELECT COALESCE(COALESCE( a{n} , 0), 0), REGEXP_REPLACE(f(a, b), 'p),(', ''), REGEXP_REPLACE(a, b, c), "
+    "CASE WHEN x > 1 THEN 'IFF(1,2,3)' ELSE CAST(y AS STRING) END, TO_VARCHAR(z, 'f'), my.IFF(1, 2, 3) "
+    "/* ZEROIFNULL(a */ FROM T{n} WHERE f(COALESCE(b, 0) AND (c"
+)
+
+
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def over_given(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    """A query over the given tables, as a plan."""
+    named = rf"(?i)\b(from|join) ({'|'.join(TABLES)})\b"
+    sources = {m[2]: given(spark, sf_dir, m[2]) for m in re.finditer(named, text)}
+    return spark.sql(re.sub(named, r"\1 {\2}", text), **sources)
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A derived table, as a plan over the given ones."""
-    text = FIXTURES[name]
-    sources = {t: given(spark, sf_dir, t) for t in TABLES if f" {t}" in text}
-    for table in sources:
-        text = text.replace(f" {table}", f" {{{table}}}")
-    return spark.sql(text, **sources)
+    return over_given(spark, sf_dir, FIXTURES[name])
 
 
 def for_duckdb(text: str) -> str:
@@ -125,6 +170,8 @@ def for_duckdb(text: str) -> str:
 def with_fixtures(query: str) -> str:
     """DuckDB text of ``query`` with the fixtures it names defined in front."""
     needed = [f"{n} as ({for_duckdb(sql)})" for n, sql in FIXTURES.items() if n in query]
+    if not needed:
+        return query
     body = query.strip()
     if body.lower().startswith("with recursive"):
         return "with recursive " + ", ".join(needed) + ", " + body[len("with recursive") :]

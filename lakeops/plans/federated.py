@@ -1,0 +1,74 @@
+"""Copy of whole catalogs that Spark itself can read."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+from functools import reduce
+
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+
+from lakeops.functions.names import plain_name, quoted_name
+from lakeops.functions.rewrite import rewrite_backtick
+from lakeops.sinks.tables import FAILED, copy_each, ensure_schemas, outcomes_frame
+from lakeops.sinks.views import recreate_in_rounds
+from lakeops.sources.catalog import SYSTEM_SCHEMAS, classify_spark, discover_spark, full_name, list_schemas
+
+
+def federated_copy(
+    spark: SparkSession,
+    mapping: DataFrame,
+    *,
+    source: str = "source_catalog",
+    destination: str = "destination_catalog",
+    unit: str = "catalog",
+    skip_schemas: Iterable[str] = SYSTEM_SCHEMAS,
+    parallelism: int = 4,
+    fmt: str = "parquet",
+) -> DataFrame:
+    """Copy all tables, then recreate all views, of each pair; one outcome row per object.
+
+    ``unit="catalog"`` maps catalogs and keeps their schemas;
+    ``unit="database"`` maps databases of the session catalog. Names keep their case.
+    """
+    found = []
+    for pair in mapping.toLocalIterator():
+        src, dst = pair[source], pair[destination]
+        if unit == "catalog":
+            databases = [r.database for r in list_schemas(spark, src, skip_schemas).toLocalIterator()]
+            listed = discover_spark(spark, databases, skip_schemas, catalog=src)
+        else:
+            listed = discover_spark(spark, [src], skip_schemas)
+        found.append(listed.withColumns({"src": F.lit(src), "dst": F.lit(dst)}))
+    listed = reduce(DataFrame.union, found)
+    # In the database unit there is no catalog, so the database is the part that moves.
+    is_catalog = F.col("catalog").isNotNull()
+    schema = F.when(is_catalog, F.col("database"))
+    destination_of = {
+        "dst_cat": F.when(is_catalog, F.col("dst")).otherwise("spark_catalog"),
+        "dst_schema": F.coalesce(schema, F.col("dst")),
+    }
+    objects = classify_spark(spark, listed, parallelism).withColumn("src", F.coalesce("catalog", "database"))
+    objects = objects.join(listed.select("src", "dst").distinct(), "src").withColumns(destination_of)
+    parts = (F.col("dst_cat"), F.col("dst_schema"), F.col("name"))
+    objects = objects.withColumns({"dst_fq": quoted_name(*parts), "dst_plain": plain_name(*parts)})
+
+    ensure_schemas(spark, objects)
+
+    def read(o: Row) -> DataFrame:
+        return spark.table(full_name(o.catalog, o.database, o.name))
+
+    tables = objects.filter("kind = 'table'").drop("ddl", "error")
+    copied = outcomes_frame(spark, copy_each(spark, tables, read, parallelism, fmt=fmt))
+    views = objects.filter("kind = 'view'").select(
+        "dst_plain", rewrite_backtick(F.col("ddl"), F.col("src"), F.col("dst")).alias("statement")
+    )
+    recreated = recreate_in_rounds(spark, views, parallelism)
+    unknown = objects.filter("kind = 'failed'").select(
+        F.col("dst_plain").alias("table"),
+        F.lit("unknown").alias("kind"),
+        F.lit(FAILED).alias("status"),
+        F.lit(None).cast("bigint").alias("rows"),
+        "error",
+    )
+    return copied.unionByName(recreated).unionByName(unknown)

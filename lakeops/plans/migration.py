@@ -1,0 +1,134 @@
+"""Ordered migration through a connector: discover, plan, copy, recreate, log."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
+
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+
+from lakeops.functions.names import object_id, plain_name, with_destination
+from lakeops.functions.refs import extract_refs
+from lakeops.operators.deps import dependency_levels, enrich_failures, external_refs, view_edges
+from lakeops.operators.discovery import WAREHOUSE_SYSTEM_SCHEMAS, attach_definitions, discover_objects, join_metadata
+from lakeops.operators.procedures import PROCEDURE_CREATED, procedure_ddl, procedure_status
+from lakeops.operators.typing_plan import plans_by_table, type_plan
+from lakeops.parallel import run_each
+from lakeops.session import cut_lineage
+from lakeops.sinks.runlog import append_run_log
+from lakeops.sinks.tables import FAILED, Outcome, copy_each, ensure_schemas, outcomes_frame
+from lakeops.sinks.views import create_each, with_statement
+
+# Outcomes per append: the driver never holds more, and the log gets no tiny files.
+LOG_BATCH = 1000
+
+IDENTITY = ["src_db", "schema", "name"]
+
+
+def plan_views(objects: DataFrame, definitions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Views with level and CREATE statement, and all references of their definitions.
+
+    Definitions are read once; the checkpoint holds them for the three uses.
+    """
+    views = cut_lineage(with_statement(attach_definitions(objects.filter("kind = 'view'"), definitions)))
+    refs = extract_refs(views, IDENTITY, "view_definition")
+    keyed = views.withColumn("view_id", object_id(*[F.col(c) for c in IDENTITY]))
+    levels = dependency_levels(keyed, view_edges(refs, views))
+    return keyed.join(levels, "view_id"), refs
+
+
+def preflight(mapping: DataFrame, tables: DataFrame, definitions: DataFrame, **discover) -> DataFrame:
+    """References of the run's views to databases outside the mapping."""
+    objects = discover_objects(mapping, tables, ordered=False, **discover)
+    views = attach_definitions(objects.filter("kind = 'view'"), definitions)
+    return external_refs(extract_refs(views, IDENTITY, "view_definition"), mapping)
+
+
+def run_migration(
+    spark: SparkSession,
+    mapping: DataFrame,
+    tables: DataFrame,
+    definitions: DataFrame,
+    reader: Callable[[Row], DataFrame],
+    log_table: str,
+    run_ts: str,
+    *,
+    columns: DataFrame | None = None,
+    procedures: DataFrame | None = None,
+    create_procedure: Callable[[str], object] | None = None,
+    skip_schemas: Iterable[str] = WAREHOUSE_SYSTEM_SCHEMAS,
+    ignore_case: bool = False,
+    parallelism: int = 4,
+    strict: bool = True,
+    fmt: str = "parquet",
+) -> DataFrame:
+    """Copy everything the mapping names and return the run log.
+
+    Tables first, then procedures, then views level by level. ``reader`` scans
+    one source table. ``columns`` brings the type plan. ``create_procedure``
+    runs one CREATE PROCEDURE text where the host can; without it procedures
+    are inventoried only.
+    """
+    found = discover_objects(mapping, tables, procedures, skip_schemas, ignore_case, ordered=False)
+    objects = cut_lineage(with_destination(found))
+    ensure_schemas(spark, objects)
+    views, refs = plan_views(objects, definitions)
+
+    to_copy = objects.filter("kind = 'table'").select(*IDENTITY, "dst_cat", "dst_schema", "dst_fq", "dst_plain")
+    if columns is not None:
+        keyed = columns.select(
+            "src_db",
+            F.col("table_schema").alias("schema"),
+            F.col("table_name").alias("name"),
+            "column_ordinal",
+            "column_name",
+            "data_type",
+            "numeric_precision",
+            "numeric_scale",
+        )
+        to_copy = join_metadata(to_copy, plans_by_table(type_plan(keyed), *IDENTITY))
+
+    copies = copy_each(spark, to_copy, reader, parallelism, fmt=fmt, strict=strict)
+    for batch in _batches(copies):
+        append_run_log(spark, outcomes_frame(spark, batch), log_table, run_ts, fmt)
+
+    if procedures is not None:
+        procs = procedure_status(objects.filter("kind = 'procedure'"), create_procedure is not None)
+        ready = procs.filter(F.col("status") == PROCEDURE_CREATED)
+        noted = procs.filter(F.col("status") != PROCEDURE_CREATED).select(
+            F.col("dst_plain").alias("table"),
+            "kind",
+            "status",
+            F.lit(None).cast("bigint").alias("rows"),
+            F.lit(None).cast("string").alias("error"),
+        )
+        append_run_log(spark, noted, log_table, run_ts, fmt)
+        if create_procedure is not None:
+            for batch in _batches(_create_procedures(ready, create_procedure, parallelism)):
+                append_run_log(spark, outcomes_frame(spark, batch), log_table, run_ts, fmt)
+
+    external = external_refs(refs, mapping)
+    sources = views.select(F.col("dst_plain").alias("table"), plain_name(*map(F.col, IDENTITY)).alias("view_id"))
+    for batch in _batches(create_each(spark, views, parallelism)):
+        named = outcomes_frame(spark, batch).join(sources, "table", "left")
+        append_run_log(spark, enrich_failures(named, external).drop("view_id"), log_table, run_ts, fmt)
+    return spark.table(log_table)
+
+
+def _create_procedures(ready: DataFrame, create: Callable[[str], object], parallelism: int) -> Iterator[Outcome]:
+    def one(p: Row) -> Outcome:
+        try:
+            if not p.ddl:
+                raise ValueError("procedure has no body")
+            create(p.ddl)
+            return (p.dst_plain, "procedure", PROCEDURE_CREATED, None, None)
+        except Exception as error:
+            return (p.dst_plain, "procedure", FAILED, None, str(error))
+
+    return run_each(procedure_ddl(ready).select("dst_plain", "ddl").toLocalIterator(), one, parallelism)
+
+
+def _batches(outcomes: Iterator[Outcome]) -> Iterator[list[Outcome]]:
+    while batch := list(islice(outcomes, LOG_BATCH)):
+        yield batch
