@@ -8,14 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # What counts as a name part, and the words that rule a match out.
-NAME_PART = r'(?:"[^"]+"|[A-Z_][A-Z0-9_]*)'
+QUOTED, BARE = r'"[^"]+"', r"[A-Z_][A-Z0-9_]*"
 SQL_KEYWORDS = (
     "SELECT", "FROM", "WHERE", "JOIN", "ON", "AND", "OR", "NOT", "AS", "WITH", "UNION",
     "GROUP", "ORDER", "BY", "HAVING", "LIMIT", "DISTINCT", "CASE", "WHEN", "THEN", "ELSE", "END",
     "LEFT", "RIGHT", "INNER", "OUTER", "FULL", "CROSS", "INTO", "INSERT", "UPDATE", "DELETE",
 )
 
-THREE_PART_NAME = "(?i)" + r"\.".join([NAME_PART] * 3)
+# A bare part holds no dot, so it is matched whole or not at all (possessive),
+# and a name is only looked for where a word begins.
+THREE_PART_NAME = rf"(?i)(?:{QUOTED}|(?<![A-Z_]){BARE}+)" + rf"\.(?:{QUOTED}|{BARE}+)" * 2
 # A dot with an even number of quotes after it stands between parts.
 DOT_OUTSIDE_QUOTES = r'\.(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
@@ -23,14 +25,16 @@ DOT_OUTSIDE_QUOTES = r'\.(?=(?:[^"]*"[^"]*")*[^"]*$)'
 def references(text: Column) -> Column:
     """Distinct references of one text, as an array of (ref_db, ref_schema, ref_table)."""
 
-    def as_parts(match: Column) -> Column:
-        parts = F.split(match, DOT_OUTSIDE_QUOTES)
+    def bare(part: Column) -> Column:
+        return F.upper(F.replace(part, F.lit('"'), F.lit("")))
+
+    def as_struct(parts: Column) -> Column:
         names = ("ref_db", "ref_schema", "ref_table")
-        bare = [F.upper(F.replace(parts[i], F.lit('"'), F.lit(""))) for i in range(3)]
-        return F.struct(*[b.alias(n) for b, n in zip(bare, names)])
+        return F.struct(*[bare(parts[i]).alias(name) for i, name in enumerate(names)])
 
     matches = F.regexp_extract_all(text, F.lit(THREE_PART_NAME), F.lit(0))
-    return F.array_distinct(F.transform(matches, as_parts))
+    split = F.transform(F.array_distinct(matches), lambda m: F.split(m, DOT_OUTSIDE_QUOTES))
+    return F.array_distinct(F.transform(split, as_struct))
 
 
 def extract_refs(df: DataFrame, id_cols: Sequence[str], text_col: str) -> DataFrame:

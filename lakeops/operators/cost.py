@@ -49,23 +49,20 @@ def interval_join(
     if grain:
         # Past the last boundary nothing changes, so later instants share its unit.
         last = right.agg(F.max(_unit_of(F.coalesce(end, start), grain))).scalar()
-        unit = F.least(_unit_of(F.col(f"l.{at}"), grain), last)
-        first_unit = _unit_of(F.col(start), grain)
-        last_unit = F.coalesce(_unit_of(F.col(end), grain), last)
         step = F.expr(f"interval {GRAINS[grain]}")
-        not_empty = F.col(end).isNull() | (F.col(end) > F.col(start))
-        right = right.filter(not_empty & F.col(start).isNotNull()).withColumn(
-            "_unit", F.explode(F.sequence(first_unit, last_unit, step))
-        )
+        units = F.sequence(_unit_of(F.col(start), grain), F.coalesce(_unit_of(F.col(end), grain), last), step)
+        not_empty = F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(end) > F.col(start)))
+        right = right.filter(not_empty).withColumn("_unit", F.explode(units))
+        left = left.withColumn("_unit", F.least(_unit_of(F.col(at), grain), last))
+        names.append("_unit")
     lhs, rhs = left.alias("l"), right.alias("r")
     matches = F.col(f"l.{at}") >= F.col(f"r.{start}")
     matches &= F.col(f"r.{end}").isNull() | (F.col(f"l.{at}") < F.col(f"r.{end}"))
     for name in names:
         matches &= F.col(f"l.{name}") == F.col(f"r.{name}")
-    if grain:
-        matches &= unit == F.col("r._unit")
-    kept = [F.col(f"r.{c}") for c in right.columns if c not in names and c != "_unit"]
-    return lhs.join(rhs, matches, how).select("l.*", *kept)
+    kept = [F.col(f"l.{c}") for c in left.columns if c != "_unit"]
+    kept += [F.col(f"r.{c}") for c in right.columns if c not in names]
+    return lhs.join(rhs, matches, how).select(*kept)
 
 
 def cost_rollup(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -15,12 +16,17 @@ GATHER_EVERY = 16
 
 
 def external_refs(
-    refs: DataFrame, databases: DataFrame, *, id_cols: tuple[str, ...] = ("src_db", "schema", "name"),
+    refs: DataFrame,
+    databases: DataFrame,
+    *,
+    id_cols: Sequence[str] = ("src_db", "schema", "name"),
     database: str = "source_database",
-) -> DataFrame:
-    """References to databases that are not part of the run."""
+    keep: bool = False,
+) -> DataFrame:
+    """References to databases that are not part of the run; ``keep`` leaves ``id_cols`` in the result."""
     in_run = databases.select(F.upper(database).alias("ref_db")).distinct()
     return refs.join(in_run, "ref_db", "left_anti").select(
+        *(id_cols if keep else ()),
         plain_name(*[F.col(c) for c in id_cols]).alias("view_id"),
         plain_name(F.col("ref_db"), F.col("ref_schema"), F.col("ref_table")).alias("ref"),
         F.col("ref_db").alias("missing_db"),
@@ -41,7 +47,7 @@ def external_refs_by_db(external: DataFrame) -> DataFrame:
 
 
 def view_edges(
-    refs: DataFrame, views: DataFrame, *, id_cols: tuple[str, ...] = ("src_db", "schema", "name")
+    refs: DataFrame, views: DataFrame, *, id_cols: Sequence[str] = ("src_db", "schema", "name")
 ) -> DataFrame:
     """(view, view it reads) for references to other views of the run."""
     view_id = object_id(*[F.col(c) for c in id_cols])

@@ -39,10 +39,17 @@ def plan_views(objects: DataFrame, definitions: DataFrame) -> tuple[DataFrame, D
 
 
 def preflight(mapping: DataFrame, tables: DataFrame, definitions: DataFrame, **discover) -> DataFrame:
-    """References of the run's views to databases outside the mapping."""
-    objects = discover_objects(mapping, tables, ordered=False, **discover)
-    views = attach_definitions(objects.filter("kind = 'view'"), definitions)
-    return external_refs(extract_refs(views, IDENTITY, "view_definition"), mapping)
+    """References of the run's views to databases outside the mapping.
+
+    Definitions are reduced to their external references where they are
+    scanned, so no text is shuffled.
+    """
+    views = discover_objects(mapping, tables, ordered=False, **discover).filter("kind = 'view'")
+    named = definitions.withColumnsRenamed({"table_schema": "schema", "table_name": "name"})
+    external = external_refs(extract_refs(named, IDENTITY, "view_definition"), mapping, id_cols=IDENTITY, keep=True)
+    in_run = views.select(F.upper("src_db").alias("_db"), "src_db", "schema", "name")
+    found = external.withColumn("_db", F.upper("src_db")).drop("src_db").join(in_run, ["_db", "schema", "name"])
+    return found.select(plain_name(*map(F.col, IDENTITY)).alias("view_id"), "ref", "missing_db")
 
 
 def run_migration(

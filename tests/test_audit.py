@@ -1,0 +1,163 @@
+from __future__ import annotations
+
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakeops.operators import audit
+from lakeops.operators.skew import salted_join
+from lakeops.plans.audit_report import audit_report
+from tests.conftest import rows
+
+RUNS = "run_id long, job_id long, start_time {kind}, result_state string, life_cycle_state string"
+
+
+def test_cutoff_is_utc():
+    expected = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    assert audit.cutoff("2024-01-31", 30) == expected
+    assert audit.cutoff(datetime(2024, 1, 31), 30) == expected
+    assert audit.cutoff("2024-01-31T02:00:00+02:00", 30) == expected
+
+
+def test_latest_run_of_timestamps(spark):
+    def at(text):
+        return datetime.fromisoformat(text)
+
+    runs = spark.createDataFrame(
+        [
+            (1, 10, at("2024-01-01T00:00:00"), "SUCCESS", "TERMINATED"),  # exactly at the cutoff
+            (2, 10, at("2023-12-31T23:59:59"), "FAILED", "TERMINATED"),
+            (3, 20, at("2024-01-05T00:00:00"), "SUCCESS", "TERMINATED"),
+            (4, 20, at("2024-01-05T00:00:00"), None, "RUNNING"),  # same start, higher id
+            (5, 30, at("2023-01-05T00:00:00"), "SUCCESS", "TERMINATED"),
+            (6, 40, None, "SUCCESS", "TERMINATED"),
+        ],
+        RUNS.format(kind="timestamp_ntz"),
+    )
+    expected = [(10, 1, "2024-01-01 00:00:00", "SUCCESS"), (20, 4, "2024-01-05 00:00:00", "RUNNING")]
+    assert rows(audit.latest_run(runs, "2024-01-31", 30)) == expected
+    instants = runs.withColumn("start_time", F.col("start_time").cast("timestamp"))
+    assert rows(audit.latest_run(instants, "2024-01-31", 30)) == expected
+
+
+def test_latest_run_of_epoch_milliseconds(spark):
+    runs = spark.createDataFrame(
+        [(1, 10, 0, "SUCCESS", None), (2, 20, None, "SUCCESS", None), (3, 30, 1_704_067_200_123, None, None)],
+        RUNS.format(kind="long"),
+    )
+    # Looking back to before the epoch keeps the start 0, which is an unknown time.
+    got = rows(audit.latest_run(runs, "2024-01-31", 365 * 60))
+    assert got == [(10, 1, None, "SUCCESS"), (30, 3, "2024-01-01 00:00:00", None)]
+
+
+def test_nested_states_and_tasks(spark):
+    job = "job_id long, settings struct<name:string, tasks:array<struct<existing_cluster_id:string>>>"
+    jobs = spark.createDataFrame(
+        [
+            (1, ("a", [("c1",), ("c1",), ("c2",), (None,), ("",)])),
+            (2, ("b", [])),
+            (3, ("c", None)),
+            (4, None),
+            (5, ("e", [(None,)])),
+        ],
+        job,
+    )
+    pairs = audit.job_cluster_usage(jobs, audit.flatten_tasks(jobs), job_name="settings.name")
+    assert rows(pairs) == [(1, "a", "c1", 2), (1, "a", "c2", 1)]
+    runs = spark.createDataFrame(
+        [(7, 1, datetime(2024, 1, 2), (None, "RUNNING"))],
+        "run_id long, job_id long, start_time timestamp, state struct<result_state:string, life_cycle_state:string>",
+    )
+    latest = audit.latest_run(
+        runs, "2024-01-31", 30, result_state="state.result_state", life_cycle_state="state.life_cycle_state"
+    )
+    assert rows(latest, "latest_run_state") == [("RUNNING",)]
+
+
+def test_jobs_that_cannot_be_read_are_dropped(spark):
+    jobs = spark.createDataFrame([(1, "a")], "job_id long, job_name string")
+    tasks = spark.createDataFrame([(1, "c"), (2, "c")], "job_id long, existing_cluster_id string")
+    assert rows(audit.job_cluster_usage(jobs, tasks)) == [(1, "a", "c", 1)]
+
+
+CLUSTERS = (
+    "cluster_id string, cluster_name string, node_type_id string, driver_node_type_id string, num_workers int, "
+    "autoscale struct<min_workers:int, max_workers:int>, spark_version string, cluster_source string"
+)
+
+
+def nested_clusters(spark):
+    return audit.cluster_dim(
+        spark.createDataFrame(
+            [
+                ("c1", None, "n", None, 0, None, "", None),
+                ("c2", "two", "", "", None, (0, 4), "13", "UI"),
+                ("c3", "three", None, "d", None, (None, None), None, ""),
+            ],
+            CLUSTERS,
+        ),
+        autoscale_min="autoscale.min_workers",
+        autoscale_max="autoscale.max_workers",
+    )
+
+
+def test_cluster_defaults(spark):
+    got = rows(nested_clusters(spark))
+    assert got == [
+        ("c1", None, "n", "n", "Fixed 0", 0, None, None, "Unknown", "Unknown"),
+        ("c2", "two", "Unknown", "Unknown", "Autoscale 0-4", None, 0, 4, "13", "UI"),
+        ("c3", "three", "Unknown", "d", "Unknown", None, None, None, "Unknown", "Unknown"),
+    ]
+
+
+def test_absent_cluster_gets_defaults_but_a_null_name_stays(spark):
+    pairs = spark.createDataFrame([(1, "c1"), (1, "gone")], "job_id long, cluster_id string")
+    got = audit.cluster_lookup(pairs, nested_clusters(spark))
+    assert rows(got, "cluster_id", "cluster_name", "worker_node_type", "workers_config", "spark_version") == [
+        ("c1", None, "n", "Fixed 0", "Unknown"),
+        ("gone", "UNKNOWN/TERMINATED", "Unknown", "Unknown", "Unknown"),
+    ]
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_salted_join_equals_plain_join(spark, setting, how, broadcast):
+    if not broadcast:
+        setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+        setting("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    left = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"), "id")
+    right = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    got = salted_join(left, right, "k", spread_by="id", how=how, salts=5)
+    assert rows(got) == rows(left.join(right, "k", how))
+    assert got.columns == ["k", "id", "v"]
+
+
+def test_hot_key_is_spread(spark, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.adaptive.enabled", "false")
+    left = spark.range(8000).select(F.lit(1).alias("k"), "id")
+    right = spark.createDataFrame([(1, "x")], "k int, v string")
+    used = salted_join(left, right, "k", spread_by="id", salts=32).select(F.spark_partition_id()).distinct().count()
+    assert used > 4
+
+
+def test_gone_cluster_keeps_its_cost(spark):
+    jobs = spark.createDataFrame([(1, "a")], "job_id long, job_name string")
+    tasks = spark.createDataFrame([(1, 7)], "job_id long, existing_cluster_id long")
+    clusters = spark.createDataFrame(
+        [],
+        "cluster_id long, cluster_name string, node_type_id string, driver_node_type_id string, autoscale_min int, "
+        "autoscale_max int, num_workers int, spark_version string, cluster_source string",
+    )
+    runs = spark.createDataFrame([], RUNS.format(kind="timestamp"))
+    usage = spark.sql("SELECT 7L cluster_id, 'A' sku_name, TIMESTAMP'2024-01-02' usage_start_time, 3 usage_quantity")
+    prices = spark.sql(
+        "SELECT 'A' sku_name, TIMESTAMP'2020-01-01' price_start_time, CAST(NULL AS TIMESTAMP) price_end_time, 2 price"
+    )
+    report = audit_report(jobs, tasks, clusters, runs, usage, prices, "https://h//", "2024-01-31", 30)
+    row = report.first()
+    assert (row.cluster_name, row.job_url, row.latest_run_id) == ("UNKNOWN/TERMINATED", "https://h/jobs/1", None)
+    assert (float(row.total_dbus_consumed), float(row.estimated_cost_usd)) == (3.0, 6.0)
+    free = audit_report(jobs, tasks, clusters, runs, None, None, "https://h", "2024-01-31", 30)
+    assert free.schema["estimated_cost_usd"].dataType == report.schema["estimated_cost_usd"].dataType

@@ -1,0 +1,122 @@
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakeops.operators.cost import GRAINS, cost_rollup, interval_join
+from tests.conftest import rows
+
+USAGE = "cluster_id long, sku_name string, usage_start_time timestamp_ntz, usage_quantity decimal(18,2)"
+PRICES = "sku_name string, price_start_time timestamp_ntz, price_end_time timestamp_ntz, price decimal(18,4)"
+
+
+def day(text):
+    return datetime.fromisoformat(text)
+
+
+def join(usage, prices, **options):
+    return interval_join(
+        usage, prices, ["sku_name"], "usage_start_time", "price_start_time", "price_end_time", **options
+    )
+
+
+@pytest.mark.parametrize("grain", [None, *GRAINS])
+def test_intervals_are_half_open_and_may_stay_open(spark, grain):
+    usage = spark.createDataFrame(
+        [(1, "A", day(d), Decimal(1)) for d in ("1999-12-31", "2000-01-01", "2000-02-15", "2000-03-01", "2031-07-01")]
+        + [(1, "B", day("2000-01-01"), Decimal(1)), (1, "A", None, Decimal(1)), (1, None, day("2000-01-01"), Decimal(1))],
+        USAGE,
+    )
+    prices = spark.createDataFrame(
+        [
+            ("A", day("2000-01-01"), day("2000-03-01"), Decimal(1)),
+            ("A", day("2000-03-01"), None, Decimal(2)),
+            ("A", day("2000-05-01"), day("2000-05-01"), Decimal(9)),
+            ("A", day("2000-06-01"), day("2000-04-01"), Decimal(9)),
+            (None, day("2000-01-01"), None, Decimal(9)),
+        ],
+        PRICES,
+    )
+    got = {(r.sku_name, r.usage_start_time): r.price for r in join(usage, prices, grain=grain).collect()}
+    assert got == {
+        ("A", day("1999-12-31")): None,
+        ("A", day("2000-01-01")): Decimal("1.0000"),
+        ("A", day("2000-02-15")): Decimal("1.0000"),
+        ("A", day("2000-03-01")): Decimal("2.0000"),
+        ("A", day("2031-07-01")): Decimal("2.0000"),
+        ("B", day("2000-01-01")): None,
+        ("A", None): None,
+        (None, day("2000-01-01")): None,
+    }
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+@pytest.mark.parametrize("grain", [None, "month", "day"])
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_overlapping_intervals_against_brute_force(spark, setting, grain, how, broadcast):
+    if not broadcast:
+        setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+        setting("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    rng = random.Random(7)
+    start = day("2020-01-01")
+
+    def instant():
+        return start + timedelta(hours=rng.randrange(24 * 400))
+
+    # Two thirds of the usage is of one key.
+    usage = [(i, rng.choice("AAAAB"), instant(), Decimal(i)) for i in range(300)]
+    prices = [(rng.choice("AB"), instant(), rng.choice([None, instant(), instant()]), Decimal(i)) for i in range(30)]
+    expected = []
+    for u in usage:
+        hits = [p for p in prices if p[0] == u[1] and p[1] <= u[2] and (p[2] is None or u[2] < p[2])]
+        expected += [(u[0], int(p[3])) for p in hits] or ([(u[0], None)] if how == "left" else [])
+    got = join(spark.createDataFrame(usage, USAGE), spark.createDataFrame(prices, PRICES), how=how, grain=grain)
+    assert sorted(rows(got, "cluster_id", F.col("price").cast("int")), key=str) == sorted(expected, key=str)
+
+
+def test_no_prices_at_all(spark):
+    usage = spark.createDataFrame([(1, "A", day("2000-01-01"), Decimal(3))], USAGE)
+    for grain in (None, "month"):
+        assert rows(join(usage, spark.createDataFrame([], PRICES), grain=grain), "cluster_id", "price") == [(1, None)]
+
+
+def test_unknown_join_type_is_refused(spark):
+    with pytest.raises(ValueError, match="full"):
+        join(spark.createDataFrame([], USAGE), spark.createDataFrame([], PRICES), how="full")
+
+
+def test_rollup_starts_at_the_date_of_the_cutoff(spark):
+    usage = spark.createDataFrame(
+        [
+            (1, "A", day("2000-01-01T00:00:00"), Decimal("1.25")),
+            (1, "A", day("2000-01-01T09:00:00"), Decimal("2.50")),
+            (1, "A", day("1999-12-31T23:59:59"), Decimal("100")),
+            (None, "A", day("2000-01-02"), Decimal("100")),
+            (2, "Z", day("2000-01-02"), Decimal("5")),
+        ],
+        USAGE,
+    )
+    prices = spark.createDataFrame([("A", day("1990-01-01"), None, Decimal("0.5"))], PRICES)
+    got = rows(cost_rollup(usage, prices, day("2000-01-01T12:00:00")))
+    assert got == [(1, Decimal("3.75"), Decimal("1.88")), (2, Decimal("5.00"), None)]
+
+
+def test_two_prices_for_one_unit_multiply_both_sums(spark):
+    usage = spark.createDataFrame([(1, "A", day("2000-01-02"), Decimal(2))], USAGE)
+    prices = spark.createDataFrame([("A", day("1990-01-01"), None, Decimal(p)) for p in (1, 3)], PRICES)
+    assert rows(cost_rollup(usage, prices, "2000-01-01")) == [(1, Decimal("4.00"), Decimal("8.00"))]
+    by_currency = prices.withColumn("currency", F.when(F.col("price") == 1, "EUR").otherwise("USD"))
+    only = cost_rollup(usage.withColumn("currency", F.lit("EUR")), by_currency, "2000-01-01", on=["sku_name", "currency"])
+    assert rows(only) == [(1, Decimal("2.00"), Decimal("2.00"))]
+
+
+def test_cutoff_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "usage")
+    spark.createDataFrame([(1, "A", day("2000-01-02"), Decimal(2))], USAGE).write.parquet(path)
+    prices = spark.createDataFrame([("A", day("1990-01-01"), None, Decimal(1))], PRICES)
+    plan = cost_rollup(spark.read.parquet(path), prices, "2000-01-01")._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(usage_start_time" in plan
