@@ -65,7 +65,6 @@ FIXTURES = {
                case when p_partkey % 3 <> 2 then 'VIEW' when p_partkey % 2 = 0 then 'BASE TABLE'
                     else 'EXTERNAL TABLE' end as table_type
         from part""",
-    # The parts that are views.
     "fx_views": """
         select 'DB' || cast(p_partkey % 5 as string) as src_db, 'PUB' as table_schema,
                'V' || cast(p_partkey as string) as table_name,
@@ -74,8 +73,9 @@ FIXTURES = {
                || ') AS n FROM DB' || cast(cast(floor(p_partkey / 2) as bigint) % 5 as string) || '.PUB.V'
                || cast(cast(floor(p_partkey / 2) as bigint) as string) || ' a JOIN "EXT'
                || cast(p_partkey % 3 as string) || '"."PUB"."T" b ON a.k = b.k' as view_definition
-        from part where case when p_partkey % 3 <> 2 then 'VIEW' else 'TABLE' end = 'VIEW'""",
-    # The parts that are tables, three columns each.
+        from (select p_partkey, case when p_partkey % 3 <> 2 then 'VIEW' else 'TABLE' end as kind from part) p
+        where kind = 'VIEW'""",
+    # Three columns of each table.
     "fx_columns": """
         select 'T' || cast(p_partkey as string) as table_name, s as column_ordinal,
                'C' || cast(s as string) as column_name,
@@ -84,8 +84,13 @@ FIXTURES = {
                case when (p_partkey + s) % 3 = 0 then case when p_partkey % 11 = 0 then null else p_size % 38 + 1 end
                     end as numeric_precision,
                case when (p_partkey + s) % 3 = 0 then p_size % 3 end as numeric_scale
-        from part cross join (select 1 as s union all select 2 union all select 3) c
-        where case when p_partkey % 3 <> 2 then 'VIEW' else 'TABLE' end = 'TABLE'""",
+        from (select p_partkey, p_size, 1 as s, case when p_partkey % 3 <> 2 then 'VIEW' else 'TABLE' end as kind
+              from part
+              union all
+              select p_partkey, p_size, 2, case when p_partkey % 3 <> 2 then 'VIEW' else 'TABLE' end from part
+              union all
+              select p_partkey, p_size, 3, case when p_partkey % 3 <> 2 then 'VIEW' else 'TABLE' end from part) p
+        where kind = 'TABLE'""",
     "fx_procs": """
         select 'DB' || cast(s_suppkey % 5 as string) as src_db, 'PUB' as procedure_schema,
                'P' || cast(s_suppkey as string) as procedure_name,

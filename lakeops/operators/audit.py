@@ -51,7 +51,7 @@ def job_cluster_usage(
     job: str = "job_id",
     job_name: str = "job_name",
     cluster: str = "existing_cluster_id",
-    salts: int = 8,
+    salts: int = 4,
 ) -> DataFrame:
     """Shared clusters of each known job with their task counts.
 
@@ -162,7 +162,7 @@ def with_absent_defaults(joined: DataFrame, present: str) -> DataFrame:
     return joined.withColumns({c: F.when(gone, F.lit(v)).otherwise(F.col(c)) for c, v in labels.items()}).drop(present)
 
 
-def cluster_lookup(pairs: DataFrame, clusters: DataFrame, *, salts: int = 8) -> DataFrame:
+def cluster_lookup(pairs: DataFrame, clusters: DataFrame, *, salts: int = 4) -> DataFrame:
     """Cluster attributes for (job, cluster) pairs. ``clusters`` comes from :func:`cluster_dim`."""
     details = clusters.drop("num_workers", "cluster_source").withColumn("_present", F.lit(True))
     joined = salted_join(pairs, details, "cluster_id", spread_by="job_id", salts=salts)

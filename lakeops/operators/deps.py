@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions.names import object_id, plain_name
+from lakeops.operators.skew import salted_join
 from lakeops.session import cut_lineage
 
 # Rounds after which the settled edges are gathered into one table, so the plan stays short.
@@ -24,7 +25,7 @@ def external_refs(
     keep: bool = False,
 ) -> DataFrame:
     """References to databases that are not part of the run; ``keep`` leaves ``id_cols`` in the result."""
-    in_run = databases.select(F.upper(database).alias("ref_db")).distinct()
+    in_run = databases.select(F.upper(database).alias("ref_db"))
     return refs.join(in_run, "ref_db", "left_anti").select(
         *(id_cols if keep else ()),
         plain_name(*[F.col(c) for c in id_cols]).alias("view_id"),
@@ -55,7 +56,7 @@ def view_edges(
         view_id.alias("view_id"),
         object_id(F.col("ref_db"), F.col("ref_schema"), F.col("ref_table")).alias("dep_id"),
     )
-    in_run = views.select(view_id.alias("dep_id")).distinct()
+    in_run = views.select(view_id.alias("dep_id"))
     return edges.filter("view_id <> dep_id").join(in_run, "dep_id", "left_semi").select("view_id", "dep_id")
 
 
@@ -84,9 +85,9 @@ def dependency_levels(nodes: DataFrame, edges: DataFrame, *, node: str = "view_i
     while n_live:
         level += 1
         blocked = live.select(F.col(node).alias(dep)).distinct().withColumn("_blocked", F.lit(True))
-        flagged = cut_lineage(
-            live.join(blocked, dep, "left").select(node, dep, F.coalesce("_blocked", F.lit(False)).alias("_blocked"))
-        )
+        # One base view may be read by a large share of all views.
+        joined = salted_join(live, blocked, dep, spread_by=node)
+        flagged = cut_lineage(joined.select(node, dep, F.coalesce("_blocked", F.lit(False)).alias("_blocked")))
         live = flagged.filter(is_open).select(node, dep)
         n_before, n_live = n_live, live.count()
         if n_live == n_before:
@@ -130,7 +131,7 @@ def enrich_failures(log: DataFrame, external: DataFrame, *, view_id: str = "view
     longer than that view's own definition.
     """
     is_failed = (F.col("kind") == "view") & (F.col("status") == "failed")
-    failed = log.filter(is_failed).select(view_id).distinct()
+    failed = log.filter(is_failed).select(view_id)
     needs = (
         external.join(failed, view_id, "left_semi")
         .groupBy(view_id)

@@ -7,17 +7,18 @@ from pyspark.sql import functions as F
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, on: str, *, spread_by: str, how: str = "left", salts: int = 8
+    left: DataFrame, right: DataFrame, on: str, *, spread_by: str, how: str = "left", salts: int = 4
 ) -> DataFrame:
     """Equi-join of a long left side to a right side with few rows per key.
 
     Adaptive execution broadcasts a right side that turns out small, and splits
-    a skewed partition, but the split needs both sides straight from the join's
-    own shuffle; a right side just grouped on ``on`` is not shuffled again and
-    loses it. Here left rows of one key are spread over ``salts`` values by a
-    hash of ``spread_by`` (the same on a retried task) and right rows are listed
-    once per value. So a hot key has ``salts`` tasks to begin with, and each of
-    them can still be split at run time. Nothing is counted or scanned first.
+    a skewed partition at run time, but it can split only where both sides come
+    straight from the join's own shuffle; a right side just grouped on ``on`` is
+    not shuffled again and loses that. Here left rows of one key are spread over
+    ``salts`` values by a hash of ``spread_by`` (the same on a retried task) and
+    right rows are listed once per value. So both sides are shuffled for the
+    join, a hot key has ``salts`` tasks to begin with, and each of them can
+    still be split. Nothing is counted or scanned first.
     """
     salt = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
     each = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))

@@ -25,7 +25,7 @@ def audit_report(
     *,
     snapshot_at: Column | None = None,
     grain: str | None = None,
-    salts: int = 8,
+    salts: int = 4,
 ) -> DataFrame:
     """One row per job and shared cluster: cluster, latest run, task count, cost.
 

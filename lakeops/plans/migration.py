@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from itertools import islice
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -16,9 +16,10 @@ from lakeops.operators.procedures import PROCEDURE_CREATED, procedure_ddl, proce
 from lakeops.operators.typing_plan import plans_by_table, type_plan
 from lakeops.parallel import run_each
 from lakeops.session import cut_lineage
-from lakeops.sinks.runlog import append_run_log
+from lakeops.sinks.runlog import append_run_log, run_stamp
 from lakeops.sinks.tables import FAILED, Outcome, copy_each, ensure_schemas, outcomes_frame
 from lakeops.sinks.views import create_each, with_statement
+from lakeops.sources.connector import scan_metadata, table_reader
 
 # Outcomes per append: the driver never holds more, and the log gets no tiny files.
 LOG_BATCH = 1000
@@ -115,7 +116,7 @@ def run_migration(
             for batch in _batches(_create_procedures(ready, create_procedure, parallelism)):
                 append_run_log(spark, outcomes_frame(spark, batch), log_table, run_ts, fmt)
 
-    external = external_refs(refs, mapping)
+    external = cut_lineage(external_refs(refs, mapping))
     sources = views.select(F.col("dst_plain").alias("table"), plain_name(*map(F.col, IDENTITY)).alias("view_id"))
     for batch in _batches(create_each(spark, views, parallelism)):
         named = outcomes_frame(spark, batch).join(sources, "table", "left")
@@ -123,6 +124,38 @@ def run_migration(
     return spark.table(log_table)
 
 
+def migrate_warehouse(
+    spark: SparkSession,
+    mapping: DataFrame,
+    fmt: str,
+    options: Mapping[str, str],
+    log_table: str,
+    run_ts: str | None = None,
+    *,
+    database_key: str = "database",
+    with_procedures: bool = True,
+    **run,
+) -> DataFrame:
+    """The whole migration through one connector: metadata scans, then :func:`run_migration`."""
+    databases = [pair.source_database for pair in mapping.toLocalIterator()]
+
+    def scan(view: str) -> DataFrame:
+        return scan_metadata(spark, fmt, options, databases, view, database_key=database_key)
+
+    return run_migration(
+        spark,
+        mapping,
+        scan("tables"),
+        scan("views"),
+        table_reader(spark, fmt, options, database_key=database_key),
+        log_table,
+        run_ts or run_stamp(),
+        columns=scan("columns"),
+        procedures=scan("procedures") if with_procedures else None,
+        **run,
+    )
+
+
 def _create_procedures(ready: DataFrame, create: Callable[[str], object], parallelism: int) -> Iterator[Outcome]:
     def one(p: Row) -> Outcome:
         try:

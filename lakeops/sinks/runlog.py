@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,11 @@ from lakeops.sinks.tables import FAILED, TABLE_CREATED
 from lakeops.sinks.views import VIEW_CREATED
 
 
+def run_stamp() -> str:
+    """The present instant as a run's stamp, in UTC."""
+    return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+
+
 def append_run_log(spark: SparkSession, outcomes: DataFrame, table: str, run_ts: str, fmt: str = "parquet") -> DataFrame:
     """Append outcomes stamped with the run; returns the whole log.
 

@@ -7,12 +7,17 @@ catalog, and the same calls go through Spark's own catalog.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from lakeops.operators.typing_plan import TIME_TEXT
+
+# Fixed value: how the source writes a time of day as text.
+TIME_AS_TEXT = "TO_VARCHAR({column}, 'HH24:MI:SS')"
+
 # The columns each metadata view is read for.
 METADATA_COLUMNS = {
     "tables": "table_schema, table_name, table_type",
@@ -37,8 +42,12 @@ def connector_options(
     return {**base, **{k: v for k, v in extra.items() if v}}
 
 
+def quoted(name: str, mark: str = '"') -> str:
+    return mark + name.replace(mark, mark * 2) + mark
+
+
 def quoted_table(schema: str, table: str, mark: str = '"') -> str:
-    return ".".join(mark + part.replace(mark, mark * 2) + mark for part in (schema, table))
+    return f"{quoted(schema, mark)}.{quoted(table, mark)}"
 
 
 def scan_query(spark: SparkSession, fmt: str | None, options: Mapping[str, str] | None, sql: str) -> DataFrame:
@@ -70,6 +79,41 @@ def scan_table(
     return reader.load()
 
 
+def typed_query(schema: str, table: str, columns: Iterable[Row], time_as_text: str = TIME_AS_TEXT) -> str | None:
+    """Source query that turns time-of-day columns into text, in column order; None without such columns."""
+    columns = sorted(columns, key=lambda c: c.column_ordinal)
+    if not any(c.target_type == TIME_TEXT for c in columns):
+        return None
+
+    def expression(c: Row) -> str:
+        name = quoted(c.column_name)
+        return f"{time_as_text.format(column=name)} AS {name}" if c.target_type == TIME_TEXT else name
+
+    return f"SELECT {', '.join(map(expression, columns))} FROM {quoted_table(schema, table)}"
+
+
+def table_reader(
+    spark: SparkSession,
+    fmt: str,
+    options: Mapping[str, str],
+    *,
+    database_key: str = "database",
+    time_as_text: str = TIME_AS_TEXT,
+) -> Callable[[Row], DataFrame]:
+    """Reader for a bulk copy: scans the source table of one object (``src_db``, ``schema``, ``name``).
+
+    Where the object's type plan has times of day, the source formats them,
+    since not every connector has a type for them.
+    """
+
+    def read(o: Row) -> DataFrame:
+        opts = connector_options(options, o.src_db, database_key=database_key)
+        sql = typed_query(o.schema, o.name, getattr(o, "columns", None) or [], time_as_text)
+        return scan_query(spark, fmt, opts, sql) if sql else scan_table(spark, fmt, opts, o.schema, o.name)
+
+    return read
+
+
 def scan_metadata(
     spark: SparkSession,
     fmt: str | None,

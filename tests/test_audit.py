@@ -133,13 +133,31 @@ def test_salted_join_equals_plain_join(spark, setting, how, broadcast):
     assert got.columns == ["k", "id", "v"]
 
 
-def test_hot_key_is_spread(spark, setting):
-    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
-    setting("spark.sql.adaptive.enabled", "false")
-    left = spark.range(8000).select(F.lit(1).alias("k"), "id")
-    right = spark.createDataFrame([(1, "x")], "k int, v string")
-    used = salted_join(left, right, "k", spread_by="id", salts=32).select(F.spark_partition_id()).distinct().count()
-    assert used > 4
+def biggest_task(df):
+    counted = df.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"), *[F.max(c) for c in df.columns])
+    return max(r.n for r in counted.collect())
+
+
+@pytest.mark.parametrize("adaptive", [True, False])
+def test_hot_key_is_spread(spark, setting, adaptive):
+    """A third of the rows has one key, and the right side was grouped by it."""
+    for key, value in {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": str(adaptive).lower(),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "32",
+    }.items():
+        setting(key, value)
+    n = 90_000
+    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000)
+    left = spark.range(n).select(key.alias("k"), "id", F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    right = spark.range(20_000).groupBy((F.col("id") % 5000).alias("k")).agg(F.max("id").alias("v"))
+    assert biggest_task(left.join(right, "k", "left")) > n / 3
+    assert biggest_task(salted_join(left, right, "k", spread_by="id")) < (n / 20 if adaptive else n / 6)
 
 
 def test_gone_cluster_keeps_its_cost(spark):

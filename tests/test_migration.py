@@ -3,9 +3,10 @@ from __future__ import annotations
 import uuid
 
 import pytest
+from pyspark.sql.datasource import DataSource, DataSourceReader
 
 from lakeops.plans.federated import federated_copy
-from lakeops.plans.migration import run_migration
+from lakeops.plans.migration import migrate_warehouse, run_migration
 from lakeops.sinks.runlog import run_summary
 
 TABLES = "src_db string, table_schema string, table_name string, table_type string"
@@ -96,6 +97,73 @@ def test_procedures_run_where_the_host_can(spark, schema):
     assert [r.status for r in failed] == ["failed"]
 
 
+@pytest.fixture
+def connector(spark, schema):
+    """A connector that answers the four metadata queries and the scans of two tables."""
+    view = f"CREATE VIEW V AS SELECT TO_VARCHAR(K) AS k, AT FROM WH.{schema}.T"
+    answers = {
+        "information_schema.tables": (
+            "TABLE_SCHEMA string, TABLE_NAME string, TABLE_TYPE string",
+            [(schema, "T", "BASE TABLE"), (schema, "U", "BASE TABLE"), (schema, "V", "VIEW")],
+        ),
+        "information_schema.views": (
+            "TABLE_SCHEMA string, TABLE_NAME string, VIEW_DEFINITION string", [(schema, "V", view)],
+        ),
+        "information_schema.columns": (
+            "TABLE_SCHEMA string, TABLE_NAME string, COLUMN_NAME string, DATA_TYPE string, NUMERIC_PRECISION int, "
+            "NUMERIC_SCALE int, COLUMN_ORDINAL int",
+            [(schema, "T", "AT", "TIME", None, None, 2), (schema, "T", "K", "NUMBER", 5, 0, 1)],
+        ),
+        "information_schema.procedures": (
+            "PROCEDURE_SCHEMA string, PROCEDURE_NAME string, ARGUMENT_SIGNATURE string, RETURN_TYPE string, "
+            "PROCEDURE_LANGUAGE string, PROCEDURE_DEFINITION string, COMMENT string",
+            [(schema, "P", None, None, "JAVA", "x", None)],
+        ),
+        f"SELECT \"K\", TO_VARCHAR(\"AT\", 'HH24:MI:SS') AS \"AT\" FROM \"{schema}\".\"T\"": (
+            "K long, AT string", [(1, "01:02:03"), (2, "04:05:06")],
+        ),
+        f'"{schema}"."U"': ("X string", [("x",)]),
+    }
+
+    def answer(options):
+        asked = options.get("query") or options["dbtable"]
+        assert options["db"] == "WH" and options["user"] == "me"
+        return next(value for key, value in answers.items() if key in asked)
+
+    class Reader(DataSourceReader):
+        def __init__(self, options):
+            self.options = options
+
+        def read(self, partition):
+            yield from answer(self.options)[1]
+
+    class Warehouse(DataSource):
+        @classmethod
+        def name(cls):
+            return "answers"
+
+        def schema(self):
+            return answer(self.options)[0]
+
+        def reader(self, schema):
+            return Reader(dict(self.options))
+
+    spark.dataSource.register(Warehouse)
+    return "answers"
+
+
+def test_migration_through_a_connector(spark, schema, connector):
+    mapping = spark.createDataFrame([("WH", "spark_catalog")], "source_database string, destination_catalog string")
+    log = migrate_warehouse(spark, mapping, connector, {"user": "me"}, f"{schema}.log", database_key="db")
+    got = {n: (r.status, r.rows, r.error) for n, r in by_name(log).items()}
+    assert got == {
+        "t": ("table_created", 2, None), "u": ("table_created", 1, None), "v": ("view_created", None, None),
+        "p": ("inventoried_dbr_too_old", None, None),
+    }
+    assert spark.table(f"{schema}.t").dtypes == [("K", "int"), ("AT", "string")]
+    assert sorted(tuple(r) for r in spark.table(f"{schema}.v").collect()) == [("1", "01:02:03"), ("2", "04:05:06")]
+
+
 @pytest.mark.parametrize("unit", ["database", "catalog"])
 def test_federated_copy(spark, unit):
     source, destination = (f"{n}_{uuid.uuid4().hex[:8]}" for n in ("from", "into"))
