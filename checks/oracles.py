@@ -227,12 +227,14 @@ ORACLES = {
         union all select o_orderkey, null from orders where o_orderstatus = 'F'""",
     "job_cluster_usage": f"select p.*, job_name from ({PAIRS}) p join fx_jobs j on p.job_id = j.job_id",
     "latest_run": LATEST,
+    # Whole milliseconds by division: epoch_ms(ts) would round them up.
     "latest_run_epoch_ms": """
         select user_id as job_id, event_id as latest_run_id,
-               strftime(epoch_ms(epoch_ms(ts)), '%Y-%m-%d %H:%M:%S') as latest_run_start_time,
+               strftime(epoch_ms(ms), '%Y-%m-%d %H:%M:%S') as latest_run_start_time,
                coalesce(nullif(upper(event_type), 'ERROR'), 'TERMINATED') as latest_run_state
-        from events where epoch_ms(ts) >= epoch_ms(timestamp '2024-01-01')
-        qualify row_number() over (partition by user_id order by epoch_ms(ts) desc, event_id desc) = 1""",
+        from (select *, epoch_us(ts) // 1000 as ms from events) e
+        where ms >= epoch_us(timestamp '2024-01-01') // 1000
+        qualify row_number() over (partition by user_id order by ms desc, event_id desc) = 1""",
     "cluster_dim": CLUSTERS,
     "cluster_lookup": LOOKUP,
     "audit_report": _audit(COST),

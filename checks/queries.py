@@ -50,11 +50,11 @@ def cost_rollup(spark, d):
 
 @query
 def cost_rollup_nested(spark, d):
-    """Same, on the nested shape of billing tables, with prices split by month."""
+    """Same, on the nested shape of billing tables, without splitting prices by month."""
     usage = fixture(spark, d, "fx_usage").withColumn("usage_metadata", F.struct("cluster_id")).drop("cluster_id")
     prices = fixture(spark, d, "fx_prices").withColumn("pricing", F.struct(F.col("price").alias("default")))
     return cost.cost_rollup(
-        usage, prices.drop("price"), "1997-01-01", ["usage_metadata.cluster_id"], price="pricing.default", grain="month"
+        usage, prices.drop("price"), "1997-01-01", ["usage_metadata.cluster_id"], price="pricing.default", grain=None
     )
 
 

@@ -37,23 +37,30 @@ def interval_join(
     they multiply rows. The result has the left columns, then the right columns
     other than ``on``.
 
-    Without ``grain`` each left row is compared with every interval of its key,
-    which is best while keys have short histories. With ``grain`` (a key of
-    ``GRAINS``) intervals are listed once per calendar unit they touch and the
-    unit becomes part of the join key: long histories cost one comparison or
-    two per row, and a hot key is spread over its units.
+    Without ``grain`` each left row is compared with every interval of its key.
+    With ``grain`` (a key of ``GRAINS``) intervals are listed once per calendar
+    unit they touch and the unit becomes part of the join key: a row meets an
+    interval or two, however long the history of its key, and a hot key is
+    spread over its units.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
     names = list(on)
     if grain:
-        # Past the last boundary nothing changes, so later instants share its unit.
-        last = right.agg(F.max(_unit_of(F.coalesce(end, start), grain))).scalar()
+        right = right.filter(F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(end) > F.col(start))))
+        # Nothing starts after the last start or ends before the first end, so
+        # one unit is enough on either side, also for far-off marker dates.
+        first = right.agg(F.min(_unit_of(F.col(end), grain))).scalar()
+        last = right.agg(F.max(_unit_of(F.col(start), grain))).scalar()
+
+        def unit(instant: Column) -> Column:
+            return F.greatest(F.least(_unit_of(instant, grain), last), first)
+
         step = F.expr(f"interval {GRAINS[grain]}")
-        units = F.sequence(_unit_of(F.col(start), grain), F.coalesce(_unit_of(F.col(end), grain), last), step)
-        not_empty = F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(end) > F.col(start)))
-        right = right.filter(not_empty).withColumn("_unit", F.explode(units))
-        left = left.withColumn("_unit", F.least(_unit_of(F.col(at), grain), last))
+        open_end = F.greatest(last, first)
+        touched = F.sequence(unit(F.col(start)), F.when(F.col(end).isNull(), open_end).otherwise(unit(F.col(end))), step)
+        right = right.withColumn("_unit", F.explode(touched))
+        left = left.withColumn("_unit", unit(F.col(at)))
         names.append("_unit")
     lhs, rhs = left.alias("l"), right.alias("r")
     matches = F.col(f"l.{at}") >= F.col(f"r.{start}")
@@ -77,7 +84,7 @@ def cost_rollup(
     price: str = "price",
     start: str = "price_start_time",
     end: str = "price_end_time",
-    grain: str | None = None,
+    grain: str | None = "month",
 ) -> DataFrame:
     """Units used and estimated cost per key since the *date* of ``since``.
 

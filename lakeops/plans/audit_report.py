@@ -24,7 +24,7 @@ def audit_report(
     days_lookback: int,
     *,
     snapshot_at: Column | None = None,
-    grain: str | None = None,
+    grain: str | None = "month",
     salts: int = 4,
 ) -> DataFrame:
     """One row per job and shared cluster: cluster, latest run, task count, cost.

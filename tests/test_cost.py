@@ -78,6 +78,22 @@ def test_overlapping_intervals_against_brute_force(spark, setting, grain, how, b
     assert sorted(rows(got, "cluster_id", F.col("price").cast("int")), key=str) == sorted(expected, key=str)
 
 
+@pytest.mark.parametrize("grain", [None, *GRAINS])
+def test_marker_dates_do_not_multiply_units(spark, grain):
+    usage = spark.createDataFrame(
+        [(1, "A", day(d), Decimal(1)) for d in ("1980-01-01", "2020-06-01", "2020-07-15", "2999-01-01")], USAGE
+    )
+    prices = spark.createDataFrame(
+        [
+            ("A", day("0001-01-01"), day("2020-07-01"), Decimal(1)),
+            ("A", day("2020-07-01"), day("9999-12-31"), Decimal(2)),
+        ],
+        PRICES,
+    )
+    joined = join(usage, prices, grain=grain)
+    assert [int(r.price) for r in joined.orderBy("usage_start_time").collect()] == [1, 1, 2, 2]
+
+
 def test_no_prices_at_all(spark):
     usage = spark.createDataFrame([(1, "A", day("2000-01-01"), Decimal(3))], USAGE)
     for grain in (None, "month"):
