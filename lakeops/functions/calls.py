@@ -7,13 +7,18 @@ such a call, and only those, pass through an Arrow batch function.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The batch function travels with the plan, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Each function that needs a new spelling, by its argument count
 # (None: any), with the text that replaces the call.
 CALLS = {

@@ -6,7 +6,7 @@ rewrites the definitions of every database at once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions.calls import translate_functions
@@ -70,9 +70,19 @@ def rewrite_dquote(text: Column, src: Column | str, dst: Column | str) -> Column
     )
 
 
-def rewrite_definition(text: Column, src: Column | str, dst: Column | str) -> Column:
-    """Repoint, then translate the function calls that Spark spells differently."""
-    return translate_functions(rewrite_dquote(text, src, dst))
+def with_rewritten(df: DataFrame, out: str, text: Column, src: Column | str, dst: Column | str) -> DataFrame:
+    """Add ``out``: the text repointed, and with the calls translated that Spark spells differently.
+
+    In two steps, so the repointed text is computed once and not at each of the
+    places where the translation reads it.
+    """
+    return df.withColumn(out, rewrite_dquote(text, src, dst)).withColumn(out, translate_functions(F.col(out)))
+
+
+def with_procedure_body(df: DataFrame, out: str, text: Column, src: Column | str, dst: Column | str) -> DataFrame:
+    """Add ``out``: procedure text for the destination; null and empty text stay as they are."""
+    rewritten = with_rewritten(df, out, text, src, dst)
+    return rewritten.withColumn(out, F.regexp_replace(out, r"(?i)\bEXECUTE\s+AS\s+(CALLER|OWNER)\b", ""))
 
 
 def select_body(text: Column) -> Column:
@@ -86,11 +96,6 @@ def view_columns(text: Column) -> Column:
     return F.when(found != "", found)
 
 
-def procedure_body(text: Column, src: Column | str, dst: Column | str) -> Column:
-    """Procedure text for the destination; null and empty text stay as they are."""
-    return F.regexp_replace(rewrite_definition(text, src, dst), r"(?i)\bEXECUTE\s+AS\s+(CALLER|OWNER)\b", "")
-
-
 def sql_text(text: Column) -> Column:
     """Escape text for a single-quoted SQL literal."""
     return F.replace(text, F.lit("'"), F.lit("''"))

@@ -8,7 +8,7 @@ from itertools import groupby
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.functions.rewrite import rewrite_definition, select_body, view_columns
+from lakeops.functions.rewrite import select_body, view_columns, with_rewritten
 from lakeops.parallel import run_each
 from lakeops.sinks.tables import FAILED, Outcome, outcomes_frame
 
@@ -22,10 +22,10 @@ DOUBLE_QUOTED_NAMES = "spark.sql.ansi.doubleQuotedIdentifiers"
 
 def with_statement(views: DataFrame, text: str = "view_definition") -> DataFrame:
     """Add the CREATE statement of each view; ``views`` has a destination and its source database."""
-    body = rewrite_definition(select_body(F.col(text)), F.col("src_db"), F.col("dst_cat"))
+    views = with_rewritten(views, "_body", select_body(F.col(text)), F.col("src_db"), F.col("dst_cat"))
     columns = F.coalesce(F.concat(F.lit(" "), view_columns(F.col(text))), F.lit(""))
-    statement = F.concat(F.lit("CREATE OR REPLACE VIEW "), F.col("dst_fq"), columns, F.lit(" AS "), body)
-    return views.withColumn("statement", F.when(F.col(text) != "", statement))
+    statement = F.concat(F.lit("CREATE OR REPLACE VIEW "), F.col("dst_fq"), columns, F.lit(" AS "), F.col("_body"))
+    return views.withColumn("statement", F.when(F.col(text) != "", statement)).drop("_body")
 
 
 def create_each(spark: SparkSession, views: DataFrame, parallelism: int = 4) -> Iterator[Outcome]:

@@ -11,12 +11,13 @@ from lakeops.functions.calls import translate_functions, translate_text
 from lakeops.functions.names import object_id, plain_name, quoted_name, with_destination
 from lakeops.functions.refs import QUOTED, SQL_KEYWORDS, extract_refs
 from lakeops.functions.rewrite import (
-    procedure_body,
     rewrite_backtick,
     rewrite_dquote,
     select_body,
     sql_text,
     view_columns,
+    with_procedure_body,
+    with_rewritten,
 )
 from tests.conftest import rows
 
@@ -237,7 +238,13 @@ def test_spark_runs_the_translated_text(spark):
 
 def test_procedure_body(spark):
     texts = ["EXECUTE AS CALLER BEGIN UPDATE DB.s.t SET q = ZEROIFNULL(q); END", "execute  as owner x", "", None]
-    assert each(spark, texts, lambda t: procedure_body(t, "DB", "New")) == [
-        " BEGIN UPDATE new.s.t SET q = COALESCE(q, 0); END", " x", "", None,
-    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    done = with_procedure_body(df, "out", F.col("t"), "DB", "New").orderBy("i")
+    assert [r.out for r in done.collect()] == [" BEGIN UPDATE new.s.t SET q = COALESCE(q, 0); END", " x", "", None]
     assert each(spark, ["it's"], sql_text) == ["it''s"]
+
+
+def test_text_is_repointed_once(spark):
+    df = spark.createDataFrame([("DB.x",)], "t string")
+    plan = with_rewritten(df, "out", F.col("t"), "DB", "new")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(regexp_replace(") == 1
