@@ -132,7 +132,10 @@ TICK = "  create\n view `{s}`.PUB.V{n} AS SELECT '{s}.x' AS a FROM {s}.PUB.T{n}
 TICK_DONE = (
     "CREATE OR REPLACE VIEW `{s}`.PUB.V{n} AS SELECT '{s}.x' AS a FROM {s}.PUB.T{n} JOIN X{o}.PUB.U ON `{o}x`.k = 1"
 )
-QUOTE = 'SELECT {s}.PUB.z, {u}.PUB.a, "{u}"."PUB"."b" FROM {l}.PUB.T{n} JOIN "{l}".PUB.U ON X{o}.k = "{o}x".k AND {l}x.k = 1'
+QUOTE = (
+    'SELECT {s}.PUB.z, {u}.PUB.a, "{u}"."PUB"."b" FROM {l}.PUB.T{n} JOIN "{l}".PUB.U '
+    'ON X{o}.k = "{o}x".k AND {l}x.k = 1'
+)
 BODY = "SELECT ZEROIFNULL(q) AS q FROM {s}.PUB.T{n} WHERE a AS b"
 PREFIXES = (
     "CREATE VIEW {s}.PUB.V{n} AS ",

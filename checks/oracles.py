@@ -78,7 +78,9 @@ PROCS = f"""
            coalesce(upper(procedure_language), 'SQL') as language, procedure_definition as body, comment
     from fx_procs join ({MAPPING}) m on upper(src_db) = upper(source_database)"""
 
-OBJECTS = f"{FOUND.replace(' as name', ' as name, null as arg_sig, null as return_type, null as language, null as body, null as comment')} union all {PROCS}"  # noqa: E501
+OBJECTS = f"""
+    select *, null as arg_sig, null as return_type, null as language, null as body, null as comment from ({FOUND}) f
+    union all {PROCS}"""
 
 # The three names of a reference stand between dots; no name in the data holds one.
 PART = '(?:"[^"]+"|[A-Z_][A-Z0-9_]*)'
@@ -360,7 +362,7 @@ ORACLES = {
                          || ' which is not in this run. original error: ' || o.error
                     else o.error end as error
         from ({OUTCOMES}) o
-        left join (select view_id, string_agg(distinct ref, ', ' order by ref) as needs from ({EXTERNAL}) x group by 1) e
-          on o.view_id = e.view_id""",
+        left join (select view_id, string_agg(distinct ref, ', ' order by ref) as needs
+                   from ({EXTERNAL}) x group by 1) e on o.view_id = e.view_id""",
 }
 ORACLES = {name: with_fixtures(sql) for name, sql in ORACLES.items()}

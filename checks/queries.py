@@ -79,7 +79,8 @@ def interval_price_join_by_month(spark, d):
 def flatten_tasks(spark, d):
     """Orders as jobs, each with a task on its customer's cluster; some have no settings or no tasks."""
     customer = F.col("o_custkey")
-    some = F.array(F.struct(customer.alias("existing_cluster_id")), F.struct(F.lit(None).cast("bigint").alias("existing_cluster_id")))
+    no_cluster = F.lit(None).cast("bigint")
+    some = F.array(*[F.struct(c.alias("existing_cluster_id")) for c in (customer, no_cluster)])
     none = F.array().cast("array<struct<existing_cluster_id:bigint>>")
     task_list = F.when(F.col("o_orderstatus") == "F", some).when(F.col("o_orderstatus") == "O", none)
     jobs = given(spark, d, "orders").select(
@@ -489,7 +490,8 @@ def _definitions(spark, source, destination) -> DataFrame:
     full = "WH." + destination.upper()
     plain = F.format_string(f"CREATE VIEW {full}.V_%s AS SELECT * FROM {full}.%s", "table_name", "table_name")
     counted = F.format_string(
-        f'create or replace secure view {full}.W_%s (N_ROWS) as SELECT ZEROIFNULL(COUNT(*)) AS N FROM "WH".{full[3:]}.V_%s',
+        f"create or replace secure view {full}.W_%s (N_ROWS) as "
+        f'SELECT ZEROIFNULL(COUNT(*)) AS N FROM "WH".{full[3:]}.V_%s',
         "table_name",
         "table_name",
     )
@@ -518,7 +520,8 @@ def recreate_views(spark, d):
         spark.table(f"{database}.w_{name}").select(F.lit(f"w_{name}").alias("name"), F.col("n_rows").alias("n"))
         for name in TABLES
     ]
-    rows = created.join(planned.select(F.col("dst_plain").alias("table"), "level", F.col("dst_name").alias("name")), "table")
+    placed = planned.select(F.col("dst_plain").alias("table"), "level", F.col("dst_name").alias("name"))
+    rows = created.join(placed, "table")
     result = rows.join(reduce(DataFrame.union, counted), "name", "left")
     return result.select("name", "level", "status", "n")
 
@@ -592,7 +595,8 @@ def _outcomes(spark, d) -> DataFrame:
     """An outcome per object: every seventh table or view has failed."""
     number = F.regexp_extract("name", r"\d+", 0).cast("bigint")
     is_failed = number % 7 == 0
-    placed = with_destination(discovery.discover_objects(_mapping(spark, d), fixture(spark, d, "fx_objects"), ordered=False))
+    found = discovery.discover_objects(_mapping(spark, d), fixture(spark, d, "fx_objects"), ordered=False)
+    placed = with_destination(found)
     done = F.when(F.col("kind") == "view", views.VIEW_CREATED).otherwise(tables.TABLE_CREATED)
     return placed.select(
         F.col("dst_plain").alias("table"),
@@ -623,7 +627,8 @@ def run_log_evolve(spark, d):
 
 @query
 def run_summary(spark, d):
-    procs = procedures.procedure_status(_procs(spark, d), True).select(F.col("dst_plain").alias("table"), "kind", "status")
+    procs = procedures.procedure_status(_procs(spark, d), True)
+    procs = procs.select(F.col("dst_plain").alias("table"), "kind", "status")
     return runlog.run_summary(_outcomes(spark, d).unionByName(procs, allowMissingColumns=True))
 
 

@@ -58,7 +58,8 @@ def interval_join(
 
         step = F.expr(f"interval {GRAINS[grain]}")
         open_end = F.greatest(last, first)
-        touched = F.sequence(unit(F.col(start)), F.when(F.col(end).isNull(), open_end).otherwise(unit(F.col(end))), step)
+        last_touched = F.when(F.col(end).isNull(), open_end).otherwise(unit(F.col(end)))
+        touched = F.sequence(unit(F.col(start)), last_touched, step)
         right = right.withColumn("_unit", F.explode(touched))
         left = left.withColumn("_unit", unit(F.col(at)))
         names.append("_unit")

@@ -35,16 +35,15 @@ def external_refs(
 
 
 def external_refs_by_db(external: DataFrame) -> DataFrame:
-    """Missing databases with how much of the run needs them.
+    """Missing databases, sorted, with how much of the run needs them.
 
     Counts, not lists: one database may hold a large share of all references.
     The references themselves are the rows of ``external``, which sort by
     database, view and reference for a report.
     """
     per_view = external.groupBy("missing_db", "view_id").agg(F.count(F.lit(1)).alias("n"))
-    return per_view.groupBy("missing_db").agg(
-        F.count(F.lit(1)).alias("n_views"), F.sum("n").cast("bigint").alias("n_refs")
-    )
+    counts = (F.count(F.lit(1)).alias("n_views"), F.sum("n").cast("bigint").alias("n_refs"))
+    return per_view.groupBy("missing_db").agg(*counts).orderBy("missing_db")
 
 
 def view_edges(

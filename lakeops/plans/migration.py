@@ -64,6 +64,7 @@ def run_migration(
     *,
     columns: DataFrame | None = None,
     procedures: DataFrame | None = None,
+    split_columns: DataFrame | None = None,
     create_procedure: Callable[[str], object] | None = None,
     skip_schemas: Iterable[str] = WAREHOUSE_SYSTEM_SCHEMAS,
     ignore_case: bool = False,
@@ -74,9 +75,10 @@ def run_migration(
     """Copy everything the mapping names and return the run log.
 
     Tables first, then procedures, then views level by level. ``reader`` scans
-    one source table. ``columns`` brings the type plan. ``create_procedure``
-    runs one CREATE PROCEDURE text where the host can; without it procedures
-    are inventoried only.
+    one source table. ``columns`` brings the type plan, ``split_columns``
+    (``src_db``, ``schema``, ``name``, ``split_column``) the column by which the
+    reader splits a large table. ``create_procedure`` runs one CREATE PROCEDURE
+    text where the host can; without it procedures are inventoried only.
     """
     found = discover_objects(mapping, tables, procedures, skip_schemas, ignore_case, ordered=False)
     objects = cut_lineage(with_destination(found))
@@ -97,6 +99,8 @@ def run_migration(
         )
         to_copy = join_metadata(to_copy, plans_by_table(type_plan(keyed), *IDENTITY))
 
+    if split_columns is not None:
+        to_copy = join_metadata(to_copy, split_columns.select(*IDENTITY, "split_column"))
     copies = copy_each(spark, to_copy, reader, parallelism, fmt=fmt, strict=strict)
     for batch in _batches(copies):
         append_run_log(spark, outcomes_frame(spark, batch), log_table, run_ts, fmt)

@@ -17,7 +17,9 @@ def run_stamp() -> str:
     return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
 
 
-def append_run_log(spark: SparkSession, outcomes: DataFrame, table: str, run_ts: str, fmt: str = "parquet") -> DataFrame:
+def append_run_log(
+    spark: SparkSession, outcomes: DataFrame, table: str, run_ts: str, fmt: str = "parquet"
+) -> DataFrame:
     """Append outcomes stamped with the run; returns the whole log.
 
     Columns the log lacks are added first, columns the outcomes lack are null.

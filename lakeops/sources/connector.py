@@ -50,11 +50,32 @@ def quoted_table(schema: str, table: str, mark: str = '"') -> str:
     return f"{quoted(schema, mark)}.{quoted(table, mark)}"
 
 
-def scan_query(spark: SparkSession, fmt: str | None, options: Mapping[str, str] | None, sql: str) -> DataFrame:
-    """Rows of a query the source itself runs."""
+# Column, lower bound, upper bound, number of parts. The bounds only place the
+# cuts: rows outside them, and nulls, fall into the end parts.
+Split = tuple[str, object, object, int]
+
+
+def _split_options(split: Split) -> dict[str, object]:
+    column, lower, upper, parts = split
+    return {"partitionColumn": column, "lowerBound": lower, "upperBound": upper, "numPartitions": parts}
+
+
+def scan_query(
+    spark: SparkSession,
+    fmt: str | None,
+    options: Mapping[str, str] | None,
+    sql: str,
+    *,
+    split: Split | None = None,
+) -> DataFrame:
+    """Rows of a query the source itself runs; ``split`` reads them in parallel ranges."""
     if fmt is None:
         return spark.sql(sql)
-    return spark.read.format(fmt).options(**(options or {})).option("query", sql).load()
+    reader = spark.read.format(fmt).options(**(options or {}))
+    if split:
+        # Sources take ranges for a table only, so the query stands in for one.
+        return reader.option("dbtable", f"({sql}) source").options(**_split_options(split)).load()
+    return reader.option("query", sql).load()
 
 
 def scan_table(
@@ -64,19 +85,23 @@ def scan_table(
     schema: str,
     table: str,
     *,
-    split: tuple[str, object, object, int] | None = None,
+    split: Split | None = None,
 ) -> DataFrame:
-    """A whole table. ``split`` = (column, lower, upper, parts) reads it in parallel ranges.
-
-    The bounds only place the cuts: rows outside them fall into the end ranges.
-    """
+    """A whole table; ``split`` reads it in parallel ranges."""
     if fmt is None:
         return spark.table(quoted_table(schema, table, "`"))
     reader = spark.read.format(fmt).options(**(options or {})).option("dbtable", quoted_table(schema, table))
-    if split:
-        column, lower, upper, parts = split
-        reader = reader.options(partitionColumn=column, lowerBound=lower, upperBound=upper, numPartitions=parts)
-    return reader.load()
+    return (reader.options(**_split_options(split)) if split else reader).load()
+
+
+def split_by(
+    spark: SparkSession, fmt: str, options: Mapping[str, str], schema: str, table: str, column: str, parts: int
+) -> Split | None:
+    """Ranges over a numeric or date column, with bounds asked from the source; None for an empty table."""
+    name = quoted(column)
+    bounds = f"SELECT MIN({name}) AS low, MAX({name}) AS high FROM {quoted_table(schema, table)}"
+    low, high = scan_query(spark, fmt, options, bounds).first()
+    return None if low is None else (column, low, high, parts)
 
 
 def typed_query(schema: str, table: str, columns: Iterable[Row], time_as_text: str = TIME_AS_TEXT) -> str | None:
@@ -99,17 +124,24 @@ def table_reader(
     *,
     database_key: str = "database",
     time_as_text: str = TIME_AS_TEXT,
+    parts: int = 64,
 ) -> Callable[[Row], DataFrame]:
     """Reader for a bulk copy: scans the source table of one object (``src_db``, ``schema``, ``name``).
 
     Where the object's type plan has times of day, the source formats them,
-    since not every connector has a type for them.
+    since not every connector has a type for them. An object with a
+    ``split_column`` is read in ``parts`` ranges of it: a plain JDBC scan is one
+    task, however large the table.
     """
 
     def read(o: Row) -> DataFrame:
         opts = connector_options(options, o.src_db, database_key=database_key)
+        column = getattr(o, "split_column", None)
+        split = split_by(spark, fmt, opts, o.schema, o.name, column, parts) if column else None
         sql = typed_query(o.schema, o.name, getattr(o, "columns", None) or [], time_as_text)
-        return scan_query(spark, fmt, opts, sql) if sql else scan_table(spark, fmt, opts, o.schema, o.name)
+        if sql:
+            return scan_query(spark, fmt, opts, sql, split=split)
+        return scan_table(spark, fmt, opts, o.schema, o.name, split=split)
 
     return read
 

@@ -5,6 +5,7 @@ import types
 import uuid
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader
 
@@ -62,6 +63,28 @@ def test_connector_scans(spark, echo):
     assert split["partitioncolumn"] == "id" and split["numpartitions"] == "4" and split["upperbound"] == "100"
 
 
+def test_large_tables_are_read_in_ranges(spark, echo, monkeypatch):
+    base = {"url": "u"}
+    asked = told(connector.scan_query(spark, echo, base, "SELECT 1 AS id", split=("id", 1, 9, 2)))
+    assert asked["dbtable"] == "(SELECT 1 AS id) source" and "query" not in asked and asked["lowerbound"] == "1"
+
+    sent = []
+
+    def bounds(spark_, fmt, options, sql, split=None):
+        sent.append((sql, split))
+        return spark.createDataFrame([(5, 50)], "low int, high int")
+
+    monkeypatch.setattr(connector, "scan_query", bounds)
+    assert connector.split_by(spark, echo, base, "s", "t", "k", 8) == ("k", 5, 50, 8)
+    assert sent == [('SELECT MIN("k") AS low, MAX("k") AS high FROM "s"."t"', None)]
+    read = connector.table_reader(spark, echo, base, parts=4)
+    time_column = Row(column_ordinal=1, column_name="at", target_type="time_text")
+    plain = Row(src_db="DB", schema="s", name="t", split_column="k")
+    assert told(read(plain))["partitioncolumn"] == "k"
+    read(Row(src_db="DB", schema="s", name="t", split_column="k", columns=[time_column]))
+    assert sent[-1] == ("SELECT TO_VARCHAR(\"at\", 'HH24:MI:SS') AS \"at\" FROM \"s\".\"t\"", ("k", 5, 50, 4))
+
+
 def test_metadata_is_one_query_per_database(spark, echo):
     found = connector.scan_metadata(spark, echo, {"url": "u"}, ["A", "B"], "views", database_key="db")
     assert found.columns == ["options", "src_db"]
