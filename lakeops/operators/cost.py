@@ -50,8 +50,12 @@ def interval_join(
         right = right.filter(F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(end) > F.col(start))))
         # Nothing starts after the last start or ends before the first end, so
         # one unit is enough on either side, also for far-off marker dates.
-        first = right.agg(F.min(_unit_of(F.col(end), grain))).scalar()
-        last = right.agg(F.max(_unit_of(F.col(start), grain))).scalar()
+        bounds = right.agg(
+            F.struct(
+                F.min(_unit_of(F.col(end), grain)).alias("first"), F.max(_unit_of(F.col(start), grain)).alias("last")
+            )
+        ).scalar()
+        first, last = bounds["first"], bounds["last"]
 
         def unit(instant: Column) -> Column:
             return F.greatest(F.least(_unit_of(instant, grain), last), first)
