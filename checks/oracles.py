@@ -331,11 +331,14 @@ ORACLES = {
         union all select 'spark_catalog.dst.z_orders', 'view', 'view_created', null, null""",
     "remote_query_scan": "select o_custkey, count(*) as n_orders from orders group by 1",
     "remote_table_scan": "select * from orders",
-    "discover_spark_catalog": _per_table("select 'dst' as \"database\", '{t}' as name"),
+    "discover_spark_catalog": _per_table(
+        "select 'dst' as \"database\", '{t}' as name, count(*) as n_rows from {t}"
+    ),
     "classify_spark_objects": f"""
-        {_per_table("select '{t}' as name, 'table' as kind, null::boolean as has_ddl, null::varchar as error")}
+        {_per_table("""select '{t}' as name, 'table' as kind, null::boolean as has_ddl, null::varchar as error,
+        count(*) as n_rows from {t}""")}
         union all
-        {_per_table("select 'v_{t}', 'view', true, null")}""",
+        {_per_table("select 'v_{t}', 'view', true, null, count(*) from {t}")}""",
     "run_log": f"""
         select "table", kind, status, "rows", error, '2026-01-01 00:00:00' as migrated_at from ({OUTCOMES}) o""",
     "run_log_evolve": f"""

@@ -530,11 +530,9 @@ def recreate_views(spark, d):
 def ordered_migration(spark, d):
     """The whole run: tables, procedures and views, with one view that needs a missing database."""
     source, destination = _warehouse(spark, d), scratch_database(spark, "migrated")
-    definitions = _definitions(spark, source, destination).union(
-        _source_tables(spark, source, destination).filter("table_name = 'REGION'").select(
-            "src_db", "table_schema", F.lit("BROKEN"), F.lit("CREATE VIEW BROKEN AS SELECT * FROM EXT.PUB.T")
-        )
-    )
+    broken = [("WH", destination.upper(), "BROKEN", "CREATE VIEW BROKEN AS SELECT * FROM EXT.PUB.T")]
+    definitions = _definitions(spark, source, destination)
+    definitions = definitions.union(spark.createDataFrame(broken, definitions.schema))
     procs = fixture(spark, d, "fx_procs").withColumns(
         {"src_db": F.lit("WH"), "procedure_schema": F.lit(destination.upper())}
     )
@@ -574,12 +572,20 @@ def remote_table_scan(spark, d):
     return connector.scan_table(spark, None, None, _warehouse(spark, d), "orders")
 
 
+def _with_counts(spark, found) -> DataFrame:
+    """The rows each found table or view holds, beside it."""
+    names = [f"{o.database}.{o.name}" for o in found.toLocalIterator()]
+    return found.withColumn("table", plain_name(F.col("database"), F.col("name"))).join(
+        tables.copy_counts(spark, names), "table"
+    )
+
+
 @query
 def discover_spark_catalog(spark, d):
     database = _warehouse(spark, d)
     found = catalog.discover_spark(spark, [database, "information_schema"])
-    known = catalog.list_schemas(spark)
-    return _neutral(found.join(known, "database", "left_semi").select("database", "name"), database, "database")
+    found = found.join(catalog.list_schemas(spark), "database", "left_semi")
+    return _neutral(_with_counts(spark, found).select("database", "name", "n_rows"), database, "database")
 
 
 @query
@@ -587,8 +593,8 @@ def classify_spark_objects(spark, d):
     database = _warehouse(spark, d)
     for name in TABLES:
         spark.sql(f"CREATE VIEW {database}.v_{name} AS SELECT *, 'MANAGED' AS type FROM {database}.{name}")
-    kinds = catalog.classify_spark(spark, catalog.discover_spark(spark, [database]))
-    return kinds.select("name", "kind", F.col("ddl").startswith("CREATE VIEW").alias("has_ddl"), "error")
+    kinds = _with_counts(spark, catalog.classify_spark(spark, catalog.discover_spark(spark, [database])))
+    return kinds.select("name", "kind", F.col("ddl").startswith("CREATE VIEW").alias("has_ddl"), "error", "n_rows")
 
 
 def _outcomes(spark, d) -> DataFrame:
@@ -611,9 +617,7 @@ def _outcomes(spark, d) -> DataFrame:
 @query
 def run_log(spark, d):
     log = f"{scratch_database(spark, 'log')}.runs"
-    rows = _outcomes(spark, d).drop("view_id")
-    runlog.append_run_log(spark, rows, log, RUN_TS)
-    return runlog.append_run_log(spark, rows.limit(0), log, RUN_TS)
+    return runlog.append_run_log(spark, _outcomes(spark, d).drop("view_id"), log, RUN_TS)
 
 
 @query

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lakeops.functions.names import with_destination
 from lakeops.operators.typing_plan import apply_type_plan
 from lakeops.parallel import run_each
+from lakeops.sources.catalog import full_name
 
 # Outcomes of a copy.
 TABLE_CREATED = "table_created"
@@ -30,7 +31,7 @@ def ensure_schemas(spark: SparkSession, objects: DataFrame) -> dict[str, str]:
     """Create the destination schemas; returns the error of each that failed."""
     errors = {}
     for row in objects.select("dst_cat", "dst_schema").distinct().toLocalIterator():
-        name = f"`{row.dst_cat}`.`{row.dst_schema}`"
+        name = full_name(row.dst_cat, row.dst_schema)
         try:
             spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
         except Exception as error:
@@ -66,7 +67,7 @@ def copy_each(
 
     def copy(o: Row) -> Outcome:
         try:
-            schema_error = no_schema.get(f"`{o.dst_cat}`.`{o.dst_schema}`")
+            schema_error = no_schema.get(full_name(o.dst_cat, o.dst_schema))
             if schema_error:
                 raise RuntimeError(schema_error)
             df = reader(o)
