@@ -583,8 +583,8 @@ def _with_counts(spark, found) -> DataFrame:
 @query
 def discover_spark_catalog(spark, d):
     database = _warehouse(spark, d)
-    found = catalog.discover_spark(spark, [database, "information_schema"])
-    found = found.join(catalog.list_schemas(spark), "database", "left_semi")
+    listed = catalog.list_schemas(spark).filter(F.col("database") == database)
+    found = catalog.discover_spark(spark, [r.database for r in listed.toLocalIterator()] + ["information_schema"])
     return _neutral(_with_counts(spark, found).select("database", "name", "n_rows"), database, "database")
 
 

@@ -38,6 +38,8 @@ def test_query_matches_oracle(spark, duck, name):
     expected = Counter(repr(tuple(r[i] for i in at)) for r in result.fetchall())
     assert got == expected
     assert got
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
 def test_entry_is_the_audit_report(spark):
