@@ -5,15 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeops.functions.names import object_id, plain_name
-from lakeops.operators.skew import salted_join
-from lakeops.session import cut_lineage
+from lakeops.session import cut_lineage, written_out
 
-# Rounds after which the settled edges are gathered into one table, so the plan stays short.
+# Levels after which the settled nodes are gathered into one table, so the plan stays short.
 GATHER_EVERY = 16
+# Nodes of a round that are broadcast; above, the join is shuffled. At a few
+# hundred bytes per name this is some ten megabytes.
+BROADCAST_ROWS = 50_000
 
 
 def external_refs(
@@ -71,51 +73,43 @@ def dependency_levels(nodes: DataFrame, edges: DataFrame, *, node: str = "view_i
     Nodes on a cycle or downstream of one share one extra level at the end and
     are flagged ``is_circular``. ``edges`` join nodes of ``nodes``.
 
-    Each round looks at the edges still open: those whose dependency has no open
-    edge of its own are settled, and the rest goes into the next round. The work
-    is one join per level over a shrinking table. A round's result is
-    checkpointed, so neither the plan nor a recovery grows with the depth.
+    Each round takes the nodes settled last and counts, per node reading them,
+    how many of its dependencies are settled; a node with all of them is next.
+    The edges are written once and then only scanned, as long as a round's nodes
+    are few enough to broadcast. What a round leaves is checkpointed, so neither
+    the plan nor a recovery grows with the depth.
     """
-    is_open = F.col("_blocked")
-    live = cut_lineage(edges.select(node, dep).filter(F.col(node) != F.col(dep)).distinct())
-    n_live = live.count()
-    settled: list[DataFrame] = []
+    per_node = Window.partitionBy(node)
+    # A node's edges are no more than the references of its own definition.
+    links = written_out(
+        edges.select(node, dep)
+        .filter(F.col(node) != F.col(dep))
+        .distinct()
+        .withColumn("_needed", F.count(F.lit(1)).over(per_node))
+    )
+    bottom = cut_lineage(nodes.select(node).distinct().join(links.select(node), node, "left_anti"))
+    front, n_front = bottom, bottom.count()
+    started = links.select(node, "_needed", F.lit(0).cast("bigint").alias("_met")).filter(F.lit(False))
+    settled = [bottom.withColumn("level", F.lit(0))]
     level = 0
-    while n_live:
+    while n_front:
         level += 1
-        blocked = live.select(F.col(node).alias(dep)).distinct().withColumn("_blocked", F.lit(True))
-        # One base view may be read by a large share of all views.
-        joined = salted_join(live, blocked, dep, spread_by=node)
-        flagged = cut_lineage(joined.select(node, dep, F.coalesce("_blocked", F.lit(False)).alias("_blocked")))
-        live = flagged.filter(is_open).select(node, dep)
-        n_before, n_live = n_live, live.count()
-        if n_live == n_before:
-            break
-        settled.append(flagged.filter(~is_open).select(node, F.lit(level).alias("level")))
+        newest = front.select(F.col(node).alias(dep))
+        if n_front <= BROADCAST_ROWS:
+            newest = F.broadcast(newest)
+        met = links.join(newest, dep, "left_semi").select(node, "_needed", F.lit(1).cast("bigint").alias("_met"))
+        tally = cut_lineage(started.union(met).groupBy(node, "_needed").agg(F.sum("_met").alias("_met")))
+        front = tally.filter("_met = _needed").select(node)
+        started = tally.filter("_met < _needed")
+        n_front = front.count()
+        settled.append(front.withColumn("level", F.lit(level)))
         if len(settled) == GATHER_EVERY:
-            settled = [cut_lineage(_highest(settled, node))]
-    circular = live.select(node).distinct().withColumn("is_circular", F.lit(True))
-    out = nodes.select(node).distinct()
-    if settled:
-        out = out.join(_highest(settled, node), node, "left")
-    else:
-        out = out.withColumn("level", F.lit(0))
-    if not n_live:
-        return out.select(node, F.coalesce("level", F.lit(0)).alias("level"), F.lit(False).alias("is_circular"))
-    placed = cut_lineage(
-        out.join(circular, node, "left").select(
-            node,
-            F.coalesce("level", F.lit(0)).alias("level"),
-            F.coalesce("is_circular", F.lit(False)).alias("is_circular"),
-        )
+            settled = [cut_lineage(reduce(DataFrame.union, settled))]
+    placed = nodes.select(node).distinct().join(reduce(DataFrame.union, settled), node, "left")
+    # The last round settled nothing, so its number is the level after the last.
+    return placed.select(
+        node, F.coalesce("level", F.lit(level)).alias("level"), F.isnull("level").alias("is_circular")
     )
-    top = placed.filter(~F.col("is_circular")).agg(F.max("level")).scalar()
-    last = F.coalesce(top + 1, F.lit(0))
-    return placed.withColumn("level", F.when(F.col("is_circular"), last).otherwise(F.col("level")))
-
-
-def _highest(settled: list[DataFrame], node: str) -> DataFrame:
-    return reduce(DataFrame.union, settled).groupBy(node).agg(F.max("level").alias("level"))
 
 
 def level_sizes(levels: DataFrame) -> DataFrame:

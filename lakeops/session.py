@@ -33,6 +33,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written_out(df: DataFrame) -> DataFrame:
+    """The rows as a parquet table in the shared folder: for data that is scanned many times."""
+    path = f"{shared_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_database(spark: SparkSession, label: str) -> str:
     """New database under the shared folder; its name is unique per call."""
     name = f"{label}_{uuid.uuid4().hex[:10]}"
