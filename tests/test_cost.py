@@ -28,7 +28,8 @@ def join(usage, prices, **options):
 def test_intervals_are_half_open_and_may_stay_open(spark, grain):
     usage = spark.createDataFrame(
         [(1, "A", day(d), Decimal(1)) for d in ("1999-12-31", "2000-01-01", "2000-02-15", "2000-03-01", "2031-07-01")]
-        + [(1, "B", day("2000-01-01"), Decimal(1)), (1, "A", None, Decimal(1)), (1, None, day("2000-01-01"), Decimal(1))],
+        + [(1, sku, day("2000-01-01"), Decimal(1)) for sku in ("B", None)]
+        + [(1, "A", None, Decimal(1))],
         USAGE,
     )
     prices = spark.createDataFrame(
@@ -126,7 +127,8 @@ def test_two_prices_for_one_unit_multiply_both_sums(spark):
     prices = spark.createDataFrame([("A", day("1990-01-01"), None, Decimal(p)) for p in (1, 3)], PRICES)
     assert rows(cost_rollup(usage, prices, "2000-01-01")) == [(1, Decimal("4.00"), Decimal("8.00"))]
     by_currency = prices.withColumn("currency", F.when(F.col("price") == 1, "EUR").otherwise("USD"))
-    only = cost_rollup(usage.withColumn("currency", F.lit("EUR")), by_currency, "2000-01-01", on=["sku_name", "currency"])
+    in_euro = usage.withColumn("currency", F.lit("EUR"))
+    only = cost_rollup(in_euro, by_currency, "2000-01-01", on=["sku_name", "currency"])
     assert rows(only) == [(1, Decimal("2.00"), Decimal("2.00"))]
 
 

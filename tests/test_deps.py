@@ -46,8 +46,13 @@ def test_levels(spark, nodes, edges):
     assert levels_of(spark, nodes, edges) == expected_levels(nodes, edges)
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, deps.BROADCAST_ROWS])
 @pytest.mark.parametrize("seed", range(4))
-def test_levels_of_random_graphs(spark, seed):
+def test_levels_of_random_graphs(spark, setting, monkeypatch, seed, broadcast_rows):
+    monkeypatch.setattr(deps, "BROADCAST_ROWS", broadcast_rows)
+    if not broadcast_rows:
+        setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+        setting("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     rng = random.Random(seed)
     nodes = [f"n{i}" for i in range(40)]
     acyclic = seed % 2 == 0

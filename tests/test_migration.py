@@ -88,7 +88,8 @@ def test_procedures_run_where_the_host_can(spark, schema):
     got = by_name(run(spark, schema, create_procedure=sent.append))
     assert got["p1"].status == "procedure_created"
     assert got["p2"].status == "inventoried_manual_port_python"
-    assert len(sent) == 1 and sent[0].startswith(f"CREATE OR REPLACE PROCEDURE `spark_catalog`.`{schema.lower()}`.`p1` ()")
+    name = f"`spark_catalog`.`{schema.lower()}`.`p1`"
+    assert len(sent) == 1 and sent[0].startswith(f"CREATE OR REPLACE PROCEDURE {name} ()")
 
     def refuse(ddl):
         raise RuntimeError("not here")

@@ -87,7 +87,8 @@ def test_overwrite_replaces_the_schema(spark, database):
 
 
 def objects_of(spark, *found, catalog="spark_catalog"):
-    return spark.createDataFrame([("src", catalog, s, n) for s, n in found], "src_db string, dst_cat string, schema string, name string")
+    named = [("src", catalog, schema, name) for schema, name in found]
+    return spark.createDataFrame(named, "src_db string, dst_cat string, schema string, name string")
 
 
 def test_one_failure_does_not_stop_the_copy(spark, database):
@@ -194,7 +195,10 @@ def test_procedure_text(spark):
 
 def test_batch_translation_keeps_rows_without_body(spark):
     staged = spark.createDataFrame(
-        [("a", "t.a", "PYTHON", "()", None, "body a", None, "DB", "cat"), ("b", "t.b", "JAVA", "()", "INT", None, None, "DB", "cat")],
+        [
+            ("a", "t.a", "PYTHON", "()", None, "body a", None, "DB", "cat"),
+            ("b", "t.b", "JAVA", "()", "INT", None, None, "DB", "cat"),
+        ],
         "source_name string, target_name string, language string, arg_signature string, return_type string, "
         "original_body string, comment string, source_db string, target_catalog string",
     )
@@ -207,6 +211,10 @@ def test_batch_translation_keeps_rows_without_body(spark):
         "source_name", "target_name", "language", "original_body", "translated_sql", "translated_at", "applied",
     ]
     assert procedures.to_review(got).count() == 2
+    numbers = F.sequence(F.lit(1), F.lit(40)).cast("array<string>")
+    many = staged.withColumn("source_name", F.explode(numbers))
+    spread = procedures.translate(many, lambda requests: ["x"] * len(requests), tasks=8)
+    assert spread.select(F.spark_partition_id()).distinct().count() > 4 and spread.count() == 80
 
 
 def test_procedure_outcomes(spark):

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -75,10 +76,9 @@ def plain_references(text):
 
 
 def test_references_against_brute_force(spark):
-    import random
-
     rng = random.Random(3)
-    texts = ["".join(rng.choice(['"', ".", ".", "a", "B", "_", "1", " ", "on", "-"]) for _ in range(60)) for _ in range(400)]
+    pieces = ['"', ".", ".", "a", "B", "_", "1", " ", "on", "-"]
+    texts = ["".join(rng.choices(pieces, k=60)) for _ in range(400)]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
     got = {}
     for r in extract_refs(df, ["id"], "text").collect():
