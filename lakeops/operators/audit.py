@@ -10,10 +10,10 @@ from pyspark.sql import types as T
 
 from lakeops.operators.skew import salted_join
 
-# Labels of the report.
+# Labels of the report, and how it writes a start (the text form of a time without zone).
 UNKNOWN = "Unknown"
 ABSENT_CLUSTER = "UNKNOWN/TERMINATED"
-START_FORMAT = "yyyy-MM-dd HH:mm:ss"
+START_FORMAT = "YYYY-MM-DD HH:MM:SS"
 
 
 def cutoff(as_of: datetime | str, days_lookback: int) -> datetime:
@@ -64,14 +64,22 @@ def job_cluster_usage(
     )
 
 
+def _utc_clock(seconds: Column) -> Column:
+    """UTC wall-clock time of epoch seconds, whatever the session's time zone."""
+    zero = F.lit(0)
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(zero, zero, zero, seconds.cast("decimal(18,6)"))
+
+
 def _start_bounds(runs: DataFrame, start: str, since: datetime) -> tuple[Column, Column]:
-    """Cutoff in the column's own type (so the filter reaches the scan) and the start as an instant."""
+    """Cutoff in the column's own type (so the filter reaches the scan) and the start as UTC wall-clock time."""
     kind = runs.select(start).schema[0].dataType
     if isinstance(kind, T.IntegralType):
-        return F.lit(int(since.timestamp() * 1000)), F.timestamp_millis(F.nullif(F.col(start), F.lit(0)))
+        milliseconds = F.nullif(F.col(start), F.lit(0)).cast("decimal(20,0)")
+        return F.lit(int(since.timestamp() * 1000)), _utc_clock(milliseconds / 1000)
     if isinstance(kind, T.TimestampNTZType):
         return F.lit(since.replace(tzinfo=None).isoformat(" ")).cast(kind), F.col(start)
-    return F.lit(since.isoformat(" ")).cast("timestamp"), F.col(start)
+    return F.lit(since.isoformat(" ")).cast("timestamp"), _utc_clock(F.unix_seconds(F.col(start)))
 
 
 def latest_run(
@@ -91,12 +99,12 @@ def latest_run(
     before the shuffle too, so a job with very many runs sends one row per task.
     Starts are epoch milliseconds (0 reads as unknown) or timestamps.
     """
-    since, instant = _start_bounds(runs, start, cutoff(as_of, days_lookback))
+    since, clock = _start_bounds(runs, start, cutoff(as_of, days_lookback))
     latest = F.max(
         F.struct(
             F.col(start).alias("_start"),
             F.col(run).alias("run"),
-            instant.alias("instant"),
+            clock.alias("clock"),
             F.coalesce(F.col(result_state), F.col(life_cycle_state)).alias("state"),
         )
     )
@@ -107,7 +115,7 @@ def latest_run(
         .select(
             "job_id",
             F.col("_latest.run").alias("latest_run_id"),
-            F.date_format("_latest.instant", START_FORMAT).alias("latest_run_start_time"),
+            F.substring(F.col("_latest.clock").cast("string"), 1, len(START_FORMAT)).alias("latest_run_start_time"),
             F.col("_latest.state").alias("latest_run_state"),
         )
     )

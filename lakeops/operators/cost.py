@@ -7,6 +7,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MONEY = "decimal(18,2)"
 
@@ -15,9 +16,18 @@ MONEY = "decimal(18,2)"
 GRAINS = {"day": "1 day", "week": "7 days", "month": "1 month", "quarter": "3 months", "year": "1 year"}
 
 
-def _unit_of(instant: Column | str, grain: str) -> Column:
-    # Dates, not instants: calendar steps over dates never meet a clock change.
-    return F.to_date(instant) if grain == "day" else F.trunc(instant, grain)
+def _unit_of(instant: Column, grain: str, by_clock: bool) -> Column:
+    """Calendar unit of an instant; never decreases as instants increase.
+
+    Local times without a zone go by their date. Instants go by their UTC date,
+    as the local date of a session can step back when clocks change.
+    """
+    if by_clock:
+        date_of = F.to_date(instant)
+    else:
+        days = F.floor(F.unix_seconds(instant.cast("timestamp")) / 86400)
+        date_of = F.date_from_unix_date(days.cast("int"))
+    return date_of if grain == "day" else F.trunc(date_of, grain)
 
 
 def interval_join(
@@ -47,18 +57,18 @@ def interval_join(
         raise ValueError(f"unsupported join type: {how}")
     names = list(on)
     if grain:
+        kinds = {left.schema[at].dataType, right.schema[start].dataType, right.schema[end].dataType}
+        by_clock = len(kinds) == 1 and isinstance(kinds.pop(), (T.DateType, T.TimestampNTZType))
         right = right.filter(F.col(start).isNotNull() & (F.col(end).isNull() | (F.col(end) > F.col(start))))
         # Nothing starts after the last start or ends before the first end, so
         # one unit is enough on either side, also for far-off marker dates.
-        bounds = right.agg(
-            F.struct(
-                F.min(_unit_of(F.col(end), grain)).alias("first"), F.max(_unit_of(F.col(start), grain)).alias("last")
-            )
-        ).scalar()
+        first_end = F.min(_unit_of(F.col(end), grain, by_clock))
+        last_start = F.max(_unit_of(F.col(start), grain, by_clock))
+        bounds = right.agg(F.struct(first_end.alias("first"), last_start.alias("last"))).scalar()
         first, last = bounds["first"], bounds["last"]
 
         def unit(instant: Column) -> Column:
-            return F.greatest(F.least(_unit_of(instant, grain), last), first)
+            return F.greatest(F.least(_unit_of(instant, grain, by_clock), last), first)
 
         step = F.expr(f"interval {GRAINS[grain]}")
         open_end = F.greatest(last, first)

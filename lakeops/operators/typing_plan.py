@@ -14,7 +14,7 @@ NTZ_TYPES = ("TIMESTAMP_NTZ", "TIMESTAMP WITHOUT TIME ZONE")
 NUMBER_TYPES = ("NUMBER", "DECIMAL", "NUMERIC")
 DEFAULT_PRECISION = 38
 INT_PRECISION = 9
-TIME_FORMAT = "HH:mm:ss"
+TIME_FORMAT = "HH:MM:SS"
 TIME_TEXT = "time_text"
 
 
@@ -46,9 +46,9 @@ def plans_by_table(plan: DataFrame, *keys: str) -> DataFrame:
 
 
 def time_text(value: Column, kind: T.DataType) -> Column:
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(value, TIME_FORMAT)
-    return F.substring(value.cast("string"), 1, len(TIME_FORMAT))
+    # The text of a timestamp is its date, a blank and its time of day.
+    first = len("YYYY-MM-DD ") + 1 if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else 1
+    return F.substring(value.cast("string"), first, len(TIME_FORMAT))
 
 
 def _entries(plan: DataFrame | Iterable[Row]) -> list[Row]:

@@ -48,7 +48,8 @@ def federated_copy(
         "dst_cat": F.when(is_catalog, F.col("dst")).otherwise("spark_catalog"),
         "dst_schema": F.coalesce(schema, F.col("dst")),
     }
-    objects = classify_spark(spark, listed, parallelism).withColumn("src", F.coalesce("catalog", "database"))
+    distinct = listed.select("catalog", "database", "name").distinct()
+    objects = classify_spark(spark, distinct, parallelism).withColumn("src", F.coalesce("catalog", "database"))
     objects = objects.join(listed.select("src", "dst").distinct(), "src").withColumns(destination_of)
     parts = (F.col("dst_cat"), F.col("dst_schema"), F.col("name"))
     objects = objects.withColumns({"dst_fq": quoted_name(*parts), "dst_plain": plain_name(*parts)})

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 import pytest
@@ -20,7 +21,8 @@ def test_cutoff_is_utc():
     assert audit.cutoff("2024-01-31T02:00:00+02:00", 30) == expected
 
 
-def test_latest_run_of_timestamps(spark):
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_latest_run_of_timestamps(spark, setting, zone):
     def at(text):
         return datetime.fromisoformat(text)
 
@@ -37,11 +39,24 @@ def test_latest_run_of_timestamps(spark):
     )
     expected = [(10, 1, "2024-01-01 00:00:00", "SUCCESS"), (20, 4, "2024-01-05 00:00:00", "RUNNING")]
     assert rows(audit.latest_run(runs, "2024-01-31", 30)) == expected
+    # Starts read in UTC, in whatever zone the session is.
     instants = runs.withColumn("start_time", F.col("start_time").cast("timestamp"))
+    instants = rebuilt(spark, instants)
+    setting("spark.sql.session.timeZone", zone)
+    assert rows(audit.latest_run(runs, "2024-01-31", 30)) == expected
     assert rows(audit.latest_run(instants, "2024-01-31", 30)) == expected
 
 
-def test_latest_run_of_epoch_milliseconds(spark):
+def rebuilt(spark, df):
+    """The same rows read back, so later session options do not change how they are made."""
+    path = f"{spark.conf.get('spark.checkpoint.dir')}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_latest_run_of_epoch_milliseconds(spark, setting, zone):
+    setting("spark.sql.session.timeZone", zone)
     runs = spark.createDataFrame(
         [(1, 10, 0, "SUCCESS", None), (2, 20, None, "SUCCESS", None), (3, 30, 1_704_067_200_123, None, None)],
         RUNS.format(kind="long"),

@@ -95,6 +95,25 @@ def test_marker_dates_do_not_multiply_units(spark, grain):
     assert [int(r.price) for r in joined.orderBy("usage_start_time").collect()] == [1, 1, 2, 2]
 
 
+@pytest.mark.parametrize("grain", [None, *GRAINS])
+def test_clock_changes_lose_no_price(spark, setting, grain):
+    """One minute after midnight the clocks of this zone went back to the day before."""
+    setting("spark.sql.session.timeZone", "America/St_Johns")
+    usage = spark.sql("SELECT 'A' sku_name, TIMESTAMP'2010-11-07T02:35:00Z' usage_start_time")
+    prices = spark.sql(
+        """SELECT 'A' sku_name, TIMESTAMP'2010-11-07T02:30:30Z' price_start_time,
+        TIMESTAMP'2010-11-07T02:40:00Z' price_end_time, 1 price
+        UNION ALL SELECT 'B', TIMESTAMP'2010-12-07T00:00:00Z', null, 1
+        UNION ALL SELECT 'B', TIMESTAMP'2010-01-07T00:00:00Z', TIMESTAMP'2010-01-08T00:00:00Z', 1"""
+    )
+    assert usage.selectExpr("CAST(to_date(usage_start_time) AS STRING)").first()[0] == "2010-11-06"
+    assert prices.selectExpr("CAST(to_date(price_start_time) AS STRING)").first()[0] == "2010-11-07"
+    assert rows(join(usage, prices, grain=grain), "price") == [(1,)]
+    # A local time without zone meets the instants through the session's zone.
+    local = spark.sql("SELECT 'A' sku_name, TIMESTAMP_NTZ'2010-11-06 23:05:00' usage_start_time")
+    assert rows(join(local, prices, grain=grain), "price") == rows(join(local, prices), "price")
+
+
 def test_no_prices_at_all(spark):
     usage = spark.createDataFrame([(1, "A", day("2000-01-01"), Decimal(3))], USAGE)
     for grain in (None, "month"):
