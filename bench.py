@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import tempfile
 import time
 
@@ -35,7 +36,8 @@ def main() -> None:
         query(spark, SF_DIR).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
     total = round(sum(seconds.values()), 3)
-    sf = os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf")
+    scale = re.search(r"sf([\d.]+)$", SF_DIR.rstrip("/"))
+    sf = float(scale[1]) if scale else None
     print(json.dumps({"metric": "total_query_seconds", "value": total, "unit": "sec", "queries": seconds, "sf": sf}))
     spark.stop()
 

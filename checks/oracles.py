@@ -305,12 +305,10 @@ ORACLES = {
                string_agg(column_name || ':' || coalesce(target_type, '-'), ',' order by column_ordinal) as columns
         from ({TYPES}) t group by 1""",
     "typed_copy": """
-        select l_orderkey, l_linenumber, cast(l_quantity as int) as l_quantity, l_extendedprice, l_partkey, l_shipdate,
-               l_returnflag
-        from lineitem""",
+        select * replace (cast(l_quantity as int) as l_quantity) from lineitem""",
     "typed_copy_time": """
         select event_id, strftime(ts, '%H:%M:%S') as ts, strftime(ts, '%H:%M:%S') as ts_text,
-               cast(user_id as int) as user_id, "value"
+               cast(user_id as int) as user_id, "value", event_type, props
         from events""",
     "type_overflow": """
         select 'SMALL' as column_name, count(*) filter (cast(l_extendedprice as decimal(18,2)) * 100000 > 2147483647)

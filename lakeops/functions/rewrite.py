@@ -14,7 +14,8 @@ from lakeops.functions.calls import translate_functions
 # (?U): word characters of every script, not only ASCII.
 _BLANK = r"(?U)^\s+|\s+$"
 _PART = r'(?:"[^"]*"|`[^`]*`|[\w$]+)'
-_COLUMN_LIST = r"\((?:[^()]|\([^()]*\))*\)"
+# Runs, not single characters: the regex engine goes one call deeper per repetition.
+_COLUMN_LIST = r"\((?:[^()']++|'[^']*+'|\([^()]*+\))*+\)"
 VIEW_PREFIX = (
     r"(?isU)^\s*CREATE\s+(?:OR\s+REPLACE\s+)?(?:SECURE\s+)?(?:RECURSIVE\s+)?VIEW\s+"
     rf"{_PART}(?:\.{_PART})*\s*({_COLUMN_LIST})?\s*(?:WITH\s+SCHEMA(?:\s+TYPE)?\s+\w+\s+)?(?<=[\s)])AS\b\s*"

@@ -66,13 +66,18 @@ def _exact_cast(name: str, value: Column, target: str) -> Column:
 def apply_type_plan(df: DataFrame, plan: DataFrame | Iterable[Row], strict: bool = True) -> DataFrame:
     """Select the planned columns in order, each cast to its target, in one pass.
 
-    A value that does not fit its target raises, in any ANSI mode; with
+    Columns the plan does not know follow unchanged; one it knows and the data
+    lacks is an error. A value that does not fit its target raises, in any ANSI mode; with
     ``strict=False`` it becomes null (see :func:`overflow_counts`).
     """
     fields = {f.name.lower(): f for f in df.schema.fields}
+    entries = _entries(plan)
+    missing = [e.column_name for e in entries if e.column_name.lower() not in fields]
+    if missing:
+        raise ValueError(f"planned columns are not in the data: {missing}")
     out = []
-    for entry in _entries(plan):
-        field = fields[entry.column_name.lower()]
+    for entry in entries:
+        field = fields.pop(entry.column_name.lower())
         value = F.col(f"`{field.name}`")
         if entry.target_type == TIME_TEXT:
             value = time_text(value, field.dataType)
@@ -81,7 +86,7 @@ def apply_type_plan(df: DataFrame, plan: DataFrame | Iterable[Row], strict: bool
         elif entry.target_type:
             value = value.try_cast(entry.target_type)
         out.append(value.alias(field.name))
-    return df.select(*out)
+    return df.select(*out, *[F.col(f"`{f.name}`") for f in fields.values()])
 
 
 def overflow_counts(df: DataFrame, plan: DataFrame | Iterable[Row]) -> DataFrame:

@@ -58,8 +58,12 @@ def test_plan_is_applied_in_column_order(spark):
     got = typing_plan.apply_type_plan(df, plan)
     assert [(f.name, f.dataType.simpleString()) for f in got.schema] == [
         ("z", "timestamp_ntz"), ("ts", "string"), ("t", "string"), ("d", "decimal(10,2)"), ("n", "bigint"),
+        ("extra", "string"),
     ]
-    assert tuple(got.first()) == (datetime(2024, 1, 2, 3, 4, 5, 600000), "03:04:05", "12:34:56", Decimal("1.25"), 7)
+    instant = datetime(2024, 1, 2, 3, 4, 5, 600000)
+    assert tuple(got.first()) == (instant, "03:04:05", "12:34:56", Decimal("1.25"), 7, "x")
+    with pytest.raises(ValueError, match="NOWHERE"):
+        typing_plan.apply_type_plan(df, plan_of(spark, ("NOWHERE", "TEXT", None, None)))
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])

@@ -162,6 +162,15 @@ def test_select_body(spark):
     assert each(spark, texts[:4], view_columns) == [None, "( x , y )", "(a COMMENT 'n (1)', b)", "(c1)"]
 
 
+def test_long_column_list(spark):
+    names = ", ".join(f"c{i} COMMENT 'number ({i}'" if i % 9 == 0 else f"c{i} (x)" for i in range(3000))
+    text = f"CREATE VIEW v ({names}) AS SELECT 1"
+    assert each(spark, [text], select_body) == ["SELECT 1"]
+    assert each(spark, [text], view_columns) == [f"({names})"]
+    plain = ", ".join(f"column_number_{i}" for i in range(50_000))
+    assert each(spark, [f"CREATE VIEW v ({plain}) AS SELECT 1"], view_columns) == [f"({plain})"]
+
+
 CASES = [
     ("ZEROIFNULL(x)", "COALESCE(x, 0)"),
     ("zeroifnull (f(x, (y)))", "COALESCE(f(x, (y)), 0)"),
