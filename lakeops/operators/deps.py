@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeops.functions.names import object_id, plain_name
+from lakeops.operators.skew import salted_join
 from lakeops.session import cut_lineage, written_out
 
 # Levels after which the settled nodes are gathered into one table, so the plan stays short.
@@ -79,14 +80,9 @@ def dependency_levels(nodes: DataFrame, edges: DataFrame, *, node: str = "view_i
     are few enough to broadcast. What a round leaves is checkpointed, so neither
     the plan nor a recovery grows with the depth.
     """
-    per_node = Window.partitionBy(node)
-    # A node's edges are no more than the references of its own definition.
-    links = written_out(
-        edges.select(node, dep)
-        .filter(F.col(node) != F.col(dep))
-        .distinct()
-        .withColumn("_needed", F.count(F.lit(1)).over(per_node))
-    )
+    distinct = edges.select(node, dep).filter(F.col(node) != F.col(dep)).distinct()
+    needed = distinct.groupBy(node).agg(F.count(F.lit(1)).alias("_needed"))
+    links = written_out(salted_join(distinct, needed, node, spread_by=dep, how="inner"))
     bottom = cut_lineage(nodes.select(node).distinct().join(links.select(node), node, "left_anti"))
     front, n_front = bottom, bottom.count()
     started = links.select(node, "_needed", F.lit(0).cast("bigint").alias("_met")).filter(F.lit(False))
