@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS = 64
-SHARD_ROWS = 20_000
+SHARD_ROWS = 4096
 MOST_TIMES = 3
 
 
@@ -82,7 +82,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), *, id_col: str
     names in ``docs`` are replaced.
     """
     keep = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken")]
-    base = docs.select(*keep, F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    # Rows of one id are told apart by their texts, so copies of an id spread as well.
+    place = F.xxhash64(F.lit(seed), F.col(id_col), F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
+    base = docs.select(*keep, place.alias("__place"), F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
     per = base.groupBy(F.col(source_col).alias("__source")).agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
     per = sorted(per, key=lambda r: (r["__source"] is None, r["__source"] or ""))
     sizes, share = [r["n"] for r in per], [weights[k % len(weights)] for k in range(len(per))]
@@ -92,10 +94,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), *, id_col: str
         [(r["__source"], r["n"], float(t), int(q), max(1, -(-r["rows"] // SHARD_ROWS))) for r, t, q in zip(per, wanted, seats)],
         "__source string, source_size long, target double, __seats long, __shards long",
     )
-    rows = base.join(plan, base[source_col].eqNullSafe(plan["__source"]))
-    # Rows of one id are told apart by their texts, so copies of an id spread as well.
-    place = F.xxhash64(F.lit(seed), F.col(id_col), F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
-    rows = rows.withColumns({"__place": place, "__shard": F.pmod(place, F.col("__shards"))})
+    # One row for each source, which the driver holds already: bounded, and no source's rows meet in one task.
+    rows = base.join(F.broadcast(plan), base[source_col].eqNullSafe(plan["__source"]))
+    rows = rows.withColumn("__shard", F.pmod("__place", F.col("__shards")))
 
     def quota(one: pd.DataFrame) -> pd.DataFrame:
         one = one.sort_values("of_shard")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import mixing, secrets, sharding, topk
+from lakeops.llm import minhash, mixing, secrets, sharding, topk
 
 SHARDS = 8
 TOP = 20
@@ -27,6 +27,10 @@ def op3_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_manifest(_table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = secrets.train(*secrets.labelled_samples(docs.withColumn("base", secrets.base_spans(F.coalesce("text", F.lit("")))), "text"))
@@ -47,6 +51,7 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op3_jump_shards": op3_jump_shards,
+    "op4_near_duplicates": op4_near_duplicates,
     "op8_secret_scan": op8_secret_scan,
     "op9_mix_sources": op9_mix_sources,
 }
