@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.llm.graph import components
-from lakeops.llm.words import Hasher, grouped, mix, runs
+from lakeops.llm.words import Hasher, grouped, mix, runs, weighted
 from lakeops.session import written_out
 
 WORDS, SIMILARITY = 5, 0.8
@@ -29,14 +29,6 @@ def _unit(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(11)).astype(np.float64) * 2.0**-53
 
 
-def weighted(owner: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Owner, element and count of each distinct element of each owner."""
-    order = np.lexsort((hashes, owner))
-    owner, hashes = owner[order], hashes[order]
-    first = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])][: len(owner)])
-    return owner[first], hashes[first], np.diff(np.r_[first, len(owner)])
-
-
 def _throw(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, limit: np.ndarray, out: np.ndarray) -> None:
     """Throw the darts of all elements with a rank below their owner's ``limit``; keep the earliest for each coordinate.
 

@@ -6,14 +6,14 @@ from __future__ import annotations
 _TOP_K = """
 with clean as (
     select vec_id, min(v) as v
-    from (select vec_id, list_transform(embedding, x -> cast(floor(64 * cast(x as double)) as bigint)) as v
+    from (select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as v
           from embeddings
           where vec_id is not null and embedding is not null
-            and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0)
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)
     group by vec_id),
 scored as (
     select q.vec_id as query_id, c.vec_id,
-           cast(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), i -> q.v[i] * c.v[i])) as bigint) as score
+           cast(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), lambda i: q.v[i] * c.v[i])) as bigint) as score
     from clean q join clean c on q.vec_id <> c.vec_id
     where q.vec_id % 20 = 0),
 ranked as (

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import minhash, mixing, secrets, sharding, topk
+from lakeops.llm import decontam, minhash, mixing, secrets, sharding, topk
 
 SHARDS = 8
 TOP = 20
@@ -48,10 +48,15 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op3_jump_shards": op3_jump_shards,
     "op4_near_duplicates": op4_near_duplicates,
     "op8_secret_scan": op8_secret_scan,
     "op9_mix_sources": op9_mix_sources,
+    "op10_latent_leaks": op10_latent_leaks,
 }
