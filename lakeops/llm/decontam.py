@@ -156,7 +156,7 @@ def common_words(a: list[int], b: list[int]) -> int:
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Pairs of a document and a benchmark item that it holds: id, item, cosine, lcs and answer of the best passage.
 
-    Words are runs of letters, digits and non-ASCII characters, ASCII case folded. Passages of WINDOW words of every whole
+    Words are runs of letters, digits and non-ASCII characters, in lower case. Passages of WINDOW words of every whole
     text are placed in the latent space of the benchmark's TF-IDF passages, with counts over all documents. Each one close
     to an item's passage in cosine, and holding enough of it, is compared word by word, with half a passage before and
     after it: ``lcs`` is the share of the item's words found in order, ``answer`` the share of the words of its last
@@ -165,6 +165,8 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     Null or empty texts and items have no words and no pairs. Rows of one id give the pairs of all of them, each once.
     Rows with a null id give pairs with a null id. Empty tables give an empty table. Other columns are not looked at.
     """
+    docs = docs.select(F.col(id_col), F.lower(F.col(text_col)).alias(text_col))
+    items = items.select(F.col(item_col), F.lower(F.col(item_text_col)).alias(item_text_col))
     n, counts = document_counts(docs, text_col)
     idf = np.log1p(max(n, 1) / np.maximum(counts, 1))
     every = written_out(passages(items, item_col, item_text_col, idf))
