@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import decontam, minhash, mixing, secrets, sharding, topk
+from lakeops.llm import decontam, minhash, mixing, quality, secrets, sharding, topk
 
 SHARDS = 8
 TOP = 20
@@ -31,6 +31,11 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = _table(spark, sf_dir, "labels").where("quality = 1")
+    return quality.classify(_table(spark, sf_dir, "documents"), trusted)
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = secrets.train(*secrets.labelled_samples(docs.withColumn("base", secrets.base_spans(F.coalesce("text", F.lit("")))), "text"))
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op3_jump_shards": op3_jump_shards,
     "op4_near_duplicates": op4_near_duplicates,
+    "op6_kneser_ney": op6_kneser_ney,
     "op8_secret_scan": op8_secret_scan,
     "op9_mix_sources": op9_mix_sources,
     "op10_latent_leaks": op10_latent_leaks,
