@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import decontam, minhash, mixing, quality, secrets, sharding, topk
+from lakeops.llm import decontam, lines, minhash, mixing, pii, quality, secrets, sharding, topk, toxicity
 
 SHARDS = 8
 TOP = 20
+#: A fixed key, so that reruns agree; a user passes one of their own and keeps it secret.
+PII_KEY = "demonstration key"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +25,12 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "vec_id")
 
 
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = pii.pseudonymised(docs, PII_KEY)
+    return done.select("doc_id", F.size("entities").cast("long").alias("n_entities"), F.array_join("entities", ",").alias("kinds"), "text")
+
+
 def op3_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_manifest(_table(spark, sf_dir, "documents"), SHARDS)
 
@@ -31,11 +39,20 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = _table(spark, sf_dir, "labels").where("quality = 1")
     return quality.classify(_table(spark, sf_dir, "documents"), trusted)
 
 
+def op7_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.without_repeats(docs).select("doc_id", "removed_lines", "text")
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = secrets.train(*secrets.labelled_samples(docs.withColumn("base", secrets.base_spans(F.coalesce("text", F.lit("")))), "text"))
@@ -59,9 +76,12 @@ def op10_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
+    "op2_pii_surrogates": op2_pii_surrogates,
     "op3_jump_shards": op3_jump_shards,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_toxicity": op5_toxicity,
     "op6_kneser_ney": op6_kneser_ney,
+    "op7_line_chunks": op7_line_chunks,
     "op8_secret_scan": op8_secret_scan,
     "op9_mix_sources": op9_mix_sources,
     "op10_latent_leaks": op10_latent_leaks,
