@@ -18,7 +18,7 @@ def _star(links: DataFrame, larger: bool) -> DataFrame:
     least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("of"), F.least("u", "m").alias("m"))
     out = both.join(least, both["u"] == least["of"]).select("u", "v", "m")
     if larger:
-        return out.where("v > u and v <> m").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        return out.where("v > u and v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
     return out.select(F.col("v").alias("a"), F.col("m").alias("b")).union(out.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
 
 

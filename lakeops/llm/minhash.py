@@ -234,7 +234,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = banded.join(buckets.select("bucket", tiles.alias("tiles")), F.col("band") == F.col("bucket"))
     placed = written_out(placed.select("node", "bucket", "tiles", F.pmod(F.xxhash64("node", F.lit(3)), F.col("tiles")).alias("tile")))
     wanted = written_out(nodes.join(placed, "node", "left_semi").select("node", "least"))
-    texts = docs.select(F.col(id_col).alias("least"), F.col(text_col).alias("text")).join(wanted, "least").select("node", "text")
+    # The wanted ids grow with the documents, so the join is shuffled at every size.
+    texts = docs.select(F.col(id_col).alias("least"), F.col(text_col).alias("text")).join(wanted.hint("merge"), "least").select("node", "text")
     elements = written_out(_shingled(texts))
 
     def linked(members: DataFrame, *tile: str) -> DataFrame:
