@@ -23,6 +23,8 @@ RANK, MORE, POWERS = 192, 32, 1
 #: Benchmark passages that share one latent space, few enough for its rank to hold each of them; and spaces searched in
 #: one scan of the documents, which bounds what a task holds.
 SPACE_PASSAGES, SCAN_SPACES = 256, 8
+#: Groups in which sums by feature are taken; a feature in this share of the documents is looked up for candidates only.
+SUM_PARTS, FREQUENT = 64, 0.02
 #: A passage is a candidate from this latent cosine and this share of the item's latent length on.
 COSINE, SHARE = 0.5, 0.35
 #: Leaked: so much of the item's words in order, or less with the answer's rare words there as well.
@@ -88,7 +90,8 @@ def passages(items: DataFrame, id_col: str, text_col: str, idf: np.ndarray) -> D
                     length = float(np.sqrt((weight**2).sum()))
                     number = mix(own ^ np.arange(1, len(own) + 1, dtype=np.uint64)).sum(dtype=np.uint64)
                     out.append((item, int(np.int64(number.view(np.int64))), k, own.tobytes(), answer.tobytes(), feature.tolist(), (weight / length).tolist(), length))
-            yield pd.DataFrame(out, columns=[f.name for f in fields])
+            if out:
+                yield pd.DataFrame(out, columns=[f.name for f in fields])
 
     return items.select(id_col, text_col).mapInPandas(run, fields)
 
@@ -116,15 +119,20 @@ def latent_space(rows: DataFrame, count: int, rank: int = RANK) -> tuple[np.ndar
                     y = np.asarray(weight) @ project(np.asarray(feature))
                     for f, w in zip(feature, weight):
                         found[f] = found[f] + w * y if f in found else w * y
-            yield pd.DataFrame({"feature": list(found), "vector": [v.tolist() for v in found.values()]})
+            if found:
+                yield pd.DataFrame({"part": [f % SUM_PARTS for f in found], "feature": list(found), "vector": [v.tobytes() for v in found.values()]})
 
         def total(group: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame({"feature": [group["feature"].iloc[0]], "vector": [np.sum(np.stack(group["vector"]), axis=0).tolist()]})
-
-        schema = "feature long, vector array<double>"
-        got = rows.select("feature", "weight").mapInPandas(partial, schema).groupBy("feature").applyInPandas(total, schema).collect()
+            group = group.sort_values("feature")
+            feature = group["feature"].to_numpy()
+            first = np.flatnonzero(np.r_[True, feature[1:] != feature[:-1]])
+            sums = np.add.reduceat(np.stack([np.frombuffer(v) for v in group["vector"]]), first, axis=0)
+            return pd.DataFrame({"part": group["part"].iloc[0], "feature": feature[first], "vector": [v.tobytes() for v in sums]})
+
+        schema = "part long, feature long, vector binary"
+        got = rows.select("feature", "weight").mapInPandas(partial, schema).groupBy("part").applyInPandas(total, schema).collect()
         got.sort(key=lambda r: r["feature"])
-        return np.array([r["feature"] for r in got]), np.array([r["vector"] for r in got]).reshape(len(got), wide)
+        return np.array([r["feature"] for r in got]), np.array([np.frombuffer(r["vector"]) for r in got]).reshape(len(got), wide)
 
     features, z = summed(start)
     for _ in range(POWERS + 1):
@@ -183,7 +191,7 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 class _Space:
     """A latent space and the benchmark passages placed in it."""
 
-    def __init__(self, block: DataFrame) -> None:
+    def __init__(self, block: DataFrame, idf: np.ndarray) -> None:
         kept = block.collect()
         features, self.vectors = latent_space(block, len(kept)) if kept else (np.zeros(0, np.int64), np.zeros((0, 1), np.float32))
         self.place = np.full(FEATURES, -1, np.int32)
@@ -195,23 +203,43 @@ class _Space:
         for k, r in enumerate(kept):
             queries[k] = np.asarray(r["weight"], np.float32) @ self.vectors[self.place[r["feature"]]]
         norm = np.linalg.norm(queries, axis=1)
-        self.unit = queries / np.maximum(norm, 1e-12)[:, None]
+        unit = queries / np.maximum(norm, 1e-12)[:, None]
         # In the documents a passage isn't scaled to length 1, so an item's latent length is in units of its own length.
         self.latent_length = norm * np.array([r["length"] for r in kept], np.float32)
-
-    def near(self, window: np.ndarray, feature: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Window, passage and cosine of the candidates among windows, given the window of each feature occurrence."""
-        known = self.place[feature] >= 0
-        owner, f, count = weighted(window[known], feature[known].astype(np.uint64))
-        if not len(owner):
-            return owner, owner, np.zeros(0)
-        f = f.astype(np.int64)
-        first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-        latent = np.add.reduceat(self.vectors[self.place[f]] * (count * idf[f])[:, None].astype(np.float32), first, axis=0)
-        product, size = latent @ self.unit.T, np.linalg.norm(latent, axis=1)
+        self.vectors = self.vectors * idf[features][:, None].astype(np.float32)
+        # What one word adds to the product of a window with each item. Frequent words add little: with the most that a
+        # window of them can add, rare words alone tell which windows can reach an item at all.
+        self.added = self.vectors @ unit.T
+        frequent = idf[features] < np.log1p(1 / FREQUENT)
+        most = WINDOW * np.maximum(self.added[frequent].max(axis=0, initial=0), 0)
+        self.least = SHARE * self.latent_length - most
+        if (self.least <= 0).any():
+            self.least, frequent = SHARE * self.latent_length, np.zeros(len(features), bool)
+        self.rare = np.zeros(FEATURES, bool)
+        self.rare[features[~frequent]] = True
+
+    def near(self, window: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Window, passage and cosine of the candidates among windows, given the window of each word, and its feature."""
+
+        def sums(chosen: np.ndarray, each: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            own = window[chosen]
+            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            return own[first], np.add.reduceat(each[self.place[feature[chosen]]], first, axis=0)
+
+        none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        chosen = np.flatnonzero(self.rare[feature])
+        if not len(chosen):
+            return none
+        owner, product = sums(chosen, self.added)
+        likely = owner[(product >= self.least * (1 - 1e-4)).any(axis=1)]
+        if not len(likely):
+            return none
+        chosen = np.flatnonzero((self.place[feature] >= 0) & np.isin(window, likely))
+        owner, product = sums(chosen, self.added)
+        size = np.linalg.norm(sums(chosen, self.vectors)[1], axis=1)
         close = (product >= COSINE * size[:, None]) & (product >= SHARE * self.latent_length[None, :]) & (product > 0)
         x, item = np.nonzero(close)
-        return owner[first[x]], item, np.minimum(1.0, product[x, item] / size[x]).astype(float)
+        return owner[x], item, np.minimum(1.0, product[x, item] / size[x]).astype(float)
 
     def checked(self, hashes: np.ndarray, begin: int, item: int) -> tuple[float, float]:
         """Share of the passage's words that stand in order around ``begin``, and share of the answer's words there."""
@@ -221,7 +249,7 @@ class _Space:
 
 
 def _search(docs: DataFrame, blocks: list[DataFrame], idf: np.ndarray, id_col: str, text_col: str, item_col: str) -> DataFrame:
-    spaces = [_Space(block) for block in blocks]
+    spaces = [_Space(block, idf) for block in blocks]
     item_type = blocks[0].schema["item"].dataType
     item_arrow = to_arrow_type(item_type)
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField(item_col, item_type), *T.StructType.fromDDL("cosine double, lcs double, answer double").fields])
@@ -242,7 +270,7 @@ def _search(docs: DataFrame, blocks: list[DataFrame], idf: np.ndarray, id_col: s
                     window = np.repeat(np.arange(len(n)), n)
                     at = np.arange(len(window)) + np.repeat(begin[a : a + 4096] - (np.cumsum(n) - n), n)
                     for space in spaces:
-                        for w, item, cosine in zip(*(x.tolist() for x in space.near(window, feature[at], idf))):
+                        for w, item, cosine in zip(*(x.tolist() for x in space.near(window, feature[at]))):
                             doc = int(of[a + w])
                             lcs, answer = space.checked(hashes[cut[doc] : cut[doc + 1]], int(begin[a + w] - cut[doc]), item)
                             if lcs >= VERBATIM or (lcs >= PARAPHRASE and answer >= ANSWER):
