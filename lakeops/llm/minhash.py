@@ -21,7 +21,7 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 25, 5
 COORDINATES = BANDS * BAND_ROWS
 #: Members, and elements of all members, that one tile holds.
-TILE_MEMBERS, TILE_ELEMENTS = 256, 500_000
+TILE_MEMBERS, TILE_ELEMENTS = 256, 250_000
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(n) for n in range(20)])
 
 
@@ -113,15 +113,15 @@ def _node(content: np.ndarray) -> np.ndarray:
 
 def sketched(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, content (16 bytes: texts of the same words have the same), words, node, bands; null bands for a text without words."""
-    fields = T.StructType([docs.schema[id_col], *T.StructType.fromDDL("content binary, node long, words long, bands array<long>").fields])
-    fields[0].name = "id"
+    fields = T.StructType([T.StructField("id", docs.schema[id_col].dataType), *T.StructType.fromDDL("content binary, node long, words long, bands array<long>").fields])
     kinds = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
             texts = batch.column(1).cast(pa.binary()).to_pylist()
-            for first, group in grouped(texts):
+            # Each text has some COORDINATES * (ln COORDINATES + 3) darts, however short it is.
+            for first, group in grouped(texts, rows=512):
                 number, hashes, owner, shingle = _elements(hasher, group)
                 content = _content(number, hashes, len(group))
                 owner, element, weight = weighted(owner, shingle)
@@ -133,7 +133,7 @@ def sketched(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     ["id", "content", "node", "words", "bands"],
                 )
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, T.StructType(fields.fields))
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, fields)
 
 
 def _shingled(texts: DataFrame) -> DataFrame:

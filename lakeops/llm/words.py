@@ -90,13 +90,16 @@ class Hasher:
         return s, e, mix((total[e] - total[s]) * inverse[s] + (e - s).astype(np.uint64))
 
 
-def grouped(texts: list[bytes | None], most: int = SLICE_BYTES) -> Iterator[tuple[int, list[bytes]]]:
-    """Consecutive texts in groups of about ``most`` bytes, each with the number of its first text; null counts as empty."""
+def grouped(texts: list[bytes | None], most: int = SLICE_BYTES, rows: int = 4096) -> Iterator[tuple[int, list[bytes]]]:
+    """Consecutive texts in groups of about ``most`` bytes and at most ``rows`` texts, each with the number of its first one.
+
+    Null counts as empty.
+    """
     begin, held, size = 0, [], 0
     for k, text in enumerate(texts):
         held.append(text or b"")
         size += len(held[-1])
-        if size >= most:
+        if size >= most or len(held) == rows:
             yield begin, held
             begin, held, size = k + 1, [], 0
     if held:

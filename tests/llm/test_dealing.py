@@ -147,7 +147,7 @@ def test_top_k_of_odd_vectors(spark, monkeypatch):
     rng = np.random.default_rng(4)
     vectors = [(k - 100, [float(x) for x in rng.integers(-2, 3, 6) / 4]) for k in range(400)]
     vectors += [(None, [1.0] * 6), (1000, None), (1020, [None] * 6), (1040, [float("nan")] * 6), (1060, [float("inf")] * 6), (1080, []), (1100, [0.5, 0.25])]
-    vectors += [(40, vectors[140][1]), (41, vectors[141][1]), (1120, [1e9] * 6), (1121, [3e7] * 6)]
+    vectors += [(40, vectors[140][1]), (41, vectors[141][1]), (1120, [1e7] * 6), (1121, [3e7] * 6)]
     df = spark.createDataFrame([(i, v, 1) for i, v in vectors], "id long, embedding array<double>, score int")
     got = topk.top_k(df.where("id % 20 = 0"), df, 7, "id", "embedding").collect()
     assert sorted(tuple(r) for r in got) == _plain_top(vectors, 7)
