@@ -1,41 +1,44 @@
-"""Connected components of a link table, as joins and groupings; rounds are kept by reliable checkpoints."""
+"""Connected components of a link table, as joins and groupings; each round is kept in the shared folder."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.session import cut_lineage
+from lakeops.session import new_path, remove_path
 
 
-def _star(links: DataFrame, larger: bool) -> DataFrame:
-    """One star step: the neighbours of each node (only larger or only smaller ones) are linked to its least neighbour."""
-    both = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    if larger:
-        both = both.union(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    else:
-        both = both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("of"), F.least("u", "m").alias("m"))
-    out = both.join(least, both["u"] == least["of"]).select("u", "v", "m")
-    if larger:
-        return out.where("v > u and v <> m").select(F.col("v").alias("a"), F.col("m").alias("b"))
-    return out.select(F.col("v").alias("a"), F.col("m").alias("b")).union(out.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
+def _round(links: DataFrame) -> DataFrame:
+    """Links (a, b), a above b, moved towards the least node.
+
+    First each link's lower end gives way to its own least neighbour, then all lower ends of a node are linked to the
+    least of them. Least neighbours are partial minima; a hot lower end is one side of a join that adaptive execution splits.
+    """
+    least = links.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("of"), "m")
+    lowered = links.join(least, links["b"] == least["of"], "left").select("a", F.coalesce("m", "b").alias("b"))
+    root = lowered.groupBy("a").agg(F.min("b").alias("m"))
+    both = F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("m").alias("y")), F.struct(F.col("b").alias("x"), F.col("m").alias("y")))).alias("l")
+    return lowered.join(root, "a").select(both).select(F.col("l.x").alias("a"), F.col("l.y").alias("b")).where("a <> b").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``component``, the least node it is linked with, for every node of ``links`` (columns a, b).
 
-    Alternating star steps until nothing changes; least neighbours are found with partial minima, and a hot node's links
-    are spread by adaptive skew splitting. Loops and repeated links don't matter; no links give no rows.
+    Rounds go on until nothing changes. Loops and repeated links don't matter; no links give no rows.
     """
-    now = cut_lineage(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
-    state = None
+    spark = links.sparkSession
+    now = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+    state = path = None
     while True:
-        now = cut_lineage(_star(_star(now, True), False))
-        # Every link falls towards its root, so equal counts and sums of both ends mean that nothing has moved.
-        seen = tuple(now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        last, path = path, new_path(spark)
+        now.write.parquet(path)
+        if last:
+            remove_path(spark, last)
+        held = spark.read.schema(now.schema).parquet(path)
+        # Each change lowers an end of a link, so equal counts and hashes mean that nothing has moved.
+        seen = tuple(held.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if seen == state:
             break
-        state = seen
-    roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
+        state, now = seen, _round(held)
+    roots = held.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    return held.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)

@@ -251,7 +251,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         left = known.join(open_, "bucket", "left_semi")
         other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("other")
         pairs = left.select("*", other).where("other <> tile").withColumns({"one": F.least("tile", "other"), "two": F.greatest("tile", "other")})
-        classes = written_out(components(links.union(linked(pairs, "one", "two"))))
+        settled = classes.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        classes = written_out(components(settled.union(linked(pairs, "one", "two"))))
     settled = nodes.select("node", "least").join(classes, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = settled.groupBy("component").agg(F.min("least").alias("class_id"))
     class_of = settled.join(least, "component").select("node", "class_id")
