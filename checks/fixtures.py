@@ -58,6 +58,22 @@ FIXTURES = {
                      cast(date_trunc('year', l_shipdate) as timestamp_ntz) as price_start_time,
                      cast(1 + round(avg(cast(l_discount as decimal(18,4))), 4) as decimal(18,4)) as price
               from lineitem where not (l_returnflag = 'R' and year(l_shipdate) < 1997) group by 1, 2) p""",
+    # Finer than cents: rounding a row, or a price, before the sum gives another total.
+    "fx_fine_usage": """
+        select l_suppkey as cluster_id, l_returnflag as sku_name, l_shipdate as usage_start_time,
+               cast(cast(l_quantity as decimal(18,6)) / 1000 as decimal(18,6))
+               + cast(cast(l_tax as decimal(18,6)) / 10000 as decimal(18,6)) as usage_quantity
+        from lineitem""",
+    "fx_fine_prices": """
+        select sku_name, price_start_time, price_end_time,
+               cast(price as decimal(18,8)) + cast(0.00003457 as decimal(18,8)) as price
+        from (select sku_name, price_start_time,
+                     lead(price_start_time) over (partition by sku_name order by price_start_time) as price_end_time,
+                     price
+              from (select l_returnflag as sku_name, cast(date_trunc('year', l_shipdate) as timestamp_ntz)
+                               as price_start_time,
+                           cast(1 + round(avg(cast(l_discount as decimal(18,4))), 4) as decimal(18,4)) as price
+                    from lineitem group by 1, 2) y) p""",
     "fx_objects": """
         select 'DB' || cast(p_partkey % 5 as string) as src_db,
                case when p_partkey % 50 = 49 then 'INFORMATION_SCHEMA' else 'PUB' end as table_schema,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from checks.fixtures import (
     BODY, CALLS_DONE, N, PREFIXES, QUOTE, SRC, TABLES, TICK_DONE, text_of, with_fixtures,
 )
+from lakeops.functions.refs import SQL_KEYWORDS
 
 PRICED = """
     select u.*, p.price_start_time, p.price_end_time, p.price
@@ -13,12 +14,14 @@ PRICED = """
      and (p.price_end_time is null or u.usage_start_time < p.price_end_time)"""
 
 COST = f"""
-    select cluster_id, cast(round(sum(usage_quantity), 2) as decimal(18,2)) as total_dbus_consumed,
-           cast(round(sum(usage_quantity * price), 2) as decimal(18,2)) as estimated_cost_usd
+    select cluster_id, cast(round(sum(usage_quantity), 2) as decimal(38,2)) as total_dbus_consumed,
+           cast(round(sum(usage_quantity * price), 2) as decimal(38,2)) as estimated_cost_usd
     from ({PRICED}) p
     where usage_start_time >= timestamp '1997-01-01' and cluster_id is not null
     group by cluster_id"""
 
+FINE_COST = COST.replace("fx_usage", "fx_fine_usage").replace("fx_prices", "fx_fine_prices")
+
 PAIRS = """
     select job_id, existing_cluster_id as cluster_id, cast(count(*) as int) as num_tasks_on_cluster
     from fx_tasks where existing_cluster_id is not null group by 1, 2"""
@@ -61,8 +64,8 @@ def _audit(cost: str) -> str:
 
 
 NO_COST = """
-    select null::bigint as cluster_id, null::decimal(18,2) as total_dbus_consumed,
-           null::decimal(18,2) as estimated_cost_usd"""
+    select null::bigint as cluster_id, null::decimal(38,2) as total_dbus_consumed,
+           null::decimal(38,2) as estimated_cost_usd"""
 
 MAPPING = "select * from fx_mapping where trim(source_database) <> '' and trim(destination_catalog) <> ''"
 
@@ -85,11 +88,7 @@ OBJECTS = f"""
 # The three names of a reference stand between dots; no name in the data holds one.
 PART = '(?:"[^"]+"|[A-Z_][A-Z0-9_]*)'
 THREE = rf"(?i){PART}\.{PART}\.{PART}"
-KEYWORDS = (
-    "'SELECT','FROM','WHERE','JOIN','ON','AND','OR','NOT','AS','WITH','UNION','GROUP','ORDER','BY','HAVING','LIMIT',"
-    "'DISTINCT','CASE','WHEN','THEN','ELSE','END','LEFT','RIGHT','INNER','OUTER','FULL','CROSS','INTO','INSERT',"
-    "'UPDATE','DELETE'"
-)
+KEYWORDS = ", ".join(f"'{word}'" for word in SQL_KEYWORDS)
 
 
 def _refs(source: str, ids: str, text: str) -> str:
@@ -159,11 +158,10 @@ STAGED = f"""
     where coalesce(upper(procedure_language), 'SQL') <> 'SQL'"""
 
 REQUEST = """
-    'Translate.' || chr(10) || chr(10) || 'Source database: ' || source_db || chr(10) || 'Target catalog: '
-    || target_catalog || chr(10) || 'Target name: ' || target_name || chr(10) || 'Source language: ' || language
-    || chr(10) || 'Argument signature: ' || arg_signature || chr(10) || 'Return type: '
-    || coalesce(return_type, 'VARIANT') || chr(10) || chr(10) || 'Original procedure body:' || chr(10)
-    || original_body || chr(10)"""
+    'Translate.' || chr(10) || chr(10) || 'source_name: ' || source_name || chr(10) || 'target_name: ' || target_name
+    || chr(10) || 'language: ' || language || chr(10) || 'arg_signature: ' || arg_signature || chr(10)
+    || 'return_type: ' || coalesce(return_type, 'VARIANT') || chr(10) || 'source_db: ' || source_db || chr(10)
+    || 'target_catalog: ' || target_catalog || chr(10) || 'original_body:' || chr(10) || original_body"""
 
 TYPES = """
     select *, case
@@ -222,6 +220,7 @@ BODIES = " union all ".join(
 ORACLES = {
     "cost_rollup": COST,
     "cost_rollup_nested": COST,
+    "cost_rollup_fine": FINE_COST,
     "interval_price_join": PRICED,
     "interval_price_join_by_month": PRICED,
     "flatten_tasks": """
@@ -241,6 +240,8 @@ ORACLES = {
     "cluster_lookup": LOOKUP,
     "audit_report": _audit(COST),
     "audit_report_no_cost": _audit(NO_COST),
+    "audit_report_fine": _audit(FINE_COST),
+    "audit_report_snapshots": f"select * replace (cast(cluster_id as varchar) as cluster_id) from ({_audit(COST)}) a",
     "mapping_clean": MAPPING,
     "discover_objects": OBJECTS,
     "discover_objects_ignore_case": FOUND,
@@ -256,6 +257,7 @@ ORACLES = {
         where kind = 'view'""",
     "extract_refs": REFS,
     "extract_refs_pages": _refs("pages", "page_id", "url"),
+    "extract_refs_html": _refs("pages", "page_id", "html"),
     "extract_refs_documents": _refs("documents", "doc_id", "text"),
     "external_refs": EXTERNAL,
     "external_refs_by_db": f"""
@@ -316,7 +318,16 @@ ORACLES = {
         union all
         select 'WIDE', count(*) filter (cast(l_extendedprice as decimal(18,2)) * 1000000000000 > 9223372036854775807)
         from lineitem""",
+    "type_overflow_fraction": """
+        select 'PART' as column_name, count(*) filter (l_discount * 100 % 4 <> 0) as n_overflow from lineitem
+        union all
+        select 'WHOLE', 0""",
     "copy_snapshot": COPIED,
+    "copy_name_clash": """
+        select 'spark_catalog.dst.orders' as "table", 'failed' as status, null::bigint as "rows", false as written
+        from range(2)
+        union all
+        select 'spark_catalog.dst.nation', 'table_created', count(*), false from nation""",
     "copy_counts": _per_table("select 'dst.{t}' as \"table\", count(*) as n_rows from {t}"),
     "recreate_views": f"""
         {_per_table("select 'v_{t}' as name, 0 as level, 'view_created' as status, null::bigint as n")}
@@ -327,6 +338,9 @@ ORACLES = {
         {COPIED}
         union all select 'spark_catalog.dst.a_orders', 'view', 'view_created', null, null
         union all select 'spark_catalog.dst.z_orders', 'view', 'view_created', null, null""",
+    "federated_copy_partial": f"""
+        select * exclude (error), '2026-01-01 00:00:00' as migrated_at from ({COPIED}) c
+        union all select 'no_such_database', 'database', 'failed', null, '2026-01-01 00:00:00'""",
     "remote_query_scan": "select o_custkey, count(*) as n_orders from orders group by 1",
     "remote_table_scan": "select * from orders",
     "discover_spark_catalog": _per_table(

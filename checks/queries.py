@@ -16,12 +16,13 @@ from lakeops.functions.names import object_id, plain_name, with_destination
 from lakeops.functions.refs import extract_refs
 from lakeops.functions.rewrite import rewrite_backtick, rewrite_dquote, select_body, view_columns
 from lakeops.operators import audit, cost, deps, discovery, procedures, typing_plan
+from lakeops.plans import translation
 from lakeops.plans.audit_report import audit_report
 from lakeops.plans.federated import federated_copy
 from lakeops.plans.migration import IDENTITY, plan_views, preflight, run_migration
-from lakeops.session import scratch_database
+from lakeops.session import new_path, scratch_database
 from lakeops.sinks import runlog, tables, views
-from lakeops.sources import catalog, connector, mapping
+from lakeops.sources import catalog, connector, mapping, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,6 +59,12 @@ def cost_rollup_nested(spark, d):
     )
 
 
+@query
+def cost_rollup_fine(spark, d):
+    """Quantities of six and prices of eight decimal places."""
+    return cost.cost_rollup(fixture(spark, d, "fx_fine_usage"), fixture(spark, d, "fx_fine_prices"), "1997-01-01")
+
+
 def _interval_price_join(spark, d, grain):
     usage, prices = fixture(spark, d, "fx_usage"), fixture(spark, d, "fx_prices")
     return cost.interval_join(
@@ -124,9 +131,9 @@ def cluster_lookup(spark, d):
     return audit.cluster_lookup(pairs, audit.cluster_dim(fixture(spark, d, "fx_clusters")))
 
 
-def _audit(spark, d, with_cost):
+def _audit(spark, d, *cost_fixtures):
     names = ["fx_jobs", "fx_tasks", "fx_clusters", "fx_runs"]
-    usage, prices = (fixture(spark, d, n) if with_cost else None for n in ("fx_usage", "fx_prices"))
+    usage, prices = [fixture(spark, d, n) for n in cost_fixtures] or (None, None)
     stamp = F.lit(AS_OF).cast("timestamp_ntz")
     return audit_report(
         *[fixture(spark, d, n) for n in names], usage, prices, HOST, AS_OF, LOOKBACK, snapshot_at=stamp
@@ -135,12 +142,53 @@ def _audit(spark, d, with_cost):
 
 @query
 def audit_report_query(spark, d):
-    return _audit(spark, d, True)
+    return _audit(spark, d, "fx_usage", "fx_prices")
 
 
 @query
 def audit_report_no_cost(spark, d):
-    return _audit(spark, d, False)
+    return _audit(spark, d)
+
+
+@query
+def audit_report_fine(spark, d):
+    return _audit(spark, d, "fx_fine_usage", "fx_fine_prices")
+
+
+def _exported(spark, d) -> dict[str, DataFrame]:
+    """The fixtures as exported records, written and read again."""
+    read = {n: fixture(spark, d, f"fx_{n}") for n in ("jobs", "tasks", "clusters", "runs", "usage", "prices")}
+    text = lambda c: F.col(c).cast("string").alias(c)
+    instant = lambda c: F.col(c).cast("timestamp").alias(c)
+    tasks = read["tasks"].groupBy("job_id").agg(F.collect_list(F.struct(text("existing_cluster_id"))).alias("tasks"))
+    records = {
+        "jobs": read["jobs"].join(tasks, "job_id", "left").select("job_id", F.struct(F.col("job_name").alias("name"), "tasks").alias("settings")),
+        "clusters": read["clusters"].select(
+            text("cluster_id"), "cluster_name", "node_type_id", "driver_node_type_id", "num_workers", "spark_version", "cluster_source",
+            F.struct(F.col("autoscale_min").alias("min_workers"), F.col("autoscale_max").alias("max_workers")).alias("autoscale"),
+        ),
+        "runs": read["runs"].select(
+            "job_id", "run_id", F.unix_millis(F.col("start_time").cast("timestamp")).alias("start_time"), F.struct("result_state", "life_cycle_state").alias("state")
+        ),
+        "usage": read["usage"].select("sku_name", instant("usage_start_time"), "usage_quantity", F.struct(text("cluster_id")).alias("usage_metadata")),
+        "prices": read["prices"].select("sku_name", instant("price_start_time"), instant("price_end_time"), F.struct(F.col("price").alias("default")).alias("pricing")),
+    }
+    path = new_path(spark)
+    for name, rows in records.items():
+        rows.write.json(f"{path}/{name}")
+    return {name: snapshots.read_snapshot(spark, name, f"{path}/{name}") for name in records}
+
+
+@query
+def audit_report_snapshots(spark, d):
+    """The report over exported records."""
+    found = _exported(spark, d)
+    return audit_report(
+        snapshots.jobs_input(found["jobs"]), snapshots.tasks_input(found["jobs"]),
+        snapshots.clusters_input(found["clusters"]), snapshots.runs_input(found["runs"]),
+        snapshots.usage_input(found["usage"]), snapshots.prices_input(found["prices"]),
+        HOST, AS_OF, LOOKBACK, snapshot_at=F.lit(AS_OF).cast("timestamp_ntz"),
+    )
 
 
 # --- discovery ---------------------------------------------------------------
@@ -215,6 +263,11 @@ def extract_refs_pages(spark, d):
     return extract_refs(given(spark, d, "pages"), ["page_id"], "url")
 
 
+@query
+def extract_refs_html(spark, d):
+    return extract_refs(given(spark, d, "pages"), ["page_id"], "html")
+
+
 @query
 def extract_refs_documents(spark, d):
     return extract_refs(given(spark, d, "documents"), ["doc_id"], "text")
@@ -366,9 +419,11 @@ def translation_request(spark, d):
 
 @query
 def translate_procedures(spark, d):
-    name = f"{scratch_database(spark, 'translated')}.procedures"
-    tables.overwrite_table(procedures.translate(_staged(spark, d)), name)
-    return procedures.to_review(spark.table(name)).drop("translated_at")
+    database = scratch_database(spark, "translated")
+    found = translation.translate_procedures(
+        spark, _mapping(spark, d), fixture(spark, d, "fx_procs"), f"{database}.staged", f"{database}.translated"
+    )
+    return found.drop("translated_at")
 
 
 @query
@@ -437,6 +492,17 @@ def type_overflow(spark, d):
     return typing_plan.overflow_counts(df, plan)
 
 
+@query
+def type_overflow_fraction(spark, d):
+    """Fractions that a whole-number target would cut off."""
+    plan = _stated_plan(spark, [("PART", "NUMBER", 9, None), ("WHOLE", "NUMBER", 38, 0)])
+    cents = F.col("l_discount").cast("decimal(18,2)") * 100
+    df = given(spark, d, "lineitem").select(
+        (cents / 4).cast("decimal(18,2)").alias("PART"), cents.cast("decimal(18,2)").alias("WHOLE")
+    )
+    return typing_plan.overflow_counts(df, plan)
+
+
 # --- copies and logs ------------------------------------------------------------------
 
 
@@ -477,6 +543,19 @@ def copy_snapshot(spark, d):
     return _neutral(copied, destination, "table")
 
 
+@query
+def copy_name_clash(spark, d):
+    """Two source tables whose names fold to one destination, beside one that is alone there."""
+    source, destination = _warehouse(spark, d), scratch_database(spark, "clash")
+    names = {"ORDERS": "orders", "Orders": "customer", "NATION": "nation"}
+    objects = spark.createDataFrame(
+        [("spark_catalog", destination, name) for name in names], "dst_cat string, schema string, name string"
+    )
+    copied = tables.copy_tables(spark, objects, lambda o: spark.table(f"{source}.{names[o.name]}"))
+    written = F.lit(spark.catalog.tableExists(f"{destination}.orders"))
+    return _neutral(copied.withColumn("written", written), destination, "table").select("table", "status", "rows", "written")
+
+
 @query
 def copy_counts(spark, d):
     database = _warehouse(spark, d)
@@ -560,6 +639,18 @@ def federated_copy_query(spark, d):
     return _neutral(federated_copy(spark, pairs, unit="database"), destination, "table")
 
 
+@query
+def federated_copy_partial(spark, d):
+    """One source is missing; the other is copied, and all outcomes are in the run log."""
+    source, destination = _warehouse(spark, d), scratch_database(spark, "federated")
+    pairs = spark.createDataFrame(
+        [("no_such_database", destination), (source, destination)], "source_catalog string, destination_catalog string"
+    )
+    log = f"{scratch_database(spark, 'log')}.run_log"
+    federated_copy(spark, pairs, unit="database", log_table=log, run_ts=RUN_TS)
+    return _neutral(spark.table(log).drop("error"), destination, "table")
+
+
 @query
 def remote_query_scan(spark, d):
     database = _warehouse(spark, d)

@@ -31,9 +31,10 @@ CALLS = {
 _NAMES = "|".join(sorted({name for name, _ in CALLS}))
 _MENTIONED = rf"(?i)\b(?:{_NAMES})\s*\("
 # What the scan stops at. Strings, quoted names and comments are single tokens,
-# so a parenthesis or comma inside them is text.
+# so a parenthesis or comma inside them is text; one that is not closed runs to
+# the end of the text, so no part of it is scanned twice.
 _TOKEN = re.compile(
-    rf"""'(?:[^']|'')*' | "[^"]*" | --[^\n]* | /\*.*?\*/
+    rf"""'[^']*(?:''[^']*)*(?:'|\Z) | "[^"]*(?:"|\Z) | --[^\n]* | /\*.*?(?:\*/|\Z)
       | (?<![\w.])(?P<name>{_NAMES})\s*\( | (?P<open>\() | (?P<comma>,) | (?P<close>\))""",
     re.IGNORECASE | re.DOTALL | re.VERBOSE,
 )

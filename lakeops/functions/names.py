@@ -44,3 +44,11 @@ def with_destination(
     out = objects.withColumns({"dst_schema": fold(F.col(schema)), "dst_name": fold(F.col(name))})
     parts = (F.col(catalog), F.col("dst_schema"), F.col("dst_name"))
     return out.withColumns({"dst_fq": quoted_name(*parts), "dst_plain": plain_name(*parts)})
+
+
+def with_clash(objects: DataFrame, column: str = "n_same") -> DataFrame:
+    """Add how many objects end at an object's destination, in any case: more than one must not be written."""
+    at = F.lower("dst_plain")
+    several = objects.groupBy(at.alias("_at")).agg(F.count(F.lit(1)).alias(column)).filter(F.col(column) > 1)
+    counted = objects.join(several, at == F.col("_at"), "left")
+    return counted.select(*objects.columns, F.coalesce(column, F.lit(1)).alias(column))

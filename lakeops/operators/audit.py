@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeops.operators.skew import salted_join
 
-# Labels of the report, and how it writes a start (the text form of a time without zone).
+# Labels of the report, and the characters of a start in it (YYYY-MM-DD HH:MM:SS).
 UNKNOWN = "Unknown"
 ABSENT_CLUSTER = "UNKNOWN/TERMINATED"
-START_FORMAT = "YYYY-MM-DD HH:MM:SS"
+START_LENGTH = 19
 
 
 def cutoff(as_of: datetime | str, days_lookback: int) -> datetime:
@@ -82,6 +83,18 @@ def _start_bounds(runs: DataFrame, start: str, since: datetime) -> tuple[Column,
     return F.lit(since.isoformat(" ")).cast("timestamp"), _utc_clock(F.unix_seconds(F.col(start)))
 
 
+def _order_number(start: Column, kind: T.DataType) -> tuple[Column, int]:
+    """A start as a whole number that orders as it does, and how many of them make a second."""
+    if isinstance(kind, T.IntegralType):
+        return start.cast("decimal(19,0)"), 1000
+    if isinstance(kind, T.TimestampNTZType):
+        # Local times count from their own midnight of 1970, so no change of clocks moves them.
+        days = F.unix_date(F.to_date(start)).cast("long")
+        whole = (days * 24 + F.hour(start)) * 60 + F.minute(start)
+        return (whole * 60 * 1_000_000 + F.extract(F.lit("SECOND"), start) * 1_000_000).cast("decimal(19,0)"), 1_000_000
+    return F.unix_micros(start).cast("decimal(19,0)"), 1_000_000
+
+
 def latest_run(
     runs: DataFrame,
     as_of: datetime | str,
@@ -95,30 +108,39 @@ def latest_run(
 ) -> DataFrame:
     """Latest run of each job that started at or after the cutoff.
 
-    Ties go to the higher run id. A maximum, unlike a ranking window, is taken
-    before the shuffle too, so a job with very many runs sends one row per task.
-    Starts are epoch milliseconds (0 reads as unknown) or timestamps.
+    Ties go to the higher run id, then to the higher state. Starts are epoch
+    milliseconds (0 reads as unknown) or timestamps.
+
+    Start and run id become one number, whose maximum for each job and state is
+    kept in a hash table while the runs are read: no run is sorted, and a job
+    with very many runs sends one row per state and task. Run ids that are not
+    whole numbers are compared as they are, which sorts.
     """
     since, clock = _start_bounds(runs, start, cutoff(as_of, days_lookback))
-    latest = F.max(
-        F.struct(
-            F.col(start).alias("_start"),
-            F.col(run).alias("run"),
-            clock.alias("clock"),
-            F.coalesce(F.col(result_state), F.col(life_cycle_state)).alias("state"),
-        )
-    )
-    return (
-        runs.filter(F.col(start) >= since)
-        .groupBy(F.col(job).alias("job_id"))
-        .agg(latest.alias("_latest"))
-        .select(
-            "job_id",
-            F.col("_latest.run").alias("latest_run_id"),
-            F.substring(F.col("_latest.clock").cast("string"), 1, len(START_FORMAT)).alias("latest_run_start_time"),
-            F.col("_latest.state").alias("latest_run_state"),
-        )
-    )
+    kind, run_kind = (runs.select(c).schema[0].dataType for c in (start, run))
+    state = F.coalesce(F.col(result_state), F.col(life_cycle_state)).alias("state")
+    recent = runs.filter(F.col(start) >= since)
+    job_id = F.col(job).alias("job_id")
+    if isinstance(run_kind, T.IntegralType):
+        number, per_second = _order_number(F.col(start), kind)
+        base, middle = (F.lit(Decimal(n)).cast("decimal(20,0)") for n in (1 << 64, 1 << 63))
+        rank = number * base + F.coalesce(F.col(run).cast("decimal(19,0)") + middle, F.lit(0))
+        best = recent.select(job_id, state, rank.cast("decimal(38,0)").alias("rank")).groupBy("job_id", "state").agg(F.max("rank").alias("rank"))
+        # A row for each state of a job is left.
+        last = Window.partitionBy("job_id").orderBy(F.col("rank").desc(), F.col("state").desc())
+        best = best.withColumn("place", F.row_number().over(last)).filter("place = 1")
+        run_part = F.pmod("rank", base)
+        run_id = F.when(run_part != 0, (run_part - middle).cast(run_kind))
+        seconds = F.floor((F.col("rank") - run_part) / base / per_second)
+        known = F.col("rank") - run_part != 0 if isinstance(kind, T.IntegralType) else F.lit(True)
+        return best.select("job_id", run_id.alias("latest_run_id"), _start_text(F.when(known, _utc_clock(seconds))), F.col("state").alias("latest_run_state"))
+    latest = F.max(F.struct(F.col(start).alias("start"), F.col(run).alias("run"), clock.alias("clock"), state))
+    best = recent.groupBy(job_id).agg(latest.alias("latest"))
+    return best.select("job_id", F.col("latest.run").alias("latest_run_id"), _start_text(F.col("latest.clock")), F.col("latest.state").alias("latest_run_state"))
+
+
+def _start_text(clock: Column) -> Column:
+    return F.substring(clock.cast("string"), 1, START_LENGTH).alias("latest_run_start_time")
 
 
 def cluster_dim(

@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MONEY = "decimal(18,2)"
+# Sums of money and units, rounded to cents: wide enough for any sum of the inputs.
+MONEY = "decimal(38,2)"
+# What a quantity or price is read as, and its decimal places: eighteen are what exports of usage and prices declare.
+EXACT, PLACES = "decimal(38,18)", 18
 
 
 # Calendar units an interval can be split by, each with its step.
@@ -87,6 +90,41 @@ def interval_join(
     return lhs.join(rhs, matches, how).select(*kept)
 
 
+def _parts(value: Column) -> tuple[Column, Column]:
+    """Whole part of an exact value, and the rest in units of its last place; both whole numbers of the value's sign."""
+    whole = F.when(value < 0, F.ceil(value)).otherwise(F.floor(value)).cast("decimal(20,0)")
+    rest = (value - whole).cast(f"decimal({PLACES + 1},{PLACES})")
+    return whole, (rest * F.lit(10**9).cast("decimal(10,0)") * F.lit(10**9).cast("decimal(10,0)")).cast(f"decimal({PLACES},0)")
+
+
+def _exact_products(quantity: Column, price: Column) -> dict[str, Column]:
+    """Quantity times price in three whole numbers: units, units of 10^-18, units of 10^-36.
+
+    A product of two values of 18 places has 36 of them, more than a decimal of 38 digits leaves room for.
+    """
+    (q, q_rest), (p, p_rest) = _parts(quantity), _parts(price)
+    return {"_units": q * p, "_middle": q * p_rest + q_rest * p, "_low": q_rest * p_rest}
+
+
+def _rounded_total() -> Column:
+    """The three sums as one amount, rounded to cents once, halves away from zero."""
+    base = F.lit(10**PLACES).cast(f"decimal({PLACES + 1},0)")
+
+    def split(total: Column) -> tuple[Column, Column]:
+        # Whole division in decimals, downwards: the operator for it gives 64 bits.
+        rest = F.pmod(total, base).cast(f"decimal({PLACES + 1},0)")
+        return ((total - rest) / base).cast("decimal(38,0)"), rest
+
+    carried, below = split(F.sum("_low"))
+    carried, rest = split((F.sum("_middle") + carried).cast("decimal(38,0)"))
+    units = (F.sum("_units") + carried).cast("decimal(36,0)")
+    cents, part = split(rest * 100)
+    half = part * 2
+    up = (half > base) | ((half == base) & ((below > 0) | (units >= 0)))
+    cents = cents.cast("decimal(4,0)") + F.when(up, 1).otherwise(0)
+    return (units + cents / 100).cast(MONEY)
+
+
 def cost_rollup(
     usage: DataFrame,
     prices: DataFrame,
@@ -107,6 +145,10 @@ def cost_rollup(
     ``pricing.default``); each key column is named by its last part. Usage with
     no price counts as units without cost. Several prices for one unit and
     instant multiply both sums; pass more columns in ``on`` to tell them apart.
+
+    Nothing is rounded before the sums: quantities and prices are taken to
+    ``PLACES`` decimal places, quantities are summed for each price first, and
+    each sum is multiplied once, exactly. The totals are rounded to cents.
     """
     day = str(since)[:10]
     wanted = usage.filter(F.col(at) >= F.lit(day).cast(usage.select(at).schema[0].dataType))
@@ -114,10 +156,16 @@ def cost_rollup(
         wanted = wanted.filter(F.col(key).isNotNull())
     named = [F.col(key).alias(key.split(".")[-1]) for key in keys]
     # Exact types before the sum: the order of additions must not matter.
-    slim = wanted.select(*named, *on, at, F.col(quantity).cast(MONEY).alias("_quantity"))
-    listed = prices.select(*on, start, end, F.col(price).cast("decimal(18,4)").alias("_price"))
+    slim = wanted.select(*named, *on, at, F.col(quantity).cast(EXACT).alias("_quantity"))
+    listed = prices.select(*on, start, end, F.col(price).cast(EXACT).alias("_price"))
     priced = interval_join(slim, listed, on, at, start, end, grain=grain)
-    return priced.groupBy(*[key.split(".")[-1] for key in keys]).agg(
-        F.round(F.sum("_quantity"), 2).cast(MONEY).alias("total_dbus_consumed"),
-        F.round(F.sum(F.col("_quantity") * F.col("_price")), 2).cast(MONEY).alias("estimated_cost_usd"),
+    names = [key.split(".")[-1] for key in keys]
+    per_price = priced.groupBy(*names, "_price").agg(F.sum("_quantity").alias("_quantity"))
+    return (
+        per_price.withColumns(_exact_products(F.col("_quantity"), F.col("_price")))
+        .groupBy(*names)
+        .agg(
+            F.round(F.sum("_quantity"), 2).cast(MONEY).alias("total_dbus_consumed"),
+            _rounded_total().alias("estimated_cost_usd"),
+        )
     )

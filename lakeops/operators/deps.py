@@ -3,20 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops.functions.names import object_id, plain_name
-from lakeops.operators.skew import salted_join
-from lakeops.session import cut_lineage, written_out
-
-# Levels after which the settled nodes are gathered into one table, so the plan stays short.
-GATHER_EVERY = 16
-# Nodes of a round that are broadcast; above, the join is shuffled. At a few
-# hundred bytes per name this is some ten megabytes.
-BROADCAST_ROWS = 50_000
+from lakeops.session import new_path, remove_path, written_out
 
 
 def external_refs(
@@ -74,38 +67,42 @@ def dependency_levels(nodes: DataFrame, edges: DataFrame, *, node: str = "view_i
     Nodes on a cycle or downstream of one share one extra level at the end and
     are flagged ``is_circular``. ``edges`` join nodes of ``nodes``.
 
-    Each round takes the nodes settled last and counts, per node reading them,
-    how many of its dependencies are settled; a node with all of them is next.
-    The edges are written once and then only scanned, as long as a round's nodes
-    are few enough to broadcast. What a round leaves is checkpointed, so neither
-    the plan nor a recovery grows with the depth.
+    A round marks the edges whose dependency was settled last and keeps the
+    others: nodes with marked edges only are settled next. It is one write of
+    the edges still open and one look whether it settled any node, so rounds get
+    cheaper as levels settle, and neither the plan nor a recovery grows with the
+    depth. The rounds lie side by side in the shared folder, are read once more
+    for the result, and then removed.
     """
-    distinct = edges.select(node, dep).filter(F.col(node) != F.col(dep)).distinct()
-    needed = distinct.groupBy(node).agg(F.count(F.lit(1)).alias("_needed"))
-    links = written_out(salted_join(distinct, needed, node, spread_by=dep, how="inner"))
-    bottom = cut_lineage(nodes.select(node).distinct().join(links.select(node), node, "left_anti"))
-    front, n_front = bottom, bottom.count()
-    started = links.select(node, "_needed", F.lit(0).cast("bigint").alias("_met")).filter(F.lit(False))
-    settled = [bottom.withColumn("level", F.lit(0))]
+    spark = nodes.sparkSession
+    path = new_path(spark)
+    schema = T.StructType([edges.schema[node], edges.schema[dep], T.StructField("_met", T.BooleanType())])
+    every = nodes.select(node).distinct()
+    open_ = edges.select(node, dep).filter(F.col(node) != F.col(dep)).distinct()
+    front = every.join(open_.select(node), node, "left_anti")
     level = 0
-    while n_front:
+    while True:
         level += 1
-        newest = front.select(F.col(node).alias(dep))
-        if n_front <= BROADCAST_ROWS:
-            newest = F.broadcast(newest)
-        met = links.join(newest, dep, "left_semi").select(node, "_needed", F.lit(1).cast("bigint").alias("_met"))
-        tally = cut_lineage(started.union(met).groupBy(node, "_needed").agg(F.sum("_met").alias("_met")))
-        front = tally.filter("_met = _needed").select(node)
-        started = tally.filter("_met < _needed")
-        n_front = front.count()
-        settled.append(front.withColumn("level", F.lit(level)))
-        if len(settled) == GATHER_EVERY:
-            settled = [cut_lineage(reduce(DataFrame.union, settled))]
-    placed = nodes.select(node).distinct().join(reduce(DataFrame.union, settled), node, "left")
-    # The last round settled nothing, so its number is the level after the last.
-    return placed.select(
-        node, F.coalesce("level", F.lit(level)).alias("level"), F.isnull("level").alias("is_circular")
+        settled = not front.isEmpty()
+        newest = front.select(F.col(node).alias(dep), F.lit(True).alias("_met"))
+        marked = open_.join(newest, dep, "left").select(node, dep, F.coalesce("_met", F.lit(False)).alias("_met"))
+        marked.write.parquet(f"{path}/level={level}")
+        if not settled:
+            break
+        last = spark.read.schema(schema).parquet(f"{path}/level={level}")
+        front = last.groupBy(node).agg(F.min("_met").alias("_met")).filter("_met").select(node)
+        open_ = last.filter(~F.col("_met")).select(node, dep)
+    rounds = spark.read.schema(T.StructType([*schema, T.StructField("level", T.IntegerType())])).parquet(path)
+    above = rounds.groupBy(node).agg(F.max(F.when(F.col("_met"), F.col("level"))).alias("level"), F.max("level").alias("_seen"))
+    # A node that is open in the last round, which settled nothing, is on a cycle or above one.
+    placed = every.join(above, node, "left").select(
+        node,
+        F.when(F.col("_seen") == level, F.lit(level - 1)).otherwise(F.coalesce("level", F.lit(0))).alias("level"),
+        F.coalesce(F.col("_seen") == level, F.lit(False)).alias("is_circular"),
     )
+    result = written_out(placed)
+    remove_path(spark, path)
+    return result
 
 
 def level_sizes(levels: DataFrame) -> DataFrame:

@@ -14,7 +14,8 @@ NTZ_TYPES = ("TIMESTAMP_NTZ", "TIMESTAMP WITHOUT TIME ZONE")
 NUMBER_TYPES = ("NUMBER", "DECIMAL", "NUMERIC")
 DEFAULT_PRECISION = 38
 INT_PRECISION = 9
-TIME_FORMAT = "HH:MM:SS"
+# Characters of a time of day (HH:MM:SS), and of the date and blank before it in a timestamp's text.
+TIME_LENGTH, DATE_LENGTH = 8, 11
 TIME_TEXT = "time_text"
 
 
@@ -46,9 +47,8 @@ def plans_by_table(plan: DataFrame, *keys: str) -> DataFrame:
 
 
 def time_text(value: Column, kind: T.DataType) -> Column:
-    # The text of a timestamp is its date, a blank and its time of day.
-    first = len("YYYY-MM-DD ") + 1 if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else 1
-    return F.substring(value.cast("string"), first, len(TIME_FORMAT))
+    first = DATE_LENGTH + 1 if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else 1
+    return F.substring(value.cast("string"), first, TIME_LENGTH)
 
 
 def _entries(plan: DataFrame | Iterable[Row]) -> list[Row]:
@@ -57,8 +57,20 @@ def _entries(plan: DataFrame | Iterable[Row]) -> list[Row]:
     return sorted(rows, key=lambda r: r.column_ordinal)
 
 
-def _exact_cast(name: str, value: Column, target: str) -> Column:
+def _fitted(value: Column, kind: T.DataType, target: str) -> Column:
+    """The value as ``target``, null where that cannot hold it: too large, not a number, or with a fraction."""
     cast = value.try_cast(target)
+    if target not in ("int", "bigint") or isinstance(kind, T.IntegralType):
+        return cast
+    if isinstance(kind, T.StringType):
+        # A text is read as a decimal first, so its fraction is seen as well.
+        value = value.try_cast("decimal(38,18)")
+        cast = value.try_cast(target)
+    return F.when(cast == value, cast)
+
+
+def _exact_cast(name: str, value: Column, kind: T.DataType, target: str) -> Column:
+    cast = _fitted(value, kind, target)
     lost = F.concat(F.lit(f"column {name} does not fit {target}: "), value.cast("string"))
     return F.when(value.isNotNull() & cast.isNull(), F.raise_error(lost).cast(target)).otherwise(cast)
 
@@ -67,8 +79,8 @@ def apply_type_plan(df: DataFrame, plan: DataFrame | Iterable[Row], strict: bool
     """Select the planned columns in order, each cast to its target, in one pass.
 
     Columns the plan does not know follow unchanged; one it knows and the data
-    lacks is an error. A value that does not fit its target raises, in any ANSI mode; with
-    ``strict=False`` it becomes null (see :func:`overflow_counts`).
+    lacks is an error. A value that does not fit its target, too large or with a fraction that would be
+    lost, raises in any ANSI mode; with ``strict=False`` it becomes null (see :func:`overflow_counts`).
     """
     fields = {f.name.lower(): f for f in df.schema.fields}
     entries = _entries(plan)
@@ -82,20 +94,23 @@ def apply_type_plan(df: DataFrame, plan: DataFrame | Iterable[Row], strict: bool
         if entry.target_type == TIME_TEXT:
             value = time_text(value, field.dataType)
         elif entry.target_type and strict:
-            value = _exact_cast(field.name, value, entry.target_type)
+            value = _exact_cast(field.name, value, field.dataType, entry.target_type)
         elif entry.target_type:
-            value = value.try_cast(entry.target_type)
+            value = _fitted(value, field.dataType, entry.target_type)
         out.append(value.alias(field.name))
     return df.select(*out, *[F.col(f"`{f.name}`") for f in fields.values()])
 
 
 def overflow_counts(df: DataFrame, plan: DataFrame | Iterable[Row]) -> DataFrame:
-    """How many values of each cast column its target cannot hold, in one scan."""
+    """How many values of each cast column its target cannot hold, in one scan; no rows for a plan without casts."""
     casts = [e for e in _entries(plan) if e.target_type and e.target_type != TIME_TEXT]
-    counts = []
+    if not casts:
+        return df.sparkSession.createDataFrame([], "column_name string, n_overflow bigint")
+    kinds = {f.name.lower(): f.dataType for f in df.schema.fields}
+    counts, pairs = [], []
     for i, entry in enumerate(casts):
         value = F.col(f"`{entry.column_name}`")
-        counts.append(F.count_if(value.isNotNull() & value.try_cast(entry.target_type).isNull()).alias(f"c{i}"))
-    pairs = [F.struct(F.lit(e.column_name).alias("column_name"), F.col(f"c{i}").alias("n_overflow"))
-             for i, e in enumerate(casts)]
+        fitted = _fitted(value, kinds[entry.column_name.lower()], entry.target_type)
+        counts.append(F.count_if(value.isNotNull() & fitted.isNull()).alias(f"c{i}"))
+        pairs.append(F.struct(F.lit(entry.column_name).alias("column_name"), F.col(f"c{i}").alias("n_overflow")))
     return df.agg(*counts).select(F.inline(F.array(*pairs)))

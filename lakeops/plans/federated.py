@@ -8,13 +8,21 @@ from functools import reduce
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.functions.names import plain_name, quoted_name
+from lakeops.functions.names import plain_name, quoted_name, with_clash
 from lakeops.functions.rewrite import rewrite_backtick
+from lakeops.sinks.runlog import append_run_log, run_stamp
 from lakeops.sinks.tables import FAILED, copy_each, ensure_schemas, outcomes_frame
 from lakeops.sinks.views import recreate_in_rounds
 from lakeops.sources.catalog import SYSTEM_SCHEMAS, classify_spark, discover_spark, full_name, list_schemas
 
 
+def _listed(spark: SparkSession, src: str, unit: str, skip_schemas: Iterable[str]) -> DataFrame:
+    if unit != "catalog":
+        return discover_spark(spark, [src], skip_schemas)
+    databases = (r.database for r in list_schemas(spark, src, skip_schemas).toLocalIterator())
+    return discover_spark(spark, databases, skip_schemas, catalog=src)
+
+
 def federated_copy(
     spark: SparkSession,
     mapping: DataFrame,
@@ -25,34 +33,46 @@ def federated_copy(
     skip_schemas: Iterable[str] = SYSTEM_SCHEMAS,
     parallelism: int = 4,
     fmt: str = "parquet",
+    log_table: str | None = None,
+    run_ts: str | None = None,
 ) -> DataFrame:
     """Copy all tables, then recreate all views, of each pair; one outcome row per object.
 
     ``unit="catalog"`` maps catalogs and keeps their schemas;
     ``unit="database"`` maps databases of the session catalog. Names keep their case.
+    A pair that can't be listed is a failed row, and the others go on; objects
+    with the same destination all fail. With ``log_table`` the outcomes are
+    appended to the run log.
     """
-    found = []
+    skip_schemas = list(skip_schemas)
+    found, refused = [], []
     for pair in mapping.toLocalIterator():
         src, dst = pair[source], pair[destination]
-        if unit == "catalog":
-            databases = [r.database for r in list_schemas(spark, src, skip_schemas).toLocalIterator()]
-            listed = discover_spark(spark, databases, skip_schemas, catalog=src)
-        else:
-            listed = discover_spark(spark, [src], skip_schemas)
-        found.append(listed.withColumns({"src": F.lit(src), "dst": F.lit(dst)}))
-    listed = reduce(DataFrame.union, found)
+        try:
+            found.append(_listed(spark, src, unit, skip_schemas).withColumns({"src": F.lit(src), "dst": F.lit(dst)}))
+        except Exception as error:
+            refused.append((src, unit, FAILED, None, str(error)))
+    done = [outcomes_frame(spark, refused)]
+    if found:
+        done += _copied(spark, reduce(DataFrame.union, found), parallelism, fmt)
+    outcomes = reduce(DataFrame.unionByName, done)
+    if log_table:
+        append_run_log(spark, outcomes, log_table, run_ts or run_stamp(), fmt)
+    return outcomes
+
+
+def _copied(spark: SparkSession, listed: DataFrame, parallelism: int, fmt: str) -> list[DataFrame]:
     # In the database unit there is no catalog, so the database is the part that moves.
     is_catalog = F.col("catalog").isNotNull()
-    schema = F.when(is_catalog, F.col("database"))
     destination_of = {
         "dst_cat": F.when(is_catalog, F.col("dst")).otherwise("spark_catalog"),
-        "dst_schema": F.coalesce(schema, F.col("dst")),
+        "dst_schema": F.when(is_catalog, F.col("database")).otherwise(F.col("dst")),
     }
     distinct = listed.select("catalog", "database", "name").distinct()
     objects = classify_spark(spark, distinct, parallelism).withColumn("src", F.coalesce("catalog", "database"))
     objects = objects.join(listed.select("src", "dst").distinct(), "src").withColumns(destination_of)
     parts = (F.col("dst_cat"), F.col("dst_schema"), F.col("name"))
-    objects = objects.withColumns({"dst_fq": quoted_name(*parts), "dst_plain": plain_name(*parts)})
+    objects = with_clash(objects.withColumns({"dst_fq": quoted_name(*parts), "dst_plain": plain_name(*parts)}))
 
     ensure_schemas(spark, objects)
 
@@ -62,7 +82,7 @@ def federated_copy(
     tables = objects.filter("kind = 'table'").drop("ddl", "error")
     copied = outcomes_frame(spark, copy_each(spark, tables, read, parallelism, fmt=fmt))
     views = objects.filter("kind = 'view'").select(
-        "dst_plain", rewrite_backtick(F.col("ddl"), F.col("src"), F.col("dst")).alias("statement")
+        "dst_plain", "n_same", rewrite_backtick(F.col("ddl"), F.col("src"), F.col("dst")).alias("statement")
     )
     recreated = recreate_in_rounds(spark, views, parallelism)
     unknown = objects.filter("kind = 'failed'").select(
@@ -72,4 +92,4 @@ def federated_copy(
         F.lit(None).cast("bigint").alias("rows"),
         "error",
     )
-    return copied.unionByName(recreated).unionByName(unknown)
+    return [copied, recreated, unknown]

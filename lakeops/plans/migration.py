@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping
-from itertools import islice
+from itertools import batched
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.functions.names import object_id, plain_name, with_destination
+from lakeops.functions.names import object_id, plain_name, with_clash, with_destination
 from lakeops.functions.refs import extract_refs
-from lakeops.operators.deps import dependency_levels, enrich_failures, external_refs, view_edges
+from lakeops.operators.deps import dependency_levels, external_refs, view_edges
 from lakeops.operators.discovery import WAREHOUSE_SYSTEM_SCHEMAS, attach_definitions, discover_objects, join_metadata
 from lakeops.operators.procedures import PROCEDURE_CREATED, procedure_ddl, procedure_status
 from lakeops.operators.typing_plan import plans_by_table, type_plan
@@ -81,11 +81,11 @@ def run_migration(
     text where the host can; without it procedures are inventoried only.
     """
     found = discover_objects(mapping, tables, procedures, skip_schemas, ignore_case, ordered=False)
-    objects = cut_lineage(with_destination(found))
+    objects = cut_lineage(with_clash(with_destination(found)))
     ensure_schemas(spark, objects)
     views, refs = plan_views(objects, definitions)
 
-    to_copy = objects.filter("kind = 'table'").select(*IDENTITY, "dst_cat", "dst_schema", "dst_fq", "dst_plain")
+    to_copy = objects.filter("kind = 'table'").select(*IDENTITY, "dst_cat", "dst_schema", "dst_fq", "dst_plain", "n_same")
     if columns is not None:
         keyed = columns.select(
             "src_db",
@@ -120,11 +120,13 @@ def run_migration(
             for batch in _batches(_create_procedures(ready, create_procedure, parallelism)):
                 append_run_log(spark, outcomes_frame(spark, batch), log_table, run_ts, fmt)
 
-    external = cut_lineage(external_refs(refs, mapping))
-    sources = views.select(F.col("dst_plain").alias("table"), plain_name(*map(F.col, IDENTITY)).alias("view_id"))
-    for batch in _batches(create_each(spark, views, parallelism)):
-        named = outcomes_frame(spark, batch).join(sources, "table", "left")
-        append_run_log(spark, enrich_failures(named, external).drop("view_id"), log_table, run_ts, fmt)
+    # A view's own list of references, bounded by its definition.
+    needs = external_refs(refs, mapping, keep=True).groupBy(*IDENTITY).agg(
+        F.array_join(F.sort_array(F.collect_set("ref")), ", ").alias("needs")
+    )
+    told = join_metadata(views, needs)
+    for batch in _batches(create_each(spark, told, parallelism)):
+        append_run_log(spark, outcomes_frame(spark, batch), log_table, run_ts, fmt)
     return spark.table(log_table)
 
 
@@ -140,22 +142,32 @@ def migrate_warehouse(
     with_procedures: bool = True,
     **run,
 ) -> DataFrame:
-    """The whole migration through one connector: metadata scans, then :func:`run_migration`."""
+    """The whole migration through one connector: metadata scans, then :func:`run_migration`.
+
+    A database whose metadata can't be asked is a failed row of the log, and the others go on.
+    """
     databases = [pair.source_database for pair in mapping.toLocalIterator()]
+    run_ts = run_ts or run_stamp()
+    refused: dict[str, str] = {}
 
     def scan(view: str) -> DataFrame:
-        return scan_metadata(spark, fmt, options, databases, view, database_key=database_key)
+        asked = [d for d in databases if d not in refused]
+        return scan_metadata(spark, fmt, options, asked, view, database_key=database_key, refused=refused)
 
+    scans = {view: scan(view) for view in ("tables", "views", "columns", *(["procedures"] if with_procedures else []))}
+    if refused:
+        failed = [(database, "database", FAILED, None, error) for database, error in refused.items()]
+        append_run_log(spark, outcomes_frame(spark, failed), log_table, run_ts, run.get("fmt", "parquet"))
     return run_migration(
         spark,
         mapping,
-        scan("tables"),
-        scan("views"),
+        scans["tables"],
+        scans["views"],
         table_reader(spark, fmt, options, database_key=database_key),
         log_table,
-        run_ts or run_stamp(),
-        columns=scan("columns"),
-        procedures=scan("procedures") if with_procedures else None,
+        run_ts,
+        columns=scans["columns"],
+        procedures=scans.get("procedures"),
         **run,
     )
 
@@ -174,5 +186,4 @@ def _create_procedures(ready: DataFrame, create: Callable[[str], object], parall
 
 
 def _batches(outcomes: Iterator[Outcome]) -> Iterator[list[Outcome]]:
-    while batch := list(islice(outcomes, LOG_BATCH)):
-        yield batch
+    yield from map(list, batched(outcomes, LOG_BATCH))

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
+from collections.abc import Iterable
+from itertools import batched
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +20,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
+        if named.startswith("file:") and not sc.master.startswith("local"):
+            warnings.warn(f"{named} must be mounted on every machine of {sc.master}", stacklevel=2)
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(named)
         return named.rstrip("/")
@@ -33,13 +38,33 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def new_path(spark: SparkSession) -> str:
+    """A path in the shared folder that nothing uses yet."""
+    return f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove what was written to :func:`new_path`."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def written_out(df: DataFrame) -> DataFrame:
     """The rows as a parquet table in the shared folder: for data that is scanned many times."""
-    path = f"{shared_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spooled(spark: SparkSession, rows: Iterable[tuple], schema: str, size: int = 1000) -> DataFrame:
+    """Rows that arrive one by one on the driver, as a table in the shared folder; the driver holds ``size`` of them."""
+    path = new_path(spark)
+    spark.createDataFrame([], schema).write.parquet(path)
+    for batch in batched(rows, size):
+        spark.createDataFrame(list(batch), schema).coalesce(1).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def scratch_database(spark: SparkSession, label: str) -> str:
     """New database under the shared folder; its name is unique per call."""
     name = f"{label}_{uuid.uuid4().hex[:10]}"

@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
+from itertools import batched
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.functions.names import with_destination
+from lakeops.functions.names import with_clash, with_destination
 from lakeops.operators.typing_plan import apply_type_plan
 from lakeops.parallel import run_each
+from lakeops.session import spooled
 from lakeops.sources.catalog import full_name
 
 # Outcomes of a copy.
 TABLE_CREATED = "table_created"
 FAILED = "failed"
+# Tables counted in one plan.
+COUNTED_AT_ONCE = 32
 
 OUTCOME_SCHEMA = "`table` string, kind string, status string, `rows` bigint, error string"
 
@@ -45,7 +49,14 @@ def row_count(spark: SparkSession, name: str) -> int:
 
 
 def outcomes_frame(spark: SparkSession, outcomes: Iterable[Outcome]) -> DataFrame:
-    return spark.createDataFrame(list(outcomes), OUTCOME_SCHEMA)
+    """Outcomes as rows, kept in the shared folder as they come."""
+    return spooled(spark, outcomes, OUTCOME_SCHEMA)
+
+
+def refuse_clash(o: Row) -> None:
+    """Raise for an object whose destination other objects have as well; one that nobody counted passes."""
+    if getattr(o, "n_same", 1) > 1:
+        raise ValueError(f"{o.n_same} objects of the source would be written to {o.dst_plain}; none is")
 
 
 def copy_each(
@@ -60,13 +71,15 @@ def copy_each(
     """Copy every table of ``objects``; yields one outcome each, as they finish.
 
     ``objects`` has a destination, and optionally ``columns``, its type plan as
-    an array. One write job per table, a few at a time; a failure is an
+    an array, and ``n_same`` (see ``with_clash``): objects with the same
+    destination all fail and none is written. One write job per table, a few at a time; a failure is an
     outcome and stops nothing.
     """
     no_schema = ensure_schemas(spark, objects)
 
     def copy(o: Row) -> Outcome:
         try:
+            refuse_clash(o)
             schema_error = no_schema.get(full_name(o.dst_cat, o.dst_schema))
             if schema_error:
                 raise RuntimeError(schema_error)
@@ -92,13 +105,16 @@ def copy_tables(
     strict: bool = True,
 ) -> DataFrame:
     """Copy every table of ``objects``; the result has one outcome row per table."""
-    placed = with_destination(objects, lower)
+    placed = with_clash(with_destination(objects, lower))
     return outcomes_frame(spark, copy_each(spark, placed, reader, parallelism, fmt=fmt, strict=strict))
 
 
 def copy_counts(spark: SparkSession, names: Iterable[str]) -> DataFrame:
-    """Row count of each table, as one plan."""
-    counts = [
-        spark.table(n).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table"), "n_rows") for n in names
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    """Row count of each table, a few tables in one plan at a time."""
+
+    def counted() -> Iterator[tuple[str, int]]:
+        for some in batched(names, COUNTED_AT_ONCE):
+            counts = [spark.table(n).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table"), "n_rows") for n in some]
+            yield from (tuple(r) for r in reduce(DataFrame.unionByName, counts).collect())
+
+    return spooled(spark, counted(), "`table` string, n_rows bigint")

@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.rewrite import select_body, view_columns, with_rewritten
 from lakeops.parallel import run_each
-from lakeops.sinks.tables import FAILED, Outcome, outcomes_frame
+from lakeops.sinks.tables import FAILED, Outcome, outcomes_frame, refuse_clash
 
 # Outcome of a view, and the error of one without a definition.
 VIEW_CREATED = "view_created"
 NO_DEFINITION = "view definition is empty"
 
-# Name parts in double quotes are kept by the rewrite; Spark reads them as names with this on.
-DOUBLE_QUOTED_NAMES = "spark.sql.ansi.doubleQuotedIdentifiers"
+# Name parts in double quotes are kept by the rewrite. Spark reads them as names with both of these on,
+# and as texts otherwise.
+QUOTED_NAMES = ("spark.sql.ansi.enabled", "spark.sql.ansi.doubleQuotedIdentifiers")
 
 
 def with_statement(views: DataFrame, text: str = "view_definition") -> DataFrame:
@@ -28,26 +29,47 @@ def with_statement(views: DataFrame, text: str = "view_definition") -> DataFrame
     return views.withColumn("statement", F.when(F.col(text) != "", statement)).drop("_body")
 
 
+def _view_session(spark: SparkSession) -> SparkSession:
+    """A session beside the caller's, with its options, in which double quotes hold names."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    for key in QUOTED_NAMES:
+        own.conf.set(key, "true")
+    return own
+
+
+def missing_dependency(needs: str, error: str) -> str:
+    # Fixed value: the wording of an error whose view reads what is not in the run.
+    return f"missing dependency — view needs {needs} which is not in this run. original error: {error}"
+
+
 def create_each(spark: SparkSession, views: DataFrame, parallelism: int = 4) -> Iterator[Outcome]:
-    """Run the ``statement`` of each view by ``level``; a level starts when the one below is done."""
+    """Run the ``statement`` of each view by ``level``; a level starts when the one below is done.
+
+    Statements run in a session of their own, so no option of the caller's
+    changes, and none decides how a quoted name is read. ``views`` may have
+    ``n_same`` (see ``with_clash``) and ``needs``, the references of a view that
+    are not in the run, which its error then names.
+    """
+    own = _view_session(spark)
 
     def create(v: Row) -> Outcome:
         try:
+            refuse_clash(v)
             if not v.statement:
                 raise ValueError(NO_DEFINITION)
-            spark.sql(v.statement)
+            own.sql(v.statement)
             return (v.dst_plain, "view", VIEW_CREATED, None, None)
         except Exception as error:
-            return (v.dst_plain, "view", FAILED, None, str(error))
+            needs = getattr(v, "needs", None)
+            return (v.dst_plain, "view", FAILED, None, missing_dependency(needs, str(error)) if needs else str(error))
 
-    rows = views.select("level", "dst_plain", "statement").orderBy("level", "dst_plain").toLocalIterator()
-    before = spark.conf.get(DOUBLE_QUOTED_NAMES)
-    spark.conf.set(DOUBLE_QUOTED_NAMES, "true")
-    try:
-        for _, level in groupby(rows, key=lambda v: v.level):
-            yield from run_each(level, create, parallelism)
-    finally:
-        spark.conf.set(DOUBLE_QUOTED_NAMES, before)
+    wanted = [c for c in ("level", "dst_plain", "statement", "n_same", "needs") if c in views.columns]
+    rows = views.select(*wanted).orderBy("level", "dst_plain").toLocalIterator()
+    for _, level in groupby(rows, key=lambda v: v.level):
+        yield from run_each(level, create, parallelism)
 
 
 def recreate_views(spark: SparkSession, views: DataFrame, parallelism: int = 4) -> DataFrame:
@@ -57,13 +79,11 @@ def recreate_views(spark: SparkSession, views: DataFrame, parallelism: int = 4)
 
 def recreate_in_rounds(spark: SparkSession, views: DataFrame, parallelism: int = 4) -> DataFrame:
     """Recreate views whose dependencies are not known: repeat the failed ones while any succeeds."""
-    pending = views
-    done: list[Outcome] = []
+    pending, done = views, None
     while True:
-        tried = list(create_each(spark, pending.withColumn("level", F.lit(0)), parallelism))
-        created = [o for o in tried if o[2] == VIEW_CREATED]
-        done += created
-        if not created or len(created) == len(tried):
-            return outcomes_frame(spark, done + [o for o in tried if o[2] != VIEW_CREATED])
-        names = outcomes_frame(spark, created).select(F.col("table").alias("dst_plain"))
-        pending = pending.join(names, "dst_plain", "left_anti")
+        tried = outcomes_frame(spark, create_each(spark, pending.withColumn("level", F.lit(0)), parallelism))
+        created, failed = tried.filter(F.col("status") == VIEW_CREATED), tried.filter(F.col("status") != VIEW_CREATED)
+        if created.isEmpty() or failed.isEmpty():
+            return tried if done is None else done.union(tried)
+        done = created if done is None else done.union(created)
+        pending = pending.join(created.select(F.col("table").alias("dst_plain")), "dst_plain", "left_anti")

@@ -6,12 +6,13 @@ table rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.parallel import run_each
+from lakeops.session import spooled
 
 # Schemas that belong to the system.
 SYSTEM_SCHEMAS = ("information_schema", "pg_catalog", "sys")
@@ -42,12 +43,14 @@ def discover_spark(
 ) -> DataFrame:
     """Tables and views of the given databases; temporary views are not listed."""
     skipped = {s.lower() for s in skip_schemas}
-    found = spark.createDataFrame([], FOUND_SCHEMA)
-    for database in databases:
-        if database.lower() not in skipped:
-            listed = spark.sql(f"SHOW TABLES IN {full_name(catalog, database)}").filter("NOT isTemporary")
-            found = found.union(listed.select(F.lit(catalog), F.lit(database), "tableName"))
-    return found
+
+    def found() -> Iterator[tuple[str | None, str, str]]:
+        for database in databases:
+            if database.lower() not in skipped:
+                listed = spark.sql(f"SHOW TABLES IN {full_name(catalog, database)}").filter("NOT isTemporary")
+                yield from ((catalog, database, r.tableName) for r in listed.toLocalIterator())
+
+    return spooled(spark, found(), FOUND_SCHEMA)
 
 
 def _classify(spark: SparkSession, o: Row) -> tuple:
@@ -71,4 +74,4 @@ def _classify(spark: SparkSession, o: Row) -> tuple:
 def classify_spark(spark: SparkSession, objects: DataFrame, parallelism: int = 4) -> DataFrame:
     """Kind of each object of :func:`discover_spark`, with the definition text of views."""
     names = objects.select("catalog", "database", "name").toLocalIterator()
-    return spark.createDataFrame(list(run_each(names, lambda o: _classify(spark, o), parallelism)), CLASSIFIED_SCHEMA)
+    return spooled(spark, run_each(names, lambda o: _classify(spark, o), parallelism), CLASSIFIED_SCHEMA)

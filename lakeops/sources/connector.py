@@ -7,6 +7,7 @@ catalog, and the same calls go through Spark's own catalog.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
@@ -27,6 +28,7 @@ METADATA_COLUMNS = {
     "procedures": "procedure_schema, procedure_name, argument_signature, data_type AS return_type, "
     "procedure_language, procedure_definition, comment",
 }
+WHOLE = ("column_ordinal", "numeric_precision", "numeric_scale")
 
 
 def connector_options(
@@ -95,13 +97,16 @@ def scan_table(
 
 
 def split_by(
-    spark: SparkSession, fmt: str, options: Mapping[str, str], schema: str, table: str, column: str, parts: int
+    spark: SparkSession, fmt: str, options: Mapping[str, str], schema: str, table: str, column: str, part_rows: int
 ) -> Split | None:
-    """Ranges over a numeric or date column, with bounds asked from the source; None for an empty table."""
+    """Ranges over a numeric or date column, about ``part_rows`` rows each; bounds and rows are asked from the source.
+
+    None for a table without values in the column, which is read as one range.
+    """
     name = quoted(column)
-    bounds = f"SELECT MIN({name}) AS low, MAX({name}) AS high FROM {quoted_table(schema, table)}"
-    low, high = scan_query(spark, fmt, options, bounds).first()
-    return None if low is None else (column, low, high, parts)
+    bounds = f"SELECT MIN({name}) AS low, MAX({name}) AS high, COUNT(*) AS n FROM {quoted_table(schema, table)}"
+    low, high, n = scan_query(spark, fmt, options, bounds).first()
+    return None if low is None else (column, low, high, max(1, -(-int(n) // part_rows)))
 
 
 def typed_query(schema: str, table: str, columns: Iterable[Row], time_as_text: str = TIME_AS_TEXT) -> str | None:
@@ -124,20 +129,23 @@ def table_reader(
     *,
     database_key: str = "database",
     time_as_text: str = TIME_AS_TEXT,
-    parts: int = 64,
+    part_rows: int = 1_000_000,
 ) -> Callable[[Row], DataFrame]:
     """Reader for a bulk copy: scans the source table of one object (``src_db``, ``schema``, ``name``).
 
     Where the object's type plan has times of day, the source formats them,
     since not every connector has a type for them. An object with a
-    ``split_column`` is read in ``parts`` ranges of it: a plain JDBC scan is one
-    task, however large the table.
+    ``split_column`` is read in ranges of it, as many as its rows ask for at
+    ``part_rows`` each: a plain JDBC scan is one task, however large the table,
+    so an object without the column is read with a warning.
     """
 
     def read(o: Row) -> DataFrame:
         opts = connector_options(options, o.src_db, database_key=database_key)
         column = getattr(o, "split_column", None)
-        split = split_by(spark, fmt, opts, o.schema, o.name, column, parts) if column else None
+        split = split_by(spark, fmt, opts, o.schema, o.name, column, part_rows) if column else None
+        if fmt == "jdbc" and not column:
+            warnings.warn(f"{o.src_db}.{o.schema}.{o.name} is read by one task; name a split_column for it", stacklevel=2)
         sql = typed_query(o.schema, o.name, getattr(o, "columns", None) or [], time_as_text)
         if sql:
             return scan_query(spark, fmt, opts, sql, split=split)
@@ -154,10 +162,12 @@ def scan_metadata(
     view: str,
     *,
     database_key: str = "database",
+    refused: dict[str, str] | None = None,
 ) -> DataFrame:
     """One metadata view of every database, with lower-case columns and ``src_db``.
 
-    One query per database, all in one plan: definitions and columns of all
+    A database that refuses raises, or with ``refused`` is left out and noted
+    there with its error. One query per database, all in one plan: definitions and columns of all
     objects come in the same pass, never one query per object.
     """
 
@@ -167,4 +177,15 @@ def scan_metadata(
         rows = scan_query(spark, fmt, opts, sql)
         return rows.toDF(*[c.lower() for c in rows.columns]).withColumn("src_db", F.lit(database))
 
-    return reduce(DataFrame.unionByName, [one(d) for d in databases])
+    found = []
+    for database in databases:
+        try:
+            found.append(one(database))
+        except Exception as error:
+            if refused is None:
+                raise
+            refused[database] = str(error)
+    if not found:
+        names = [c.split(" as ")[-1].strip() for c in METADATA_COLUMNS[view].lower().split(",")] + ["src_db"]
+        return spark.createDataFrame([], ", ".join(f"{n} {'bigint' if n in WHOLE else 'string'}" for n in names))
+    return reduce(DataFrame.unionByName, found)

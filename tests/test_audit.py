@@ -90,6 +90,26 @@ def test_nested_states_and_tasks(spark):
     assert rows(latest, "latest_run_state") == [("RUNNING",)]
 
 
+def test_latest_run_sorts_no_runs(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    spark.createDataFrame([(1, 10, datetime(2024, 1, 2), "SUCCESS", None)], RUNS.format(kind="timestamp")).write.parquet(path)
+    latest = audit.latest_run(spark.read.parquet(path), "2024-01-31", 30)
+    latest.collect()
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    assert "GreaterThanOrEqual(start_time" in plan
+
+
+def test_latest_run_of_ties_and_other_ids(spark):
+    at = datetime(2024, 1, 2, 3, 4, 5, 999_999)
+    runs = [(-5, 1, at, "A", None), (7, 1, at, "B", None), (7, 1, at, "C", None), (9, 2, at, None, None), (None, 2, at, "X", None), (3, None, at, "N", None)]
+    df = spark.createDataFrame(runs, RUNS.format(kind="timestamp_ntz"))
+    expected = [(1, 7, "2024-01-02 03:04:05", "C"), (2, 9, "2024-01-02 03:04:05", None), (None, 3, "2024-01-02 03:04:05", "N")]
+    assert rows(audit.latest_run(df, "2024-01-31", 30)) == expected
+    as_text = df.withColumn("run_id", F.col("run_id").cast("string"))
+    assert rows(audit.latest_run(as_text, "2024-01-31", 30)) == [(j, str(r), t, s) for j, r, t, s in expected]
+
+
 def test_jobs_that_cannot_be_read_are_dropped(spark):
     jobs = spark.createDataFrame([(1, "a")], "job_id long, job_name string")
     tasks = spark.createDataFrame([(1, "c"), (2, "c")], "job_id long, existing_cluster_id string")

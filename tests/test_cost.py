@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import random
 from datetime import datetime, timedelta
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import pytest
 from pyspark.sql import functions as F
@@ -151,6 +151,40 @@ def test_two_prices_for_one_unit_multiply_both_sums(spark):
     assert rows(only) == [(1, Decimal("2.00"), Decimal("2.00"))]
 
 
+def test_nothing_is_rounded_before_the_sums(spark):
+    fine = USAGE.replace("decimal(18,2)", "decimal(38,18)"), PRICES.replace("decimal(18,4)", "decimal(38,18)")
+    many = [(1, "A", day("2000-01-02"), Decimal("0.004"))] * 1000
+    many += [(2, "B", day("2000-01-02"), Decimal(10**8)), (3, "B", day("2000-01-02"), Decimal("-0.000000000000000001"))]
+    many += [(4, "C", day("2000-01-02"), Decimal(10) ** 14), (4, "A", day("2000-01-02"), Decimal("-0.005"))]
+    usage = spark.createDataFrame(many, fine[0])
+    listed = [("A", Decimal("0.55")), ("B", Decimal("0.00004")), ("C", Decimal("123456.000000000000000001"))]
+    prices = spark.createDataFrame([(k, day("1990-01-01"), None, p) for k, p in listed], fine[1])
+    got = rows(cost_rollup(usage, prices, "2000-01-01"))
+    assert got == [
+        (1, Decimal("4.00"), Decimal("2.20")),
+        (2, Decimal("100000000.00"), Decimal("4000.00")),
+        (3, Decimal("0.00"), Decimal("0.00")),
+        (4, Decimal("100000000000000.00"), Decimal("12345600000000000000.00")),
+    ]
+
+
+def test_totals_are_exact(spark):
+    rng = random.Random(5)
+    amount = lambda: Decimal(rng.randrange(-(10**24), 10**24)).scaleb(-18)
+    usage, listed = [], [(f"s{k}", amount()) for k in range(5)]
+    for k in range(300):
+        usage.append((k % 7, f"s{rng.randrange(5)}", day("2000-01-02"), amount()))
+    price = dict(listed)
+    fine = USAGE.replace("decimal(18,2)", "decimal(38,18)"), PRICES.replace("decimal(18,4)", "decimal(38,18)")
+    prices = spark.createDataFrame([(k, day("1990-01-01"), None, p) for k, p in listed], fine[1])
+    got = {r[0]: r[2] for r in cost_rollup(spark.createDataFrame(usage, fine[0]), prices, "2000-01-01").collect()}
+    with localcontext() as wide:
+        wide.prec = 90
+        for key in range(7):
+            total = sum((q * price[s] for k, s, _, q in usage if k == key), Decimal(0))
+            assert got[key] == total.quantize(Decimal("0.01"), ROUND_HALF_UP)
+
+
 def test_cutoff_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "usage")
     spark.createDataFrame([(1, "A", day("2000-01-02"), Decimal(2))], USAGE).write.parquet(path)

@@ -46,11 +46,10 @@ def test_levels(spark, nodes, edges):
     assert levels_of(spark, nodes, edges) == expected_levels(nodes, edges)
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, deps.BROADCAST_ROWS])
+@pytest.mark.parametrize("broadcast", [False, True])
 @pytest.mark.parametrize("seed", range(4))
-def test_levels_of_random_graphs(spark, setting, monkeypatch, seed, broadcast_rows):
-    monkeypatch.setattr(deps, "BROADCAST_ROWS", broadcast_rows)
-    if not broadcast_rows:
+def test_levels_of_random_graphs(spark, setting, seed, broadcast):
+    if not broadcast:
         setting("spark.sql.autoBroadcastJoinThreshold", "-1")
         setting("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     rng = random.Random(seed)
@@ -65,8 +64,8 @@ def test_levels_of_random_graphs(spark, setting, monkeypatch, seed, broadcast_ro
     assert all(got[v][0] > got[d][0] for v, d in edges if not got[v][1])
 
 
-def test_levels_of_a_chain_longer_than_one_gathering(spark):
-    n = deps.GATHER_EVERY + 5
+def test_levels_of_a_long_chain(spark):
+    n = 60
     edges = [(f"v{i + 1}", f"v{i}") for i in range(n)]
     got = levels_of(spark, [f"v{i}" for i in range(n + 1)], edges)
     assert got == {f"v{i}": (i, False) for i in range(n + 1)}

@@ -72,12 +72,12 @@ def test_large_tables_are_read_in_ranges(spark, echo, monkeypatch):
 
     def bounds(spark_, fmt, options, sql, split=None):
         sent.append((sql, split))
-        return spark.createDataFrame([(5, 50)], "low int, high int")
+        return spark.createDataFrame([(5, 50, 31)], "low int, high int, n bigint")
 
     monkeypatch.setattr(connector, "scan_query", bounds)
-    assert connector.split_by(spark, echo, base, "s", "t", "k", 8) == ("k", 5, 50, 8)
-    assert sent == [('SELECT MIN("k") AS low, MAX("k") AS high FROM "s"."t"', None)]
-    read = connector.table_reader(spark, echo, base, parts=4)
+    assert connector.split_by(spark, echo, base, "s", "t", "k", 4) == ("k", 5, 50, 8)
+    assert sent == [('SELECT MIN("k") AS low, MAX("k") AS high, COUNT(*) AS n FROM "s"."t"', None)]
+    read = connector.table_reader(spark, echo, base, part_rows=8)
     time_column = Row(column_ordinal=1, column_name="at", target_type="time_text")
     plain = Row(src_db="DB", schema="s", name="t", split_column="k")
     assert told(read(plain))["partitioncolumn"] == "k"
@@ -94,6 +94,28 @@ def test_metadata_is_one_query_per_database(spark, echo):
     assert sent["B"]["query"] == "SELECT table_schema, table_name, view_definition FROM B.information_schema.views"
 
 
+def test_a_database_that_refuses_is_noted(spark, monkeypatch):
+    def ask(spark_, fmt, options, sql, split=None):
+        if "bad" in sql:
+            raise RuntimeError("login refused")
+        return spark.createDataFrame([("S", "T", "VIEW")], "TABLE_SCHEMA string, TABLE_NAME string, TABLE_TYPE string")
+
+    monkeypatch.setattr(connector, "scan_query", ask)
+    refused = {}
+    found = connector.scan_metadata(spark, "x", {}, ["good", "bad"], "tables", refused=refused)
+    assert rows(found, "src_db") == [("good",)] and refused == {"bad": "login refused"}
+    none = connector.scan_metadata(spark, "x", {}, ["bad"], "columns", refused=refused)
+    assert none.columns[-2:] == ["column_ordinal", "src_db"] and none.count() == 0
+    with pytest.raises(RuntimeError):
+        connector.scan_metadata(spark, "x", {}, ["bad"], "tables")
+
+
+def test_a_table_without_split_column_is_warned_of(spark, monkeypatch):
+    monkeypatch.setattr(connector, "scan_table", lambda *a, **k: spark.range(1))
+    with pytest.warns(UserWarning, match="split_column"):
+        connector.table_reader(spark, "jdbc", {})(Row(src_db="DB", schema="s", name="t"))
+
+
 @pytest.fixture
 def database(spark):
     name = f"cat_{uuid.uuid4().hex[:8]}"

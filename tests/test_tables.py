@@ -5,6 +5,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from lakeops.operators import procedures, typing_plan
@@ -77,6 +78,35 @@ def test_values_that_do_not_fit(spark, setting, ansi):
     assert rows(typing_plan.overflow_counts(df, plan)) == [("N", 1)]
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_a_lost_fraction_does_not_fit(spark, setting, ansi):
+    setting("spark.sql.ansi.enabled", ansi)
+    plan = [Row(column_ordinal=1, column_name="N", target_type="int")]
+    for kind, values in (("decimal(10,2)", ("1.75", "2.00")), ("double", ("1.75", "2")), ("string", ("1.75", "2.0"))):
+        df = spark.createDataFrame([(v,) for v in values], "N string").select(F.col("N").cast(kind))
+        assert rows(typing_plan.overflow_counts(df, plan)) == [("N", 1)]
+        assert rows(typing_plan.apply_type_plan(df, plan, strict=False)) == [(2,), (None,)]
+        with pytest.raises(Exception, match="does not fit int"):
+            typing_plan.apply_type_plan(df, plan).collect()
+    untyped = [Row(column_ordinal=1, column_name="N", target_type=None)]
+    assert rows(typing_plan.overflow_counts(df, untyped)) == []
+
+
+def test_objects_with_one_destination_are_not_written(spark, database):
+    objects = spark.createDataFrame([("spark_catalog", database, n) for n in ("T", "t", "u")], "dst_cat string, schema string, name string")
+    done = {(r.table.split(".")[-1], r.status, r.rows) for r in tables.copy_tables(spark, objects, lambda o: spark.range(5)).collect()}
+    assert done == {("t", "failed", None), ("u", "table_created", 5)}
+    assert not spark.catalog.tableExists(f"{database}.t")
+
+
+def test_thousands_of_names_make_a_flat_plan(spark):
+    counted = tables.copy_counts(spark, [])
+    assert counted.columns == ["table", "n_rows"] and counted.count() == 0
+    outcomes = tables.outcomes_frame(spark, ((f"t{k}", "table", "failed", None, "x" * 100) for k in range(3500)))
+    assert outcomes.count() == 3500
+    assert "Union" not in outcomes._jdf.queryExecution().toString()
+
+
 def test_plans_by_table_keep_order(spark):
     plan = plan_of(spark, ("b", "TEXT", None, None), ("a", "TIME", None, None)).withColumn("t", F.lit("x"))
     assert [(c.column_name, c.target_type) for c in typing_plan.plans_by_table(plan, "t").first()["columns"]] == [
@@ -175,7 +205,7 @@ def test_views_are_built_by_level(spark, database):
     assert done[f"{full}.c"] == ("failed", "view definition is empty")
     assert done[f"{full}.d"][0] == "failed" and "nothing" in done[f"{full}.d"][1]
     # The names stay names after the session option is back to what it was.
-    assert spark.conf.get(views.DOUBLE_QUOTED_NAMES) == "false"
+    assert spark.conf.get(views.QUOTED_NAMES[1]) == "false"
     assert spark.table(f"{full}.a").agg(F.sum("n")).first()[0] == 6
 
 
@@ -185,6 +215,17 @@ PROCS = (
 )
 
 
+def test_quoted_names_of_views_are_names_in_any_mode(spark, setting, database):
+    setting("spark.sql.ansi.enabled", "false")
+    setting("spark.sql.ansi.doubleQuotedIdentifiers", "false")
+    spark.sql(f"CREATE TABLE {database}.t AS SELECT 1 AS a")
+    statement = f'CREATE OR REPLACE VIEW {database}.v AS SELECT "a" AS b FROM {database}.t'
+    view = spark.createDataFrame([(0, "v", statement)], "level int, dst_plain string, statement string")
+    assert rows(views.recreate_views(spark, view), "status") == [("view_created",)]
+    assert rows(spark.table(f"{database}.v")) == [(1,)]
+    assert spark.conf.get("spark.sql.ansi.doubleQuotedIdentifiers") == "false"
+
+
 def test_procedure_text(spark):
     def ddl(arg_sig, language, body, comment):
         row = ("DB", "Cat", "s", "p`q", arg_sig, language, body, comment)
@@ -206,10 +247,12 @@ def test_batch_translation_keeps_rows_without_body(spark):
         "source_name string, target_name string, language string, arg_signature string, return_type string, "
         "original_body string, comment string, source_db string, target_catalog string",
     )
-    request = {r.source_name: r.request for r in procedures.translation_request(staged).collect()}
+    request = {r.source_name: r.request for r in procedures.translation_request(staged, "Do it.").collect()}
     assert request["b"] is None
-    assert "Return type: VARIANT" in request["a"] and request["a"].startswith(procedures.INSTRUCTION)
-    got = procedures.translate(staged, lambda requests: [f"{len(r)}" for r in requests])
+    assert "return_type: VARIANT\n" in request["a"] and request["a"].startswith("Do it.\n\nsource_name: a\n")
+    got = procedures.translate(staged, lambda requests: [f"{len(r)}" for r in requests], instruction="Do it.")
+    with pytest.raises(ValueError, match="instruction"):
+        procedures.translate(staged, lambda requests: requests)
     assert {r.source_name: r.translated_sql for r in got.collect()} == {"a": str(len(request["a"])), "b": None}
     assert [f.name for f in got.schema] == [
         "source_name", "target_name", "language", "original_body", "translated_sql", "translated_at", "applied",
@@ -217,7 +260,7 @@ def test_batch_translation_keeps_rows_without_body(spark):
     assert procedures.to_review(got).count() == 2
     numbers = F.sequence(F.lit(1), F.lit(40)).cast("array<string>")
     many = staged.withColumn("source_name", F.explode(numbers))
-    spread = procedures.translate(many, lambda requests: ["x"] * len(requests), tasks=8)
+    spread = procedures.translate(many, lambda requests: ["x"] * len(requests), instruction="Do it.", tasks=8)
     assert spread.select(F.spark_partition_id()).distinct().count() > 4 and spread.count() == 80
 
 

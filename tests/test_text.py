@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -240,6 +241,14 @@ def test_long_text_is_translated_whole():
     assert translate_text(text) == "COALESCE(a, 0) " * 50_000
 
 
+@pytest.mark.parametrize("piece", ["/* ", "' ", '" ', "/*'\"", "ZEROIFNULL( /* "])
+def test_hostile_text_is_scanned_once(piece):
+    text = "SELECT ZEROIFNULL(a), " + piece * (1_000_000 // len(piece))
+    start = time.perf_counter()
+    assert translate_text(text).startswith("SELECT COALESCE(a, 0), ")
+    assert time.perf_counter() - start < 2
+
+
 def test_spark_runs_the_translated_text(spark):
     text = "SELECT ZEROIFNULL(NULL) a, REGEXP_REPLACE('axb', 'x') b, IFF(1 > 0, TO_VARCHAR(7), 'n') c"
     assert spark.sql(translate_text(text)).first() == (0, "ab", "7")
