@@ -53,9 +53,9 @@ def document_counts(docs: DataFrame, text_col: str) -> tuple[int, np.ndarray]:
         for batch in batches:
             for _, group in grouped(batch.column(0).cast(pa.binary()).to_pylist()):
                 number, _, _, hashes, _ = hasher.batch(group)
-                owner, feature, _ = weighted(number, _features(hashes).astype(np.uint64))
-                counts += np.bincount(feature.astype(np.int64), minlength=FEATURES)
-                n += len(np.unique(owner))
+                once = np.unique(number * FEATURES + _features(hashes))
+                counts += np.bincount(once % FEATURES, minlength=FEATURES)
+                n += len(np.unique(once // FEATURES))
         there = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, there]), pa.array(np.r_[n, counts[there]])], ["feature", "n"])
 
@@ -188,6 +188,52 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     return out.groupBy(id_col, item_col).agg(F.max(F.struct("lcs", "answer", "cosine")).alias("best")).select(id_col, item_col, "best.cosine", "best.lcs", "best.answer")
 
 
+def _pieces(window: np.ndarray, most: int = 1 << 16) -> Iterator[tuple[int, int]]:
+    """Ranges of about ``most`` places that part no window; ``window`` is sorted."""
+    a = 0
+    while a < len(window):
+        b = min(len(window), a + most)
+        b = int(np.searchsorted(window, window[b - 1], side="right"))
+        yield a, b
+        a = b
+
+
+class _Windows:
+    """The windows of some texts, numbered through, given each text's first and last word."""
+
+    def __init__(self, number: np.ndarray, cut: np.ndarray) -> None:
+        self.number, self.cut = number, cut
+        length = np.diff(cut)
+        # As many as _windows gives.
+        self.count = np.where(length > 0, np.maximum(1, -(-(length - WINDOW + STRIDE) // STRIDE)), 0)
+        self.first = np.cumsum(self.count) - self.count
+
+    def of(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Every window that each of the words stands in, and the word, by window."""
+        text = self.number[at]
+        last = (at - self.cut[text]) // STRIDE
+        windows, words = [], []
+        for back in range(WINDOW // STRIDE):
+            k = last - back
+            there = (k >= 0) & (k < self.count[text])
+            windows.append((self.first[text] + k)[there])
+            words.append(at[there])
+        window, word = np.concatenate(windows), np.concatenate(words)
+        order = np.argsort(window, kind="stable")
+        return window[order], word[order]
+
+    def begin(self, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Text and first word of windows."""
+        text = np.searchsorted(self.first + self.count, window, side="right")
+        return text, self.cut[text] + (window - self.first[text]) * STRIDE
+
+    def words(self, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The windows again, once for each of their words, and the words."""
+        text, begin = self.begin(window)
+        n = np.minimum(begin + WINDOW, self.cut[text + 1]) - begin
+        return np.repeat(window, n), np.arange(n.sum()) + np.repeat(begin - (np.cumsum(n) - n), n)
+
+
 class _Space:
     """A latent space and the benchmark passages placed in it."""
 
@@ -218,28 +264,30 @@ class _Space:
         self.rare = np.zeros(FEATURES, bool)
         self.rare[features[~frequent]] = True
 
-    def near(self, window: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Window, passage and cosine of the candidates among windows, given the window of each word, and its feature."""
+    def near(self, place: _Windows, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Window, passage and cosine of the candidates among the windows of some texts, given each word's feature."""
 
-        def sums(chosen: np.ndarray, each: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            own = window[chosen]
-            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-            return own[first], np.add.reduceat(each[self.place[feature[chosen]]], first, axis=0)
+        def sums(window: np.ndarray, feature: np.ndarray, each: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            first = np.flatnonzero(np.r_[True, window[1:] != window[:-1]])
+            return window[first], np.add.reduceat(each[self.place[feature]], first, axis=0)
 
         none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-        chosen = np.flatnonzero(self.rare[feature])
-        if not len(chosen):
-            return none
-        owner, product = sums(chosen, self.added)
-        likely = owner[(product >= self.least * (1 - 1e-4)).any(axis=1)]
-        if not len(likely):
-            return none
-        chosen = np.flatnonzero((self.place[feature] >= 0) & np.isin(window, likely))
-        owner, product = sums(chosen, self.added)
-        size = np.linalg.norm(sums(chosen, self.vectors)[1], axis=1)
-        close = (product >= COSINE * size[:, None]) & (product >= SHARE * self.latent_length[None, :]) & (product > 0)
-        x, item = np.nonzero(close)
-        return owner[x], item, np.minimum(1.0, product[x, item] / size[x]).astype(float)
+        window, at = place.of(np.flatnonzero(self.rare[feature]))
+        likely = [none[0]]
+        for a, b in _pieces(window):
+            owner, product = sums(window[a:b], feature[at[a:b]], self.added)
+            likely.append(owner[(product >= self.least * (1 - 1e-4)).any(axis=1)])
+        window, at = place.words(np.concatenate(likely))
+        known = self.place[feature[at]] >= 0
+        window, at = window[known], at[known]
+        found = [none]
+        for a, b in _pieces(window):
+            owner, product = sums(window[a:b], feature[at[a:b]], self.added)
+            size = np.linalg.norm(sums(window[a:b], feature[at[a:b]], self.vectors)[1], axis=1)
+            close = (product >= COSINE * size[:, None]) & (product >= SHARE * self.latent_length[None, :]) & (product > 0)
+            x, item = np.nonzero(close)
+            found.append((owner[x], item, np.minimum(1.0, product[x, item] / size[x]).astype(float)))
+        return tuple(np.concatenate(c) for c in zip(*found))
 
     def checked(self, hashes: np.ndarray, begin: int, item: int) -> tuple[float, float]:
         """Share of the passage's words that stand in order around ``begin``, and share of the answer's words there."""
@@ -262,20 +310,15 @@ def _search(docs: DataFrame, blocks: list[DataFrame], idf: np.ndarray, id_col: s
                 number, _, _, hashes, _ = hasher.batch(group)
                 feature = _features(hashes)
                 cut = np.searchsorted(number, np.arange(len(group) + 1))
-                begins = [_windows(b - a) + a for a, b in zip(cut, cut[1:])]
-                of, begin = np.repeat(np.arange(len(group)), [len(b) for b in begins]), np.concatenate(begins)
-                length = np.minimum(begin + WINDOW, cut[of + 1]) - begin
-                for a in range(0, len(begin), 4096):
-                    n = length[a : a + 4096]
-                    window = np.repeat(np.arange(len(n)), n)
-                    at = np.arange(len(window)) + np.repeat(begin[a : a + 4096] - (np.cumsum(n) - n), n)
-                    for space in spaces:
-                        for w, item, cosine in zip(*(x.tolist() for x in space.near(window, feature[at]))):
-                            doc = int(of[a + w])
-                            lcs, answer = space.checked(hashes[cut[doc] : cut[doc + 1]], int(begin[a + w] - cut[doc]), item)
-                            if lcs >= VERBATIM or (lcs >= PARAPHRASE and answer >= ANSWER):
-                                rows.append(first + doc)
-                                out.append((space.items[item], cosine, lcs, answer))
+                place = _Windows(number, cut)
+                for space in spaces:
+                    window, item, cosine = space.near(place, feature)
+                    text, begin = place.begin(window)
+                    for doc, word, k, near in zip(text.tolist(), begin.tolist(), item.tolist(), cosine.tolist()):
+                        lcs, answer = space.checked(hashes[cut[doc] : cut[doc + 1]], int(word - cut[doc]), k)
+                        if lcs >= VERBATIM or (lcs >= PARAPHRASE and answer >= ANSWER):
+                            rows.append(first + doc)
+                            out.append((space.items[k], near, lcs, answer))
             columns = list(zip(*out)) if out else [(), (), (), ()]
             ids = batch.column(0).take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays([ids, pa.array(columns[0], item_arrow), *[pa.array(c, pa.float64()) for c in columns[1:]]], schema.names)

@@ -1,0 +1,13 @@
+"""Helpers for column expressions."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often and deep in loops over arrays the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

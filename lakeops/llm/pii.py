@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeops.llm.expressions import let
 from lakeops.session import written_out
 
 #: Fixed patterns of the kinds, tried in this order at each place.
@@ -92,12 +93,17 @@ def _gender(mention: Column) -> Column:
 
 def _parts(mention: Column) -> Column:
     """Entities of a mention: kind and form. A name's words are entities of their own, so a later short form agrees."""
-    kind = _kind(mention)
-    bare = F.when(kind == "email", F.lower(mention)).when(kind == "ip", mention).when(kind == "iban", F.replace(mention, F.lit(" "), F.lit(""))).otherwise(F.regexp_replace(mention, r"[^0-9+]", ""))
-    names = F.slice(F.split(F.lower(mention), " "), F.lit(2), F.size(F.split(mention, " ")))
-    gender = _gender(mention)
-    words = F.transform(names, lambda w, k: F.struct(F.when(k == F.size(names) - 1, "surname").otherwise(F.concat(F.lit("given-"), gender)).alias("kind"), w.alias("form")))
-    return F.when(kind == "person", words).otherwise(F.array(F.struct(kind.alias("kind"), bare.alias("form"))))
+
+    def named(words: Column) -> Column:
+        given = F.concat(F.lit("given-"), _gender(mention))
+        return F.transform(words, lambda w, k: F.struct(F.when(k == F.size(words) - 1, "surname").otherwise(given).alias("kind"), w.alias("form")))
+
+    def entities(kind: Column) -> Column:
+        bare = F.when(kind == "email", F.lower(mention)).when(kind == "ip", mention).when(kind == "iban", F.replace(mention, F.lit(" "), F.lit(""))).otherwise(F.regexp_replace(mention, r"[^0-9+]", ""))
+        names = let(F.split(F.lower(mention), " "), lambda w: F.slice(w, F.lit(2), F.size(w)))
+        return F.when(kind == "person", let(names, named)).otherwise(F.array(F.struct(kind.alias("kind"), bare.alias("form"))))
+
+    return let(_kind(mention), entities)
 
 
 def _name(form: Column, kind: Column, seed: Column) -> Column:
@@ -115,45 +121,90 @@ def _name(form: Column, kind: Column, seed: Column) -> Column:
     return out.otherwise(made(*more[-1][1]))
 
 
-def surrogate(kind: Column, form: Column, attempt: Column, key: str) -> Column:
-    """The surrogate of an entity in its plain form, drawn from the key, the entity and the attempt."""
-    seed = F.sha2(F.concat_ws("\u0001", F.lit(key), kind, form, attempt.cast("string")).cast("binary"), 256)
-    scrambled = _scrambled(form, seed)
-    host = F.substring_index(form, "@", -1)
-    top = F.substring_index(host, ".", -1)
+def _digest(key: str, *parts: Column) -> Column:
+    return F.sha2(F.concat_ws("\u0001", F.lit(key), *parts).cast("binary"), 256)
+
+
+def _email(form: Column, seed: Column, key: str) -> Column:
+    """Local part and host by themselves, so the addresses of one host keep one; the last label stays."""
+    host, top = F.substring_index(form, "@", -1), F.substring_index(form, ".", -1)
     labels = F.substr(host, F.lit(1), F.length(host) - F.length(top))
-    at_host = _scrambled(labels, F.sha2(F.concat_ws("\u0001", F.lit(key), F.lit("host"), host).cast("binary"), 256))
-    email = F.concat(_scrambled(F.substring_index(form, "@", 1), seed), F.lit("@"), at_host, top)
+    at_host = let(_digest(key, F.lit("host"), host), lambda own: let(labels, lambda part: _scrambled(part, own)))
+    return F.concat(let(F.substring_index(form, "@", 1), lambda local: _scrambled(local, seed)), F.lit("@"), at_host, top)
+
+
+def _address(form: Column, seed: Column) -> Column:
+    """Private ranges stay; a public first part is drawn from 11 to 110, clear of them."""
     octets = F.split(form, r"\.")
-    kept = F.when(F.get(octets, F.lit(0)).isin("10", "127"), 1).when(form.startswith("192.168."), 2).when(form.rlike(r"^172\.(1[6-9]|2[0-9]|3[01])\."), 2).otherwise(0)
-    # A public first part is drawn from 11 to 110, clear of the private ranges.
-    ip = F.array_join(F.transform(octets, lambda o, k: F.when(k < kept, o).when(k == 0, (F.pmod(_byte(seed, k), F.lit(100)) + 11).cast("string")).otherwise((F.pmod(_byte(seed, k * 2) * 256 + _byte(seed, k * 2 + 1), F.lit(254)) + 1).cast("string"))), ".")
-    body = F.concat(F.substr(form, F.lit(1), F.lit(1)), F.substr(scrambled, F.lit(2), F.length(form)))
-    last = F.length(form)
-    card = F.concat(F.substr(body, F.lit(1), last - 1), F.pmod(F.substr(body, last, F.lit(1)).cast("int") + _luhn(form) - _luhn(body), F.lit(10)).cast("string"))
-    lead = F.length(F.regexp_extract(form, r"^(\+?[0-9])", 1))
-    phone = F.concat(F.substr(form, F.lit(1), lead), F.substr(scrambled, lead + 1, F.length(form)))
-    country = F.concat(F.substr(form, F.lit(1), F.lit(2)), F.lit("00"), F.substr(scrambled, F.lit(5), F.length(form)))
-    check = F.when(_mod97(form) == 1, 98 - _mod97(country)).otherwise(F.pmod(_byte(seed, F.lit(30)), F.lit(97)))
-    iban = F.concat(F.substr(form, F.lit(1), F.lit(2)), F.lpad(check.cast("string"), 2, "0"), F.substr(scrambled, F.lit(5), F.length(form)))
-    return (
-        F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "phone", phone).when(kind == "iban", iban).when(kind == "ssn", scrambled).otherwise(_name(form, kind, seed))
-    )
+    kept = F.when(form.rlike(r"^(10|127)\."), 1).when(form.rlike(r"^(192\.168|172\.(1[6-9]|2[0-9]|3[01]))\."), 2).otherwise(0)
+    first = (F.pmod(_byte(seed, F.lit(0)), F.lit(100)) + 11).cast("string")
+    other = lambda k: (F.pmod(_byte(seed, k * 2) * 256 + _byte(seed, k * 2 + 1), F.lit(254)) + 1).cast("string")
+    return let(kept, lambda n: F.array_join(F.transform(octets, lambda o, k: F.when(k < n, o).when(k == 0, first).otherwise(other(k))), "."))
+
+
+def _card(form: Column, scrambled: Column) -> Column:
+    """The first digit stays, and the last makes the checksum what it was."""
+    n = F.length(form)
+
+    def checked(body: Column) -> Column:
+        last = F.pmod(F.substr(body, n, F.lit(1)).cast("int") + _luhn(form) - _luhn(body), F.lit(10))
+        return F.concat(F.substr(body, F.lit(1), n - 1), last.cast("string"))
+
+    return let(F.concat(F.substr(form, F.lit(1), F.lit(1)), F.substr(scrambled, F.lit(2), n)), checked)
+
+
+def _account(form: Column, scrambled: Column, seed: Column) -> Column:
+    """The country stays, and a valid number has a valid surrogate."""
+    country, rest = F.substr(form, F.lit(1), F.lit(2)), F.substr(scrambled, F.lit(5), F.length(form))
+    valid = let(F.concat(country, F.lit("00"), rest), lambda body: 98 - _mod97(body))
+    check = F.when(_mod97(form) == 1, valid).otherwise(F.pmod(_byte(seed, F.lit(30)), F.lit(97)))
+    return F.concat(country, F.lpad(check.cast("string"), 2, "0"), rest)
+
+
+def _phone(form: Column, scrambled: Column) -> Column:
+    lead = F.when(form.startswith("+"), 2).otherwise(1)
+    return F.concat(F.substr(form, F.lit(1), lead), F.substr(scrambled, lead + 1, F.length(form)))
+
+
+def surrogate(kind: Column, form: Column, attempt: Column, key: str) -> Column:
+    """The surrogate of an entity in its plain form, drawn from the key, the entity and the attempt."""
+
+    def drawn(form: Column, seed: Column) -> Column:
+        mixed = lambda use: let(_scrambled(form, seed), use)
+        return (
+            F.when(kind == "email", _email(form, seed, key))
+            .when(kind == "ip", _address(form, seed))
+            .when(kind == "card", mixed(lambda s: _card(form, s)))
+            .when(kind == "phone", mixed(lambda s: _phone(form, s)))
+            .when(kind == "iban", mixed(lambda s: _account(form, s, seed)))
+            .when(kind == "ssn", mixed(lambda s: s))
+            .otherwise(_name(form, kind, seed))
+        )
+
+    return let(form, lambda f: let(_digest(key, kind, f, attempt.cast("string")), lambda seed: drawn(f, seed)))
 
 
 def _laid(mention: Column, found: Column) -> Column:
     """The surrogates of a mention's entities in the mention's own format."""
-    kind = _kind(mention)
-    plain = F.get(found, F.lit(0))
-    # Digits and letters of the mention take those of the surrogate in turn; spaces, brackets and hyphens stay.
-    counted = lambda pattern, k: F.length(F.regexp_replace(F.substr(mention, F.lit(1), k + 1), pattern, ""))
-    digits = _characters(mention, lambda c, k: F.when(c.rlike(r"[0-9+]"), F.substr(plain, counted(r"[^0-9+]", k), F.lit(1))).otherwise(c))
-    account = _characters(mention, lambda c, k: F.when(c != " ", F.substr(plain, counted(" ", k), F.lit(1))).otherwise(c))
-    email = F.when(mention == F.upper(mention), F.upper(plain)).otherwise(plain)
-    title = F.substring_index(mention, " ", 1)
-    old = F.slice(F.split(mention, " "), F.lit(2), F.size(F.split(mention, " ")))
-    names = F.zip_with(old, found, lambda o, n: F.when((F.length(o) > 1) & (o == F.upper(o)), F.upper(n)).otherwise(F.initcap(n)))
-    return F.when(kind == "email", email).when(kind == "ip", plain).when(kind == "iban", account).when(kind == "person", F.concat(title, F.lit(" "), F.array_join(names, " "))).otherwise(digits)
+
+    def filled(plain: Column, skipped: str) -> Column:
+        # Characters of the mention take those of the surrogate in turn; spaces, brackets and hyphens stay.
+        counted = lambda k: F.length(F.regexp_replace(F.substr(mention, F.lit(1), k + 1), skipped, ""))
+        return _characters(mention, lambda c, k: F.when(c.rlike(skipped), c).otherwise(F.substr(plain, counted(k), F.lit(1))))
+
+    def laid(kind: Column, new: Column) -> Column:
+        plain = F.get(new, F.lit(0))
+        old = let(F.split(mention, " "), lambda w: F.slice(w, F.lit(2), F.size(w)))
+        names = F.zip_with(old, new, lambda o, n: F.when((F.length(o) > 1) & (o == F.upper(o)), F.upper(n)).otherwise(F.initcap(n)))
+        return (
+            F.when(kind == "email", F.when(mention == F.upper(mention), F.upper(plain)).otherwise(plain))
+            .when(kind == "ip", plain)
+            .when(kind == "iban", filled(plain, " "))
+            .when(kind == "person", F.concat(F.substring_index(mention, " ", 1), F.lit(" "), F.array_join(names, " ")))
+            .otherwise(filled(plain, "[^0-9+]"))
+        )
+
+    return let(found, lambda new: let(_kind(mention), lambda kind: laid(kind, new)))
 
 
 def _mentions(text: Column) -> Column:
@@ -213,7 +264,7 @@ def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: s
 
     def put(mention: Column) -> Column:
         tries = lambda e: F.coalesce(F.element_at("moves", F.concat_ws("\u0001", e["kind"], e["form"])), F.lit(0))
-        return _laid(mention, F.transform(_parts(mention), lambda e: surrogate(e["kind"], e["form"], tries(e), key)))
+        return _laid(mention, F.transform(_parts(mention), lambda e: let(tries(e), lambda n: surrogate(e["kind"], e["form"], n, key))))
 
     mentions = _mentions(text)
     pieces = F.zip_with(F.split(text, ANY, -1), F.transform(mentions, put), lambda gap, new: F.concat(gap, F.coalesce(new, F.lit(""))))
