@@ -329,4 +329,4 @@ def _search(docs: DataFrame, blocks: list[DataFrame], idf: np.ndarray, id_col: s
 def without_leaks(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` without the ids in ``found``, the result of leaks. Rows without an id stay."""
     ids = written_out(found.where(F.col(id_col).isNotNull()).select(id_col).distinct())
-    return docs.join(ids, id_col, "left_anti").select(*docs.columns)
+    return docs.join(ids.hint("merge"), id_col, "left_anti").select(*docs.columns)

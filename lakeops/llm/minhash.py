@@ -270,6 +270,6 @@ def keep_one(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id") -> Dat
     again = classes.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("n"), F.min("class_id").alias("class_id"))
     out = again.where(F.col(id_col) != F.col("class_id")).select(id_col)
     repeated = again.where((F.col("n") > 1) & (F.col(id_col) == F.col("class_id"))).select(id_col)
-    once = docs.join(written_out(out.union(repeated)), id_col, "left_anti").select(*docs.columns)
-    first = docs.join(written_out(repeated), id_col, "left_semi").groupBy(F.col(id_col).alias("__id")).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    once = docs.join(written_out(out.union(repeated)).hint("merge"), id_col, "left_anti").select(*docs.columns)
+    first = docs.join(written_out(repeated).hint("merge"), id_col, "left_semi").groupBy(F.col(id_col).alias("__id")).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
     return once.union(first.select(*docs.columns))

@@ -257,9 +257,9 @@ def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: s
     found = docs.where(text.rlike(ANY)).select(F.col(id_col).alias("__id"), F.xxhash64(text).alias("__mark"), F.explode(_entities(_mentions(text))).alias("e"))
     found = written_out(found.select("__id", "__mark", "e.kind", "e.form").distinct())
     moved = written_out(collisions(found.select("kind", "form").distinct(), key))
-    # A document's own entities: bounded by the document.
+    # A document's own entities: bounded by the document. All of them grow with the documents, so the join is shuffled.
     per = found.join(moved, ["kind", "form"]).groupBy("__id", "__mark").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\u0001", "kind", "form"), "attempt"))).alias("moves"))
-    per = written_out(per).select(F.col("__id").alias("__of"), F.col("__mark").alias("__m"), "moves")
+    per = written_out(per).hint("merge").select(F.col("__id").alias("__of"), F.col("__mark").alias("__m"), "moves")
     out = docs.select(*keep).join(per, F.col(id_col).eqNullSafe(F.col("__of")) & (F.xxhash64(text) == F.col("__m")), "left")
 
     def put(mention: Column) -> Column:

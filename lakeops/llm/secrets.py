@@ -20,7 +20,7 @@ SIZE = len(ALPHABET)
 #: Words whose spelling trains the ordinary model.
 IDENTIFIER = r"[A-Za-z][A-Za-z0-9_-]{3,}"
 #: A run is a secret when its mean log-likelihood ratio for each step is above this, in nats.
-THRESHOLD = 0.5
+THRESHOLD = 0.25
 
 
 def _spans(text: Column, pattern: str, group: int, least: int, kind: str) -> Column:
@@ -91,11 +91,11 @@ def log_ratio(value: Column, model: list[float]) -> Column:
 def labelled_samples(found: DataFrame, text_col: str) -> tuple[DataFrame, DataFrame]:
     """Random strings and ordinary identifiers of a scanned table: values of fixed spans with a digit, and all other words.
 
-    ``found`` has the text and its base spans in ``base``.
+    ``found`` has the text and its base spans in ``base``. A document gives each of its words once.
     """
     values = found.select(F.explode(F.col("base.value")).alias("value")).where(F.col("value").rlike("[0-9]"))
-    words = found.select(F.explode(F.regexp_extract_all(F.col(text_col), F.lit(rf"(?<![A-Za-z0-9+/_=-]){IDENTIFIER}(?![A-Za-z0-9+/_=-])"), F.lit(0))).alias("value"))
-    return values, words.where(~F.col("value").rlike("[0-9a-f]{16}|AKIA"))
+    every = F.regexp_extract_all(F.col(text_col), F.lit(rf"(?<![A-Za-z0-9+/_=-]){IDENTIFIER}(?![A-Za-z0-9+/_=-])"), F.lit(0))
+    return values, found.select(F.explode(F.array_except(every, F.col("base.value"))).alias("value"))
 
 
 def scan(docs: DataFrame, model: list[float], text_col: str = "text") -> DataFrame:

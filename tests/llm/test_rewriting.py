@@ -165,7 +165,8 @@ def test_repeated_chunks_stay_once(spark):
         assert r["text"] == "\n".join(left)
         assert r["removed_lines"] == len(texts[r["doc_id"]].split("\n")) - len(left)
     removed = sum(r["removed_lines"] for r in got if r["doc_id"] in range(60) and r["doc_id"] % 3)
-    assert removed > 0.7 * 39 * 40
+    # Some shared lines are chunks of their own, which stay.
+    assert removed > 0.5 * 39 * 40
     assert lines.without_repeats(frame(spark, [])).collect() == []
 
 
