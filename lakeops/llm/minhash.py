@@ -219,6 +219,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     whose tiles are not yet one component has every pair of tiles compared as well. So no pair that shares a band is
     dropped, and no task lists pairs: it gives at most one link for each member. Nodes are told apart by 64 bits.
     """
+    # What is joined here grows with the documents, so joins are shuffled at every size.
     found = written_out(sketched(docs, id_col, text_col))
     named = found.where("id is not null")
     nodes = written_out(named.groupBy("node").agg(F.min("id").alias("least"), F.max("words").alias("words"), F.min("bands").alias("bands")))
@@ -231,15 +232,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .agg(F.min("band").alias("bucket"))
     )
     tiles = F.greatest(F.ceil(F.col("members") / TILE_MEMBERS), F.ceil(F.col("elements") / TILE_ELEMENTS)).cast("long")
-    placed = banded.join(buckets.select("bucket", tiles.alias("tiles")), F.col("band") == F.col("bucket"))
+    placed = banded.join(buckets.select("bucket", tiles.alias("tiles")).hint("merge"), F.col("band") == F.col("bucket"))
     placed = written_out(placed.select("node", "bucket", "tiles", F.pmod(F.xxhash64("node", F.lit(3)), F.col("tiles")).alias("tile")))
-    wanted = written_out(nodes.join(placed, "node", "left_semi").select("node", "least"))
-    # The wanted ids grow with the documents, so the join is shuffled at every size.
+    wanted = written_out(nodes.join(placed.hint("merge"), "node", "left_semi").select("node", "least"))
     texts = docs.select(F.col(id_col).alias("least"), F.col(text_col).alias("text")).join(wanted.hint("merge"), "least").select("node", "text")
     elements = written_out(_shingled(texts))
 
     def linked(members: DataFrame, *tile: str) -> DataFrame:
-        return written_out(members.join(elements, "node").groupBy("bucket", *tile).applyInPandas(lambda g: _links(g, similarity), "a long, b long"))
+        return written_out(members.join(elements.hint("merge"), "node").groupBy("bucket", *tile).applyInPandas(lambda g: _links(g, similarity), "a long, b long"))
 
     several = named.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("id", "a")
     links = linked(placed, "tile").union(named.join(several, "id").select("a", F.col("node").alias("b")))
@@ -271,5 +271,5 @@ def keep_one(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id") -> Dat
     out = again.where(F.col(id_col) != F.col("class_id")).select(id_col)
     repeated = again.where((F.col("n") > 1) & (F.col(id_col) == F.col("class_id"))).select(id_col)
     once = docs.join(written_out(out.union(repeated)).hint("merge"), id_col, "left_anti").select(*docs.columns)
-    first = docs.join(written_out(repeated).hint("merge"), id_col, "left_semi").groupBy(F.col(id_col).alias("__id")).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    first = docs.join(written_out(repeated), id_col, "left_semi").groupBy(F.col(id_col).alias("__id")).agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
     return once.union(first.select(*docs.columns))
