@@ -17,8 +17,8 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
 #: Character classes of the models: a letter, digit or sign each for itself.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SIZE = len(ALPHABET)
-#: Words whose spelling trains the ordinary model.
-IDENTIFIER = r"[A-Za-z][A-Za-z0-9_-]{3,}"
+#: Words whose spelling trains the ordinary model: letters, with a digit or two at most at the end.
+IDENTIFIER = r"[A-Za-z][A-Za-z_-]{3,}[0-9]{0,2}"
 #: A run is a secret when its mean log-likelihood ratio for each step is above this, in nats.
 THRESHOLD = 0.25
 
