@@ -261,6 +261,7 @@ class _Space:
         self.least = SHARE * self.latent_length - most
         if (self.least <= 0).any():
             self.least, frequent = SHARE * self.latent_length, np.zeros(len(features), bool)
+        self.most = self.added.max(axis=1, initial=0)
         self.rare = np.zeros(FEATURES, bool)
         self.rare[features[~frequent]] = True
 
@@ -273,6 +274,13 @@ class _Space:
 
         none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         window, at = place.of(np.flatnonzero(self.rare[feature]))
+        if not len(window):
+            return none
+        # One number for each word, the most it adds to any item, rules out most windows before items are looked at.
+        first = np.flatnonzero(np.r_[True, window[1:] != window[:-1]])
+        enough = np.add.reduceat(self.most[self.place[feature[at]]], first) >= self.least.min() * (1 - 1e-4)
+        kept = np.repeat(enough, np.diff(np.r_[first, len(window)]))
+        window, at = window[kept], at[kept]
         likely = [none[0]]
         for a, b in _pieces(window):
             owner, product = sums(window[a:b], feature[at[a:b]], self.added)
