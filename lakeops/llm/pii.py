@@ -20,6 +20,8 @@ PATTERNS = {
     "person": rf"(?<!\p{{L}})(?:{'|'.join(_TITLES.values())})\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+){{0,2}}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: What every match holds, found much faster: a digit, an at sign, or a title before a capital.
+_SIGN = rf"[0-9@]|(?:{'|'.join(_TITLES.values())})\.? \p{{Lu}}"
 #: Letters that letters of a script are replaced by, and syllables of made-up names by script: fixed values.
 _LETTERS = {r"[a-z]": "abcdefghijklmnopqrstuvwxyz", r"\p{IsGreek}": "αβγδεζηθικλμνξοπρστυφχψω", r"\p{IsCyrillic}": "абвгдежзиклмнопрстуфхцчшэюя", r"\p{L}": "àáâãäåæçèéêëìíîïñòóôõöùúûü"}
 _NAMES = {
@@ -207,8 +209,12 @@ def _laid(mention: Column, found: Column) -> Column:
     return let(found, lambda new: let(_kind(mention), lambda kind: laid(kind, new)))
 
 
+def _has_entity(text: Column) -> Column:
+    return text.rlike(_SIGN) & text.rlike(ANY)
+
+
 def _mentions(text: Column) -> Column:
-    return F.when(text.rlike(ANY), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    return F.when(text.rlike(_SIGN), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
 def _entities(mentions: Column) -> Column:
@@ -254,7 +260,7 @@ def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: s
     """
     keep = [c for c in docs.columns if c != "entities"]
     text = F.col(text_col)
-    found = docs.where(text.rlike(ANY)).select(F.col(id_col).alias("__id"), F.xxhash64(text).alias("__mark"), F.explode(_entities(_mentions(text))).alias("e"))
+    found = docs.where(_has_entity(text)).select(F.col(id_col).alias("__id"), F.xxhash64(text).alias("__mark"), F.explode(_entities(_mentions(text))).alias("e"))
     found = written_out(found.select("__id", "__mark", "e.kind", "e.form").distinct())
     moved = written_out(collisions(found.select("kind", "form").distinct(), key))
     # A document's own entities: bounded by the document. All of them grow with the documents, so the join is shuffled.
@@ -268,6 +274,6 @@ def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: s
 
     mentions = _mentions(text)
     pieces = F.zip_with(F.split(text, ANY, -1), F.transform(mentions, put), lambda gap, new: F.concat(gap, F.coalesce(new, F.lit(""))))
-    changed = F.when(text.rlike(ANY), F.array_join(pieces, "")).otherwise(text)
+    changed = F.when(text.rlike(_SIGN), F.array_join(pieces, "")).otherwise(text)
     kinds = F.coalesce(F.transform(mentions, _kind), F.array().cast("array<string>"))
     return out.select(*[changed.alias(c) if c == text_col else F.col(c) for c in keep], kinds.alias("entities"))
