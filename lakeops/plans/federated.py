@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.names import plain_name, quoted_name, with_clash
 from lakeops.functions.rewrite import rewrite_backtick
+from lakeops.session import written_out
 from lakeops.sinks.runlog import append_run_log, run_stamp
 from lakeops.sinks.tables import FAILED, copy_each, ensure_schemas, outcomes_frame
 from lakeops.sinks.views import recreate_in_rounds
@@ -72,7 +73,8 @@ def _copied(spark: SparkSession, listed: DataFrame, parallelism: int, fmt: str)
     objects = classify_spark(spark, distinct, parallelism).withColumn("src", F.coalesce("catalog", "database"))
     objects = objects.join(listed.select("src", "dst").distinct(), "src").withColumns(destination_of)
     parts = (F.col("dst_cat"), F.col("dst_schema"), F.col("name"))
-    objects = with_clash(objects.withColumns({"dst_fq": quoted_name(*parts), "dst_plain": plain_name(*parts)}))
+    # Read for tables, views and failures: written once.
+    objects = written_out(with_clash(objects.withColumns({"dst_fq": quoted_name(*parts), "dst_plain": plain_name(*parts)})))
 
     ensure_schemas(spark, objects)
 
