@@ -50,7 +50,7 @@ def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return lines.without_repeats(docs).select("doc_id", "removed_lines", "text")
+    return lines.without_repeated_runs(docs).select("doc_id", "removed_lines", "text")
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -179,6 +179,48 @@ def test_an_inserted_line_shifts_no_other_boundary(spark):
     assert {e for e in ends[1] if e > 21} == {e - 1 for e in ends[2] if e > 22}
 
 
+def _plain_runs(docs):
+    """Two neighbouring lines stay at their first place by id and position, and where they overlap it."""
+    first, out = {}, {}
+    for d, body in sorted(docs.items()):
+        for k, pair in enumerate(zip(body, body[1:])):
+            first.setdefault(pair, (d, k))
+    for d, body in docs.items():
+        gone = {x for k, pair in enumerate(zip(body, body[1:])) if not (first[pair][0] == d and k < first[pair][1] + 2) for x in (k, k + 1)}
+        out[d] = [x for k, x in enumerate(body) if k not in gone]
+    return out
+
+
+def test_repeated_runs_go_whole_in_any_surroundings(spark):
+    rng = random.Random(5)
+    line = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(6))
+    planted = {n: [[line() for _ in range(n)] for _ in range(10)] for n in range(2, 7)}
+    docs, k = {}, 0
+    for passages in planted.values():
+        for passage in passages:
+            for _ in range(3):
+                docs[k] = [line() for _ in range(rng.randrange(0, 5))] + passage + [line() for _ in range(rng.randrange(0, 5))]
+                k += 1
+    docs |= {1000: ["a"] * 7, 1001: ["a", "b"] * 4, 1002: ["x", "", "y"], 1003: ["z", "", "y"], 1004: ["one"]}
+    got = {}
+    for r in lines.without_repeated_runs(frame(spark, [(d, "\n".join(b)) for d, b in docs.items()] + [(0, "\n".join(docs[0])), (2000, None), (2001, "")])).collect():
+        assert got.setdefault(r["doc_id"], (r["text"], r["removed_lines"])) == (r["text"], r["removed_lines"])
+    want = _plain_runs(docs)
+    for d, body in docs.items():
+        assert got[d] == ("\n".join(want[d]), len(body) - len(want[d])), d
+    assert got[2000] == (None, 0) and got[2001] == ("", 0)
+    k = 0
+    for passages in planted.values():
+        for passage in passages:
+            assert all(x in got[k][0].split("\n") for x in passage)
+            assert not any(x in got[d][0].split("\n") for x in passage for d in (k + 1, k + 2))
+            k += 3
+    assert got[1000] == ("a\na", 5) and got[1001][0] == "a\nb"
+    kept = {x for d in docs for x in got[d][0].split("\n")}
+    assert {x for b in docs.values() for x in b} <= kept
+    assert lines.without_repeated_runs(frame(spark, [])).collect() == []
+
+
 def test_digest_of_spans(spark):
     got = frame(spark, [(1, SECRET_TEXTS[3])]).select(F.sha2(secrets.joined(secrets.base_spans(F.col("text"))).cast("binary"), 256).alias("h")).first()["h"]
     assert got == hashlib.sha256(",".join(f"{k}:{s}:{e}" for s, e, k in plain.secret_spans(SECRET_TEXTS[3])).encode()).hexdigest()
