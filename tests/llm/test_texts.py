@@ -245,6 +245,22 @@ def test_junk_is_rejected_and_trusted_text_kept(spark):
     assert all(r["kept"] == (r["words"] > 0) for r in quality.classify(df.limit(5), trusted.where("false")).collect())
 
 
+def test_a_language_with_three_trusted_texts_keeps_its_clean_documents(spark):
+    rng = random.Random(12)
+    held = lambda k: __import__("zlib").crc32(str(k).encode()) % quality.FOLDS == 0
+    text = lambda n: " ".join(rng.choice(["the", "of", "and", "in"]) + " " + prose(rng, 2) for _ in range(n))
+    rows = [(k, text(rng.randrange(5, 60)), "en") for k in range(1500)] + [(10_000 + k, text(rng.randrange(5, 60)), "xx") for k in range(400)]
+    rows += [(20_000 + k, " ".join(f"{w}$$$" for w in prose(rng, 60).upper().split()), "xx") for k in range(40)]
+    rare = [k for k in range(10_000, 10_400) if held(k)][:3]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    trusted = spark.createDataFrame([(k,) for k in [*range(1200), *rare]], "doc_id long")
+    kept = {r["doc_id"]: r["kept"] for r in quality.classify(df, trusted).collect()}
+    assert np.mean([kept[10_000 + k] for k in range(400)]) > 0.98
+    assert not any(kept[20_000 + k] for k in range(40))
+    few = spark.createDataFrame([(k,) for k in [*range(5), *rare]], "doc_id long")
+    assert all(r["kept"] for r in quality.classify(df.where("text not like '%$%'"), few).collect())
+
+
 def test_toxic_texts_score_higher(spark):
     rng = random.Random(11)
     bad = ["vilegrub", "muckwort", "slimehead", "rotbrain"]
