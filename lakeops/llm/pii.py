@@ -9,7 +9,11 @@ from lakeops.llm.expressions import let
 from lakeops.session import written_out
 
 #: Fixed patterns of the kinds, tried in this order at each place.
-_TITLES = {"male": "Mr|Herr|Monsieur|Señor|Sr", "female": "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra", "any": "Dr|Prof"}
+_TITLES = {
+    "male": "Mr|Herr|Monsieur|Señor|Sr|[Гг]осподин|[Гг]-н|[Κκ]ύριος|[Κκ]ος",
+    "female": "Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Sra|[Гг]оспожа|[Гг]-жа|[Κκ]υρία|[Κκ]α",
+    "any": "Dr|Prof|[Дд]октор|[Пп]рофессор|[Κκ](?=\\.)|Δρ|Καθ",
+}
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])",
@@ -19,6 +23,8 @@ PATTERNS = {
     "phone": r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])|(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9A-Za-z])",
     "person": rf"(?<!\p{{L}})(?:{'|'.join(_TITLES.values())})\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+){{0,2}}",
 }
+#: A capitalised word, which may be a name that the document has after a title; its possessive ending is not part of it.
+WORD = r"(?<![\p{L}'-])\p{Lu}[\p{L}-]+(?:'(?!s(?!\p{L}))[\p{L}-]+)*"
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every match holds, found much faster: a digit, an at sign, or a title before a capital.
 _SIGN = rf"[0-9@]|(?:{'|'.join(_TITLES.values())})\.? \p{{Lu}}"
@@ -217,6 +223,15 @@ def _mentions(text: Column) -> Column:
     return F.when(text.rlike(_SIGN), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
+def _known(mentions: Column) -> Column:
+    """Name words after the titles of a document: form (without a possessive ending) to entity; a surname before a given name."""
+    names = F.filter(_entities(mentions), lambda e: e["kind"].startswith("given") | (e["kind"] == "surname"))
+    keyed = F.transform(names, lambda e: F.struct(F.regexp_replace(e["form"], "'s$", "").alias("form"), (e["kind"] != "surname").alias("given"), e.alias("entity")))
+    every = F.array_sort(F.array_distinct(keyed))
+    first = F.filter(every, lambda x, k: (k == 0) | (x["form"] != F.get(every, k - 1)["form"]))
+    return F.map_from_entries(F.transform(first, lambda x: F.struct(x["form"], x["entity"])))
+
+
 def _entities(mentions: Column) -> Column:
     return F.flatten(F.transform(mentions, _parts))
 
@@ -248,7 +263,8 @@ def collisions(entities: DataFrame, key: str) -> DataFrame:
 def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every personal entity replaced in the text, and ``entities``, the kinds found, in order.
 
-    Kinds are those of PATTERNS; names are found after a title. A surrogate is drawn with a keyed hash from the entity
+    Kinds are those of PATTERNS; names are found after a title, and their words, capitalised, anywhere else in the same
+    document, where each counts as a person; names that have no title in a document are not found there. A surrogate is drawn with a keyed hash from the entity
     alone, so it is the same everywhere (in any spelling of case, spaces or brackets), and keeps what the entity shows of
     its kind: letters, digits and their case and script, the gender of a given name, an address range, a card's or
     account's checksum. No two entities of the corpus share one, and none is itself an entity of the corpus; the
@@ -269,11 +285,28 @@ def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: s
     out = docs.select(*keep).join(per, F.col(id_col).eqNullSafe(F.col("__of")) & (F.xxhash64(text) == F.col("__m")), "left")
 
     def put(mention: Column) -> Column:
-        tries = lambda e: F.coalesce(F.element_at("moves", F.concat_ws("\u0001", e["kind"], e["form"])), F.lit(0))
         return _laid(mention, F.transform(_parts(mention), lambda e: let(tries(e), lambda n: surrogate(e["kind"], e["form"], n, key))))
 
-    mentions = _mentions(text)
-    pieces = F.zip_with(F.split(text, ANY, -1), F.transform(mentions, put), lambda gap, new: F.concat(gap, F.coalesce(new, F.lit(""))))
-    changed = F.when(text.rlike(_SIGN), F.array_join(pieces, "")).otherwise(text)
-    kinds = F.coalesce(F.transform(mentions, _kind), F.array().cast("array<string>"))
-    return out.select(*[changed.alias(c) if c == text_col else F.col(c) for c in keep], kinds.alias("entities"))
+    def bare(gap: Column, known: Column) -> Column:
+        """Text between mentions with the document's name words replaced, and how many there are."""
+
+        def word(w: Column) -> Column:
+            own = F.element_at(known, F.lower(w))
+            new = lambda e: F.regexp_replace(surrogate(e["kind"], e["form"], tries(e), key), "'s$", "")
+            cased = let(own, lambda e: let(new(e), lambda n: F.when(w == F.upper(w), F.upper(n)).otherwise(F.initcap(n))))
+            return F.when(F.map_contains_key(known, F.lower(w)), cased).otherwise(w)
+
+        words = F.regexp_extract_all(gap, F.lit(WORD), F.lit(0))
+        joined = F.zip_with(F.split(gap, WORD, -1), F.transform(words, word), lambda between, w: F.concat(between, F.coalesce(w, F.lit(""))))
+        count = F.size(F.filter(words, lambda w: F.map_contains_key(known, F.lower(w))))
+        return F.struct(F.when(count > 0, F.array_join(joined, "")).otherwise(gap).alias("text"), count.alias("n"))
+
+    tries = lambda e: F.coalesce(F.element_at("moves", F.concat_ws("\u0001", e["kind"], e["form"])), F.lit(0))
+    mentions, gaps = _mentions(text), F.split(text, ANY, -1)
+    between = let(_known(mentions), lambda known: F.when(F.size(known) > 0, F.transform(gaps, lambda g: bare(g, known))).otherwise(F.transform(gaps, lambda g: F.struct(g.alias("text"), F.lit(0).alias("n")))))
+    parts = F.zip_with(between, mentions, lambda gap, m: F.struct(gap["text"].alias("gap"), gap["n"].alias("n"), m.alias("mention")))
+    row = out.withColumn("__parts", F.when(text.rlike(_SIGN), parts))
+    changed = F.array_join(F.transform("__parts", lambda p: F.concat(p["gap"], F.coalesce(put(p["mention"]), F.lit("")))), "")
+    kinds = F.flatten(F.transform("__parts", lambda p: F.concat(F.array_repeat(F.lit("person"), p["n"]), F.when(p["mention"].isNull(), F.array().cast("array<string>")).otherwise(F.array(_kind(p["mention"]))))))
+    kinds = F.coalesce(kinds, F.array().cast("array<string>"))
+    return row.select(*[F.coalesce(changed, text).alias(c) if c == text_col else F.col(c) for c in keep], kinds.alias("entities"))

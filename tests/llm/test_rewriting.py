@@ -125,6 +125,22 @@ def test_colliding_surrogates_are_moved_on(spark):
     assert not set(surrogate) & set(surrogate.values())
 
 
+def test_names_go_without_their_titles_as_well(spark):
+    rows = [
+        (1, "John Smith wrote. Mr John Smith called; Smith said no. SMITH's car, Smithson's not, smith neither."),
+        (2, "Господин Иванов пришёл, Иванов ушёл. κ. Παπαδόπουλος ήρθε, Παπαδόπουλος έφυγε."),
+        (3, "Smith has no title here."),
+    ]
+    got = {r["doc_id"]: r for r in pii.pseudonymised(frame(spark, rows), "k").collect()}
+    one = re.fullmatch(r"(\w+) (\w+) wrote\. Mr (\w+) (\w+) called; (\w+) said no\. (\w+)'s car, Smithson's not, smith neither\.", got[1]["text"])
+    assert one[1] == one[3] != "John" and one[2] == one[4] == one[5] != "Smith" and one[6] == one[4].upper()
+    assert got[1]["entities"] == ["person"] * 5
+    assert "Иванов" not in got[2]["text"] and "Παπαδόπουλος" not in got[2]["text"]
+    two = re.fullmatch(r"Господин (\w+) пришёл, (\w+) ушёл\. κ\. (\w+) ήρθε, (\w+) έφυγε\.", got[2]["text"])
+    assert two[1] == two[2] and two[3] == two[4]
+    assert got[3]["text"] == rows[2][1]
+
+
 def _plain_repeats(docs, width=lines.DIVISOR):
     """All chunks by content, given where the operator cuts; the first by id and position stays."""
     first, out = {}, {}
