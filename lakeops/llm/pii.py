@@ -36,7 +36,9 @@ _NAMES = {
     r"\p{L}": ("bdfgjklmnprstvz", "aeiou", "a", "nrslkdt"),
 }
 SYLLABLES = 4
-#: Rounds of moving colliding surrogates on; each is a fresh keyed draw, so few remain after one.
+#: Rounds of moving colliding surrogates on within their format; each is a fresh keyed draw, so few remain after one,
+#: except where the format leaves too few. Those are drawn from wider formats from then on, and after as many rounds again
+#: addresses from a range that nothing fills.
 ROUNDS = 12
 
 
@@ -114,11 +116,11 @@ def _parts(mention: Column) -> Column:
     return let(_kind(mention), entities)
 
 
-def _name(form: Column, kind: Column, seed: Column) -> Column:
-    """A made-up name in the script of ``form``; given names end as the gender's do."""
+def _name(form: Column, kind: Column, seed: Column, wide: Column) -> Column:
+    """A made-up name in the script of ``form``, of twice the syllables if ``wide``; given names end as the gender's do."""
 
     def made(onsets: str, vowels: str, female: str, finals: str) -> Column:
-        syllables = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(SYLLABLES - 1)), lambda k: F.concat(_pick(onsets, _byte(seed, k * 2)), _pick(vowels, _byte(seed, k * 2 + 1)))), "")
+        syllables = F.array_join(F.transform(F.sequence(F.lit(0), F.when(wide, 2 * SYLLABLES - 1).otherwise(SYLLABLES - 1)), lambda k: F.concat(_pick(onsets, _byte(seed, k * 2)), _pick(vowels, _byte(seed, k * 2 + 1)))), "")
         end = F.when(kind == "given-female", F.lit(female)).when(kind == "given-male", _pick(finals, _byte(seed, F.lit(20)))).otherwise(F.lit(""))
         return F.concat(F.when(kind == "given-female", F.substr(syllables, F.lit(1), F.length(syllables) - 1)).otherwise(syllables), end)
 
@@ -133,21 +135,31 @@ def _digest(key: str, *parts: Column) -> Column:
     return F.sha2(F.concat_ws("\u0001", F.lit(key), *parts).cast("binary"), 256)
 
 
-def _email(form: Column, seed: Column, key: str) -> Column:
-    """Local part and host by themselves, so the addresses of one host keep one; the last label stays."""
+def _email(form: Column, seed: Column, wide: Column, key: str) -> Column:
+    """Local part and host by themselves, so the addresses of one host keep one; the last label stays.
+
+    A wide local part is 16 characters longer.
+    """
     host, top = F.substring_index(form, "@", -1), F.substring_index(form, ".", -1)
     labels = F.substr(host, F.lit(1), F.length(host) - F.length(top))
     at_host = let(_digest(key, F.lit("host"), host), lambda own: let(labels, lambda part: _scrambled(part, own)))
-    return F.concat(let(F.substring_index(form, "@", 1), lambda local: _scrambled(local, seed)), F.lit("@"), at_host, top)
+    longer = F.when(wide, F.substr(seed, F.lit(33), F.lit(16))).otherwise("")
+    return F.concat(let(F.substring_index(form, "@", 1), lambda local: _scrambled(local, seed)), longer, F.lit("@"), at_host, top)
+
 
+def _address(form: Column, seed: Column, attempt: Column) -> Column:
+    """Private ranges stay; a public first part is drawn from 11 to 110, clear of them.
 
-def _address(form: Column, seed: Column) -> Column:
-    """Private ranges stay; a public first part is drawn from 11 to 110, clear of them."""
+    Where a range is too full, a private address is drawn from 10.x.y.z, and at last any from the private range of IPv6.
+    """
     octets = F.split(form, r"\.")
     kept = F.when(form.rlike(r"^(10|127)\."), 1).when(form.rlike(r"^(192\.168|172\.(1[6-9]|2[0-9]|3[01]))\."), 2).otherwise(0)
     first = (F.pmod(_byte(seed, F.lit(0)), F.lit(100)) + 11).cast("string")
     other = lambda k: (F.pmod(_byte(seed, k * 2) * 256 + _byte(seed, k * 2 + 1), F.lit(254)) + 1).cast("string")
-    return let(kept, lambda n: F.array_join(F.transform(octets, lambda o, k: F.when(k < n, o).when(k == 0, first).otherwise(other(k))), "."))
+    near = let(kept, lambda n: F.array_join(F.transform(octets, lambda o, k: F.when(k < n, o).when(k == 0, first).otherwise(other(k))), "."))
+    ten = F.concat_ws(".", F.lit("10"), *[other(F.lit(k)) for k in (1, 2, 3)])
+    sixth = F.concat(F.lit("fd"), F.substr(seed, F.lit(33), F.lit(2)), *[F.concat(F.lit(":"), F.substr(seed, F.lit(35 + 4 * k), F.lit(4))) for k in range(7)])
+    return F.when(attempt < ROUNDS, near).when((attempt < 2 * ROUNDS) & (kept > 0), ten).when(attempt < 2 * ROUNDS, near).otherwise(sixth)
 
 
 def _card(form: Column, scrambled: Column) -> Column:
@@ -169,24 +181,30 @@ def _account(form: Column, scrambled: Column, seed: Column) -> Column:
     return F.concat(country, F.lpad(check.cast("string"), 2, "0"), rest)
 
 
+def _longer(seed: Column, wide: Column) -> Column:
+    """Eighteen digits more for a wide number."""
+    return F.when(wide, F.array_join(F.transform(F.sequence(F.lit(0), F.lit(17)), lambda k: _pick("0123456789", _byte(seed, k + 12))), "")).otherwise("")
+
+
 def _phone(form: Column, scrambled: Column) -> Column:
     lead = F.when(form.startswith("+"), 2).otherwise(1)
     return F.concat(F.substr(form, F.lit(1), lead), F.substr(scrambled, lead + 1, F.length(form)))
 
 
 def surrogate(kind: Column, form: Column, attempt: Column, key: str) -> Column:
-    """The surrogate of an entity in its plain form, drawn from the key, the entity and the attempt."""
+    """The surrogate of an entity in its plain form, drawn from the key, the entity and the attempt; a late one is wide."""
+    wide = attempt >= ROUNDS
 
     def drawn(form: Column, seed: Column) -> Column:
         mixed = lambda use: let(_scrambled(form, seed), use)
         return (
-            F.when(kind == "email", _email(form, seed, key))
-            .when(kind == "ip", _address(form, seed))
+            F.when(kind == "email", _email(form, seed, wide, key))
+            .when(kind == "ip", _address(form, seed, attempt))
             .when(kind == "card", mixed(lambda s: _card(form, s)))
-            .when(kind == "phone", mixed(lambda s: _phone(form, s)))
+            .when(kind == "phone", mixed(lambda s: F.concat(_phone(form, s), _longer(seed, wide))))
             .when(kind == "iban", mixed(lambda s: _account(form, s, seed)))
-            .when(kind == "ssn", mixed(lambda s: s))
-            .otherwise(_name(form, kind, seed))
+            .when(kind == "ssn", mixed(lambda s: F.concat(s, _longer(seed, wide))))
+            .otherwise(_name(form, kind, seed, wide))
         )
 
     return let(form, lambda f: let(_digest(key, kind, f, attempt.cast("string")), lambda seed: drawn(f, seed)))
@@ -198,7 +216,9 @@ def _laid(mention: Column, found: Column) -> Column:
     def filled(plain: Column, skipped: str) -> Column:
         # Characters of the mention take those of the surrogate in turn; spaces, brackets and hyphens stay.
         counted = lambda k: F.length(F.regexp_replace(F.substr(mention, F.lit(1), k + 1), skipped, ""))
-        return _characters(mention, lambda c, k: F.when(c.rlike(skipped), c).otherwise(F.substr(plain, counted(k), F.lit(1))))
+        same = _characters(mention, lambda c, k: F.when(c.rlike(skipped), c).otherwise(F.substr(plain, counted(k), F.lit(1))))
+        # What a wide surrogate has more goes to the end.
+        return F.concat(same, F.substr(plain, F.length(F.regexp_replace(mention, skipped, "")) + 1, F.length(plain)))
 
     def laid(kind: Column, new: Column) -> Column:
         plain = F.get(new, F.lit(0))
@@ -240,13 +260,13 @@ def collisions(entities: DataFrame, key: str) -> DataFrame:
     """kind, form and attempt of the entities whose first draw can't stand; ``entities`` has distinct kind and form.
 
     A draw can't stand when another entity has it, the least form excepted, or when it is itself an entity of the text.
-    Such entities draw again, until none is left.
+    Such entities draw again, until none is left: from ROUNDS on from formats with room for any number of them.
     """
     draw = surrogate(F.col("kind"), F.col("form"), F.col("attempt"), key)
     group = F.when(F.col("kind").startswith("given"), F.lit("given")).otherwise(F.col("kind"))
     names = entities.select(group.alias("of"), F.col("form").alias("taken")).distinct()
     now = written_out(entities.withColumn("attempt", F.lit(0)).withColumn("group", group).withColumn("draw", draw))
-    for _ in range(ROUNDS):
+    while True:
         # Least first by attempt: who stands already is not moved by a newcomer.
         owner = now.groupBy("group", "draw").agg(F.min(F.struct("attempt", "kind", "form")).alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1")
         bad = now.join(owner, ["group", "draw"]).where(F.struct("attempt", "kind", "form") != F.col("owner")).select("kind", "form")
@@ -257,7 +277,6 @@ def collisions(entities: DataFrame, key: str) -> DataFrame:
         moved = now.join(bad.withColumn("moved", F.lit(1)), ["kind", "form"], "left")
         moved = moved.withColumn("attempt", F.col("attempt") + F.coalesce("moved", F.lit(0)))
         now = written_out(moved.select("kind", "form", "attempt", "group", F.when(F.col("moved").isNull(), F.col("draw")).otherwise(draw).alias("draw")))
-    raise RuntimeError("surrogates keep colliding: the formats leave too few of them")
 
 
 def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -141,6 +141,19 @@ def test_names_go_without_their_titles_as_well(spark):
     assert got[3]["text"] == rows[2][1]
 
 
+def test_full_formats_get_wider_ones(spark, monkeypatch):
+    mails = [f"{c}@x.io" for c in "abcdefghijklmnopqrstuvwxyz0123456789"]
+    hosts = [f"192.168.{a}.{b}" for a in range(1, 141) for b in range(1, 251)]
+    rows = [(0, " ".join(mails))] + [(1 + k, " ".join(hosts[k : k + 250])) for k in range(0, len(hosts), 250)]
+    monkeypatch.setattr(pii, "ROUNDS", 2)
+    got = {r["doc_id"]: r["text"].split() for r in pii.pseudonymised(frame(spark, rows), "k").collect()}
+    new = [w for d, t in rows for w in got[d]]
+    old = [w for _, t in rows for w in t.split()]
+    assert len(new) == len(old) == len(set(new)) and not set(new) & set(old)
+    assert all(len(w.split("@")[0]) in (1, 17) for w in got[0])
+    assert all(re.fullmatch(r"(192\.168|10\.[0-9]+)\.[0-9]+\.[0-9]+", w) for w in new[36:])
+
+
 def _plain_repeats(docs, width=lines.DIVISOR):
     """All chunks by content, given where the operator cuts; the first by id and position stays."""
     first, out = {}, {}
