@@ -47,6 +47,13 @@ def windows(raw: bytes) -> list[bytes]:
     return out
 
 
+def spread(pieces: list[bytes]) -> list[bytes]:
+    """At most ROW_WINDOWS windows, evenly spread over the whole text."""
+    if len(pieces) <= ROW_WINDOWS:
+        return pieces
+    return [pieces[k] for k in np.linspace(0, len(pieces) - 1, ROW_WINDOWS).round().astype(int)]
+
+
 def _compressor(dictionary: bytes) -> zstd.ZstdCompressor:
     params = zstd.ZstdCompressionParameters.from_level(
         LEVEL, source_size=WINDOW, dict_size=ORDINARY_BYTES + TOXIC_BYTES, format=zstd.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False
@@ -135,9 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
         for batch in batches:
             out = []
             for id_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                pieces = windows(normal(text))
-                step = max(1, len(pieces) // ROW_WINDOWS)
-                out += pieces[::step][:ROW_WINDOWS]
+                out += spread(windows(normal(text)))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["piece"])
 
     pieces = sorted(r["piece"] for r in sample.where("toxic = 0").select(F.col("id").cast("string"), "text").mapInArrow(some, "piece binary").collect())

@@ -261,6 +261,16 @@ def test_a_language_with_three_trusted_texts_keeps_its_clean_documents(spark):
     assert all(r["kept"] for r in quality.classify(df.where("text not like '%$%'"), few).collect())
 
 
+def test_windows_of_a_row_are_spread_over_the_whole_text():
+    for n in (0, 1, 23, 24, 25, 30, 47, 48, 71, 1000):
+        pieces = [b"%d" % k for k in range(n)]
+        got = toxicity.spread(pieces)
+        assert len(got) == len(set(got)) == min(n, toxicity.ROW_WINDOWS)
+        assert got[:1] == pieces[:1] and got[-1:] == pieces[-1:]
+        places = [int(x) for x in got]
+        assert max(np.diff(places), default=1) <= max(1, -(-n // (toxicity.ROW_WINDOWS - 1)))
+
+
 def test_toxic_texts_score_higher(spark):
     rng = random.Random(11)
     bad = ["vilegrub", "muckwort", "slimehead", "rotbrain"]
