@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeops.llm import decontam, lines, minhash, mixing, pii, quality, secrets, sharding, topk, toxicity
+from lakeops.llm import decontam, lines, minhash, mixing, pieces, pii, quality, repair, secrets, sharding, topk, toxicity, whitening
 
 SHARDS = 8
 TOP = 20
@@ -74,6 +75,23 @@ def op10_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_report(repair.damage(_table(spark, sf_dir, "conversations")), "present")
+
+
+def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    found = pieces.decoded(pieces.encoded(_table(spark, sf_dir, "documents"), model).select("doc_id", "ids", "packed"), model)
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2("packed", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op2_pii_surrogates": op2_pii_surrogates,
@@ -85,4 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_mix_sources": op9_mix_sources,
     "op10_latent_leaks": op10_latent_leaks,
+    "op11_whitening": op11_whitening,
+    "op12_repair": op12_repair,
+    "op13_pieces": op13_pieces,
 }

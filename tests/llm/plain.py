@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+import zlib
 from collections import Counter
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
@@ -98,3 +100,58 @@ def secret_spans(text: str | None) -> list[tuple[int, int, str]]:
     for rank, kind, pattern, least in ((1, "access", r"AKIA[A-Z0-9]+", 18), (2, "hex", r"[0-9a-f]+", 16)):
         found += [(m.start(), rank, m.end(), kind) for m in re.finditer(pattern, text) if m.end() - m.start() >= least]
     return [(s, e, kind) for s, _, e, kind in sorted(found)]
+
+
+def damaged(rows: list[tuple]) -> dict:
+    """Rows (conversation, turn, role, text) of each conversation after damage, in order."""
+    out: dict = {}
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        own = out.setdefault(conv, [])
+        fault = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        text = "" if fault == 1 else re.sub(r"[.!?]", "", text) if fault == 2 else text
+        own += [(turn, "user" if fault == 4 else role, text)] * (0 if fault == 0 else 2 if fault == 3 else 1)
+    return {c: sorted(own, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2])) for c, own in out.items()}
+
+
+def repaired(rows: list[tuple]) -> tuple:
+    """gaps, blank, duplicate, truncated, illegal, cost, audit, digest and the repaired turns, every state's best edits kept as text."""
+    turns = {t for t, _, _ in rows if t is not None}
+    faults, seen = [], set()
+    for _, role, text in rows:
+        end = SPACE.findall(text)
+        faults.append("blank" if not end else "duplicate" if (role, text) in seen else "truncated" if end[-1][-1] not in ".!?" else "")
+        seen.add((role, text))
+    initials = [r[:1] for _, r, _ in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+
+    def inserted(best):
+        for _ in range(3):
+            for state, (cost, audit, made) in list(best.items()):
+                role = "assistant" if state == "u" else "user"
+                new = (cost + 5, audit + "I", (*made, (role, "")))
+                best[role[0]] = min(best.get(role[0], new), new)
+        return best
+
+    best = {"": (0, "", ())}
+    for (_, role, text), fault in zip(rows, faults):
+        new: dict = {}
+
+        def put(state, value, new=new):
+            new[state] = min(new.get(state, value), value)
+
+        for state, (cost, audit, made) in inserted(best).items():
+            put(state, (cost + 2, audit + "D", made))
+            if fault in ("blank", "duplicate"):
+                continue
+            extra = 5 if fault == "truncated" else 0
+            follows = {"": "su", "s": "u", "u": "a", "a": "u"}[state]
+            if role[:1] and role[:1] in follows:
+                put(role[:1], (cost + extra, audit + "K", (*made, (role, text))))
+            other = "assistant" if state == "u" else "user"
+            put(other[0], (cost + extra + 1, audit + "R", (*made, (other, text))))
+        best = new
+    cost, audit, made = min(v for k, v in inserted(best).items() if k in ("", "a"))
+    digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in made).encode()).hexdigest()
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    return gaps, faults.count("blank"), faults.count("duplicate"), faults.count("truncated"), illegal, cost, audit, digest, made
