@@ -193,7 +193,7 @@ def encoded(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Pieces(model)
-        lead, tail = [x] * ((x := own.begin) >= 0), [y] * ((y := own.end) >= 0)
+        lead, tail = ([mark] if mark >= 0 else [] for mark in (own.begin, own.end))
         for batch in batches:
             for first, texts in grouped(batch.column(1).cast(pa.binary()).to_pylist(), BATCH_BYTES):
                 rows = [
