@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 from lakeops.functions.names import object_id, plain_name
 from lakeops.session import new_path, remove_path, written_out
 
+# Fixed value: the wording of an error whose view reads what is not in the run.
+MISSING_DEPENDENCY = "missing dependency — view needs {} which is not in this run. original error: {}"
+
 
 def external_refs(
     refs: DataFrame,
@@ -55,6 +58,11 @@ def view_edges(
     return edges.filter("view_id <> dep_id").join(in_run, "dep_id", "left_semi").select("view_id", "dep_id")
 
 
+def view_reads(edges: DataFrame) -> DataFrame:
+    """The views that each view reads, as a list no longer than its own definition."""
+    return edges.groupBy("view_id").agg(F.sort_array(F.collect_set("dep_id")).alias("reads"))
+
+
 def in_degree(views: DataFrame, edges: DataFrame) -> DataFrame:
     """How many views of the run each view reads, zeros included. ``views`` has ``view_id``."""
     counted = edges.groupBy("view_id").agg(F.count_distinct("dep_id").alias("n"))
@@ -123,12 +131,7 @@ def enrich_failures(log: DataFrame, external: DataFrame, *, view_id: str = "view
         .groupBy(view_id)
         .agg(F.array_join(F.sort_array(F.collect_set("ref")), ", ").alias("_needs"))
     )
-    # Fixed value: the wording of an enriched error.
-    message = F.concat(
-        F.lit("missing dependency — view needs "),
-        F.col("_needs"),
-        F.lit(" which is not in this run. original error: "),
-        F.col("error"),
-    )
+    before, between, after = MISSING_DEPENDENCY.split("{}")
+    message = F.concat(F.lit(before), F.col("_needs"), F.lit(between), F.col("error"), F.lit(after))
     enriched = F.when(is_failed & F.col("_needs").isNotNull(), message).otherwise(F.col("error"))
     return log.join(needs, view_id, "left").withColumn("error", enriched).drop("_needs")

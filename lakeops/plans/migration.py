@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lakeops.functions.names import object_id, plain_name, with_clash, with_destination
 from lakeops.functions.refs import extract_refs
-from lakeops.operators.deps import dependency_levels, external_refs, view_edges
+from lakeops.operators.deps import dependency_levels, external_refs, view_edges, view_reads
 from lakeops.operators.discovery import WAREHOUSE_SYSTEM_SCHEMAS, attach_definitions, discover_objects, join_metadata
 from lakeops.operators.procedures import PROCEDURE_CREATED, procedure_ddl, procedure_status
 from lakeops.operators.typing_plan import plans_by_table, type_plan
@@ -28,15 +28,15 @@ IDENTITY = ["src_db", "schema", "name"]
 
 
 def plan_views(objects: DataFrame, definitions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Views with level and CREATE statement, and all references of their definitions.
+    """Views with level, the views they read and CREATE statement, and all references of their definitions.
 
     Definitions are read once; the checkpoint holds them for the three uses.
     """
     views = cut_lineage(with_statement(attach_definitions(objects.filter("kind = 'view'"), definitions)))
     refs = extract_refs(views, IDENTITY, "view_definition")
     keyed = views.withColumn("view_id", object_id(*[F.col(c) for c in IDENTITY]))
-    levels = dependency_levels(keyed, view_edges(refs, views))
-    return keyed.join(levels, "view_id"), refs
+    edges = view_edges(refs, views)
+    return keyed.join(dependency_levels(keyed, edges), "view_id").join(view_reads(edges), "view_id", "left"), refs
 
 
 def preflight(mapping: DataFrame, tables: DataFrame, definitions: DataFrame, **discover) -> DataFrame:

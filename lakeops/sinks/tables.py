@@ -2,33 +2,100 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 from itertools import batched
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeops.functions.names import with_clash, with_destination
 from lakeops.operators.typing_plan import apply_type_plan
 from lakeops.parallel import run_each
-from lakeops.session import spooled
-from lakeops.sources.catalog import full_name
+from lakeops.session import remove_path, spooled
+from lakeops.sources.catalog import full_name, name_parts, table_detail
 
 # Outcomes of a copy.
 TABLE_CREATED = "table_created"
 FAILED = "failed"
 # Tables counted in one plan.
 COUNTED_AT_ONCE = 32
+# Formats without transactions of their own: a snapshot is a folder of its own, and the table points to it.
+FILE_FORMATS = ("parquet", "orc", "avro", "json", "csv")
+SESSION_CATALOG = "spark_catalog"
+PREVIOUS = "lakeops.previous"
 
 OUTCOME_SCHEMA = "`table` string, kind string, status string, `rows` bigint, error string"
 
 Outcome = tuple[str, str, str, int | None, str | None]
 
 
+def _versions(spark: SparkSession, name: str) -> tuple[str, str, str] | None:
+    """Database, table and folder of snapshots of a table of the session's catalog; None for other catalogs."""
+    parts = name_parts(name)
+    catalog = parts[0] if len(parts) == 3 else spark.catalog.currentCatalog()
+    if catalog != SESSION_CATALOG or len(parts) > 3:
+        return None
+    database = parts[-2] if len(parts) > 1 else spark.catalog.currentDatabase()
+    base = spark.catalog.getDatabase(full_name(catalog, database)).locationUri
+    return database, parts[-1], f"{base.rstrip('/')}/{parts[-1]}.versions"
+
+
+def _same_columns(one: T.StructType, other: T.StructType) -> bool:
+    return [(f.name, f.dataType.simpleString()) for f in one] == [(f.name, f.dataType.simpleString()) for f in other]
+
+
 def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
-    """Replace a table, its schema included."""
-    df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
+    """Replace a table, its schema included, at once.
+
+    With a file format the rows are written to a new folder first, and the table
+    is pointed to it when all are there: a write that fails or is killed leaves
+    the old rows as they were, and readers never see a part. Only a change of
+    columns needs two statements, which write no data: the table is made under
+    another name, then takes the old one's place. The rows before stay until the
+    next replacement, for readers that have begun. Other formats, and tables of
+    other catalogs, are replaced by their own writer. One writer at a time.
+    """
+    place = _versions(spark := df.sparkSession, name) if fmt in FILE_FORMATS else None
+    if place is None:
+        df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
+        return
+    database, table, versions = place
+    path = f"{versions}/{uuid.uuid4().hex}"
+    try:
+        df.write.format(fmt).save(path)
+        _point_to(spark, database, table, path, fmt, df.schema)
+    except Exception:
+        remove_path(spark, path)
+        raise
+
+
+def _point_to(spark: SparkSession, database: str, table: str, path: str, fmt: str, schema: T.StructType) -> None:
+    full = full_name(SESSION_CATALOG, database, table)
+    if not spark.catalog.tableExists(full):
+        spark.catalog.createTable(full, path=path, source=fmt, schema=schema)
+        return
+    before = table_detail(spark, full)
+    if before.get("type") == "VIEW":
+        raise ValueError(f"{full} is a view")
+    oldest = spark.sql(f"SHOW TBLPROPERTIES {full}").filter(F.col("key") == PREVIOUS).first()
+    if before.get("provider") == fmt and _same_columns(spark.table(full).schema, schema):
+        spark.sql(f"ALTER TABLE {full} SET LOCATION {_text(path)}")
+    else:
+        other = f"{table}__{uuid.uuid4().hex[:8]}"
+        spark.catalog.createTable(full_name(SESSION_CATALOG, database, other), path=path, source=fmt, schema=schema)
+        spark.sql(f"DROP TABLE {full}")
+        spark.sql(f"ALTER TABLE {full_name(SESSION_CATALOG, database, other)} RENAME TO {full_name(database, table)}")
+    spark.sql(f"ALTER TABLE {full} SET TBLPROPERTIES ({_text(PREVIOUS)} = {_text(before['location'])})")
+    spark.catalog.refreshTable(full)
+    if oldest and f"/{table}.versions/" in oldest.value:
+        remove_path(spark, oldest.value)
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def ensure_schemas(spark: SparkSession, objects: DataFrame) -> dict[str, str]:

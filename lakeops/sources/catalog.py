@@ -6,6 +6,7 @@ table rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -18,13 +19,18 @@ from lakeops.session import spooled
 SYSTEM_SCHEMAS = ("information_schema", "pg_catalog", "sys")
 
 FOUND_SCHEMA = "catalog string, database string, name string"
-CLASSIFIED_SCHEMA = "catalog string, database string, name string, kind string, ddl string, error string"
+CLASSIFIED_SCHEMA = "catalog string, database string, name string, kind string, ddl string, error string, home array<string>"
 
 
 def full_name(*parts: str | None) -> str:
     return ".".join("`" + p.replace("`", "``") + "`" for p in parts if p)
 
 
+def name_parts(name: str) -> list[str]:
+    """Parts of a dotted name, back-quoted or not."""
+    return [quoted.replace("``", "`") if quoted else bare for quoted, bare in re.findall(r"`((?:[^`]|``)+)`|([^.`]+)", name)]
+
+
 def list_schemas(
     spark: SparkSession, catalog: str | None = None, skip_schemas: Iterable[str] = SYSTEM_SCHEMAS
 ) -> DataFrame:
@@ -53,25 +59,35 @@ def discover_spark(
     return spooled(spark, found(), FOUND_SCHEMA)
 
 
+def table_detail(spark: SparkSession, full: str) -> dict[str, str]:
+    """What the catalog says of a table or view, by heading in lower case."""
+    detail = spark.sql(f"DESCRIBE TABLE EXTENDED {full}").collect()
+    # A column may itself be called "type": only rows after this heading describe the object.
+    heading = next(i for i, r in enumerate(detail) if r.col_name == "# Detailed Table Information")
+    found: dict[str, str] = {}
+    for r in detail[heading + 1 :]:
+        found.setdefault(r.col_name.strip().lower(), (r.data_type or "").strip())
+    return found
+
+
 def _classify(spark: SparkSession, o: Row) -> tuple:
     full = full_name(o.catalog, o.database, o.name)
     try:
-        detail = spark.sql(f"DESCRIBE TABLE EXTENDED {full}").collect()
-        # A column may itself be called "type": only rows after this heading describe the object.
-        heading = next(i for i, r in enumerate(detail) if r.col_name == "# Detailed Table Information")
-        kinds = [r.data_type for r in detail[heading + 1 :] if r.col_name.strip().lower() == "type"]
-        if not kinds or kinds[0].strip().upper() != "VIEW":
-            return (*o, "table", None, None)
+        detail = table_detail(spark, full)
+        if detail.get("type", "").upper() != "VIEW":
+            return (*o, "table", None, None, None)
         ddl = spark.sql(f"SHOW CREATE TABLE {full}").first()[0]
         if not ddl:
             raise ValueError(f"no definition for {full}")
-        return (*o, "view", ddl, None)
+        # Where its short names are looked for; a catalog that doesn't say keeps to the view's own database.
+        home = name_parts(detail.get("view catalog and namespace", "")) or [*((o.catalog,) if o.catalog else ()), o.database]
+        return (*o, "view", ddl, None, home)
     except Exception as error:
         # Unknown is not "table": a view must not be copied as rows by mistake.
-        return (*o, "failed", None, str(error))
+        return (*o, "failed", None, str(error), None)
 
 
 def classify_spark(spark: SparkSession, objects: DataFrame, parallelism: int = 4) -> DataFrame:
-    """Kind of each object of :func:`discover_spark`, with the definition text of views."""
+    """Kind of each object of :func:`discover_spark`; views with their definition and ``home``, the database of its short names."""
     names = objects.select("catalog", "database", "name").toLocalIterator()
     return spooled(spark, run_each(names, lambda o: _classify(spark, o), parallelism), CLASSIFIED_SCHEMA)
