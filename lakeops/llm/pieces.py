@@ -177,8 +177,8 @@ def read_model(path: str) -> bytes:
         return f.read()
 
 
-def encoded(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each document: id, ids, starts, ends and packed.
+def encoded(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text", decode: bool = False) -> DataFrame:
+    """One row for each document: id, ids, starts, ends and packed, and with ``decode`` the text that the ids stand for.
 
     The text is normalised by the longest entries of the model's character map, which records where each byte comes from;
     the model's pieces over the normalised text are then projected to the source. ``ids`` begin and end with the model's
@@ -189,7 +189,8 @@ def encoded(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
     Null counts as empty: only the marks. Texts of any length are encoded whole, in batches of bounded size. Equal rows
     are kept, a null id stays, an empty table gives an empty table, and other columns are not looked at.
     """
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *T.StructType.fromDDL(ENCODED).fields])
+    more = ", decoded string" if decode else ""
+    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *T.StructType.fromDDL(ENCODED + more).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Pieces(model)
@@ -203,7 +204,8 @@ def encoded(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str
                 cut = pa.array(np.cumsum([0, *(len(ids) for ids, _, _ in rows)]), pa.int32())
                 lists = [pa.ListArray.from_arrays(cut, pa.array(np.concatenate(c).astype(np.int32))) for c in zip(*rows)]
                 packed = pa.array([ids.astype("<u4").tobytes() for ids, _, _ in rows], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), *lists, packed], schema.names)
+                back = [pa.array([own.whole.decode(ids.tolist()) for ids, _, _ in rows], pa.string())] if decode else []
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), *lists, packed, *back], schema.names)
 
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
 
@@ -221,7 +223,8 @@ def decoded(rows: DataFrame, model: bytes, ids_col: str = "ids", out: str = "dec
         own = spm.SentencePieceProcessor(model_proto=model)
         names = to_arrow_schema(schema).names
         for batch in batches:
-            texts = [None if v is None else own.decode(v) for v in batch.column(at).to_pylist()]
+            # One row's ids at a time become Python numbers.
+            texts = [own.decode(v.as_py()) if v.is_valid else None for v in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names)
 
     return kept.mapInArrow(run, schema)

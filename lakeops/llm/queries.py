@@ -85,7 +85,7 @@ def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
-    found = pieces.decoded(pieces.encoded(_table(spark, sf_dir, "documents"), model).select("doc_id", "ids", "packed"), model)
+    found = pieces.encoded(_table(spark, sf_dir, "documents"), model, decode=True)
     return found.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2("packed", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),

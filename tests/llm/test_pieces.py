@@ -69,7 +69,9 @@ def test_odd_documents(spark, monkeypatch):
     df = spark.createDataFrame(rows, SCHEMA)
     model = pieces.read_model(PATH)
     library = spm.SentencePieceProcessor(model_file=PATH)
-    found = pieces.decoded(pieces.encoded(df, model), model)
+    found = pieces.encoded(df, model, decode=True)
+    again = pieces.decoded(found.select("doc_id", "ids", "decoded"), model)
+    assert sorted(map(str, again.select("doc_id", "decoded").collect())) == sorted(map(str, found.select("doc_id", "decoded").collect()))
     assert found.columns == ["doc_id", "ids", "starts", "ends", "packed", "decoded"]
     want = sorted((str(d), library.encode(t or "", add_bos=True, add_eos=True)) for d, t, *_ in rows)
     got = found.collect()
