@@ -357,6 +357,53 @@ ORACLES = {
         select "table", kind, status, "rows", error, '2026-01-01 00:00:00' as migrated_at from ({OUTCOMES}) o
         union all
         select "table", null, status, "rows", error, '2025-01-01 00:00:00' from ({OUTCOMES}) o""",
+    "run_log_retry": f"""
+        select "table", kind, status, "rows", error, '2026-01-01 00:00:00' as migrated_at,
+               '2026-01-01 00:00:00 ' || kind || 's' as batch
+        from ({OUTCOMES}) o where kind in ('table', 'view')""",
+    "copy_snapshot_interrupted": _per_table("""
+        select 'spark_catalog.dst.{t}' as "table", case when '{t}' like '%r%' then 'failed' else 'table_created' end as status,
+               case when '{t}' like '%r%' then count(*) else 2 * count(*) end as n_rows from {t}"""),
+    "copy_resume": _per_table("""
+        select 'spark_catalog.dst.{t}' as "table", 'table_created' as status, count(*) as "rows",
+               case when '{t}' like '%a%' then 2 else 1 end as attempts,
+               case when '{t}' like '%a%' then 2 else 1 end as reads, true as sized from {t}"""),
+    "copy_verified": _per_table("""
+        select 'spark_catalog.dst.{t}' as "table", count(*) as n_rows,
+               (select count(*) from (describe select * from {t}) c) as n_columns,
+               case when '{t}' = 'nation' then 'n_name' else '' end as differing from {t}"""),
+    "copy_ranges": """
+        select 'skewed' as "column", count(*) as n_rows, 0 as n_nulls, true as even from lineitem
+        union all
+        select 'few', count(*), count(*) filter (l_suppkey % 50 = 7), true from lineitem""",
+    "views_poisoned": _per_table("""
+        select 'spark_catalog.dst.' || v || '_{t}' as "table",
+               case when v in ('a', 'e') then 'view_created' else 'failed' end as status, v not in ('c', 'd') as tried
+        from (select distinct 'abcde'[i % 5 + 1] as v from (select row_number() over () as i from range(5)) n) x
+        where (select count(*) from {t}) > 0"""),
+    "federated_copy_levels": """
+        select 'spark_catalog.dst.' || v as "table", 'view_created' as status, n as n_rows
+        from (select unnest(['z_base', 'y_one', 'x_two', 'm_three', 'a_four']) as v) x, (select count(*) as n from orders) o""",
+    "view_cycles": f"""
+        with recursive {EDGES_BY_NUMBER},
+        every as (select view_id, dep_id from edges
+                  union select v.view_id, w.view_id
+                  from (values (6, 7), (7, 6), (12, 48)) as b(x, y)
+                  join numbered v on v.n = b.x join numbered w on w.n = b.y),
+        reach as (select view_id, dep_id from every
+                  union select r.view_id, e.dep_id from reach r join every e on r.dep_id = e.view_id),
+        members as (select a.view_id, a.dep_id as other from reach a join reach b
+                    on a.view_id = b.dep_id and a.dep_id = b.view_id),
+        on_one as (select view_id, min(other) as cycle, count(distinct other) as n_members from members group by 1),
+        above as (select distinct view_id from reach where dep_id in (select view_id from on_one))
+        select a.view_id, o.cycle, coalesce(o.n_members, 0) as n_members
+        from (select view_id from above union select view_id from on_one) a left join on_one o on a.view_id = o.view_id""",
+    "translate_procedures_isolated": f"""
+        select source_name, target_name, language, original_body,
+               case when source_name not like '%3' then upper({REQUEST}) end as translated_sql,
+               case when source_name like '%3' and original_body is not null then 'refused' end as error, false as applied
+        from ({STAGED}) s""",
+    "audit_report_incremental": f"select * replace (cast(cluster_id as varchar) as cluster_id) from ({_audit(COST)}) a",
     "run_summary": f"""
         select count(*) as n_objects, count(*) filter (kind = 'table') as n_tables,
                count(*) filter (status = 'table_created') as n_tables_created,

@@ -15,14 +15,14 @@ from lakeops.functions.calls import translate_functions
 from lakeops.functions.names import object_id, plain_name, with_destination
 from lakeops.functions.refs import extract_refs
 from lakeops.functions.rewrite import rewrite_backtick, rewrite_dquote, select_body, view_columns
-from lakeops.operators import audit, cost, deps, discovery, procedures, typing_plan
+from lakeops.operators import audit, cost, cycles, deps, discovery, procedures, typing_plan
 from lakeops.plans import translation
 from lakeops.plans.audit_report import audit_report
 from lakeops.plans.federated import federated_copy
 from lakeops.plans.migration import IDENTITY, plan_views, preflight, run_migration
 from lakeops.session import new_path, scratch_database
-from lakeops.sinks import runlog, tables, views
-from lakeops.sources import catalog, connector, mapping, snapshots
+from lakeops.sinks import copy_queue, runlog, tables, verify, views
+from lakeops.sources import catalog, connector, incremental, mapping, snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -155,13 +155,13 @@ def audit_report_fine(spark, d):
     return _audit(spark, d, "fx_fine_usage", "fx_fine_prices")
 
 
-def _exported(spark, d) -> dict[str, DataFrame]:
-    """The fixtures as exported records, written and read again."""
+def _records(spark, d) -> dict[str, DataFrame]:
+    """The fixtures in the shape of exported records."""
     read = {n: fixture(spark, d, f"fx_{n}") for n in ("jobs", "tasks", "clusters", "runs", "usage", "prices")}
     text = lambda c: F.col(c).cast("string").alias(c)
     instant = lambda c: F.col(c).cast("timestamp").alias(c)
     tasks = read["tasks"].groupBy("job_id").agg(F.collect_list(F.struct(text("existing_cluster_id"))).alias("tasks"))
-    records = {
+    return {
         "jobs": read["jobs"].join(tasks, "job_id", "left").select("job_id", F.struct(F.col("job_name").alias("name"), "tasks").alias("settings")),
         "clusters": read["clusters"].select(
             text("cluster_id"), "cluster_name", "node_type_id", "driver_node_type_id", "num_workers", "spark_version", "cluster_source",
@@ -173,7 +173,11 @@ def _exported(spark, d) -> dict[str, DataFrame]:
         "usage": read["usage"].select("sku_name", instant("usage_start_time"), "usage_quantity", F.struct(text("cluster_id")).alias("usage_metadata")),
         "prices": read["prices"].select("sku_name", instant("price_start_time"), instant("price_end_time"), F.struct(F.col("price").alias("default")).alias("pricing")),
     }
-    path = new_path(spark)
+
+
+def _exported(spark, d) -> dict[str, DataFrame]:
+    """The records written and read again."""
+    records, path = _records(spark, d), new_path(spark)
     for name, rows in records.items():
         rows.write.json(f"{path}/{name}")
     return {name: snapshots.read_snapshot(spark, name, f"{path}/{name}") for name in records}
@@ -182,7 +186,10 @@ def _exported(spark, d) -> dict[str, DataFrame]:
 @query
 def audit_report_snapshots(spark, d):
     """The report over exported records."""
-    found = _exported(spark, d)
+    return _audit_of(_exported(spark, d))
+
+
+def _audit_of(found: dict[str, DataFrame]) -> DataFrame:
     return audit_report(
         snapshots.jobs_input(found["jobs"]), snapshots.tasks_input(found["jobs"]),
         snapshots.clusters_input(found["clusters"]), snapshots.runs_input(found["runs"]),
@@ -626,7 +633,7 @@ def ordered_migration(spark, d):
         procedures=procs,
     )
     short = F.split("error", " original error: ")[0]
-    return _neutral(log.withColumn("error", short), destination, "table")
+    return _neutral(log.drop("batch").withColumn("error", short), destination, "table")
 
 
 @query
@@ -648,7 +655,7 @@ def federated_copy_partial(spark, d):
     )
     log = f"{scratch_database(spark, 'log')}.run_log"
     federated_copy(spark, pairs, unit="database", log_table=log, run_ts=RUN_TS)
-    return _neutral(spark.table(log).drop("error"), destination, "table")
+    return _neutral(spark.table(log).drop("error", "batch"), destination, "table")
 
 
 @query
@@ -732,6 +739,199 @@ def enrich_failures(spark, d):
     return deps.enrich_failures(_outcomes(spark, d), _external(spark, d))
 
 
+# --- runs that are cut off, repeated and taken up again ---------------------------------
+
+
+@query
+def run_log_retry(spark, d):
+    """Outcomes of a run by kind, each a batch: one sent twice, and one whose first write fails half-way."""
+    log = f"{scratch_database(spark, 'log')}.runs"
+    found = _outcomes(spark, d).drop("view_id")
+    of = lambda kind: found.filter(F.col("kind") == kind)
+    send = lambda rows, name: runlog.append_run_log(spark, rows, log, RUN_TS, batch=name)
+    send(of("table"), "tables")
+    broken = of("view").withColumn("error", F.when(F.col("status") == tables.FAILED, F.raise_error(F.lit("cut off"))).otherwise(F.col("error")))
+    try:
+        send(broken, "views")
+    except Exception as error:
+        if "cut off" not in str(error):
+            raise
+    send(of("view"), "views")
+    return send(of("table"), "tables")
+
+
+def _placed(spark, source, destination) -> DataFrame:
+    """The warehouse tables as objects to copy."""
+    return discovery.discover_objects(_to_session(spark), _source_tables(spark, source, destination), ordered=False)
+
+
+def _cut_off(df: DataFrame) -> DataFrame:
+    """Rows whose reading fails half-way."""
+    first = F.col(f"`{df.columns[0]}`")
+    return df.withColumn(df.columns[0], F.when(F.rand(1) < 0.5, first).otherwise(F.raise_error(F.lit("cut off")).cast(df.schema[0].dataType)))
+
+
+@query
+def copy_snapshot_interrupted(spark, d):
+    """Tables copied twice; the second time those with an ``r`` in their name fail half-way and keep their first rows."""
+    source, destination = _warehouse(spark, d), scratch_database(spark, "snapshot")
+    objects = _placed(spark, source, destination)
+    read = lambda o: connector.scan_table(spark, None, None, source, o.name)
+    tables.copy_tables(spark, objects, read)
+    twice = lambda o: _cut_off(read(o)) if "R" in o.name else read(o).union(read(o))
+    second = tables.copy_tables(spark, objects, twice).select("table", "status")
+    counted = tables.copy_counts(spark, [r.table for r in second.toLocalIterator()])
+    return _neutral(second.join(counted, "table"), destination, "table")
+
+
+@query
+def copy_resume(spark, d):
+    """A copy whose first attempt fails for some tables; the second reads only those. ``reads`` counts the reads of each."""
+    source, destination = _warehouse(spark, d), scratch_database(spark, "resumed")
+    objects = copy_queue.source_bytes(spark, _placed(spark, source, destination), lambda o: f"{source}.{o.name}")
+    asked: list[str] = []
+
+    def read(o):
+        asked.append(o.dst_plain)
+        if "A" in o.name and asked.count(o.dst_plain) == 1:
+            raise ConnectionError("source went away")
+        return connector.scan_table(spark, None, None, source, o.name)
+
+    queue = f"{scratch_database(spark, 'queue')}.copies"
+    for _ in range(3):
+        states = copy_queue.copy_resumable(spark, objects, read, queue)
+    reads = spark.createDataFrame([(t, asked.count(t)) for t in set(asked)], "`table` string, reads long")
+    found = states.join(reads, "table").select("table", "status", "rows", "attempts", "reads", (F.col("bytes") > 0).alias("sized"))
+    return _neutral(found, destination, "table")
+
+
+@query
+def copy_verified(spark, d):
+    """Tables copied with checksums taken while writing, then compared; one cell of ``nation`` is changed in between."""
+    source, destination = _warehouse(spark, d), scratch_database(spark, "verified")
+    copied = verify.copy_verified(spark, _placed(spark, source, destination), lambda o: connector.scan_table(spark, None, None, source, o.name))
+    changed = F.when(F.col("n_nationkey") == 7, "ATLANTIS").otherwise(F.col("n_name"))
+    tables.overwrite_table(spark.table(f"{destination}.nation").withColumn("n_name", changed), f"{destination}.nation")
+    compared = verify.verify_copies(spark, copied)
+    columns = F.col("column_name").isNotNull()
+    counted = compared.groupBy("table").agg(
+        F.max(F.when(~columns, F.col("found").cast("bigint"))).alias("n_rows"),
+        F.count_if(columns).alias("n_columns"),
+        F.array_join(F.sort_array(F.collect_list(F.when(~F.col("same"), F.coalesce("column_name", F.lit("rows"))))), ",").alias("differing"),
+    )
+    return _neutral(counted, destination, "table")
+
+
+@query
+def copy_ranges(spark, d):
+    """Line items read in ranges of equal numbers of rows by a skewed price, and by a key with nulls."""
+    database = _warehouse(spark, d)
+    skewed = f"SELECT *, power(l_extendedprice / 1000, 4) AS skewed, nullif(l_suppkey % 50, 7) AS few FROM {database}.lineitem"
+    spark.sql(f"CREATE VIEW {database}.skewed_items AS {skewed}")
+    found = []
+    for column in ("skewed", "few"):
+        ranges = connector.depth_ranges(spark, None, {}, database, "skewed_items", column, max(1, spark.table(f"{database}.lineitem").count() // 12))
+        source = connector.quoted_table(database, "skewed_items", "`")
+        parts = [connector.scan_ranges(spark, None, None, source, [r]).select(F.lit(k).alias("part"), column) for k, r in enumerate(ranges)]
+        sizes = reduce(DataFrame.union, parts).groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(column).isNull()).alias("nulls"))
+        even = F.max(F.when(F.col("nulls") == 0, F.col("n"))) < 2 * F.median(F.when(F.col("nulls") == 0, F.col("n")))
+        found.append(sizes.agg(F.lit(column).alias("column"), F.sum("n").alias("n_rows"), F.max("nulls").alias("n_nulls"), even.alias("even")))
+    return reduce(DataFrame.union, found)
+
+
+@query
+def views_poisoned(spark, d):
+    """For each table a chain of views over a missing database beside one over the table: no dependant is tried."""
+    database = _warehouse(spark, d)
+    found = _source_tables(spark, database, database).select("table_schema", "table_name")
+    full = "WH." + database.upper()
+
+    def view(prefix, reads):
+        text = F.format_string(f"CREATE VIEW {full}.{prefix}_%1$s AS SELECT 1 AS one FROM {reads}", "table_name")
+        return found.select(F.concat(F.lit(f"{prefix}_"), "table_name").alias("table_name"), text.alias("view_definition"))
+
+    chain = [
+        view("A", f"{full}.%1$s"), view("B", "EXT.PUB.%1$s"), view("C", f"{full}.B_%1$s b CROSS JOIN {full}.A_%1$s a"),
+        view("D", f"{full}.C_%1$s"), view("E", f"{full}.A_%1$s"),
+    ]
+    definitions = reduce(DataFrame.union, chain).select(
+        F.lit("WH").alias("src_db"), F.lit(database.upper()).alias("table_schema"), "table_name", "view_definition"
+    )
+    objects = with_destination(discovery.discover_objects(_to_session(spark), _view_metadata(definitions), ordered=False))
+    planned, _ = plan_views(objects, definitions)
+    created = views.recreate_views(spark, planned)
+    tried = F.coalesce(~F.col("error").startswith(views.NOT_TRIED.split("{")[0]), F.lit(True))
+    return _neutral(created.select("table", "status", tried.alias("tried")), database, "table")
+
+
+@query
+def federated_copy_levels(spark, d):
+    """Views that read each other against the order of their names, under names that texts, comments and WITH hold as well."""
+    source, destination = _warehouse(spark, d), scratch_database(spark, "federated")
+    for name, body in {
+        "z_base": "SELECT o_orderkey AS k FROM {s}.orders",
+        "y_one": "WITH x_two AS (SELECT k FROM {s}.z_base) SELECT k, 'FROM a_four' AS note FROM x_two -- JOIN a_four",
+        "x_two": "SELECT k FROM (SELECT k, /* FROM a_four */ 1 AS one FROM {s}.y_one) q",
+        "m_three": "SELECT a.k FROM {s}.x_two a, {s}.y_one b WHERE a.k = b.k",
+        "a_four": "WITH q AS (SELECT k FROM {s}.m_three) SELECT q.k FROM q JOIN {s}.z_base USING (k)",
+    }.items():
+        spark.sql(f"CREATE VIEW {source}.{name} AS {body.format(s=f'`{source}`')}")
+    pairs = spark.createDataFrame([(source, destination)], "source_catalog string, destination_catalog string")
+    log = f"{scratch_database(spark, 'log')}.run_log"
+    outcomes = federated_copy(spark, pairs, unit="database", log_table=log, run_ts=RUN_TS)
+    spark.sql(f"DROP DATABASE {source} CASCADE")
+    made = outcomes.filter(F.col("kind") == "view")
+    counted = tables.copy_counts(spark, [r.table for r in made.filter(F.col("status") == views.VIEW_CREATED).toLocalIterator()])
+    return _neutral(made.join(counted, "table", "left").select("table", "status", "n_rows"), destination, "table")
+
+
+@query
+def view_cycles(spark, d):
+    """The dependencies of all views with two cycles: V6 and V7, and V12, V24 and V48, of which V12 reads V6."""
+    back = {"DB1.PUB.V6": "DB2.PUB.V7", "DB2.PUB.V7": "DB1.PUB.V6", "DB2.PUB.V12": "DB3.PUB.V48"}
+    nodes = _nodes(spark, d)
+    added = spark.createDataFrame(list(back.items()), "view_id string, dep_id string")
+    added = added.join(nodes, "view_id", "left_semi").join(nodes.withColumnRenamed("view_id", "dep_id"), "dep_id", "left_semi")
+    return cycles.view_cycles(nodes, _edges(spark, d).unionByName(added.select("view_id", "dep_id")))
+
+
+@query
+def translate_procedures_isolated(spark, d):
+    """A caller's function that refuses some requests; asked twice over one cache, in three waves."""
+
+    def shout(requests: list[str]) -> list[str]:
+        if any("3\ntarget_name" in r for r in requests):
+            raise ValueError("refused")
+        return [r.upper() for r in requests]
+
+    cache = f"{scratch_database(spark, 'answers')}.cache"
+    for _ in range(2):
+        found = procedures.translate_isolated(_staged(spark, d), shout, cache, instruction="Translate.\n", waves=3)
+    return found.drop("translated_at")
+
+
+@query
+def audit_report_incremental(spark, d):
+    """The report over exports that came in two drops of files, the first with stale records and half of the usage."""
+    records = _records(spark, d)
+    late = F.pmod(F.xxhash64("sku_name", "usage_start_time", "usage_quantity"), F.lit(2)) == 0
+    first = {
+        "jobs": records["jobs"].withColumn("settings", F.struct(F.lit("stale").alias("name"), F.col("settings.tasks").alias("tasks"))),
+        "clusters": records["clusters"].withColumn("cluster_name", F.lit("stale")),
+        "runs": records["runs"].limit(0),
+        "usage": records["usage"].filter(~late),
+        "prices": records["prices"],
+    }
+    second = {**records, "usage": records["usage"].filter(late), "prices": records["prices"].limit(0)}
+    path, database = new_path(spark), scratch_database(spark, "incremental")
+    for drop in (first, second):
+        found = {}
+        for name, rows in drop.items():
+            rows.write.mode("append").json(f"{path}/{name}")
+            found[name] = incremental.refresh(spark, name, f"{path}/{name}", f"{database}.{name}", f"{path}/progress/{name}")
+    return _audit_of(found)
+
+
 # Queries whose operator already has the plain name at this level.
 for _name in [n for n in QUERIES if n.endswith("_query")]:
     QUERIES[_name.removesuffix("_query")] = QUERIES.pop(_name)

@@ -40,36 +40,64 @@ _TOKEN = re.compile(
 )
 
 
-def _finished(name: str, opener: str, args: list[list[str]]) -> str:
-    texts = ["".join(pieces) for pieces in args]
-    inner = ",".join(texts)
-    shape = CALLS.get((name, len(texts))) or CALLS.get((name, None))
-    if not shape or not all(t.strip() for t in texts):
-        return f"{opener}{inner})"
-    return shape.format(*[t.strip() for t in texts], all=inner)
+def _stripped(out: list[str], begin: int, end: int) -> bool:
+    """Blank out the white space at both ends of the pieces of one argument; whether anything is left."""
+    for places, strip in ((range(begin, end), str.lstrip), (range(end - 1, begin - 1, -1), str.rstrip)):
+        for k in places:
+            out[k] = strip(out[k])
+            if out[k]:
+                break
+        else:
+            return False
+    return True
+
+
+def _edit(out: list[str], name: str, begin: int, commas: list[int]) -> bool:
+    """Write the new spelling of a call into its own marks; its arguments' pieces stay where they are.
+
+    ``begin`` and ``commas`` are the places of the opening mark and of the commas, and the closing one is the last.
+    """
+    marks = [begin, *commas, len(out) - 1]
+    shape = CALLS.get((name, len(marks) - 1))
+    whole = None if shape else CALLS.get((name, None))
+    arguments = [(a + 1, b) for a, b in zip(marks, marks[1:])]
+    if not (shape or whole) or not all(any(out[k].strip() for k in range(a, b)) for a, b in arguments):
+        return False
+    if whole:
+        out[begin], out[-1] = whole.split("{all}")
+        return True
+    for a, b in arguments:
+        _stripped(out, a, b)
+    for place, text in zip(marks, re.split(r"\{\d\}", shape)):
+        out[place] = text
+    return True
 
 
 def translate_text(sql: str) -> str:
-    """Translate every complete call, innermost first, in one scan of the text."""
-    # Each open parenthesis: (function name or "", its text, arguments as pieces).
-    calls: list[tuple[str, str, list[list[str]]]] = [("", "", [[]])]
+    """Translate every complete call, innermost first, in one scan of the text.
+
+    A call is edited where its marks stand in one list of pieces, which is
+    joined once: no nested text is copied.
+    """
+    out: list[str] = []
+    # Each open parenthesis: function name or "", the place of its mark, the places of its commas.
+    calls: list[tuple[str, int, list[int]]] = []
     seen = 0
     for token in _TOKEN.finditer(sql):
-        args = calls[-1][2]
-        args[-1].append(sql[seen : token.start()])
+        if token.start() > seen:
+            out.append(sql[seen : token.start()])
+        out.append(token[0])
         seen = token.end()
         if token["name"] or token["open"]:
-            calls.append(((token["name"] or "").upper(), token[0], [[]]))
-        elif token["comma"] and len(calls) > 1:
-            args.append([])
-        elif token["close"] and len(calls) > 1:
-            done = _finished(*calls.pop())
-            calls[-1][2][-1].append(done)
-        else:
-            args[-1].append(token[0])
-    calls[-1][2][-1].append(sql[seen:])
-    # Parentheses left open: their text stays as written.
-    return "".join(opener + ",".join("".join(pieces) for pieces in args) for _, opener, args in calls)
+            calls.append(((token["name"] or "").upper(), len(out) - 1, []))
+        elif token["comma"] and calls:
+            calls[-1][2].append(len(out) - 1)
+        elif token["close"] and calls:
+            name, begin, commas = calls.pop()
+            if name:
+                _edit(out, name, begin, commas)
+    out.append(sql[seen:])
+    return "".join(out)
 
 
 @F.pandas_udf(T.StringType())

@@ -63,7 +63,7 @@ def federated_copy(
         done += _copied(spark, reduce(DataFrame.union, found), parallelism, fmt)
     outcomes = reduce(DataFrame.unionByName, done)
     if log_table:
-        append_run_log(spark, outcomes, log_table, run_ts or run_stamp(), fmt)
+        append_run_log(spark, outcomes, log_table, run_ts or run_stamp(), fmt, batch="all")
     return outcomes
 
 

@@ -16,6 +16,7 @@ from lakeops.operators.procedures import PROCEDURE_CREATED, procedure_ddl, proce
 from lakeops.operators.typing_plan import plans_by_table, type_plan
 from lakeops.parallel import run_each
 from lakeops.session import cut_lineage
+from lakeops.sinks.copy_queue import copy_queued, plan_queue, queue_states
 from lakeops.sinks.runlog import append_run_log, run_stamp
 from lakeops.sinks.tables import FAILED, Outcome, copy_each, ensure_schemas, outcomes_frame
 from lakeops.sinks.views import create_each, with_statement
@@ -71,6 +72,7 @@ def run_migration(
     parallelism: int = 4,
     strict: bool = True,
     fmt: str = "parquet",
+    queue: str | None = None,
 ) -> DataFrame:
     """Copy everything the mapping names and return the run log.
 
@@ -78,7 +80,10 @@ def run_migration(
     one source table. ``columns`` brings the type plan, ``split_columns``
     (``src_db``, ``schema``, ``name``, ``split_column``) the column by which the
     reader splits a large table. ``create_procedure`` runs one CREATE PROCEDURE
-    text where the host can; without it procedures are inventoried only.
+    text where the host can; without it procedures are inventoried only. With
+    the name of a table as ``queue`` a run that was cut off goes on where it
+    stood: tables that it has created are not read again. A run repeated under
+    the same stamp replaces its rows in the log.
     """
     found = discover_objects(mapping, tables, procedures, skip_schemas, ignore_case, ordered=False)
     objects = cut_lineage(with_clash(with_destination(found)))
@@ -101,9 +106,13 @@ def run_migration(
 
     if split_columns is not None:
         to_copy = join_metadata(to_copy, split_columns.select(*IDENTITY, "split_column"))
-    copies = copy_each(spark, to_copy, reader, parallelism, fmt=fmt, strict=strict)
-    for batch in _batches(copies):
-        append_run_log(spark, outcomes_frame(spark, batch), log_table, run_ts, fmt)
+    if queue is None:
+        _log(spark, copy_each(spark, to_copy, reader, parallelism, fmt=fmt, strict=strict), log_table, run_ts, fmt, "tables")
+    else:
+        plan_queue(spark, to_copy, queue)
+        tried = queue_states(spark, queue).agg(F.max("attempts")).first()[0]
+        copies = copy_queued(spark, queue, reader, parallelism, fmt=fmt, strict=strict)
+        _log(spark, copies, log_table, run_ts, fmt, f"tables {tried or 0}")
 
     if procedures is not None:
         procs = procedure_status(objects.filter("kind = 'procedure'"), create_procedure is not None)
@@ -115,18 +124,16 @@ def run_migration(
             F.lit(None).cast("bigint").alias("rows"),
             F.lit(None).cast("string").alias("error"),
         )
-        append_run_log(spark, noted, log_table, run_ts, fmt)
+        append_run_log(spark, noted, log_table, run_ts, fmt, batch="procedures noted")
         if create_procedure is not None:
-            for batch in _batches(_create_procedures(ready, create_procedure, parallelism)):
-                append_run_log(spark, outcomes_frame(spark, batch), log_table, run_ts, fmt)
+            _log(spark, _create_procedures(ready, create_procedure, parallelism), log_table, run_ts, fmt, "procedures")
 
     # A view's own list of references, bounded by its definition.
     needs = external_refs(refs, mapping, keep=True).groupBy(*IDENTITY).agg(
         F.array_join(F.sort_array(F.collect_set("ref")), ", ").alias("needs")
     )
     told = join_metadata(views, needs)
-    for batch in _batches(create_each(spark, told, parallelism)):
-        append_run_log(spark, outcomes_frame(spark, batch), log_table, run_ts, fmt)
+    _log(spark, create_each(spark, told, parallelism), log_table, run_ts, fmt, "views")
     return spark.table(log_table)
 
 
@@ -157,7 +164,7 @@ def migrate_warehouse(
     scans = {view: scan(view) for view in ("tables", "views", "columns", *(["procedures"] if with_procedures else []))}
     if refused:
         failed = [(database, "database", FAILED, None, error) for database, error in refused.items()]
-        append_run_log(spark, outcomes_frame(spark, failed), log_table, run_ts, run.get("fmt", "parquet"))
+        append_run_log(spark, outcomes_frame(spark, failed), log_table, run_ts, run.get("fmt", "parquet"), batch="databases")
     return run_migration(
         spark,
         mapping,
@@ -185,5 +192,7 @@ def _create_procedures(ready: DataFrame, create: Callable[[str], object], parall
     return run_each(procedure_ddl(ready).select("dst_plain", "ddl").toLocalIterator(), one, parallelism)
 
 
-def _batches(outcomes: Iterator[Outcome]) -> Iterator[list[Outcome]]:
-    yield from map(list, batched(outcomes, LOG_BATCH))
+def _log(spark: SparkSession, outcomes: Iterator[Outcome], table: str, run_ts: str, fmt: str, phase: str) -> None:
+    """Outcomes of a phase as numbered batches of the run: a run that is repeated under its stamp replaces them."""
+    for k, batch in enumerate(batched(outcomes, LOG_BATCH)):
+        append_run_log(spark, outcomes_frame(spark, batch), table, run_ts, fmt, batch=f"{phase} {k:06d}")

@@ -9,6 +9,7 @@ from collections.abc import Iterable
 from itertools import batched
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -56,7 +57,7 @@ def written_out(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spooled(spark: SparkSession, rows: Iterable[tuple], schema: str, size: int = 1000) -> DataFrame:
+def spooled(spark: SparkSession, rows: Iterable[tuple], schema: str | StructType, size: int = 1000) -> DataFrame:
     """Rows that arrive one by one on the driver, as a table in the shared folder; the driver holds ``size`` of them."""
     path = new_path(spark)
     spark.createDataFrame([], schema).write.parquet(path)

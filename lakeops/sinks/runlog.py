@@ -9,32 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.operators.procedures import CANNOT_CREATE, MANUAL_PORT, PROCEDURE_CREATED
+from lakeops.sinks.batches import aligned, has_batches, put_batch
 from lakeops.sinks.tables import FAILED, TABLE_CREATED
 from lakeops.sinks.views import VIEW_CREATED
 
-# The column of a log that names the batch of a row.
-BATCH = "batch"
-
-
 def run_stamp() -> str:
     """The present instant as a run's stamp, in UTC."""
     return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
 
 
-def _aligned(spark: SparkSession, rows: DataFrame, table: str) -> DataFrame:
-    """The rows with the log's columns in its order; columns the log lacks are added to it first."""
-    present = {c.lower() for c in spark.table(table).columns}
-    added = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name.lower() not in present]
-    if added:
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(added)})")
-    given = {c.lower() for c in rows.columns}
-    in_order = [
-        F.col(f"`{f.name}`") if f.name.lower() in given else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in spark.table(table).schema
-    ]
-    return rows.select(*in_order)
-
-
 def append_run_log(
     spark: SparkSession, outcomes: DataFrame, table: str, run_ts: str, fmt: str = "parquet", *, batch: str | None = None
 ) -> DataFrame:
@@ -44,39 +27,18 @@ def append_run_log(
     With a ``batch``, a name that is the caller's for these outcomes within the
     run, they replace what the log holds under that name: a batch that is sent
     again, whether its first write was cut off or only its answer lost, is in
-    the log once. Each is a partition of the log, put in place when all its rows
-    are written. Batches of different names may be sent side by side.
+    the log once (see ``put_batch``).
     """
     rows = outcomes.withColumn("migrated_at", F.lit(run_ts))
     if batch is not None:
-        return _put_batch(spark, rows, table, f"{run_ts} {batch}", fmt)
+        return put_batch(spark, rows, table, f"{run_ts} {batch}", fmt)
     if not spark.catalog.tableExists(table):
         rows.write.format(fmt).saveAsTable(table)
         return spark.table(table)
-    if _has_batches(spark, table):
+    if has_batches(spark, table):
         # A log of batches knows no others: rows without a name are a batch that nobody sends again.
-        return _put_batch(spark, rows, table, f"{run_ts} {uuid.uuid4().hex}", fmt)
-    _aligned(spark, rows, table).write.insertInto(table)
-    return spark.table(table)
-
-
-def _has_batches(spark: SparkSession, table: str) -> bool:
-    return any(c.name.lower() == BATCH and c.isPartition for c in spark.catalog.listColumns(table))
-
-
-def _put_batch(spark: SparkSession, rows: DataFrame, table: str, batch: str, fmt: str) -> DataFrame:
-    rows = rows.drop(BATCH).withColumn(BATCH, F.lit(batch))
-    if not spark.catalog.tableExists(table):
-        # Without rows first, so a first batch that is cut off leaves a log that the next one finds in order.
-        empty = spark.createDataFrame([], rows.schema).write.format(fmt).partitionBy(BATCH)
-        empty.mode("ignore").option("partitionOverwriteMode", "dynamic").saveAsTable(table)
-    if _has_batches(spark, table):
-        _aligned(spark, rows, table).write.mode("overwrite").insertInto(table)
-        return spark.table(table)
-    # A log from before batches can't replace one: a batch that it holds already is not written again.
-    columns = {c.lower() for c in spark.table(table).columns}
-    if BATCH not in columns or spark.table(table).filter(F.col(BATCH) == batch).isEmpty():
-        _aligned(spark, rows, table).write.insertInto(table)
+        return put_batch(spark, rows, table, f"{run_ts} {uuid.uuid4().hex}", fmt)
+    aligned(spark, rows, table).write.insertInto(table)
     return spark.table(table)
 
 

@@ -115,6 +115,11 @@ def row_count(spark: SparkSession, name: str) -> int:
     return spark.table(name).count()
 
 
+def counted_overwrite(spark: SparkSession, df: DataFrame, name: str, fmt: str) -> tuple[int]:
+    overwrite_table(df, name, fmt)
+    return (row_count(spark, name),)
+
+
 def outcomes_frame(spark: SparkSession, outcomes: Iterable[Outcome]) -> DataFrame:
     """Outcomes as rows, kept in the shared folder as they come."""
     return spooled(spark, outcomes, OUTCOME_SCHEMA)
@@ -134,14 +139,17 @@ def copy_each(
     *,
     fmt: str = "parquet",
     strict: bool = True,
+    write: Callable[[SparkSession, DataFrame, str, str], tuple] | None = None,
 ) -> Iterator[Outcome]:
     """Copy every table of ``objects``; yields one outcome each, as they finish.
 
     ``objects`` has a destination, and optionally ``columns``, its type plan as
     an array, and ``n_same`` (see ``with_clash``): objects with the same
     destination all fail and none is written. One write job per table, a few at a time; a failure is an
-    outcome and stops nothing.
+    outcome and stops nothing. ``write`` puts rows into a table of a format and
+    returns their number, and what else an outcome is to end with.
     """
+    write = write or counted_overwrite
     no_schema = ensure_schemas(spark, objects)
 
     def copy(o: Row) -> Outcome:
@@ -153,8 +161,8 @@ def copy_each(
             df = reader(o)
             if getattr(o, "columns", None):
                 df = apply_type_plan(df, o.columns, strict)
-            overwrite_table(df, o.dst_fq, fmt)
-            return (o.dst_plain, "table", TABLE_CREATED, row_count(spark, o.dst_fq), None)
+            rows, *more = write(spark, df, o.dst_fq, fmt)
+            return (o.dst_plain, "table", TABLE_CREATED, rows, None, *more)
         except Exception as error:
             return (o.dst_plain, "table", FAILED, None, str(error))
 

@@ -8,8 +8,10 @@ catalog, and the same calls go through Spark's own catalog.
 from __future__ import annotations
 
 import warnings
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from datetime import date, datetime
 from functools import reduce
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -97,18 +99,64 @@ def scan_table(
 
 
 def split_by(
-    spark: SparkSession, fmt: str, options: Mapping[str, str], schema: str, table: str, column: str, part_rows: int
+    spark: SparkSession, fmt: str | None, options: Mapping[str, str], schema: str, table: str, column: str, part_rows: int
 ) -> Split | None:
     """Ranges over a numeric or date column, about ``part_rows`` rows each; bounds and rows are asked from the source.
 
     None for a table without values in the column, which is read as one range.
     """
-    name = quoted(column)
-    bounds = f"SELECT MIN({name}) AS low, MAX({name}) AS high, COUNT(*) AS n FROM {quoted_table(schema, table)}"
+    mark = "`" if fmt is None else '"'
+    name = quoted(column, mark)
+    bounds = f"SELECT MIN({name}) AS low, MAX({name}) AS high, COUNT(*) AS n FROM {quoted_table(schema, table, mark)}"
     low, high, n = scan_query(spark, fmt, options, bounds).first()
     return None if low is None else (column, low, high, max(1, -(-int(n) // part_rows)))
 
 
+def _literal(value: object) -> str:
+    """A bound as SQL text."""
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value}'"
+    return f"DATE '{value}'" if isinstance(value, date) else str(value)
+
+
+def depth_ranges(
+    spark: SparkSession, fmt: str | None, options: Mapping[str, str], schema: str, table: str, column: str, part_rows: int
+) -> list[str]:
+    """Conditions that part a table into ranges of about ``part_rows`` rows each by a numeric or date column.
+
+    The bounds are quantiles of a sketch over the whole column, which alone is
+    read, in slices; so a skewed column makes even ranges, but for a single
+    value, which stays in one. Rows without a value are a range of their own.
+    Empty without values: then the table is one range.
+    """
+    mark = "`" if fmt is None else '"'
+    name, place = quoted(column, mark), quoted_table(schema, table, mark)
+    first = split_by(spark, fmt, options, schema, table, column, part_rows)
+    if first is None:
+        return []
+    parts = first[3]
+    # The session's own catalog splits a scan by its files.
+    values = scan_query(spark, fmt, options, f"SELECT {name} AS k FROM {place}", split=None if fmt is None else ("k", *first[1:]))
+    shares = [k / parts for k in range(1, parts)]
+    sketch = F.approx_percentile("k", shares, max(10_000, 100 * parts)) if shares else F.array()
+    row = values.agg(sketch.alias("cuts"), F.count_if(F.col("k").isNull()).alias("nulls"), F.min("k").alias("low")).first()
+    cuts = [_literal(c) for c in sorted({c for c in row.cuts or [] if c != row.low})]
+    ranges = [f"{name} >= {a} AND {name} < {b}" for a, b in pairwise(cuts)]
+    ends = [f"{name} < {cuts[0]}", *ranges, f"{name} >= {cuts[-1]}"] if cuts else [f"{name} IS NOT NULL"]
+    return ends + [f"{name} IS NULL"] * (row.nulls > 0)
+
+
+def scan_ranges(
+    spark: SparkSession, fmt: str | None, options: Mapping[str, str] | None, source: str, ranges: Sequence[str]
+) -> DataFrame:
+    """A whole table or query in parts, one for each of ``ranges``; ``source`` stands after FROM."""
+    if fmt == "jdbc":
+        own = dict(options or {})
+        return spark.read.jdbc(own.pop("url"), source, predicates=list(ranges), properties=own)
+    parts = [scan_query(spark, fmt, options, f"SELECT * FROM {source} WHERE {r}") for r in ranges]
+    return reduce(DataFrame.union, parts)
+
+
 def typed_query(schema: str, table: str, columns: Iterable[Row], time_as_text: str = TIME_AS_TEXT) -> str | None:
     """Source query that turns time-of-day columns into text, in column order; None without such columns."""
     columns = sorted(columns, key=lambda c: c.column_ordinal)
@@ -130,6 +178,7 @@ def table_reader(
     database_key: str = "database",
     time_as_text: str = TIME_AS_TEXT,
     part_rows: int = 1_000_000,
+    even: bool = False,
 ) -> Callable[[Row], DataFrame]:
     """Reader for a bulk copy: scans the source table of one object (``src_db``, ``schema``, ``name``).
 
@@ -137,16 +186,21 @@ def table_reader(
     since not every connector has a type for them. An object with a
     ``split_column`` is read in ranges of it, as many as its rows ask for at
     ``part_rows`` each: a plain JDBC scan is one task, however large the table,
-    so an object without the column is read with a warning.
+    so an object without the column is read with a warning. Ranges are equal
+    slices of the column, or with ``even`` hold equal numbers of rows, for one
+    more read of that column.
     """
 
     def read(o: Row) -> DataFrame:
         opts = connector_options(options, o.src_db, database_key=database_key)
         column = getattr(o, "split_column", None)
-        split = split_by(spark, fmt, opts, o.schema, o.name, column, part_rows) if column else None
+        split = split_by(spark, fmt, opts, o.schema, o.name, column, part_rows) if column and not even else None
         if fmt == "jdbc" and not column:
             warnings.warn(f"{o.src_db}.{o.schema}.{o.name} is read by one task; name a split_column for it", stacklevel=2)
         sql = typed_query(o.schema, o.name, getattr(o, "columns", None) or [], time_as_text)
+        ranges = depth_ranges(spark, fmt, opts, o.schema, o.name, column, part_rows) if column and even else []
+        if ranges:
+            return scan_ranges(spark, fmt, opts, f"({sql}) source" if sql else quoted_table(o.schema, o.name), ranges)
         if sql:
             return scan_query(spark, fmt, opts, sql, split=split)
         return scan_table(spark, fmt, opts, o.schema, o.name, split=split)
