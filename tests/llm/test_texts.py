@@ -261,14 +261,65 @@ def test_a_language_with_three_trusted_texts_keeps_its_clean_documents(spark):
     assert all(r["kept"] for r in quality.classify(df.where("text not like '%$%'"), few).collect())
 
 
-def test_windows_of_a_row_are_spread_over_the_whole_text():
-    for n in (0, 1, 23, 24, 25, 30, 47, 48, 71, 1000):
-        pieces = [b"%d" % k for k in range(n)]
-        got = toxicity.spread(pieces)
-        assert len(got) == len(set(got)) == min(n, toxicity.ROW_WINDOWS)
-        assert got[:1] == pieces[:1] and got[-1:] == pieces[-1:]
-        places = [int(x) for x in got]
-        assert max(np.diff(places), default=1) <= max(1, -(-n // (toxicity.ROW_WINDOWS - 1)))
+def _plain_code(raw: bytes) -> bytes:
+    """Each byte, and the hash of what stands from the last separator to it, word by word."""
+    coder, out = toxicity.Coder(), b""
+    begin = 0
+    for k, byte in enumerate(raw):
+        if byte < 128 and not chr(byte).isalnum():
+            begin = k
+        out += bytes([byte, coder.prefixes(raw[begin : k + 1])[-1]])
+    return out
+
+
+def test_windows_hold_the_whole_text_in_code(monkeypatch):
+    from lakeops.llm import words
+
+    rng = random.Random(3)
+    for size in (1 << 20, 7):
+        monkeypatch.setattr(words, "SLICE_BYTES", size)
+        coder = toxicity.Coder()
+        for text in ["", None, "a", " ", "xé" * 60, "one two, three.four " * 30, *["".join(rng.choice("ab é.,") for _ in range(rng.randrange(80))) for _ in range(30)]]:
+            raw = toxicity.normal(text)
+            pieces = coder.windows(raw)
+            assert b"".join(pieces) == coder.code(raw) == _plain_code(raw) and all(len(p) <= 2 * toxicity.WINDOW for p in pieces)
+            grams = coder.grams(raw)
+            marks = np.unique(rng.sample(grams.tolist(), min(len(grams), 5))).astype(np.int64)
+            inside = [any(grams[j] in marks for j in range(max(0, k - toxicity.GRAM + 1), min(k + 1, len(grams)))) for k in range(len(raw))]
+            want, held = [], b""
+            for k in range(len(raw) + 1):
+                if k < len(raw) and inside[k]:
+                    held += coder.code(raw)[2 * k : 2 * k + 2]
+                elif held:
+                    want.append(held)
+                    held = b""
+            assert coder.marked(raw, marks) == want
+    assert toxicity.Coder().prefixes(b"a " + b"bc" * 3).tolist()[2:] == toxicity.Coder().prefixes(b"xyz " + b"bc" * 3).tolist()[4:]
+
+
+def test_toxic_rows_of_every_language_are_found(spark):
+    """Held-out rows of the given table: area under the curve by language, and scores as a plain pass over the windows gives them."""
+    path = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{path}/documents.parquet"), spark.read.parquet(f"{path}/labels.parquet")
+    got = {r["doc_id"]: r for r in toxicity.toxicity(docs, labels).collect()}
+    known = docs.join(labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id").select("doc_id", "lang", "toxic").collect()
+    held = [r for r in known if got[r["doc_id"]]["held_out"]]
+    for lang in ("en", "de", "fr", "es"):
+        own = [(got[r["doc_id"]]["score"], r["toxic"]) for r in held if r["lang"] == lang]
+        bad, good = [s for s, t in own if t], [s for s, t in own if not t]
+        if len(bad) >= 15:
+            assert np.mean([(b > g) + (b == g) / 2 for b in bad for g in good]) >= 0.8, lang
+    assert np.mean([got[r["doc_id"]]["predicted"] == r["toxic"] for r in held]) > 0.95
+    small = docs.where("doc_id < 300")
+    distance, calibration = toxicity.fit(docs, labels, "doc_id", "text", "toxic")
+    plain_, both = (toxicity._compressor(d) for d in (distance.dictionaries[0], b"".join(distance.dictionaries)))
+    for r in small.collect():
+        pieces = toxicity.Coder().windows(toxicity.normal(r["text"]))
+        saved = np.array([len(plain_.compress(w)) - len(both.compress(w)) for w in pieces], float)
+        top = sorted(saved, reverse=True)[:3]
+        some, many = (np.array([s >= least for s in saved]) for least in toxicity.SAVED)
+        features = [top[0], np.mean(top), saved.mean(), some.mean(), many.mean(), np.log(len(saved)), some.sum() / np.sqrt(len(saved))]
+        assert got[r["doc_id"]]["score"] == pytest.approx(calibration.score(np.array([features]))[0], abs=1e-6)
 
 
 def test_toxic_texts_score_higher(spark):
