@@ -27,7 +27,8 @@ SPACE_PASSAGES, SCAN_SPACES = 256, 8
 SUM_PARTS, FREQUENT = 64, 0.02
 #: A passage is a candidate from this latent cosine and this share of the item's latent length on.
 COSINE, SHARE = 0.5, 0.35
-#: Leaked: so much of the item's words in order, or less with the answer's rare words there as well.
+#: Leaked: so much of the item's words in order; or less, if so much of its rare words stands in order as well, and so much
+#: of the answer's rare words anywhere in the document. Rare are words whose feature is not FREQUENT.
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.6, 0.5
 _SENTENCE = re.compile(r"[.!?:]\s+|\n")
 
@@ -71,7 +72,8 @@ def document_counts(docs: DataFrame, text_col: str) -> tuple[int, np.ndarray]:
 def passages(items: DataFrame, id_col: str, text_col: str, idf: np.ndarray) -> DataFrame:
     """Passages of the benchmark: item, number, word hashes, answer hashes, and the TF-IDF row of length 1.
 
-    The answer is the item's last sentence. Items without words have no passage.
+    The answer is the item's last sentence, or the last third of an item that is one sentence. Items without words have
+    no passage.
     """
     fields = T.StructType([T.StructField("item", items.schema[id_col].dataType), *T.StructType.fromDDL("number long, part long, words binary, answer binary, feature array<long>, weight array<double>, length double").fields])
 
@@ -82,7 +84,7 @@ def passages(items: DataFrame, id_col: str, text_col: str, idf: np.ndarray) -> D
             for item, text in zip(batch.iloc[:, 0], batch.iloc[:, 1]):
                 hashes = hasher.spans((text or "").encode())[2]
                 sentences = [s for s in _SENTENCE.split(text or "") if len(hasher.spans(s.encode())[2])]
-                answer = hasher.spans(sentences[-1].encode())[2] if sentences else hashes
+                answer = hasher.spans(sentences[-1].encode())[2] if len(sentences) > 1 else hashes[-max(1, len(hashes) // 3) :]
                 for k, begin in enumerate(_windows(len(hashes))):
                     own = hashes[begin : begin + WINDOW]
                     feature, count = np.unique(_features(own), return_counts=True)
@@ -167,8 +169,10 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     Words are runs of letters, digits and non-ASCII characters, in lower case. Passages of WINDOW words of every whole
     text are placed in the latent space of the benchmark's TF-IDF passages, with counts over all documents. Each one close
     to an item's passage in cosine, and holding enough of it, is compared word by word, with half a passage before and
-    after it: ``lcs`` is the share of the item's words found in order, ``answer`` the share of the words of its last
-    sentence. A pair is kept with lcs from VERBATIM on, or from PARAPHRASE on with answer from ANSWER on.
+    after it: ``lcs`` is the share of the item's words found in order, ``rare`` that of its rare words, and ``answer`` the
+    share of its answer's rare words found anywhere in the document, each by its weight. A pair is kept with lcs from
+    VERBATIM on, or with lcs and rare from PARAPHRASE on and answer from ANSWER on: words that many documents share don't
+    make a paraphrase, so an item without rare words leaks only word for word. For an answer without any, rare stands in.
 
     Null or empty texts and items have no words and no pairs. Rows of one id give the pairs of all of them, each once.
     Rows with a null id give pairs with a null id. Empty tables give an empty table. Other columns are not looked at.
@@ -185,7 +189,8 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     for k in range(0, spaces, SCAN_SPACES):
         scan = _search(docs, [every.where(place == x) for x in range(k, min(k + SCAN_SPACES, spaces))], idf, id_col, text_col, item_col)
         out = scan if out is None else out.union(scan)
-    return out.groupBy(id_col, item_col).agg(F.max(F.struct("lcs", "answer", "cosine")).alias("best")).select(id_col, item_col, "best.cosine", "best.lcs", "best.answer")
+    best = out.groupBy(id_col, item_col).agg(F.max(F.struct("lcs", "rare", "answer", "cosine")).alias("best"))
+    return best.select(id_col, item_col, "best.cosine", "best.lcs", "best.rare", "best.answer")
 
 
 def _pieces(window: np.ndarray, most: int = 1 << 16) -> Iterator[tuple[int, int]]:
@@ -244,7 +249,12 @@ class _Space:
         self.place[features] = np.arange(len(features))
         self.items = [r["item"] for r in kept]
         self.words = [np.frombuffer(r["words"], np.uint64).tolist() for r in kept]
-        self.answers = [frozenset(np.frombuffer(r["answer"], np.uint64).tolist()) for r in kept]
+        seldom = idf >= np.log1p(1 / FREQUENT)
+        self.seldom = seldom
+        self.rare_words = [[w for w in own if seldom[w >> 47]] for own in self.words]
+        answers = [np.unique(np.frombuffer(r["answer"], np.uint64)) for r in kept]
+        self.answers = [a[seldom[_features(a)]] for a in answers]
+        self.answer_weights = [idf[_features(a)] for a in self.answers]
         queries = np.zeros((len(kept), self.vectors.shape[1]), np.float32)
         for k, r in enumerate(kept):
             queries[k] = np.asarray(r["weight"], np.float32) @ self.vectors[self.place[r["feature"]]]
@@ -297,18 +307,23 @@ class _Space:
             found.append((owner[x], item, np.minimum(1.0, product[x, item] / size[x]).astype(float)))
         return tuple(np.concatenate(c) for c in zip(*found))
 
-    def checked(self, hashes: np.ndarray, begin: int, item: int) -> tuple[float, float]:
-        """Share of the passage's words that stand in order around ``begin``, and share of the answer's words there."""
-        near = hashes[max(0, begin - STRIDE) : begin + WINDOW + STRIDE].tolist()
-        answer = self.answers[item]
-        return common_words(self.words[item], near) / len(self.words[item]), len(answer & set(near)) / max(1, len(answer))
+    def checked(self, hashes: np.ndarray, begin: int, item: int) -> tuple[float, float, float]:
+        """lcs, rare and answer (see :func:`leaks`) of a passage and a document's words around ``begin``."""
+        near = hashes[max(0, begin - STRIDE) : begin + WINDOW + STRIDE]
+        lcs = common_words(self.words[item], near.tolist()) / len(self.words[item])
+        rare, answer = self.rare_words[item], self.answers[item]
+        if lcs < PARAPHRASE or not rare:
+            return lcs, 0.0, 0.0
+        in_order = common_words(rare, near[self.seldom[_features(near)]].tolist()) / len(rare)
+        weight = self.answer_weights[item]
+        return lcs, in_order, float(weight[np.isin(answer, hashes)].sum() / weight.sum()) if len(answer) else in_order
 
 
 def _search(docs: DataFrame, blocks: list[DataFrame], idf: np.ndarray, id_col: str, text_col: str, item_col: str) -> DataFrame:
     spaces = [_Space(block, idf) for block in blocks]
     item_type = blocks[0].schema["item"].dataType
     item_arrow = to_arrow_type(item_type)
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField(item_col, item_type), *T.StructType.fromDDL("cosine double, lcs double, answer double").fields])
+    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField(item_col, item_type), *T.StructType.fromDDL("cosine double, lcs double, rare double, answer double").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = _hasher()
@@ -323,11 +338,11 @@ def _search(docs: DataFrame, blocks: list[DataFrame], idf: np.ndarray, id_col: s
                     window, item, cosine = space.near(place, feature)
                     text, begin = place.begin(window)
                     for doc, word, k, near in zip(text.tolist(), begin.tolist(), item.tolist(), cosine.tolist()):
-                        lcs, answer = space.checked(hashes[cut[doc] : cut[doc + 1]], int(word - cut[doc]), k)
-                        if lcs >= VERBATIM or (lcs >= PARAPHRASE and answer >= ANSWER):
+                        lcs, rare, answer = space.checked(hashes[cut[doc] : cut[doc + 1]], int(word - cut[doc]), k)
+                        if lcs >= VERBATIM or (lcs >= PARAPHRASE and rare >= PARAPHRASE and answer >= ANSWER):
                             rows.append(first + doc)
-                            out.append((space.items[k], near, lcs, answer))
-            columns = list(zip(*out)) if out else [(), (), (), ()]
+                            out.append((space.items[k], near, lcs, rare, answer))
+            columns = list(zip(*out)) if out else [()] * 5
             ids = batch.column(0).take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays([ids, pa.array(columns[0], item_arrow), *[pa.array(c, pa.float64()) for c in columns[1:]]], schema.names)
 

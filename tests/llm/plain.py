@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -155,3 +156,39 @@ def repaired(rows: list[tuple]) -> tuple:
     digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in made).encode()).hexdigest()
     gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
     return gaps, faults.count("blank"), faults.count("duplicate"), faults.count("truncated"), illegal, cost, audit, digest, made
+
+
+def in_order(a: list, b: list) -> int:
+    """Longest common subsequence, cell by cell."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = 0
+        for k, y in enumerate(b):
+            before, row[k + 1] = row[k + 1], before + 1 if x == y else max(row[k + 1], row[k])
+    return row[-1]
+
+
+def leaked(docs: list[tuple], items: list[tuple], window: int = 64, stride: int = 32, frequent: float = 0.02) -> dict:
+    """Pairs of a document and an item with the greatest lcs, by comparing every item with every passage of every document."""
+    cut = lambda text: re.findall(r"[0-9a-z\u0080-\U0010ffff]+", (text or "").lower())
+    texts = [(d, cut(t)) for d, t in docs]
+    holders = Counter(w for _, ws in texts for w in set(ws))
+    rare = lambda w: holders[w] <= frequent * len(docs)
+    weight = lambda w: math.log1p(len(docs) / max(1, holders[w]))
+    out: dict = {}
+    for item, text in items:
+        own, sentences = cut(text), [cut(s) for s in re.split(r"[.!?:]\s+|\n", text.lower()) if cut(s)]
+        answer = {w for w in (sentences[-1] if len(sentences) > 1 else own[-max(1, len(own) // 3) :]) if rare(w)}
+        few = [w for w in own if rare(w)]
+        for doc, ws in texts:
+            for begin in range(0, max(1, len(ws) - window + stride), stride):
+                near = ws[max(0, begin - stride) : begin + window + stride]
+                lcs = in_order(own, near) / len(own)
+                found = lcs >= 0.8
+                if not found and lcs >= 0.6 and few:
+                    ordered = in_order(few, [w for w in near if rare(w)]) / len(few)
+                    there = sum(weight(w) for w in answer & set(ws)) / sum(map(weight, answer)) if answer else ordered
+                    found = ordered >= 0.6 and there >= 0.5
+                if found:
+                    out[doc, item] = max(lcs, out.get((doc, item), 0))
+    return out
