@@ -280,7 +280,8 @@ def test_paraphrases_against_every_passage(spark):
         planted.add((1000 + k, item))
     got = {(r["doc_id"], r["item_id"]) for r in decontam.leaks(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
     want = set(plain.leaked(docs, items))
-    assert got <= want and len(got & want) >= 0.9 * len(want)
+    # Words that share a feature with others can count as frequent here and not there.
+    assert got <= want | planted and len(got & want) >= 0.9 * len(want)
     assert len(got & planted) >= 0.9 * len(planted) and not any(d < 1000 for d, _ in got)
 
 
