@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeops.llm import decontam, lines, minhash, mixing, pieces, pii, quality, repair, secrets, sharding, topk, toxicity, whitening
+from lakeops.session import written_out
 
 SHARDS = 8
 TOP = 20
@@ -56,8 +57,11 @@ def op7_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = secrets.train(*secrets.labelled_samples(docs.withColumn("base", secrets.base_spans(F.coalesce("text", F.lit("")))), "text"))
-    found = secrets.scan(docs, model)
+    values, words = secrets.labelled_samples(docs.withColumn("base", secrets.base_spans(F.coalesce("text", F.lit("")))), "text")
+    words = written_out(secrets.counted(words))
+    held = secrets.held_out(F.col("value"))
+    model = secrets.train(values, words.where(~held))
+    found = secrets.scan(docs, model, ordinary=secrets.calibrated(model, words.where(held)))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select(
         "doc_id", count("assign"), count("access"), count("hex"),

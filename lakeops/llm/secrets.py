@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,10 +19,12 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
 #: Character classes of the models: a letter, digit or sign each for itself.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SIZE = len(ALPHABET)
+_WHOLE = f"^[{ALPHABET.replace('-', '')}-]{{2,}}$"
 #: Words whose spelling trains the ordinary model: letters, with a digit or two at most at the end.
 IDENTIFIER = r"[A-Za-z][A-Za-z_-]{3,}[0-9]{0,2}"
-#: A run is a secret when its mean log-likelihood ratio for each step is above this, in nats.
-THRESHOLD = 0.25
+#: A run is a secret when its mean log-likelihood ratio for each step is above 0 and this many spreads above that of
+#: ordinary words, both from words that did not train; one word in FOLDS is held out by its checksum.
+SPREADS, FOLDS = 4.0, 5
 
 
 def _spans(text: Column, pattern: str, group: int, least: int, kind: str) -> Column:
@@ -57,6 +61,32 @@ def _steps(value: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(value) - 1), lambda k: at(k) * SIZE + at(k + 1))
 
 
+def counted(samples: DataFrame) -> DataFrame:
+    """Distinct values with their number n; samples that are counted already stay as they are."""
+    return samples if "n" in samples.columns else samples.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def held_out(value: Column) -> Column:
+    """Words that no model is trained on."""
+    return F.crc32(value.cast("binary")) % FOLDS == 0
+
+
+def calibrated(model: list[float], identifiers: DataFrame) -> tuple[float, float]:
+    """Mean log-likelihood ratio of a step of ordinary words, and how far a word strays from it for the root of its steps.
+
+    A word of n steps strays by its share of 1 / sqrt(n), so one pair of numbers serves words of every length. Only they
+    reach the driver. Each distinct word counts once; without words both are 0.
+    """
+    inside = counted(identifiers).where(F.col("value").rlike(_WHOLE))
+    each = inside.select((F.length("value") - 1).cast("double").alias("steps"), log_ratio(F.col("value"), model).alias("ratio"))
+    sums = each.agg(F.sum("steps").alias("n"), F.sum(F.col("steps") * F.col("ratio")).alias("s"), F.sum(F.col("steps") * F.col("ratio") ** 2).alias("q"), F.count(F.lit(1)).alias("words")).first()
+    if not sums["words"]:
+        return 0.0, 0.0
+    mean = sums["s"] / sums["n"]
+    # Steps times squared distance, on average over words: a word's mean over n steps has 1 / n of a step's variance.
+    return mean, math.sqrt(max(0.0, (sums["q"] - mean * sums["s"]) / sums["words"]))
+
+
 def train(random_strings: DataFrame, identifiers: DataFrame) -> list[float]:
     """Log-likelihood ratio of each step under the two models, as SIZE * SIZE numbers; both inputs have a column value.
 
@@ -65,15 +95,13 @@ def train(random_strings: DataFrame, identifiers: DataFrame) -> list[float]:
     """
 
     def counts(samples: DataFrame) -> list[float]:
-        inside = samples.where(F.col("value").rlike(f"^[{ALPHABET.replace('-', '')}-]{{2,}}$"))
-        each = inside.groupBy("value").agg(F.count(F.lit(1)).alias("n")).select(F.explode(_steps(F.col("value"))).alias("step"), "n")
+        inside = samples.where(F.col("value").rlike(_WHOLE))
+        each = counted(inside).select(F.explode(_steps(F.col("value"))).alias("step"), "n")
         out = [0.0] * (SIZE * SIZE)
         for step, n in each.groupBy("step").agg(F.sum("n")).collect():
             out[step] = float(n)
         return out
 
-    import math
-
     def logs(found: list[float]) -> list[float]:
         rows = [sum(found[a * SIZE : (a + 1) * SIZE]) for a in range(SIZE)]
         return [math.log((found[a * SIZE + b] + 1) / (rows[a] + SIZE)) for a in range(SIZE) for b in range(SIZE)]
@@ -98,11 +126,11 @@ def labelled_samples(found: DataFrame, text_col: str) -> tuple[DataFrame, DataFr
     return values, found.select(F.explode(F.array_except(every, F.col("base.value"))).alias("value"))
 
 
-def scan(docs: DataFrame, model: list[float], text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, model: list[float], text_col: str = "text", ordinary: tuple[float, float] = (0.0, 0.0)) -> DataFrame:
     """``docs`` with ``base`` and ``spans``: arrays of (start, end, kind, value) in order of start, then kind as listed.
 
-    ``spans`` also has kind ``markov``: runs of key characters with a letter and a digit, outside every base span, whose
-    mean log-likelihood ratio is above THRESHOLD. A null or empty text has no spans. Columns of the same names are
+    ``spans`` also has kind ``markov``: runs of key characters, of whatever kinds, outside every base span, whose mean
+    log-likelihood ratio is above 0 and SPREADS spreads above that of ``ordinary`` words (see calibrated). A null or empty text has no spans. Columns of the same names are
     replaced; equal rows are kept.
     """
     rank = lambda kind: F.when(kind == "assign", 0).when(kind == "access", 1).when(kind == "hex", 2).otherwise(3)
@@ -117,7 +145,7 @@ def scan(docs: DataFrame, model: list[float], text_col: str = "text") -> DataFra
     free = F.filter(
         runs,
         lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        & s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]") & (log_ratio(s["value"], model) > THRESHOLD),
+        & (log_ratio(s["value"], model) > F.greatest(F.lit(0.0), F.lit(ordinary[0]) + F.lit(SPREADS * ordinary[1]) / F.sqrt(F.length(s["value"]) - 1))),
     )
     return out.withColumn("spans", ordered(F.concat("base", free)))
 

@@ -8,6 +8,7 @@ import re
 from collections import Counter
 
 import plain
+import pytest
 from pyspark.sql import functions as F
 
 from lakeops.llm import lines, pii, secrets
@@ -63,6 +64,64 @@ def test_models_tell_random_strings_from_identifiers(spark):
     assert set(uniform) == {0.0}
 
 
+def test_keys_of_one_kind_of_character_are_found(spark):
+    """Random runs of letters, of digits and of both, and ordinary words of the given table, judged by a limit from words held out."""
+    rng = random.Random(5)
+    kinds = {"letters": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", "lower": "abcdefghijklmnopqrstuvwxyz", "digits": "0123456789"}
+    kinds["both"] = kinds["letters"] + kinds["digits"]
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    values, words = secrets.labelled_samples(docs.withColumn("base", secrets.base_spans(F.coalesce("text", F.lit("")))), "text")
+    words = secrets.counted(words).cache()
+    held = secrets.held_out(F.col("value"))
+    model = secrets.train(values, words.where(~held))
+    ordinary = secrets.calibrated(model, words.where(held))
+    keys = [(f"{kind}-{n}", "".join(rng.choice(of) for _ in range(n))) for kind, of in kinds.items() for n in (16, 20, 32) for _ in range(200)]
+    found = secrets.scan(spark.createDataFrame([(k, f"see {v} here") for k, v in keys], "kind string, text string"), model, ordinary=ordinary)
+    share = {r["kind"]: r["share"] for r in found.groupBy("kind").agg(F.avg(F.size("spans")).alias("share")).collect()}
+    assert all(share[f"{kind}-{n}"] >= 0.9 for kind in ("letters", "digits", "both") for n in (16, 20, 32)), share
+    long = words.where(held & (F.length("value") >= 16)).select(F.concat(F.lit("see "), "value").alias("text"))
+    assert secrets.scan(long, model, ordinary=ordinary).agg(F.avg(F.size("spans"))).first()[0] < 0.01
+    words.unpersist()
+
+
+def test_markov_spans_match_a_plain_chain(spark):
+    """The ratio of every run, and the limit, worked out one character after the other."""
+    import math
+    import re
+
+    rng = random.Random(6)
+    words = [("".join(rng.choice(["ta", "ri", "no", "_", "Le", "s"]) for _ in range(rng.randrange(2, 12))) + "abcd", rng.randrange(1, 5)) for _ in range(200)]
+    randoms = ["".join(rng.choice(secrets.ALPHABET) for _ in range(24)) for _ in range(100)]
+    ordinary = spark.createDataFrame(sorted(dict(words).items()), "value string, n long")
+    model = secrets.train(spark.createDataFrame([(v,) for v in randoms], "value string"), ordinary)
+
+    def chain(samples):
+        counts = [[1] * secrets.SIZE for _ in range(secrets.SIZE)]
+        for value, n in samples:
+            for a, b in zip(value, value[1:]):
+                counts[secrets.ALPHABET.index(a)][secrets.ALPHABET.index(b)] += n
+        return [[math.log(c / sum(row)) for c in row] for row in counts]
+
+    r, o = chain([(v, 1) for v in randoms]), chain(sorted(dict(words).items()))
+    ratio = lambda v: sum(r[secrets.ALPHABET.index(a)][secrets.ALPHABET.index(b)] - o[secrets.ALPHABET.index(a)][secrets.ALPHABET.index(b)] for a, b in zip(v, v[1:])) / (len(v) - 1)
+    pairs = [(len(v) - 1, ratio(v)) for v in dict(words)]
+    mean = sum(n * x for n, x in pairs) / sum(n for n, _ in pairs)
+    spread = math.sqrt(sum(n * (x - mean) ** 2 for n, x in pairs) / len(pairs))
+    got = secrets.calibrated(model, ordinary)
+    assert got == pytest.approx((mean, spread), rel=1e-3)
+    bits = [*dict(words), *randoms, "tarino" * 4, " ", "é", "==", "0" * 20]
+    texts = [" ".join(rng.choice(bits) for _ in range(rng.randrange(6))) for _ in range(100)]
+    for row in secrets.scan(frame(spark, list(enumerate(texts))), model, ordinary=got).collect():
+        base = plain.secret_spans(row["text"])
+        want = []
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", row["text"]):
+            limit = max(0.0, mean + secrets.SPREADS * spread / math.sqrt(len(m[0]) - 1))
+            if not any(s < m.end() and m.start() < e for s, e, _ in base) and ratio(m[0]) > limit:
+                want.append((m.start(), m.end(), "markov"))
+        assert [(s["start"], s["end"], s["kind"]) for s in row["spans"] if s["kind"] == "markov"] == want
+    assert secrets.calibrated(model, ordinary.limit(0)) == (0.0, 0.0)
+
+
 PRIVATE = [
     "mail of.55@mail4.example.com or OF.55@MAIL4.EXAMPLE.COM.",
     "call +1 (017) 555-7713, again +1 (017) 555-7713 or 974 555-3436",
