@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.expressions import let
+from lakeops.llm.expressions import let, numbered
 from lakeops.session import written_out
 
 #: A chunk ends after a line when the rolling hash of the last WINDOW line hashes falls on 0 of DIVISOR: on average after
@@ -69,18 +69,18 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _without(docs: DataFrame, again: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``docs`` without the lines of ``again``: __id and __mark of a document, start and number of lines n, which may overlap."""
-    keep = [c for c in docs.columns if c != "removed_lines"]
-    text = F.col(text_col)
+    docs, own = numbered(docs, [c for c in docs.columns if c != "removed_lines"])
+    text = F.col(own[text_col])
     # A document's own repeats: bounded by the document.
     cut = written_out(again.distinct().groupBy("__id", "__mark").agg(F.collect_set(F.struct("start", "n")).alias("cut")))
     cut = cut.select(F.col("__id").alias("__of"), F.col("__mark").alias("__m"), "cut")
-    out = docs.select(*keep).join(cut.hint("merge"), F.col(id_col).eqNullSafe(F.col("__of")) & (F.xxhash64(text) == F.col("__m")), "left")
+    out = docs.join(cut.hint("merge"), F.col(own[id_col]).eqNullSafe(F.col("__of")) & (F.xxhash64(text) == F.col("__m")), "left")
     gone = F.array_distinct(F.flatten(F.transform("cut", lambda c: F.sequence(c["start"], c["start"] + c["n"] - 1))))
-    numbered = F.transform(_lines(text), lambda x, k: F.struct(k.alias("k"), x.alias("line")))
-    left = let(F.map_from_arrays(gone, F.transform(gone, lambda _: F.lit(True))), lambda out: F.filter(numbered, lambda s: ~F.map_contains_key(out, s["k"])))
+    each = F.transform(_lines(text), lambda x, k: F.struct(k.alias("k"), x.alias("line")))
+    left = let(F.map_from_arrays(gone, F.transform(gone, lambda _: F.lit(True))), lambda out: F.filter(each, lambda s: ~F.map_contains_key(out, s["k"])))
     put = F.when(F.col("cut").isNull(), text).otherwise(F.array_join(F.transform(left, lambda s: s["line"]), "\n"))
     removed = F.coalesce(F.size(gone), F.lit(0)).cast("long")
-    return out.select(*[put.alias(c) if c == text_col else F.col(c) for c in keep], removed.alias("removed_lines"))
+    return out.select(*[(put if c == text_col else F.col(n)).alias(c) for c, n in own.items()], removed.alias("removed_lines"))
 
 
 def without_repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

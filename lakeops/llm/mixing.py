@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeops.llm.expressions import numbered
+
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS = 64
 SHARD_ROWS = 4096
@@ -82,10 +84,12 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), *, id_col: str
     names in ``docs`` are replaced.
     """
     keep = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken")]
+    docs, own = numbered(docs, keep)
+    id_, text, source = (own[c] for c in (id_col, text_col, source_col))
     # Rows of one id are told apart by their texts, so copies of an id spread as well.
-    place = F.xxhash64(F.lit(seed), F.col(id_col), F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
-    base = docs.select(*keep, place.alias("__place"), F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    per = base.groupBy(F.col(source_col).alias("__source")).agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
+    place = F.xxhash64(F.lit(seed), F.col(id_), F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+    base = docs.select("*", place.alias("__place"), F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    per = base.groupBy(F.col(source).alias("__source")).agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
     per = sorted(per, key=lambda r: (r["__source"] is None, r["__source"] or ""))
     sizes, share = [r["n"] for r in per], [weights[k % len(weights)] for k in range(len(per))]
     wanted = targets(sizes, share)
@@ -95,7 +99,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), *, id_col: str
         "__source string, source_size long, target double, __seats long, __shards long",
     )
     # One row for each source, which the driver holds already: bounded, and no source's rows meet in one task.
-    rows = base.join(F.broadcast(plan), base[source_col].eqNullSafe(plan["__source"]))
+    rows = base.join(F.broadcast(plan), base[source].eqNullSafe(plan["__source"]))
     rows = rows.withColumn("__shard", F.pmod("__place", F.col("__shards")))
 
     def quota(one: pd.DataFrame) -> pd.DataFrame:
@@ -105,14 +109,14 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), *, id_col: str
 
     shards = rows.groupBy(F.col("__source").alias("of_source"), F.col("__shard").alias("of_shard")).agg(F.sum("size").alias("shard_size"), F.first("__seats").alias("seats"))
     quotas = shards.groupBy("of_source").applyInPandas(quota, "of_source string, of_shard long, shard_size long, quota long")
-    order = Window.partitionBy("__source", "__shard").orderBy(F.xxhash64(F.lit(seed + 1), "__place"), "__place", F.col(id_col).asc_nulls_first(), "size")
+    order = Window.partitionBy("__source", "__shard").orderBy(F.xxhash64(F.lit(seed + 1), "__place"), "__place", F.col(id_).asc_nulls_first(), "size")
     rows = rows.withColumn("__end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     rows = rows.join(quotas, rows["__source"].eqNullSafe(quotas["of_source"]) & (rows["__shard"] == quotas["of_shard"]))
     want = F.least(F.col("quota") * BLOCK_WORDS, F.col("shard_size") * MOST_TIMES)
     passes = F.when(F.col("shard_size") > 0, F.floor(want / F.col("shard_size"))).otherwise(0)
     rest = want - passes * F.col("shard_size")
     part = F.greatest(F.lit(0), F.least(F.col("__end"), rest) - (F.col("__end") - F.col("size")))
-    return rows.select(*keep, "size", "source_size", "target", (passes * F.col("size") + part).cast("long").alias("taken"))
+    return rows.select(*[F.col(n).alias(c) for c, n in own.items()], "size", "source_size", "target", (passes * F.col("size") + part).cast("long").alias("taken"))
 
 
 def mixed_documents(mixed: DataFrame, columns: list[str], *, text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
@@ -120,13 +124,15 @@ def mixed_documents(mixed: DataFrame, columns: list[str], *, text_col: str = "te
 
     A document of which nothing is taken has no row, unless it has no words at all: that is kept once.
     """
-    copies = F.greatest(F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(1), F.lit(0)).cast("int")
-    out = mixed.withColumn("__copies", copies).where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    left = F.col("taken") - (F.col("__copy") - 1) * F.col("size")
-    begin = F.array_join(F.slice(F.regexp_extract_all(F.col(text_col), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), 0), F.lit(1), F.greatest(left, F.lit(1)).cast("int")), "")
-    cut = (F.col("size") > 0) & (left < F.col("size"))
-    put = {text_col: F.when(cut, begin).otherwise(F.col(text_col))}
-    out = out.withColumns(put)
+    given, own = numbered(mixed, mixed.columns)
+    size, taken, text = (F.col(own[c]) for c in ("size", "taken", text_col))
+    copies = F.greatest(F.when(size > 0, F.ceil(taken / size)).otherwise(1), F.lit(0)).cast("int")
+    out = given.withColumn("copies", copies).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    left = taken - (F.col("copy") - 1) * size
+    begin = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), 0), F.lit(1), F.greatest(left, F.lit(1)).cast("int")), "")
+    cut = (size > 0) & (left < size)
+    out = out.withColumn("put", F.when(cut, begin).otherwise(text))
+    put = {text_col: F.col("put")}
     if chars_col in columns:
-        out = out.withColumn(chars_col, F.when(cut, F.length(text_col).cast("long")).otherwise(F.col(chars_col)))
-    return out.select(*columns)
+        put[chars_col] = F.when(cut, F.length("put").cast("long")).otherwise(F.col(own[chars_col]))
+    return out.select(*[put.get(c, F.col(own[c])).alias(c) for c in columns])

@@ -158,3 +158,13 @@ def test_top_k_of_odd_vectors(spark, monkeypatch):
 def test_top_k_of_no_vectors(spark):
     none = spark.createDataFrame([], "id long, embedding array<float>")
     assert topk.top_k(none, none, 20, "id", "embedding").collect() == []
+
+
+def test_columns_of_any_name_pass_through_the_mix(spark):
+    names = ["__place", "__seats", "__shards", "__source", "shard_size", "quota", "of_source", "of_shard", "__shard", "seats", "__end", "copies", "copy", "put", "_0", "a.b"]
+    df = spark.createDataFrame([(k, f"one two three {k}", f"s{k % 3}", 9, *["x"] * len(names)) for k in range(40)], ["doc_id", "text", "source", "n_chars", *names])
+    mixed = mixing.mix(df)
+    assert mixed.columns == [*df.columns, "size", "source_size", "target", "taken"]
+    assert all(r[c] == "x" for r in mixed.collect() for c in names)
+    out = mixing.mixed_documents(mixed, df.columns)
+    assert out.columns == df.columns and all(r[c] == "x" for r in out.collect() for c in names)
