@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeops.llm.expressions import let
+from lakeops.llm.expressions import let, numbered
 from lakeops.session import written_out
 
 #: Fixed patterns of the kinds, tried in this order at each place.
@@ -101,12 +101,38 @@ def _gender(mention: Column) -> Column:
     return F.when(mention.rlike(f"^(?:{_TITLES['male']})\\.? "), "male").when(mention.rlike(f"^(?:{_TITLES['female']})\\.? "), "female").otherwise("any")
 
 
-def _parts(mention: Column) -> Column:
-    """Entities of a mention: kind and form. A name's words are entities of their own, so a later short form agrees."""
+def _genders(mentions: Column) -> Column:
+    """Given names of a document that stand after a title of a gender, to that gender; with both, to the first by name.
+
+    Worked out only where a name stands after a title without one, as nothing else asks for it.
+    """
+
+    def given(mention: Column) -> Column:
+        words = let(F.split(F.lower(mention), " "), lambda w: F.slice(w, F.lit(2), F.greatest(F.size(w) - 2, F.lit(0))))
+        return let(_gender(mention), lambda g: F.transform(words, lambda w: F.struct(w.alias("form"), g.alias("gender"))))
+
+    titled = F.filter(mentions, lambda m: _gender(m) != "any")
+    every = F.array_sort(F.array_distinct(F.flatten(F.transform(titled, given))))
+    found = let(every, lambda e: F.map_from_entries(F.filter(e, lambda x, k: (k == 0) | (x["form"] != F.get(e, k - 1)["form"]))))
+    open_ = F.exists(mentions, lambda m: m.rlike(rf"^(?:{_TITLES['any']})\.? "))
+    return F.when(open_, found).otherwise(F.create_map().cast("map<string,string>"))
+
+
+def _parts(mention: Column, genders: Column) -> Column:
+    """Entities of a mention: kind and form. A name's words are entities of their own, so a later short form agrees.
+
+    After a title without a gender a given name has the one that the document's other titles give it.
+    """
 
     def named(words: Column) -> Column:
-        given = F.concat(F.lit("given-"), _gender(mention))
-        return F.transform(words, lambda w, k: F.struct(F.when(k == F.size(words) - 1, "surname").otherwise(given).alias("kind"), w.alias("form")))
+        def gender(own: Column, w: Column) -> Column:
+            return F.when((own == "any") & F.map_contains_key(genders, w), F.element_at(genders, w)).otherwise(own)
+
+        def kinds(own: Column) -> Column:
+            given = lambda w: F.concat(F.lit("given-"), gender(own, w))
+            return F.transform(words, lambda w, k: F.struct(F.when(k == F.size(words) - 1, "surname").otherwise(given(w)).alias("kind"), w.alias("form")))
+
+        return let(_gender(mention), kinds)
 
     def entities(kind: Column) -> Column:
         bare = F.when(kind == "email", F.lower(mention)).when(kind == "ip", mention).when(kind == "iban", F.replace(mention, F.lit(" "), F.lit(""))).otherwise(F.regexp_replace(mention, r"[^0-9+]", ""))
@@ -243,9 +269,9 @@ def _mentions(text: Column) -> Column:
     return F.when(text.rlike(_SIGN), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
-def _known(mentions: Column) -> Column:
+def _known(entities: Column) -> Column:
     """Name words after the titles of a document: form (without a possessive ending) to entity; a surname before a given name."""
-    names = F.filter(_entities(mentions), lambda e: e["kind"].startswith("given") | (e["kind"] == "surname"))
+    names = F.filter(entities, lambda e: e["kind"].startswith("given") | (e["kind"] == "surname"))
     keyed = F.transform(names, lambda e: F.struct(F.regexp_replace(e["form"], "'s$", "").alias("form"), (e["kind"] != "surname").alias("given"), e.alias("entity")))
     every = F.array_sort(F.array_distinct(keyed))
     first = F.filter(every, lambda x, k: (k == 0) | (x["form"] != F.get(every, k - 1)["form"]))
@@ -253,7 +279,7 @@ def _known(mentions: Column) -> Column:
 
 
 def _entities(mentions: Column) -> Column:
-    return F.flatten(F.transform(mentions, _parts))
+    return let(mentions, lambda all_: let(_genders(all_), lambda genders: F.flatten(F.transform(all_, lambda m: _parts(m, genders)))))
 
 
 def collisions(entities: DataFrame, key: str) -> DataFrame:
@@ -293,26 +319,26 @@ def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: s
     empty. Equal rows stay equal; null ids don't matter. An empty table gives an empty table, and a column ``entities`` is
     replaced.
     """
-    keep = [c for c in docs.columns if c != "entities"]
-    text = F.col(text_col)
-    found = docs.where(_has_entity(text)).select(F.col(id_col).alias("__id"), F.xxhash64(text).alias("__mark"), F.explode(_entities(_mentions(text))).alias("e"))
+    docs, own = numbered(docs, [c for c in docs.columns if c != "entities"])
+    text = F.col(own[text_col])
+    found = docs.where(_has_entity(text)).select(F.col(own[id_col]).alias("__id"), F.xxhash64(text).alias("__mark"), F.explode(_entities(_mentions(text))).alias("e"))
     found = written_out(found.select("__id", "__mark", "e.kind", "e.form").distinct())
     moved = written_out(collisions(found.select("kind", "form").distinct(), key))
     # A document's own entities: bounded by the document. All of them grow with the documents, so the join is shuffled.
     per = found.join(moved, ["kind", "form"]).groupBy("__id", "__mark").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\u0001", "kind", "form"), "attempt"))).alias("moves"))
     per = written_out(per).hint("merge").select(F.col("__id").alias("__of"), F.col("__mark").alias("__m"), "moves")
-    out = docs.select(*keep).join(per, F.col(id_col).eqNullSafe(F.col("__of")) & (F.xxhash64(text) == F.col("__m")), "left")
+    out = docs.join(per, F.col(own[id_col]).eqNullSafe(F.col("__of")) & (F.xxhash64(text) == F.col("__m")), "left")
 
     def put(mention: Column) -> Column:
-        return _laid(mention, F.transform(_parts(mention), lambda e: let(tries(e), lambda n: surrogate(e["kind"], e["form"], n, key))))
+        return _laid(mention, F.transform(_parts(mention, F.col("__genders")), lambda e: let(tries(e), lambda n: surrogate(e["kind"], e["form"], n, key))))
 
     def bare(gap: Column, known: Column) -> Column:
         """Text between mentions with the document's name words replaced, and how many there are."""
 
         def word(w: Column) -> Column:
-            own = F.element_at(known, F.lower(w))
+            person = F.element_at(known, F.lower(w))
             new = lambda e: F.regexp_replace(surrogate(e["kind"], e["form"], tries(e), key), "'s$", "")
-            cased = let(own, lambda e: let(new(e), lambda n: F.when(w == F.upper(w), F.upper(n)).otherwise(F.initcap(n))))
+            cased = let(person, lambda e: let(new(e), lambda n: F.when(w == F.upper(w), F.upper(n)).otherwise(F.initcap(n))))
             return F.when(F.map_contains_key(known, F.lower(w)), cased).otherwise(w)
 
         words = F.regexp_extract_all(gap, F.lit(WORD), F.lit(0))
@@ -322,10 +348,10 @@ def pseudonymised(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: s
 
     tries = lambda e: F.coalesce(F.element_at("moves", F.concat_ws("\u0001", e["kind"], e["form"])), F.lit(0))
     mentions, gaps = _mentions(text), F.split(text, ANY, -1)
-    between = let(_known(mentions), lambda known: F.when(F.size(known) > 0, F.transform(gaps, lambda g: bare(g, known))).otherwise(F.transform(gaps, lambda g: F.struct(g.alias("text"), F.lit(0).alias("n")))))
+    between = let(_known(_entities(mentions)), lambda known: F.when(F.size(known) > 0, F.transform(gaps, lambda g: bare(g, known))).otherwise(F.transform(gaps, lambda g: F.struct(g.alias("text"), F.lit(0).alias("n")))))
     parts = F.zip_with(between, mentions, lambda gap, m: F.struct(gap["text"].alias("gap"), gap["n"].alias("n"), m.alias("mention")))
-    row = out.withColumn("__parts", F.when(text.rlike(_SIGN), parts))
+    row = out.withColumns({"__parts": F.when(text.rlike(_SIGN), parts), "__genders": _genders(_mentions(text))})
     changed = F.array_join(F.transform("__parts", lambda p: F.concat(p["gap"], F.coalesce(put(p["mention"]), F.lit("")))), "")
     kinds = F.flatten(F.transform("__parts", lambda p: F.concat(F.array_repeat(F.lit("person"), p["n"]), F.when(p["mention"].isNull(), F.array().cast("array<string>")).otherwise(F.array(_kind(p["mention"]))))))
     kinds = F.coalesce(kinds, F.array().cast("array<string>"))
-    return row.select(*[F.coalesce(changed, text).alias(c) if c == text_col else F.col(c) for c in keep], kinds.alias("entities"))
+    return row.select(*[(F.coalesce(changed, text) if c == text_col else F.col(n)).alias(c) for c, n in own.items()], kinds.alias("entities"))

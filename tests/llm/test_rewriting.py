@@ -184,6 +184,19 @@ def test_colliding_surrogates_are_moved_on(spark):
     assert not set(surrogate) & set(surrogate.values())
 
 
+def test_titles_without_a_gender_agree_with_the_others(spark):
+    rows = [
+        (1, "Dr. John Smith came. Mr John Smith spoke; John left. Prof Anna Lee and Mrs Anna Lee, Dr Kim Poe."),
+        (2, "Mr Kim Poe, Mrs Kim Poe and Dr Kim Poe."),
+        (3, "Dr John Smith alone."),
+    ]
+    got = {r["doc_id"]: r["text"] for r in pii.pseudonymised(frame(spark, rows), "k").collect()}
+    one = re.fullmatch(r"Dr\. (\w+) (\w+) came\. Mr (\w+) (\w+) spoke; (\w+) left\. Prof (\w+) (\w+) and Mrs (\w+) (\w+), Dr (\w+) (\w+)\.", got[1])
+    assert one[1] == one[3] == one[5] != "John" and one[2] == one[4] and one[6] == one[8] and one[6].endswith("a") and one[7] == one[9]
+    two = re.fullmatch(r"Mr (\w+) (\w+), Mrs (\w+) (\w+) and Dr (\w+) (\w+)\.", got[2])
+    assert two[1] != two[3] and two[5] in (two[1], two[3]) and two[2] == two[4] == two[6]
+
+
 def test_names_go_without_their_titles_as_well(spark):
     rows = [
         (1, "John Smith wrote. Mr John Smith called; Smith said no. SMITH's car, Smithson's not, smith neither."),
@@ -312,3 +325,17 @@ def test_repeated_runs_go_whole_in_any_surroundings(spark):
 def test_digest_of_spans(spark):
     got = frame(spark, [(1, SECRET_TEXTS[3])]).select(F.sha2(secrets.joined(secrets.base_spans(F.col("text"))).cast("binary"), 256).alias("h")).first()["h"]
     assert got == hashlib.sha256(",".join(f"{k}:{s}:{e}" for s, e, k in plain.secret_spans(SECRET_TEXTS[3])).encode()).hexdigest()
+
+
+CLASHES = ["cut", "moves", "removed_lines", "entities", "__of", "__m", "__id", "__mark", "__parts", "first", "start", "n", "_0", "a.b"]
+
+
+def test_columns_of_any_name_pass_through(spark):
+    rows = [(1, "one line\ntwo lines\nthree", *["x"] * len(CLASHES)), (2, "zero\none line\ntwo lines", *["y"] * len(CLASHES)), (3, "Mr John Smith at a@b.org", *["z"] * len(CLASHES))]
+    df = spark.createDataFrame(rows, ["doc_id", "text", *CLASHES])
+    for out, made in ((lines.without_repeated_runs(df), "removed_lines"), (lines.without_repeats(df), "removed_lines"), (pii.pseudonymised(df, "k"), "entities")):
+        kept = [c for c in CLASHES if c != made]
+        assert set(out.columns) == {"doc_id", "text", made, *kept}
+        got = {r["doc_id"]: r for r in out.collect()}
+        assert all(got[d][c] == v for d, v in ((1, "x"), (2, "y"), (3, "z")) for c in kept)
+    assert got[3]["entities"] == ["person", "email"]
