@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from functools import reduce
 
@@ -38,6 +39,7 @@ def federated_copy(
     fmt: str = "parquet",
     log_table: str | None = None,
     run_ts: str | None = None,
+    run_id: str | None = None,
 ) -> DataFrame:
     """Copy all tables, then recreate all views, of each pair; one outcome row per object.
 
@@ -48,7 +50,7 @@ def federated_copy(
     ``unit="database"`` maps databases of the session catalog. Names keep their case.
     A pair that can't be listed is a failed row, and the others go on; objects
     with the same destination all fail. With ``log_table`` the outcomes are
-    appended to the run log.
+    appended to the run log, in place of those of the same ``run_id`` and stamp.
     """
     skip_schemas = list(skip_schemas)
     found, refused = [], []
@@ -63,7 +65,7 @@ def federated_copy(
         done += _copied(spark, reduce(DataFrame.union, found), parallelism, fmt)
     outcomes = reduce(DataFrame.unionByName, done)
     if log_table:
-        append_run_log(spark, outcomes, log_table, run_ts or run_stamp(), fmt, batch="all")
+        append_run_log(spark, outcomes, log_table, run_ts or run_stamp(), fmt, batch=f"{run_id or uuid.uuid4().hex} federated")
     return outcomes
 
 

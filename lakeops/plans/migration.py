@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from itertools import batched
 
@@ -15,7 +16,7 @@ from lakeops.operators.discovery import WAREHOUSE_SYSTEM_SCHEMAS, attach_definit
 from lakeops.operators.procedures import PROCEDURE_CREATED, procedure_ddl, procedure_status
 from lakeops.operators.typing_plan import plans_by_table, type_plan
 from lakeops.parallel import run_each
-from lakeops.session import cut_lineage
+from lakeops.session import cut_lineage, scratch
 from lakeops.sinks.copy_queue import copy_queued, plan_queue, queue_states
 from lakeops.sinks.runlog import append_run_log, run_stamp
 from lakeops.sinks.tables import FAILED, Outcome, copy_each, ensure_schemas, outcomes_frame
@@ -73,6 +74,7 @@ def run_migration(
     strict: bool = True,
     fmt: str = "parquet",
     queue: str | None = None,
+    run_id: str | None = None,
 ) -> DataFrame:
     """Copy everything the mapping names and return the run log.
 
@@ -83,8 +85,37 @@ def run_migration(
     text where the host can; without it procedures are inventoried only. With
     the name of a table as ``queue`` a run that was cut off goes on where it
     stood: tables that it has created are not read again. A run repeated under
-    the same stamp replaces its rows in the log.
+    the same ``run_id`` (with a queue, that is its name unless given) and stamp
+    replaces its rows in the log; any other is appended.
     """
+    with scratch(spark):
+        _migrate(
+            spark, mapping, tables, definitions, reader, log_table, run_ts, columns, procedures, split_columns,
+            create_procedure, skip_schemas, ignore_case, parallelism, strict, fmt, queue, run_id or queue or uuid.uuid4().hex,
+        )
+    return spark.table(log_table)
+
+
+def _migrate(
+    spark: SparkSession,
+    mapping: DataFrame,
+    tables: DataFrame,
+    definitions: DataFrame,
+    reader: Callable[[Row], DataFrame],
+    log_table: str,
+    run_ts: str,
+    columns: DataFrame | None,
+    procedures: DataFrame | None,
+    split_columns: DataFrame | None,
+    create_procedure: Callable[[str], object] | None,
+    skip_schemas: Iterable[str],
+    ignore_case: bool,
+    parallelism: int,
+    strict: bool,
+    fmt: str,
+    queue: str | None,
+    run_id: str,
+) -> None:
     found = discover_objects(mapping, tables, procedures, skip_schemas, ignore_case, ordered=False)
     objects = cut_lineage(with_clash(with_destination(found)))
     ensure_schemas(spark, objects)
@@ -107,12 +138,12 @@ def run_migration(
     if split_columns is not None:
         to_copy = join_metadata(to_copy, split_columns.select(*IDENTITY, "split_column"))
     if queue is None:
-        _log(spark, copy_each(spark, to_copy, reader, parallelism, fmt=fmt, strict=strict), log_table, run_ts, fmt, "tables")
+        _log(spark, copy_each(spark, to_copy, reader, parallelism, fmt=fmt, strict=strict), log_table, run_ts, fmt, f"{run_id} tables")
     else:
         plan_queue(spark, to_copy, queue)
         tried = queue_states(spark, queue).agg(F.max("attempts")).first()[0]
         copies = copy_queued(spark, queue, reader, parallelism, fmt=fmt, strict=strict)
-        _log(spark, copies, log_table, run_ts, fmt, f"tables {tried or 0}")
+        _log(spark, copies, log_table, run_ts, fmt, f"{run_id} tables {tried or 0}")
 
     if procedures is not None:
         procs = procedure_status(objects.filter("kind = 'procedure'"), create_procedure is not None)
@@ -124,17 +155,16 @@ def run_migration(
             F.lit(None).cast("bigint").alias("rows"),
             F.lit(None).cast("string").alias("error"),
         )
-        append_run_log(spark, noted, log_table, run_ts, fmt, batch="procedures noted")
+        append_run_log(spark, noted, log_table, run_ts, fmt, batch=f"{run_id} procedures noted")
         if create_procedure is not None:
-            _log(spark, _create_procedures(ready, create_procedure, parallelism), log_table, run_ts, fmt, "procedures")
+            _log(spark, _create_procedures(ready, create_procedure, parallelism), log_table, run_ts, fmt, f"{run_id} procedures")
 
     # A view's own list of references, bounded by its definition.
     needs = external_refs(refs, mapping, keep=True).groupBy(*IDENTITY).agg(
         F.array_join(F.sort_array(F.collect_set("ref")), ", ").alias("needs")
     )
     told = join_metadata(views, needs)
-    _log(spark, create_each(spark, told, parallelism), log_table, run_ts, fmt, "views")
-    return spark.table(log_table)
+    _log(spark, create_each(spark, told, parallelism), log_table, run_ts, fmt, f"{run_id} views")
 
 
 def migrate_warehouse(
@@ -155,6 +185,7 @@ def migrate_warehouse(
     """
     databases = [pair.source_database for pair in mapping.toLocalIterator()]
     run_ts = run_ts or run_stamp()
+    run_id = run["run_id"] = run.get("run_id") or run.get("queue") or uuid.uuid4().hex
     refused: dict[str, str] = {}
 
     def scan(view: str) -> DataFrame:
@@ -164,7 +195,7 @@ def migrate_warehouse(
     scans = {view: scan(view) for view in ("tables", "views", "columns", *(["procedures"] if with_procedures else []))}
     if refused:
         failed = [(database, "database", FAILED, None, error) for database, error in refused.items()]
-        append_run_log(spark, outcomes_frame(spark, failed), log_table, run_ts, run.get("fmt", "parquet"), batch="databases")
+        append_run_log(spark, outcomes_frame(spark, failed), log_table, run_ts, run.get("fmt", "parquet"), batch=f"{run_id} databases")
     return run_migration(
         spark,
         mapping,
@@ -193,6 +224,6 @@ def _create_procedures(ready: DataFrame, create: Callable[[str], object], parall
 
 
 def _log(spark: SparkSession, outcomes: Iterator[Outcome], table: str, run_ts: str, fmt: str, phase: str) -> None:
-    """Outcomes of a phase as numbered batches of the run: a run that is repeated under its stamp replaces them."""
+    """Outcomes of a phase as numbered batches of the run."""
     for k, batch in enumerate(batched(outcomes, LOG_BATCH)):
         append_run_log(spark, outcomes_frame(spark, batch), table, run_ts, fmt, batch=f"{phase} {k:06d}")

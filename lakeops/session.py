@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import warnings
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from itertools import batched
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,9 +40,30 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Paths given out inside each open scratch scope.
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what was written to new paths inside, also by threads: for work whose result lies elsewhere by then."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        # By identity: two scopes may hold equal lists.
+        _scopes[:] = [held for held in _scopes if held is not paths]
+        for path in paths:
+            remove_path(spark, path)
+
+
 def new_path(spark: SparkSession) -> str:
     """A path in the shared folder that nothing uses yet."""
-    return f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    for paths in _scopes:
+        paths.append(path)
+    return path
 
 
 def remove_path(spark: SparkSession, path: str) -> None:

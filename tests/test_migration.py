@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 
 import pytest
 from pyspark.sql.datasource import DataSource, DataSourceReader
@@ -190,3 +191,15 @@ def test_federated_copy(spark, unit):
         }
         spark.sql(f"DROP DATABASE {source} CASCADE")
         assert [r.type for r in spark.table(f"{destination}.a").orderBy("type").collect()] == [3, 4]
+
+
+def test_a_run_repeated_under_its_name_is_logged_once(spark, schema):
+    for _ in range(2):
+        log = run(spark, schema, run_id="nightly")
+    assert log.count() == 10
+    again = [run(spark, schema, queue=f"{schema}.queue") for _ in range(2)][-1]
+    # The unreadable table is tried again, and so is in the log of both attempts; nothing else is there twice.
+    of_queue = [r for r in again.collect() if f"{schema}.queue" in r.batch]
+    assert sorted(Counter(r.table.split(".")[-1] for r in of_queue).items()) == [
+        ("bad", 2), ("empty", 1), ("loop1", 1), ("loop2", 1), ("lost", 1), ("mid", 1), ("p1", 1), ("p2", 1), ("t", 1), ("top", 1),
+    ]

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lakeops.functions.calls import translate_text
 from lakeops.functions.scopes import extract_relations, relations
 from lakeops.operators import cycles, requests
+from lakeops.session import new_path, scratch, shared_dir
 from lakeops.sinks import batches, copy_queue, runlog, tables, verify, views
 from lakeops.sources import connector, incremental
 from tests.conftest import rows
@@ -359,6 +360,23 @@ def test_files_are_taken_up_as_they_come(spark, database, tmp_path):
     assert incremental.refresh(spark, "usage", f"{tmp_path}/u", f"{database}.u", f"{tmp_path}/progress-u").count() == 3
 
 
+def test_scratch_is_removed_when_its_work_is_done(spark):
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    files = place(shared_dir(spark)).getFileSystem(spark._jsc.hadoopConfiguration())
+    outside = new_path(spark)
+    with pytest.raises(ZeroDivisionError), scratch(spark):
+        with scratch(spark):
+            inner = new_path(spark)
+            spark.range(1).write.parquet(inner)
+        assert not files.exists(place(inner))
+        kept, never = new_path(spark), new_path(spark)
+        spark.range(1).write.parquet(kept)
+        assert files.exists(place(kept)) and not files.exists(place(never))
+        spark.range(1).write.parquet(outside)
+        1 / 0  # noqa: B018
+    assert not files.exists(place(kept)) and files.exists(place(outside))
+
+
 def test_batches_of_odd_names(spark, database):
     for name in ("a=b/c", "a b", "", "ü%"):
         for _ in range(2):
