@@ -261,6 +261,46 @@ def test_a_language_with_three_trusted_texts_keeps_its_clean_documents(spark):
     assert all(r["kept"] for r in quality.classify(df.where("text not like '%$%'"), few).collect())
 
 
+def test_every_word_counts_by_itself(spark, monkeypatch):
+    """Loss of each document from plain counts of whole words, over small blocks and few slices."""
+    monkeypatch.setattr(quality, "BLOCK_WORDS", 300)
+    rng = random.Random(13)
+    rows = [(k, prose(rng, rng.randrange(0, 40), 12)) for k in range(60)] + [(70, None), (None, "w1x1 w2x2"), (71, "w1x1"), (71, "w1x1")]
+    coded = quality._coded(frame(spark, rows).repartition(3), "doc_id", "text", "lang", quality.common_words(frame(spark, rows), "text"), 5).cache()
+    tokens = quality._documents(coded)
+    marks = quality._marked(tokens.where("id % 2 = 0")).cache()
+    assert quality._kept(tokens, marks).count() == tokens.where("id % 2 = 0").count()
+    model = quality.Model(quality._kept(tokens, marks), 1 + len(quality.common_words(frame(spark, rows), "text")) + quality.SHAPES)
+    count = Counter(w for d, t in rows if d is not None and d % 2 == 0 and t for w in t.split())
+    class_of = {}
+    for r in tokens.where("id is not null and id < 70").collect():
+        class_of.update(zip(dict(rows)[r["id"]].split(), np.frombuffer(__import__("zlib").decompress(r["tokens"]), np.uint16).tolist()))
+    in_class = Counter()
+    for w, n in count.items():
+        in_class[class_of[w]] += n
+    texts = {d: t for d, t in rows}
+    for r in quality.perplexities(tokens, model, quality.own_counts(coded, marks, 5)).collect():
+        words = (texts[r["id"]] or "").split()
+        if not words:
+            assert r["loss"] is None and r["class_loss"] is None
+        elif all(w in class_of for w in words):
+            own = [math.log(in_class[class_of[w]] + quality.UNSEEN) - math.log(count.get(w, quality.UNSEEN)) for w in words]
+            assert r["loss"] - r["class_loss"] == pytest.approx(sum(own) / len(own), abs=1e-5)
+
+
+def test_made_up_words_of_ordinary_shape_are_rejected(spark):
+    """Words of six small letters, each far under a thousandth of all words, so all in one class."""
+    rng = random.Random(14)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    known = [word() for _ in range(3000)]
+    rows = [(k, " ".join(rng.choice(known) for _ in range(40)), "en") for k in range(1500)]
+    rows += [(5000 + k, " ".join(word() for _ in range(40)), "en") for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r["doc_id"]: r["kept"] for r in quality.classify(df, spark.createDataFrame([(k,) for k in range(1200)], "doc_id long")).collect()}
+    assert not any(kept[5000 + k] for k in range(40))
+    assert np.mean([kept[k] for k in range(1500)]) > 0.98
+
+
 def test_paraphrases_against_every_passage(spark):
     """Items of 24 to 40 words with a quarter of their words replaced, dropped or moved, in longer texts; beside clean texts."""
     rng = random.Random(21)
