@@ -20,7 +20,7 @@ from lakeops.plans import translation
 from lakeops.plans.audit_report import audit_report
 from lakeops.plans.federated import federated_copy
 from lakeops.plans.migration import IDENTITY, plan_views, preflight, run_migration
-from lakeops.session import new_path, scratch_database
+from lakeops.session import new_path, scratch_database, written_out
 from lakeops.sinks import copy_queue, runlog, tables, verify, views
 from lakeops.sources import catalog, connector, incremental, mapping, snapshots
 
@@ -914,6 +914,8 @@ def translate_procedures_isolated(spark, d):
 def audit_report_incremental(spark, d):
     """The report over exports that came in two drops of files, the first with stale records and half of the usage."""
     records = _records(spark, d)
+    # Both drops have the jobs: gathered once, from all their tasks.
+    records["jobs"] = written_out(records["jobs"])
     late = F.pmod(F.xxhash64("sku_name", "usage_start_time", "usage_quantity"), F.lit(2)) == 0
     first = {
         "jobs": records["jobs"].withColumn("settings", F.struct(F.lit("stale").alias("name"), F.col("settings.tasks").alias("tasks"))),
@@ -927,7 +929,8 @@ def audit_report_incremental(spark, d):
     for drop in (first, second):
         found = {}
         for name, rows in drop.items():
-            rows.write.mode("append").json(f"{path}/{name}")
+            # A compressed file is read by one task, so none is long.
+            rows.write.mode("append").option("maxRecordsPerFile", 1_000_000).json(f"{path}/{name}", compression="gzip")
             found[name] = incremental.refresh(spark, name, f"{path}/{name}", f"{database}.{name}", f"{path}/progress/{name}")
     return _audit_of(found)
 

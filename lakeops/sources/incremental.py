@@ -33,9 +33,11 @@ def newest(records: DataFrame, key: Sequence[str]) -> DataFrame:
     A maximum in the tasks first, so a key with many versions never meets in numbers.
     """
     rest = [c for c in records.columns if c not in key]
-    text = F.to_json(F.struct(*[F.col(c) for c in rest if c != AGE]))
-    picked = records.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(AGE, text)).alias("_newest"))
-    return picked.select(*key, *[F.col("_newest")[c].alias(c) for c in rest])
+    own = [c for c in rest if c != AGE]
+    # One struct for each record, compared from its left: what is compared and what is kept travel once.
+    text = F.to_json(F.struct(*own)).alias("text")
+    picked = records.groupBy(*key).agg(F.max(F.struct(F.col(AGE).alias("age"), text, F.struct(*own).alias("own"))).alias("_newest"))
+    return picked.select(*key, *[(F.col("_newest.age") if c == AGE else F.col("_newest.own")[c]).alias(c) for c in rest])
 
 
 def refresh(spark: SparkSession, record: str, path: str, table: str, checkpoint: str, *, key: Sequence[str] | None = None, fmt: str = "json", files: int | None = None) -> DataFrame:

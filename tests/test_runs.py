@@ -360,6 +360,25 @@ def test_files_are_taken_up_as_they_come(spark, database, tmp_path):
     assert incremental.refresh(spark, "usage", f"{tmp_path}/u", f"{database}.u", f"{tmp_path}/progress-u").count() == 3
 
 
+def test_newest_sends_a_record_and_its_file_once(spark, setting):
+    setting("spark.sql.adaptive.enabled", "false")
+    file = F.concat(F.lit("f" * 5000), F.col("id").cast("string"))
+    ages = F.struct(F.lit(1).alias("at"), file.alias("file")).alias(incremental.AGE)
+    records = spark.range(300).select((F.col("id") % 100).alias("cluster_id"), F.format_string("n%03d", "id").alias("cluster_name"), ages)
+    found = incremental.newest(records, ("cluster_id",))
+    assert found.columns == records.columns
+    # The last file by name: 3, 103 and 203 for cluster 3, and 99, 199 and 299 for cluster 99.
+    last = {k: max((k, k + 100, k + 200), key=str) for k in range(100)}
+    assert {r["cluster_id"]: (r["cluster_name"], r[incremental.AGE]["file"][5000:]) for r in found.collect()} == {k: (f"n{v:03d}", str(v)) for k, v in last.items()}
+    nodes, sent = [found._jdf.queryExecution().executedPlan()], 0
+    while nodes:
+        node = nodes.pop()
+        nodes += [node.children().apply(k) for k in range(node.children().size())]
+        if node.nodeName() == "Exchange":
+            sent += node.metrics().apply("dataSize").value()
+    assert 100 * 5000 < sent < 300 * 5000 * 1.5
+
+
 def test_scratch_is_removed_when_its_work_is_done(spark):
     place = spark._jvm.org.apache.hadoop.fs.Path
     files = place(shared_dir(spark)).getFileSystem(spark._jsc.hadoopConfiguration())
