@@ -3,12 +3,15 @@ from __future__ import annotations
 import random
 import re
 import time
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from lakeops.functions import calls
 from lakeops.functions.calls import translate_functions, translate_text
 from lakeops.functions.names import object_id, plain_name, quoted_name, with_destination
 from lakeops.functions.refs import QUOTED, SQL_KEYWORDS, extract_refs
@@ -266,3 +269,14 @@ def test_text_is_repointed_once(spark):
     df = spark.createDataFrame([("DB.x",)], "t string")
     plan = with_rewritten(df, "out", F.col("t"), "DB", "new")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_replace(regexp_replace(") == 1
+
+
+def test_a_worker_holds_one_text_at_a_time():
+    """Of a batch of 20 MB, Python's own memory never has more than a few texts."""
+    texts = pa.array(["SELECT ZEROIFNULL(q), '" + "x" * 100_000 + "'", None] * 200)
+    tracemalloc.start()
+    done = next(calls._translate_batches.func(iter([texts])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert done.to_pylist() == ["SELECT COALESCE(q, 0), '" + "x" * 100_000 + "'", None] * 200
+    assert peak < 2_000_000
