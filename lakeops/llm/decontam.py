@@ -1,4 +1,7 @@
-"""Benchmark decontamination: latent semantic candidates, then longest common subsequences and answer checks."""
+"""Benchmark decontamination: latent semantic candidates, then longest common subsequences and answer checks.
+
+What the latent space leaves out, by its rank or its limits, is found by the words that a passage must share with an item.
+"""
 
 from __future__ import annotations
 
@@ -25,8 +28,11 @@ RANK, MORE, POWERS = 192, 32, 1
 SPACE_PASSAGES, SCAN_SPACES = 256, 8
 #: Groups in which sums by feature are taken; a feature in this share of the documents is looked up for candidates only.
 SUM_PARTS, FREQUENT = 64, 0.02
-#: A passage is a candidate from this latent cosine and this share of the item's latent length on.
+#: A passage is a latent candidate from this cosine and this share of the item's latent length on; others are ruled out by
+#: the words they share with the item alone (see _Shared), so these two numbers lose no pair.
 COSINE, SHARE = 0.5, 0.35
+#: Listed words of documents that are looked at together.
+SHARED_ROWS = 1 << 18
 #: Leaked: so much of the item's words in order; or less, if so much of its rare words stands in order as well, and so much
 #: of the answer's rare words anywhere in the document. Rare are words whose feature is not FREQUENT.
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.6, 0.5
@@ -169,7 +175,9 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     Words are runs of letters, digits and non-ASCII characters, in lower case. Passages of WINDOW words of every whole
     text are placed in the latent space of the benchmark's TF-IDF passages, with counts over all documents. Each one close
     to an item's passage in cosine, and holding enough of it, is compared word by word, with half a passage before and
-    after it: ``lcs`` is the share of the item's words found in order, ``rare`` that of its rare words, and ``answer`` the
+    after it; so is every other one that shares enough words with an item's passage to be a pair at all, such as one of
+    many short items listed together, which is close to none of them. So the pairs are those of comparing every passage
+    with every item. ``lcs`` is the share of the item's words found in order, ``rare`` that of its rare words, and ``answer`` the
     share of its answer's rare words found anywhere in the document, each by its weight. A pair is kept with lcs from
     VERBATIM on, or with lcs and rare from PARAPHRASE on and answer from ANSWER on: words that many documents share don't
     make a paraphrase, so an item without rare words leaks only word for word. For an answer without any, rare stands in.
@@ -282,6 +290,17 @@ class _Space:
             first = np.flatnonzero(np.r_[True, window[1:] != window[:-1]])
             return window[first], np.add.reduceat(each[self.place[feature]], first, axis=0)
 
+        def products(window: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """As sums of ``added`` but for rounding: the longest windows first, one word of each at a time."""
+            first = np.flatnonzero(np.r_[True, window[1:] != window[:-1]])
+            words, row = np.diff(np.r_[first, len(window)]), self.place[feature]
+            by_words = np.argsort(-words, kind="stable")
+            first = first[by_words]
+            total = self.added[row[first]]
+            for k, n in enumerate(np.cumsum(np.bincount(words)[::-1])[::-1][2:], 1):
+                total[:n] += self.added[row[first[:n] + k]]
+            return window[first], total
+
         none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         window, at = place.of(np.flatnonzero(self.rare[feature]))
         if not len(window):
@@ -293,8 +312,8 @@ class _Space:
         window, at = window[kept], at[kept]
         likely = [none[0]]
         for a, b in _pieces(window):
-            owner, product = sums(window[a:b], feature[at[a:b]], self.added)
-            likely.append(owner[(product >= self.least * (1 - 1e-4)).any(axis=1)])
+            owner, product = products(window[a:b], feature[at[a:b]])
+            likely.append(np.sort(owner[(product >= self.least * (1 - 1e-4)).any(axis=1)]))
         window, at = place.words(np.concatenate(likely))
         known = self.place[feature[at]] >= 0
         window, at = window[known], at[known]
@@ -307,6 +326,13 @@ class _Space:
             found.append((owner[x], item, np.minimum(1.0, product[x, item] / size[x]).astype(float)))
         return tuple(np.concatenate(c) for c in zip(*found))
 
+    def cosine(self, feature: np.ndarray, item: int) -> float:
+        """Latent cosine of a passage, given its features, and an item's passage."""
+        at = self.place[feature]
+        at = at[at >= 0]
+        size = float(np.linalg.norm(self.vectors[at].sum(axis=0)))
+        return min(1.0, float(self.added[at, item].sum()) / size) if size else 0.0
+
     def checked(self, hashes: np.ndarray, begin: int, item: int) -> tuple[float, float, float]:
         """lcs, rare and answer (see :func:`leaks`) of a passage and a document's words around ``begin``."""
         near = hashes[max(0, begin - STRIDE) : begin + WINDOW + STRIDE]
@@ -319,8 +345,89 @@ class _Space:
         return lcs, in_order, float(weight[np.isin(answer, hashes)].sum() / weight.sum()) if len(answer) else in_order
 
 
+def _least(share: float, words: int) -> int:
+    """The fewest of some words that are such a share of them."""
+    return next(n for n in range(words + 1) if n >= share * words or n / max(words, 1) >= share)
+
+
+class _Shared:
+    """The passages of some spaces by their words: windows that share enough of them to be a pair, whatever their cosine.
+
+    A pair by VERBATIM shares so much of the item's words, hence all of its rare words but so many; one by PARAPHRASE so
+    much of both. Texts are ruled out by the rare words they hold anywhere, then windows by all words around them, each
+    word counted no more often than the item has it. An item with too few rare words to count on is known by all words.
+    """
+
+    def __init__(self, spaces: list[_Space]) -> None:
+        listed, self.of, self.words, self.least, least = [], [], [], [], []
+        for s, space in enumerate(spaces):
+            for k, own in enumerate(space.words):
+                rare = np.array(space.rare_words[k], np.uint64)
+                verbatim, some = _least(VERBATIM, len(own)), _least(PARAPHRASE, len(rare))
+                few = len(rare) - (len(own) - verbatim)
+                first = [(rare, min(few, some))] if few > 0 else [(np.array(own, np.uint64), verbatim), *([(rare, some)] if len(rare) else [])]
+                word, times = np.unique(np.array(own, np.uint64), return_counts=True)
+                for held, n in first:
+                    listed.append(np.unique(held, return_counts=True))
+                    least.append(n)
+                    self.of.append(len(self.words))
+                self.words.append((s, k, word, times, np.isin(word, rare)))
+                self.least.append((verbatim, _least(PARAPHRASE, len(own)), some if len(rare) else len(own) + 1))
+        entry = np.repeat(np.arange(len(listed)), np.array([len(w) for w, _ in listed], np.int64))
+        words = np.concatenate([np.zeros(0, np.uint64), *[w for w, _ in listed]])
+        order = np.argsort(words, kind="stable")
+        self.word, self.first, self.count = np.unique(words[order], return_index=True, return_counts=True)
+        self.entry, self.times = entry[order], np.concatenate([np.zeros(0, np.int64), *[t for _, t in listed]])[order]
+        self.of, self.enough = np.array(self.of, np.int64), np.array(least, np.int64)
+        self.feature = np.zeros(FEATURES, bool)
+        self.feature[_features(self.word)] = True
+
+    def _texts(self, number: np.ndarray, word: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Text and passage where the text holds enough of the passage's listed words; ``number`` and ``word`` by text, once each."""
+        end = np.cumsum(self.count[word])
+        a = 0
+        while a < len(number):
+            b = int(np.searchsorted(end, (end[a - 1] if a else 0) + SHARED_ROWS, side="right"))
+            b = int(np.searchsorted(number, number[max(a, min(b, len(number)) - 1)], side="right"))
+            n = self.count[word[a:b]]
+            row = np.arange(n.sum()) + np.repeat(self.first[word[a:b]] - (np.cumsum(n) - n), n)
+            key = np.repeat(number[a:b], n) * len(self.enough) + self.entry[row]
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+            text, entry = np.divmod(key[first], len(self.enough))
+            kept = np.add.reduceat(self.times[row][order], first) >= self.enough[entry]
+            found = np.unique(text[kept] * len(self.words) + self.of[entry[kept]])
+            yield np.divmod(found, len(self.words))
+            a = b
+
+    def near(self, place: _Windows, hashes: np.ndarray, feature: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """Text, first word in it, space and passage of each window that shares enough with a passage."""
+        at = np.flatnonzero(self.feature[feature])
+        word = np.searchsorted(self.word, hashes[at])
+        there = word < len(self.word)
+        there[there] = self.word[word[there]] == hashes[at[there]]
+        once = np.unique(place.number[at[there]] * max(1, len(self.word)) + word[there])
+        for texts, passages_ in self._texts(*np.divmod(once, max(1, len(self.word)))):
+            for text, passage in zip(texts.tolist(), passages_.tolist()):
+                s, k, words, times, rare = self.words[passage]
+                own = hashes[place.cut[text] : place.cut[text + 1]]
+                word = np.searchsorted(words, own).clip(0, len(words) - 1)
+                held = np.flatnonzero(words[word] == own)
+                window = np.stack([held // STRIDE + n for n in range(1, 1 - (WINDOW + 2 * STRIDE) // STRIDE, -1)], 1)
+                key, n = np.unique(window * len(words) + word[held][:, None], return_counts=True)
+                window, word = np.divmod(key, len(words))
+                n, low = np.minimum(n, times[word]), window.min(initial=0)
+                every, few = np.bincount(window - low, n), np.bincount(window - low, n * rare[word])
+                verbatim, most, some = self.least[passage]
+                for w in (np.flatnonzero((every >= verbatim) | ((every >= most) & (few >= some))) + low).tolist():
+                    if 0 <= w < place.count[text]:
+                        yield text, w * STRIDE, s, k
+
+
 def _search(docs: DataFrame, blocks: list[DataFrame], idf: np.ndarray, id_col: str, text_col: str, item_col: str) -> DataFrame:
     spaces = [_Space(block, idf) for block in blocks]
+    shared = _Shared(spaces)
     item_type = blocks[0].schema["item"].dataType
     item_arrow = to_arrow_type(item_type)
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField(item_col, item_type), *T.StructType.fromDDL("cosine double, lcs double, rare double, answer double").fields])
@@ -334,14 +441,19 @@ def _search(docs: DataFrame, blocks: list[DataFrame], idf: np.ndarray, id_col: s
                 feature = _features(hashes)
                 cut = np.searchsorted(number, np.arange(len(group) + 1))
                 place = _Windows(number, cut)
-                for space in spaces:
+                likely = {}
+                for s, space in enumerate(spaces):
                     window, item, cosine = space.near(place, feature)
                     text, begin = place.begin(window)
-                    for doc, word, k, near in zip(text.tolist(), begin.tolist(), item.tolist(), cosine.tolist()):
-                        lcs, rare, answer = space.checked(hashes[cut[doc] : cut[doc + 1]], int(word - cut[doc]), k)
-                        if lcs >= VERBATIM or (lcs >= PARAPHRASE and rare >= PARAPHRASE and answer >= ANSWER):
-                            rows.append(first + doc)
-                            out.append((space.items[k], near, lcs, rare, answer))
+                    likely.update(zip(zip(text.tolist(), (begin - cut[text]).tolist(), [s] * len(text), item.tolist()), cosine.tolist()))
+                for key in shared.near(place, hashes, feature):
+                    likely.setdefault(key)
+                for (doc, begin, s, k), near in likely.items():
+                    space, own = spaces[s], hashes[cut[doc] : cut[doc + 1]]
+                    lcs, rare, answer = space.checked(own, begin, k)
+                    if lcs >= VERBATIM or (lcs >= PARAPHRASE and rare >= PARAPHRASE and answer >= ANSWER):
+                        rows.append(first + doc)
+                        out.append((space.items[k], space.cosine(_features(own[begin : begin + WINDOW]), k) if near is None else near, lcs, rare, answer))
             columns = list(zip(*out)) if out else [()] * 5
             ids = batch.column(0).take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays([ids, pa.array(columns[0], item_arrow), *[pa.array(c, pa.float64()) for c in columns[1:]]], schema.names)
