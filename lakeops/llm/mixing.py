@@ -76,8 +76,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), *, id_col: str
 
     Sources in code point order, null last, take the weights in turn. Each source's target becomes a number of equal
     blocks by highest quotients, which its shards get by the same rule; a shard's documents stand in seeded order, and
-    its blocks are taken from the start of that order, passing over the shard again when the quota is above its size. So a
-    source's taken words miss its target by about one block, and no document is taken more than three times.
+    its blocks are taken from the start of that order, passing over the shard again when the quota is above its size. A
+    source whose target is too small for a block has that many words instead. So a source's taken words miss its target by
+    about one block, none is left out for its size, and no document is taken more than three times.
 
     The driver holds one row for each source. A hot source has as many shards as its rows need. A null text has size 0;
     a null source is a source; equal rows are rows of their own; an empty table gives an empty table. Columns of the same
@@ -94,9 +95,11 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), *, id_col: str
     sizes, share = [r["n"] for r in per], [weights[k % len(weights)] for k in range(len(per))]
     wanted = targets(sizes, share)
     seats = apportion(wanted, round(sum(wanted) / BLOCK_WORDS))
+    # Blocks, or words of a source without one.
+    given = [(int(q), BLOCK_WORDS) if q else (round(t), 1) for q, t in zip(seats, wanted)]
     plan = base.sparkSession.createDataFrame(
-        [(r["__source"], r["n"], float(t), int(q), max(1, -(-r["rows"] // SHARD_ROWS))) for r, t, q in zip(per, wanted, seats)],
-        "__source string, source_size long, target double, __seats long, __shards long",
+        [(r["__source"], r["n"], float(t), *q, max(1, -(-r["rows"] // SHARD_ROWS))) for r, t, q in zip(per, wanted, given)],
+        "__source string, source_size long, target double, __seats long, __block long, __shards long",
     )
     # One row for each source, which the driver holds already: bounded, and no source's rows meet in one task.
     rows = base.join(F.broadcast(plan), base[source].eqNullSafe(plan["__source"]))
@@ -112,7 +115,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), *, id_col: str
     order = Window.partitionBy("__source", "__shard").orderBy(F.xxhash64(F.lit(seed + 1), "__place"), "__place", F.col(id_).asc_nulls_first(), "size")
     rows = rows.withColumn("__end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     rows = rows.join(quotas, rows["__source"].eqNullSafe(quotas["of_source"]) & (rows["__shard"] == quotas["of_shard"]))
-    want = F.least(F.col("quota") * BLOCK_WORDS, F.col("shard_size") * MOST_TIMES)
+    want = F.least(F.col("quota") * F.col("__block"), F.col("shard_size") * MOST_TIMES)
     passes = F.when(F.col("shard_size") > 0, F.floor(want / F.col("shard_size"))).otherwise(0)
     rest = want - passes * F.col("shard_size")
     part = F.greatest(F.lit(0), F.least(F.col("__end"), rest) - (F.col("__end") - F.col("size")))

@@ -122,6 +122,14 @@ def test_mixed_documents_hold_the_words_taken(spark):
     assert 900 in held and 901 in held
 
 
+def test_sources_smaller_than_a_block_are_mixed(spark):
+    rows = [(k, "one two three four five six", "s0", "c", "d") for k in range(500)] + [(1000, "x y z", "s1", "c", "d"), (1001, "w", "s2", "c", "d"), (1002, "u v", None, "c", "d")]
+    taken = {r["doc_id"]: r["taken"] for r in mixing.mix(spark.createDataFrame(rows, DOCS)).collect()}
+    assert (taken[1000], taken[1001], taken[1002]) == (9, 3, 6)
+    alone = mixing.mix(spark.createDataFrame(rows[-1:], DOCS))
+    assert [r["taken"] for r in alone.collect()] == [2] and mixing.mixed_documents(alone, alone.columns).count() == 1
+
+
 def test_mix_of_no_rows(spark):
     assert mixing.mix(spark.createDataFrame([], DOCS)).collect() == []
 
